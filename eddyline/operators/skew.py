@@ -1,0 +1,27 @@
+"""Lookup join that one very frequent key cannot slow down."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, hot_keys: int = 1000) -> DataFrame:
+    """Left join of ``rows`` with a ``lookup`` that has one row per key.
+
+    The ``hot_keys`` most frequent keys take a broadcast of at most that many lookup
+    rows, so their rows never shuffle. Every other key holds at most
+    ``1 / (hot_keys + 1)`` of the rows and goes through an ordinary shuffled join.
+    Rows with a NULL key match nothing and skip both.
+    """
+    keyed = rows.filter(F.col(key).isNotNull())
+    hot = (
+        keyed.groupBy(key).agg(F.count("*").alias("_n"))
+        .orderBy(F.desc("_n"), key).limit(hot_keys).select(key)
+    )
+    hot_found = lookup.join(F.broadcast(hot), key)
+    hot_lookup = hot.join(F.broadcast(hot_found), key, "left")
+    by_broadcast = keyed.join(F.broadcast(hot_lookup), key)
+    by_shuffle = keyed.join(F.broadcast(hot), key, "left_anti").join(lookup, key, "left")
+    unmatched = rows.filter(F.col(key).isNull())
+    return by_broadcast.unionByName(by_shuffle).unionByName(unmatched, allowMissingColumns=True)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from eddyline.schemas import VECTOR_WIDTH
 
 
-def hash_vector(text: Column, width: int = VECTOR_WIDTH) -> Column:
+def hash_vector(text: Column, width: int = VECTOR_WIDTH, cell_type: str = "double") -> Column:
     """The 16 md5 bytes of the text scaled to [0, 1] and repeated up to ``width``.
 
     NULL and '' give the zero vector. The digest is turned into numbers by three
@@ -24,12 +24,21 @@ def hash_vector(text: Column, width: int = VECTOR_WIDTH) -> Column:
         number = F.conv(hex_part, 16, 10).cast("bigint")
         for i in range(n_bytes):
             byte = F.shiftright(number, 8 * (n_bytes - 1 - i)).bitwiseAND(F.lit(255))
-            cells.append(byte.cast("double") / F.lit(255.0))
+            cells.append((byte.cast("double") / F.lit(255.0)).cast(cell_type))
     block = F.array(*cells)
     repeated = F.flatten(F.array_repeat(block, -(-width // 16)))
     return repeated if width % 16 == 0 else F.slice(repeated, 1, width)
 
 
+def stored_hash_vector(text: Column, width: int = VECTOR_WIDTH) -> Column:
+    """The hash vector in the 32-bit cells that points are stored with.
+
+    The 16 cells are narrowed before they are repeated; casting the whole array later
+    would touch every cell of every row.
+    """
+    return hash_vector(text, width, "float")
+
+
 def norm(vector: Column) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline.functions.text import stream_text
-from eddyline.functions.vectors import hash_vector
+from eddyline.functions.vectors import stored_hash_vector
 from eddyline.schemas import EVENT, MESSAGE, VECTOR_WIDTH
 
 CORRUPT = "_corrupt"
@@ -126,7 +126,7 @@ def point_payload(
 def events_to_points(
     events: DataFrame,
     text: Column | None = None,
-    vector=hash_vector,
+    vector=stored_hash_vector,
     width: int = VECTOR_WIDTH,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -146,7 +146,7 @@ def events_to_points(
 
 
 def messages_to_points(
-    messages: DataFrame, vector=hash_vector, width: int = VECTOR_WIDTH, source: Column | None = None
+    messages: DataFrame, vector=stored_hash_vector, width: int = VECTOR_WIDTH, source: Column | None = None
 ) -> DataFrame:
     """Messages with content as points; the source comes from the metadata."""
     if source is None:

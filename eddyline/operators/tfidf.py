@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from eddyline.schemas import VECTOR_WIDTH
 from eddyline.session import cut_lineage
 
-# A token is a run of at least two letters, digits or underscores.
-TOKEN = r"[\p{L}\p{N}_]{2,}"
+# Fixed value: tokens are runs of at least two letters, digits or underscores.
+BETWEEN_TOKENS = r"[^\p{L}\p{N}_]+"
 MAX_FEATURES = 10_000
 POWER_PASSES = 5
 EXTRA_DIRECTIONS = 10
 FACTOR_BYTES = 256 * 1024 * 1024
 ROWS_PER_PRODUCT = 256
+BLOCK_ROWS = 100
 
 
 def english_stop_words() -> list[str]:
@@ -30,8 +31,8 @@ def english_stop_words() -> list[str]:
 
 def with_terms(docs: DataFrame, text: str, stop_words: list[str]) -> DataFrame:
     """Adds ``terms``: the words without stop words, and pairs of neighbours among them."""
-    tokens = F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(0))
-    words = F.filter(tokens, lambda w: ~w.isin(*stop_words)) if stop_words else tokens
+    tokens = F.split(F.lower(F.col(text)), BETWEEN_TOKENS)
+    words = F.filter(tokens, lambda w: (F.length(w) > 1) & ~w.isin(*stop_words))
     size = F.size("_words")
     pairs = F.when(
         size > 1,
@@ -52,8 +53,11 @@ def vocabulary(with_terms_df: DataFrame, max_features: int = MAX_FEATURES) -> Da
     """
     occurrences = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
     once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")))
+    # The outer form keeps the optimizer from adding a size filter, which would repeat
+    # the whole tokenizing expression below it.
     return (
-        with_terms_df.select(F.explode(F.concat(occurrences, once)).alias("t"))
+        with_terms_df.select(F.explode_outer(F.concat(occurrences, once)).alias("t"))
+        .filter(F.col("t").isNotNull())
         .groupBy("t.term")
         .agg((F.count("*") - F.sum("t.first")).alias("tf"), F.sum("t.first").alias("df"))
         .orderBy(F.desc("tf"), "term").limit(max_features)
@@ -125,40 +129,43 @@ def _dense_blocks(batch: pa.RecordBatch):
         yield start, used, dense
 
 
-def _summed(rows: DataFrame, body) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of the per-task matrices that ``body`` emits as (i, row) pairs, added on Spark."""
-    partial = rows.mapInArrow(body, "i int, row array<double>")
-    total = partial.groupBy("i").agg(Summarizer.sum(array_to_vector("row")).alias("s"))
-    table = total.select("i", vector_to_array("s").alias("row")).toArrow().sort_by("i")
-    width = len(table.column("row")[0]) if table.num_rows else 0
-    flat = table.column("row").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return table.column("i").to_numpy(), flat.reshape(-1, width)
+def _emit(matrix: np.ndarray):
+    """A task's partial matrix as (i, cells) rows, each a run of ``BLOCK_ROWS`` matrix rows."""
+    for i, start in enumerate(range(0, len(matrix), BLOCK_ROWS)):
+        cells = np.ascontiguousarray(matrix[start : start + BLOCK_ROWS]).reshape(-1)
+        if cells.any():
+            offsets = pa.array([0, cells.size], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(cells))],
+                names=["i", "cells"],
+            )
 
 
-def _emit(matrix: np.ndarray, keys: np.ndarray):
-    for start in range(0, len(keys), 2048):
-        block = np.ascontiguousarray(matrix[start : start + 2048])
-        offsets = np.arange(0, block.size + 1, block.shape[1], dtype=np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys[start : start + 2048].astype(np.int32)),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(block.reshape(-1))),
-            ],
-            names=["i", "row"],
-        )
+def _summed(rows: DataFrame, body, shape: tuple[int, int]) -> np.ndarray:
+    """Sum of the matrices that ``body`` emits per task, added up by a grouped aggregate.
+
+    The result has a fixed size (at most ``FACTOR_BYTES``) whatever the number of rows.
+    """
+    partial = rows.mapInArrow(body, "i int, cells array<double>")
+    total = partial.groupBy("i").agg(Summarizer.sum(array_to_vector("cells")).alias("s"))
+    result = np.zeros(shape[0] * shape[1])
+    table = total.select("i", vector_to_array("s").alias("cells")).toArrow()
+    for i, cells in zip(table.column("i").to_pylist(), table.column("cells")):
+        start = i * BLOCK_ROWS * shape[1]
+        values = cells.values.to_numpy()
+        result[start : start + len(values)] = values
+    return result.reshape(shape)
 
 
 def _gram_times(factor: np.ndarray):
     """mapInArrow body for (A'A)·factor over the sparse rows A of one task."""
 
     def body(batches):
-        total, touched = np.zeros_like(factor), np.zeros(len(factor), dtype=bool)
+        total = np.zeros_like(factor)
         for batch in batches:
             for _, used, dense in _dense_blocks(batch):
                 total[used] += dense.T @ (dense @ factor[used])
-                touched[used] = True
-        keys = np.flatnonzero(touched)
-        yield from _emit(total[keys], keys)
+        yield from _emit(total)
 
     return body
 
@@ -172,7 +179,7 @@ def _image_gram(factor: np.ndarray):
             for _, used, dense in _dense_blocks(batch):
                 image = dense @ factor[used]
                 total += image.T @ image
-        yield from _emit(total, np.arange(len(total)))
+        yield from _emit(total)
 
     return body
 
@@ -189,11 +196,8 @@ def principal_directions(rows: DataFrame, features: int, components: int, seed:
         raise ValueError("max_features x components is beyond the size sent to every task")
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((features, width)))[0]
     for _ in range(POWER_PASSES):
-        keys, product = _summed(rows, _gram_times(basis))
-        image = np.zeros((features, width))
-        image[keys] = product
-        basis = np.linalg.qr(image)[0]
-    _, gram = _summed(rows, _image_gram(basis))
+        basis = np.linalg.qr(_summed(rows, _gram_times(basis), (features, width)))[0]
+    gram = _summed(rows, _image_gram(basis), (width, width))
     values, turn = np.linalg.eigh(gram)
     directions = basis @ turn[:, np.argsort(-values)[:components]]
     # Signs are free; make the largest cell of each direction positive.

@@ -34,8 +34,10 @@ def rounded(name: str, digits: int = 6) -> Column:
     return F.round(F.col(name), digits).alias(name)
 
 
-def cells_text(vector: Column) -> Column:
-    """A hash vector as the byte values it was made from."""
-    return F.array_join(
-        F.transform(vector, lambda x: F.round(x * 255).cast("int").cast("string")), ","
-    )
+def hash_vector_columns(vector: str = "vector") -> list[Column]:
+    """A hash vector in comparable columns: its width, the 16 byte values it starts
+    with, and whether all the rest repeats them."""
+    v, head = F.col(vector), F.slice(vector, 1, 16)
+    values = F.array_join(F.transform(head, lambda x: F.round(x * 255).cast("int").cast("string")), ",")
+    repeated = F.slice(F.flatten(F.array_repeat(head, 24)), 1, 384)
+    return [F.size(v).alias("width"), values.alias("cells"), (v == repeated).alias("repeats")]

@@ -12,8 +12,8 @@ from eddyline.operators.encoder import encode_texts, split_encode_errors
 from eddyline.operators.sets import union_batches
 from eddyline.operators.tfidf import svd_vectors, term_weights
 from eddyline.plans import tables
-from eddyline.plans.catalog import cells_text, plain_time, query, rounded
-from eddyline.plans.tables import EVENT_COLUMNS, hash_cells_sql, with_sql
+from eddyline.plans.catalog import hash_vector_columns, plain_time, query, rounded
+from eddyline.plans.tables import EVENT_COLUMNS, hash_vector_sql, with_sql
 from eddyline.schemas import DOCUMENT, EVENT, MAX_CONTENT_CHARS
 from eddyline.session import fresh_folder
 from eddyline.sinks.json_files import write_json
@@ -160,15 +160,15 @@ def md5_encoder():
 
 
 _ENCODED = f"""
-SELECT doc_id, CASE WHEN trim(text) = '' THEN repeat('0,', 383) || '0' ELSE {hash_cells_sql('text')} END AS cells
-FROM documents"""
+SELECT doc_id, {hash_vector_sql('content')} FROM (
+  SELECT doc_id, CASE WHEN trim(text) = '' THEN '' ELSE text END AS content FROM documents)"""
 
 
 @query("encode_udf", _ENCODED)
 def encode_udf(spark, sf_dir):
     docs = tables.documents(spark, sf_dir).select("doc_id", "content")
     good, _ = split_encode_errors(encode_texts(docs, "content", md5_encoder))
-    return good.select("doc_id", cells_text(F.col("vector")).alias("cells"))
+    return good.select("doc_id", *hash_vector_columns())
 
 
 @query("batched_embedding", _ENCODED)
@@ -176,7 +176,7 @@ def batched_embedding(spark, sf_dir):
     """Fixed-size batches without grouping: the batch is a slice of an Arrow batch."""
     docs = tables.documents(spark, sf_dir).select("doc_id", "content")
     encoded = encode_texts(docs, "content", md5_encoder, batch_size=32)
-    return encoded.select("doc_id", cells_text(F.col("vector")).alias("cells"))
+    return encoded.select("doc_id", *hash_vector_columns())
 
 
 # The stop words of the two term queries (a parameter of the operator).
@@ -201,7 +201,7 @@ raw AS (
 SELECT doc_id, term, tf, round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw
 """.replace("STOPS", ", ".join(f"'{w}'" for w in STOP_WORDS)))
 def tfidf_weights(spark, sf_dir):
-    docs = tables.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = tables.spread_table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = term_weights(docs, "doc_id", "text", stop_words=list(STOP_WORDS))
     return weights.select("doc_id", "term", "tf", rounded("weight"))
 
@@ -209,7 +209,7 @@ def tfidf_weights(spark, sf_dir):
 @query("tfidf_svd")
 def tfidf_svd(spark, sf_dir):
     """384-wide vectors with Spark's English stop words, one row per component."""
-    docs = tables.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = tables.spread_table(spark, sf_dir, "documents").select("doc_id", "text")
     made = svd_vectors(docs, "doc_id", "text")
     return made.select(F.col("id").alias("doc_id"), F.posexplode("vector").alias("component", "x")).select(
         "doc_id", "component", rounded("x")

@@ -9,8 +9,8 @@ from eddyline.functions.vectors import hash_vector
 from eddyline.operators import events as ops
 from eddyline.operators.metrics import event_type_summary
 from eddyline.plans import tables
-from eddyline.plans.catalog import cells_text, plain_time, query, rounded
-from eddyline.plans.tables import hash_cells_sql, with_sql
+from eddyline.plans.catalog import hash_vector_columns, plain_time, query, rounded
+from eddyline.plans.tables import hash_vector_sql, with_sql
 
 STREAM_SQL = (
     "concat_ws(' ', event_type, product_name, product_description, product_category, search_query)"
@@ -47,13 +47,13 @@ for _preset in TEXT_PRESETS:
 
 @query("event_to_point", with_sql("ev", body=f"""
 SELECT event_id AS id, text, product_id, product_category, product_price, total_amount,
-  {hash_cells_sql('text')} AS cells
+  {hash_vector_sql('text')}
 FROM (SELECT *, {STREAM_SQL} AS text FROM ev)"""))
 def event_to_point(spark, sf_dir):
     points = ops.events_to_points(tables.events(spark, sf_dir))
     return points.select(
         "id", "payload.text", "payload.product_id", "payload.product_category",
-        "payload.product_price", "payload.total_amount", cells_text(F.col("vector")).alias("cells"),
+        "payload.product_price", "payload.total_amount", *hash_vector_columns(),
     )
 
 
@@ -152,18 +152,18 @@ def purchase_amount(spark, sf_dir):
 
 @query("message_points", f"""
 SELECT 'doc_' || doc_id AS id, text AS content, '2024-01-01T00:00:00Z' AS timestamp,
-  CASE WHEN doc_id % 10 <> 0 THEN source ELSE 'unknown' END AS source, {hash_cells_sql('text')} AS cells
+  CASE WHEN doc_id % 10 <> 0 THEN source ELSE 'unknown' END AS source, {hash_vector_sql('text')}
 FROM documents WHERE doc_id % 7 <> 0 AND text <> ''""")
 def message_points(spark, sf_dir):
     points = ops.messages_to_points(tables.messages(spark, sf_dir))
-    return points.select("id", "payload.*", cells_text(F.col("vector")).alias("cells"))
+    return points.select("id", "payload.*", *hash_vector_columns())
 
 
 @query("hash_embedding", f"""
-SELECT doc_id, 384 AS width, {hash_cells_sql('text')} AS cells FROM documents""")
+SELECT doc_id, {hash_vector_sql('text')} FROM documents""")
 def hash_embedding(spark, sf_dir):
-    docs = tables.table(spark, sf_dir, "documents").select("doc_id", hash_vector(F.col("text")).alias("v"))
-    return docs.select("doc_id", F.size("v").alias("width"), cells_text(F.col("v")).alias("cells"))
+    docs = tables.table(spark, sf_dir, "documents").select("doc_id", hash_vector(F.col("text")).alias("vector"))
+    return docs.select("doc_id", *hash_vector_columns())
 
 
 @query("event_type_summary", with_sql("ev", body="""

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from eddyline.operators import events as ops
 from eddyline.operators.metrics import ALL_LABELS
 from eddyline.plans import tables
-from eddyline.plans.catalog import cells_text, plain_time, query, rounded
+from eddyline.plans.catalog import hash_vector_columns, plain_time, query, rounded
 from eddyline.plans.event_queries import STREAM_SQL
 from eddyline.plans.operation_queries import COUNTER_SQL, RATES_SQL, rate_columns
-from eddyline.plans.tables import hash_cells_sql, with_sql
+from eddyline.plans.tables import hash_vector_sql, with_sql
 from eddyline.session import fresh_folder
 from eddyline.sinks.epoch_log import latest_rows, read_log
 from eddyline.sinks.points import read_points
@@ -28,7 +28,11 @@ def event_stream(spark, sf_dir):
 
 def raw_stream(spark, sf_dir):
     """Kafka-shaped records of the events table."""
-    return tables.as_raw(tables.as_events(event_stream(spark, sf_dir), spark, sf_dir))
+    stream = event_stream(spark, sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    if len(tables.table(spark, sf_dir, "events").inputFiles()) < cores:
+        stream = stream.repartition(cores)
+    return tables.as_raw(tables.as_events(stream, spark, sf_dir))
 
 
 def _drain(query):
@@ -44,11 +48,11 @@ def _run_points(spark, sf_dir):
 
 
 @query("stream_pipeline", with_sql("ev", body=f"""
-SELECT event_id AS id, text, product_price, {hash_cells_sql('text')} AS cells
+SELECT event_id AS id, text, product_price, {hash_vector_sql('text')}
 FROM (SELECT *, {STREAM_SQL} AS text FROM ev) WHERE eid % 50 <> 0"""))
 def stream_pipeline(spark, sf_dir):
     points = read_points(spark, f"{_run_points(spark, sf_dir)}/points")
-    return points.select("id", "payload.text", "payload.product_price", cells_text(F.col("vector")).alias("cells"))
+    return points.select("id", "payload.text", "payload.product_price", *hash_vector_columns())
 
 
 @query("stream_dead_letters", with_sql("ev", body="""

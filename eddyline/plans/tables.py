@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from eddyline.operators.deadletters import message_key
 from eddyline.schemas import FAILURE_REASONS
+from eddyline.session import spread
 
 # Fixed values.
 TOPIC = "ecommerce-events"
@@ -25,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """For queries whose cost is in expressions rather than in the scan."""
+    return spread(table(spark, sf_dir, name))
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.pmod("p_size", F.lit(10))
     description = F.when(size == 0, F.lit("")).when(
@@ -78,7 +84,7 @@ EVENT_COLUMNS = (
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_events(table(spark, sf_dir, "events"), spark, sf_dir)
+    return as_events(spread_table(spark, sf_dir, "events"), spark, sf_dir)
 
 
 def as_raw(event_rows: DataFrame) -> DataFrame:
@@ -273,10 +279,13 @@ def with_sql(*names: str, body: str) -> str:
     return "WITH " + ",\n".join(SQL[n] for n in names) + "\n" + body
 
 
-def hash_cells_sql(text: str, width: int = 384) -> str:
-    """The md5 bytes of a text as 'b0,b1,…' over ``width`` cells (zeros for empty text)."""
+def hash_vector_sql(text: str) -> str:
+    """Twin of ``hash_vector_columns``: the 384 cells are made, then described."""
+    cells = (
+        f"list_transform(range(384), lambda i: CASE WHEN {text} IS NULL OR {text} = '' THEN 0 ELSE "
+        f"CAST(('0x' || substr(md5({text}), CAST(i % 16 * 2 + 1 AS INTEGER), 2)) AS INTEGER) END)"
+    )
     return (
-        f"CASE WHEN {text} IS NULL OR {text} = '' THEN repeat('0,', {width} - 1) || '0' ELSE "
-        f"array_to_string(list_transform(range({width}), lambda i: "
-        f"CAST(('0x' || substr(md5({text}), CAST(i % 16 * 2 + 1 AS INTEGER), 2)) AS INTEGER)), ',') END"
+        f"CAST(len({cells}) AS INTEGER) AS width, array_to_string({cells}[1:16], ',') AS cells, "
+        f"list_sum({cells}) = 24 * list_sum({cells}[1:16]) AS repeats"
     )

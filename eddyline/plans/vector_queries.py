@@ -8,9 +8,9 @@ from eddyline.functions.vectors import has_width, l2_normalize
 from eddyline.operators.events import events_to_points
 from eddyline.operators.vectors import cosine_top_k, split_missing
 from eddyline.plans import tables
-from eddyline.plans.catalog import cells_text, query, rounded
+from eddyline.plans.catalog import hash_vector_columns, query, rounded
 from eddyline.plans.event_queries import STREAM_SQL
-from eddyline.plans.tables import hash_cells_sql, with_sql
+from eddyline.plans.tables import hash_vector_sql, with_sql
 from eddyline.session import fresh_folder
 from eddyline.sinks.points import compact, read_points, upsert_points, with_payload, with_point_ids
 
@@ -80,13 +80,13 @@ def _two_epochs(spark, sf_dir, path: str) -> None:
 
 
 _UPSERT = with_sql("ev", body=f"""
-SELECT event_id AS id, epoch_id, text, {hash_cells_sql('text')} AS cells FROM (
+SELECT event_id AS id, epoch_id, text, {hash_vector_sql('text')} FROM (
   SELECT event_id, CAST(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS BIGINT) AS epoch_id,
     CASE WHEN event_type = 'purchase' THEN 'updated ' || product_name ELSE {STREAM_SQL} END AS text FROM ev)""")
 
 
 def _shown(points):
-    return points.select("id", "epoch_id", "payload.text", cells_text(F.col("vector")).alias("cells"))
+    return points.select("id", "epoch_id", "payload.text", *hash_vector_columns())
 
 
 @query("upsert_points", _UPSERT)

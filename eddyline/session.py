@@ -49,6 +49,16 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def spread(df):
+    """Give CPU-heavy steps work for every core when the input is a few small files.
+
+    A scan with at least as many splits as cores is left alone, so large inputs are not
+    shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df):
     """Reliable checkpoint: survives executor loss, unlike the local kind."""
     shared_root(df.sparkSession)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eddyline.functions.vectors import hash_vector
+from eddyline.functions.vectors import stored_hash_vector
 from eddyline.operators.events import decode_events, events_to_points, malformed_letters, split_malformed
 from eddyline.schemas import EVENT, VECTOR_WIDTH
 from eddyline.sinks.epoch_log import write_epoch
@@ -32,7 +32,7 @@ def start_point_stream(
     letters_path: str,
     checkpoint: str,
     text: Column | None = None,
-    vector=hash_vector,
+    vector=stored_hash_vector,
     width: int = VECTOR_WIDTH,
     generation: int = 0,
     **options,

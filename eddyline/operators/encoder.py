@@ -2,55 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Encoder = Callable[[list[str]], np.ndarray]
-
-
-def _encode_texts(encode: Encoder, texts: list[str], width: int):
-    """Vectors and error texts. A failing batch is retried text by text, so one bad
-    text does not cost its neighbours."""
-    try:
-        return list(np.asarray(encode(texts), dtype=np.float32)), [None] * len(texts)
-    except Exception as error:
-        if len(texts) == 1:
-            return [None], [f"{type(error).__name__}: {error}"]
-        single = [_encode_texts(encode, [t], width) for t in texts]
-        return [v[0] for v, _ in single], [e[0] for _, e in single]
-
-
-def encoder_column(text: Column, factory: Callable[[], Encoder], width: int, batch_size: int) -> Column:
-    """STRUCT(vector, error). ``factory`` runs once per Python worker task; blank text
-    gives a zero vector without a call of the encoder."""
-
-    @F.pandas_udf("vector array<float>, error string")
-    def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encode = factory()
-        for texts in batches:
-            vectors: list = [np.zeros(width, dtype=np.float32)] * len(texts)
-            errors: list = [None] * len(texts)
-            filled = [i for i, t in enumerate(texts) if isinstance(t, str) and t.strip()]
-            for start in range(0, len(filled), batch_size):
-                chosen = filled[start : start + batch_size]
-                found, failed = _encode_texts(encode, [texts.iat[i] for i in chosen], width)
-                for i, vector, error in zip(chosen, found, failed):
-                    vectors[i], errors[i] = vector, error
-            yield pd.DataFrame({"vector": vectors, "error": errors})
-
-    return encode_batches(text)
-
-
-def encode_texts(
-    df: DataFrame, text: str, factory: Callable[[], Encoder], width: int = 384, batch_size: int = 1000
-) -> DataFrame:
-    """Adds ``vector`` and ``encode_error``. Rows stay in place: no grouping, no shuffle."""
-    made = df.withColumn("_made", encoder_column(F.col(text), factory, width, batch_size))
-    return made.select(*df.columns, "_made.vector", F.col("_made.error").alias("encode_error"))
+from eddyline.functions.encoders import encode_body
+
+
+def encode_texts(df: DataFrame, text: str, factory, width: int = 384, batch_size: int = 1000) -> DataFrame:
+    """Adds ``vector`` and ``encode_error``. Rows stay in place: no grouping, no shuffle.
+
+    ``factory()`` gives a function from a list of texts to a (texts x width) array; it runs
+    once per task, so a model is loaded where it is used.
+    """
+    schema = f"{df.schema.toDDL()}, vector array<float>, encode_error string"
+    return df.mapInArrow(encode_body(df.columns.index(text), factory, width, batch_size), schema)
 
 
 def split_encode_errors(encoded: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eddyline.functions.blocks import BLOCK_ROWS, add_blocks, gram_times, image_gram, project
 from eddyline.schemas import VECTOR_WIDTH
 from eddyline.session import cut_lineage
 
@@ -20,8 +18,6 @@ MAX_FEATURES = 10_000
 POWER_PASSES = 5
 EXTRA_DIRECTIONS = 10
 FACTOR_BYTES = 256 * 1024 * 1024
-ROWS_PER_PRODUCT = 256
-BLOCK_ROWS = 100
 
 
 def english_stop_words() -> list[str]:
@@ -115,41 +111,15 @@ def term_weights(docs: DataFrame, id_column: str, text: str, **fit) -> DataFrame
     )
 
 
-def _dense_blocks(batch: pa.RecordBatch):
-    """Sparse rows of an Arrow batch as (first row, used slots, dense block over them)."""
-    slots, values = batch.column("slots"), batch.column("values")
-    for start in range(0, batch.num_rows, ROWS_PER_PRODUCT):
-        part = slots.slice(start, ROWS_PER_PRODUCT)
-        lengths = np.diff(part.offsets.to_numpy())
-        flat = part.flatten().to_numpy(zero_copy_only=False)
-        cells = values.slice(start, ROWS_PER_PRODUCT).flatten().to_numpy(zero_copy_only=False)
-        used, place = np.unique(flat, return_inverse=True)
-        dense = np.zeros((len(part), len(used)))
-        dense[np.repeat(np.arange(len(part)), lengths), place] = cells
-        yield start, used, dense
-
-
-def _emit(matrix: np.ndarray):
-    """A task's partial matrix as (i, cells) rows, each a run of ``BLOCK_ROWS`` matrix rows."""
-    for i, start in enumerate(range(0, len(matrix), BLOCK_ROWS)):
-        cells = np.ascontiguousarray(matrix[start : start + BLOCK_ROWS]).reshape(-1)
-        if cells.any():
-            offsets = pa.array([0, cells.size], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(cells))],
-                names=["i", "cells"],
-            )
-
-
 def _summed(rows: DataFrame, body, shape: tuple[int, int]) -> np.ndarray:
-    """Sum of the matrices that ``body`` emits per task, added up by a grouped aggregate.
+    """Sum of the matrices that ``body`` emits per task, added up by block on the executors.
 
     The result has a fixed size (at most ``FACTOR_BYTES``) whatever the number of rows.
     """
-    partial = rows.mapInArrow(body, "i int, cells array<double>")
-    total = partial.groupBy("i").agg(Summarizer.sum(array_to_vector("cells")).alias("s"))
+    schema = "i int, cells array<double>"
+    total = rows.mapInArrow(body, schema).repartition("i").mapInArrow(add_blocks, schema)
     result = np.zeros(shape[0] * shape[1])
-    table = total.select("i", vector_to_array("s").alias("cells")).toArrow()
+    table = total.toArrow()
     for i, cells in zip(table.column("i").to_pylist(), table.column("cells")):
         start = i * BLOCK_ROWS * shape[1]
         values = cells.values.to_numpy()
@@ -157,47 +127,20 @@ def _summed(rows: DataFrame, body, shape: tuple[int, int]) -> np.ndarray:
     return result.reshape(shape)
 
 
-def _gram_times(factor: np.ndarray):
-    """mapInArrow body for (A'A)·factor over the sparse rows A of one task."""
-
-    def body(batches):
-        total = np.zeros_like(factor)
-        for batch in batches:
-            for _, used, dense in _dense_blocks(batch):
-                total[used] += dense.T @ (dense @ factor[used])
-        yield from _emit(total)
-
-    return body
-
-
-def _image_gram(factor: np.ndarray):
-    """mapInArrow body for (A·factor)'(A·factor)."""
-
-    def body(batches):
-        total = np.zeros((factor.shape[1], factor.shape[1]))
-        for batch in batches:
-            for _, used, dense in _dense_blocks(batch):
-                image = dense @ factor[used]
-                total += image.T @ image
-        yield from _emit(total)
-
-    return body
-
-
 def principal_directions(rows: DataFrame, features: int, components: int, seed: int = 7) -> np.ndarray:
     """The leading right singular vectors (features x components) of the row matrix.
 
     Randomised subspace iteration: ``POWER_PASSES`` + 1 passes over the rows whatever the
     number of components. Only features x (components + 10) matrices leave the tasks,
-    and they are added up by a grouped aggregate.
+    and they are added up block by block after a shuffle.
     """
     width = min(components + EXTRA_DIRECTIONS, features)
     if features * width * 8 > FACTOR_BYTES:
         raise ValueError("max_features x components is beyond the size sent to every task")
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((features, width)))[0]
     for _ in range(POWER_PASSES):
-        basis = np.linalg.qr(_summed(rows, _gram_times(basis), (features, width)))[0]
-    gram = _summed(rows, _image_gram(basis), (width, width))
+        basis = np.linalg.qr(_summed(rows, gram_times(basis), (features, width)))[0]
+    gram = _summed(rows, image_gram(basis), (width, width))
     values, turn = np.linalg.eigh(gram)
     directions = basis @ turn[:, np.argsort(-values)[:components]]
     # Signs are free; make the largest cell of each direction positive.
@@ -205,23 +148,6 @@ def principal_directions(rows: DataFrame, features: int, components: int, seed:
     return directions * np.sign(directions[top, np.arange(directions.shape[1])])
 
 
-def _project(directions: np.ndarray):
-    def body(batches):
-        for batch in batches:
-            out = np.zeros((batch.num_rows, directions.shape[1]))
-            for start, used, dense in _dense_blocks(batch):
-                out[start : start + len(dense)] = dense @ directions[used]
-            length = np.linalg.norm(out, axis=1, keepdims=True)
-            out /= np.where(length == 0.0, 1.0, length)
-            offsets = np.arange(0, out.size + 1, out.shape[1], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.reshape(-1)))],
-                names=["id", "vector"],
-            )
-
-    return body
-
-
 def svd_vectors(
     docs: DataFrame, id_column: str, text: str, components: int = VECTOR_WIDTH, **fit
 ) -> DataFrame:
@@ -236,4 +162,4 @@ def svd_vectors(
     sparse = model.vectors(ids, text).select("id", F.unwrap_udt("weights").alias("w"))
     rows = cut_lineage(sparse.select("id", F.col("w.indices").alias("slots"), F.col("w.values").alias("values")))
     directions = principal_directions(rows, len(model.terms), min(components, len(model.terms)))
-    return rows.mapInArrow(_project(directions), f"id {rows.dtypes[0][1]}, vector array<double>")
+    return rows.mapInArrow(project(directions), f"id {rows.dtypes[0][1]}, vector array<double>")

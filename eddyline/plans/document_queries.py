@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import numpy as np
 from pyspark.sql import functions as F
 
+from eddyline.functions.encoders import md5_encoder
 from eddyline.operators import quality
 from eddyline.operators.encoder import encode_texts, split_encode_errors
 from eddyline.operators.sets import union_batches
@@ -149,16 +147,6 @@ def union_of_batches(spark, sf_dir):
     return union_batches([docs.filter(part == i) for i in range(4)])
 
 
-def md5_encoder():
-    """A stand-in for a model: the same vectors as the hash expression, made in Python."""
-
-    def encode(texts: list[str]) -> np.ndarray:
-        digests = np.frombuffer(b"".join(hashlib.md5(t.encode()).digest() for t in texts), np.uint8)
-        return np.tile(digests.reshape(len(texts), 16) / 255.0, (1, 24))
-
-    return encode
-
-
 _ENCODED = f"""
 SELECT doc_id, {hash_vector_sql('content')} FROM (
   SELECT doc_id, CASE WHEN trim(text) = '' THEN '' ELSE text END AS content FROM documents)"""

@@ -52,8 +52,9 @@ def run_summary(ledger: DataFrame, *by: str) -> DataFrame:
 
 def run_summary_by_pattern(ledger: DataFrame) -> DataFrame:
     """Per input pattern, and the total in a NULL-pattern row."""
-    with_pattern = ledger.withColumn("pattern", file_pattern())
-    return with_pattern.rollup("pattern").agg(*_counts()).withColumn("status", _run_status())
+    counted = ledger.groupBy(file_pattern().alias("pattern")).agg(*_counts())
+    sums = [F.sum(c).alias(c) for c in counted.columns if c != "pattern"]
+    return counted.rollup("pattern").agg(*sums).withColumn("status", _run_status())
 
 
 def run_metrics(ledger: DataFrame, *by: str) -> DataFrame:

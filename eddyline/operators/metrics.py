@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,24 +68,12 @@ def histogram(df: DataFrame, value: str, by: list[str], edges=HISTOGRAM_EDGES["p
     )
 
 
-def _bucket_of(value: Column, splits: list[float]) -> Column:
-    """Index of the value among sorted splits, as a balanced tree of comparisons."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value <= splits[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(splits))
-
-
 def exact_percentiles(
     df: DataFrame,
     value: str,
     by: list[str],
     probabilities: tuple[float, ...] = (0.5, 0.95, 0.99),
-    splits: int = 64,
+    splits: int = 1024,
 ) -> DataFrame:
     """Interpolated percentiles (by, p, value) without gathering a group anywhere.
 
@@ -93,7 +84,12 @@ def exact_percentiles(
     clean = df.select(*by, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
     steps = [i / splits for i in range(1, splits)]
     cuts = sorted(set(clean.approxQuantile("v", steps, 0.25 / splits)))
-    counts = clean.groupBy(*by, "v").agg(F.count("*").alias("c")).withColumn("r", _bucket_of(F.col("v"), cuts))
+    # NaN gets the range above all others, as it sorts above all other values.
+    ranges_of = Bucketizer(
+        splits=[-math.inf, *(c for c in cuts if math.isfinite(c)), math.inf],
+        inputCol="v", outputCol="r", handleInvalid="keep",
+    )
+    counts = ranges_of.transform(clean.groupBy(*by, "v").agg(F.count("*").alias("c")))
 
     ordered = Window.partitionBy(*by).orderBy("r")
     everything = Window.partitionBy(*by)
@@ -148,25 +144,24 @@ def with_resource_status(samples: DataFrame) -> DataFrame:
     )
 
 
-def worst_status() -> Column:
-    """Any unhealthy wins, then any degraded, then all healthy; otherwise unknown."""
-    status = F.col("status")
-    return (
-        F.when(F.bool_or(status == "unhealthy"), F.lit("unhealthy"))
-        .when(F.bool_or(status == "degraded"), F.lit("degraded"))
-        .when(F.every(status == "healthy"), F.lit("healthy"))
-        .otherwise(F.lit("unknown"))
-    )
-
-
 def health_rollup(samples: DataFrame, by: str = "service") -> DataFrame:
-    """Status per service and overall (NULL service)."""
-    return with_resource_status(samples).rollup(by).agg(
-        F.count("*").alias("n_samples"),
-        F.count_if(F.col("status") == "unhealthy").alias("n_unhealthy"),
-        F.count_if(F.col("status") == "degraded").alias("n_degraded"),
-        worst_status().alias("status"),
+    """Status per service and overall (NULL service): any unhealthy sample wins, then any
+    degraded one, then all healthy; otherwise unknown.
+
+    Samples are counted per service first, so the rollup works on one row per service.
+    """
+    status, names = F.col("status"), ("unhealthy", "degraded", "healthy")
+    counted = with_resource_status(samples).groupBy(by).agg(
+        F.count("*").alias("n_samples"), *[F.count_if(status == n).alias(f"n_{n}") for n in names]
+    )
+    total = counted.rollup(by).agg(*[F.sum(c).alias(c) for c in counted.columns if c != by])
+    worst = (
+        F.when(F.col("n_unhealthy") > 0, F.lit("unhealthy"))
+        .when(F.col("n_degraded") > 0, F.lit("degraded"))
+        .when(F.col("n_healthy") == F.col("n_samples"), F.lit("healthy"))
+        .otherwise(F.lit("unknown"))
     )
+    return total.select(by, "n_samples", "n_unhealthy", "n_degraded", worst.alias("status"))
 
 
 def event_type_summary(events: DataFrame) -> DataFrame:

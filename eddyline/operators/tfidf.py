@@ -25,10 +25,25 @@ def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def with_terms(docs: DataFrame, text: str, stop_words: list[str]) -> DataFrame:
-    """Adds ``terms``: the words without stop words, and pairs of neighbours among them."""
+def _with_words(docs: DataFrame, text: str, stop_words: list[str]) -> DataFrame:
     tokens = F.split(F.lower(F.col(text)), BETWEEN_TOKENS)
     words = F.filter(tokens, lambda w: (F.length(w) > 1) & ~w.isin(*stop_words))
+    return docs.withColumn("_words", F.coalesce(words, F.array().cast("array<string>")))
+
+
+def with_terms(
+    docs: DataFrame, text: str, stop_words: list[str], only_words: list[str] | None = None
+) -> DataFrame:
+    """Adds ``terms``: the words without stop words, and pairs of neighbours among them.
+
+    With ``only_words`` terms that contain any other word are left out, after the pairs
+    are formed.
+    """
+    listed = _with_words(docs, text, stop_words)
+    if only_words is not None:
+        # Words are letters, digits and underscores, so they need no quoting rules.
+        chosen = ", ".join(f"'{w}'" for w in only_words)
+        listed = listed.withColumn("_words", F.expr(f"transform(_words, w -> CASE WHEN w IN ({chosen}) THEN w END)"))
     size = F.size("_words")
     pairs = F.when(
         size > 1,
@@ -37,8 +52,29 @@ def with_terms(docs: DataFrame, text: str, stop_words: list[str]) -> DataFrame:
             lambda a, b: F.concat(a, F.lit(" "), b),
         ),
     ).otherwise(F.array().cast("array<string>"))
-    listed = docs.withColumn("_words", F.coalesce(words, F.array().cast("array<string>")))
-    return listed.withColumn("terms", F.concat("_words", pairs)).drop("_words")
+    return listed.withColumn("terms", F.array_compact(F.concat("_words", pairs))).drop("_words")
+
+
+def frequent_words(docs: DataFrame, text: str, stop_words: list[str], max_features: int) -> list[str] | None:
+    """Words that a vocabulary of ``max_features`` terms can contain, None for any word.
+
+    A pair of words is at most as frequent as either word. So once ``max_features`` words
+    have n occurrences or more, neither a rarer word nor a pair with one can get in.
+    """
+    limit = 4 * max_features
+    counts = (
+        _with_words(docs, text, stop_words)
+        # The outer form keeps the optimizer from adding a size filter, which would
+        # repeat the whole tokenizing expression below it.
+        .select(F.explode_outer("_words").alias("word")).filter(F.col("word").isNotNull())
+        .groupBy("word").agg(F.count("*").alias("n"))
+        .orderBy(F.desc("n"), "word").limit(limit + 1).collect()
+    )
+    if len(counts) < max_features:
+        return None
+    least = counts[max_features - 1].n
+    words = [r.word for r in counts if r.n >= least]
+    return words if len(words) <= limit else None
 
 
 def vocabulary(with_terms_df: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -49,8 +85,6 @@ def vocabulary(with_terms_df: DataFrame, max_features: int = MAX_FEATURES) -> Da
     """
     occurrences = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
     once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")))
-    # The outer form keeps the optimizer from adding a size filter, which would repeat
-    # the whole tokenizing expression below it.
     return (
         with_terms_df.select(F.explode_outer(F.concat(occurrences, once)).alias("t"))
         .filter(F.col("t").isNotNull())
@@ -72,15 +106,18 @@ class TermWeights:
     @classmethod
     def fit(cls, docs: DataFrame, text: str, stop_words=None, max_features: int = MAX_FEATURES):
         stop_words = english_stop_words() if stop_words is None else stop_words
-        listed = with_terms(docs.select(text), text, stop_words)
-        rows = vocabulary(listed, max_features).collect()
+        texts = docs.select(text)
+        # Two scans: counting words first leaves far fewer pairs to shuffle in the second.
+        words = frequent_words(texts, text, stop_words, max_features)
+        rows = vocabulary(with_terms(texts, text, stop_words, words), max_features).collect()
         df = np.array([r.df for r in rows], dtype=np.float64)
         n = docs.count()
         return cls([r.term for r in rows], np.log((1.0 + n) / (1.0 + df)) + 1.0, stop_words)
 
     def vectors(self, docs: DataFrame, text: str) -> DataFrame:
         """Adds ``counts`` and ``weights`` (unit-length sparse vectors). Narrow: no shuffle."""
-        listed = with_terms(docs, text, self.stop_words)
+        words = sorted({w for term in self.terms for w in term.split(" ")})
+        listed = with_terms(docs, text, self.stop_words, words)
         counted = CountVectorizerModel.from_vocabulary(self.terms, "terms", "counts").transform(listed)
         scaled = ElementwiseProduct(
             scalingVec=Vectors.dense(self.idf), inputCol="counts", outputCol="_scaled"

@@ -12,11 +12,12 @@ from eddyline.plans.event_queries import STREAM_SQL
 from eddyline.plans.operation_queries import COUNTER_SQL, RATES_SQL, rate_columns
 from eddyline.plans.tables import hash_vector_sql, with_sql
 from eddyline.session import fresh_folder
-from eddyline.sinks.epoch_log import latest_rows, read_log
+from eddyline.schemas import DOCUMENT
+from eddyline.sinks.epoch_log import latest_rows, read_log, write_epoch
 from eddyline.sinks.points import read_points
-from eddyline.streaming import monitors
+from eddyline.sources.documents import list_files, stream_documents
+from eddyline.streaming import documents, monitors
 from eddyline.streaming.pipeline import start, start_point_stream
-from eddyline.sinks.epoch_log import write_epoch
 
 
 def event_stream(spark, sf_dir):
@@ -116,3 +117,24 @@ def stream_dedupe(spark, sf_dir):
         events.unionAll(events), "event_id", "ts", f"{folder}/events", f"{folder}/checkpoint", every=None
     ))
     return read_log(spark, f"{folder}/events").select("event_id", plain_time("ts"), "event_type", rounded("value"))
+
+
+@query("document_batch", """
+SELECT source, 'success' AS status, count(*) AS records,
+  count(*) FILTER (text IS NOT NULL AND text <> '' AND text <> ' ' AND length(text) > 10) AS points
+FROM documents GROUP BY source""")
+def document_batch(spark, sf_dir):
+    """Document files of every source through the whole batch path, then ledger and points."""
+    folder = fresh_folder(spark, "document-batch")
+    docs = tables.documents(spark, sf_dir).select("id", "content", "source")
+    docs.write.partitionBy("source").json(f"{folder}/in")
+    stream = stream_documents(spark, f"{folder}/in", DOCUMENT, recursiveFileLookup="true")
+    _drain(documents.start_document_stream(
+        documents.with_file(stream), f"{folder}/points", f"{folder}/json", f"{folder}/ledger",
+        f"{folder}/checkpoint", strict=True, every=None,
+    ))
+    source = lambda file: F.regexp_extract(file, "source=([^/]+)/", 1).alias("source")
+    ledger = documents.read_ledger(spark, f"{folder}/ledger", list_files(spark, f"{folder}/in"))
+    entered = ledger.groupBy(source("file"), "status").agg(F.sum("record_count").alias("records"))
+    stored = read_points(spark, f"{folder}/points").groupBy(source("payload.file")).agg(F.count("*").alias("points"))
+    return entered.join(stored, "source")

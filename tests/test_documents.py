@@ -213,3 +213,37 @@ def test_no_terms_gives_zero_vectors(spark):
     made = svd_vectors(text_frame(spark, ["a", "", None]), "id", "t", components=8, stop_words=[])
     assert [r.vector for r in made.collect()] == [[0.0] * 8] * 3
     assert term_weights(text_frame(spark, ["a"]), "id", "t", stop_words=[]).count() == 0
+
+
+def test_document_stream_ledger_and_outputs(spark):
+    from eddyline.operators.ledger import run_summary
+    from eddyline.sinks.points import read_points
+    from eddyline.sources.documents import stream_documents
+    from eddyline.streaming import documents
+
+    root = fresh_folder(spark, "docs")
+    write_json(spark.createDataFrame([("a", "first text"), ("b", " ")], "id string, content string").coalesce(1), f"{root}/in/good")
+    write_json(spark.createDataFrame([("c", 1)], "id string, other int").coalesce(1), f"{root}/in/bad")
+    spark.createDataFrame([], "value string").coalesce(1).write.text(f"{root}/in/none")
+    empty = spark.read.text(f"{root}/in/none").count()
+    assert empty == 0
+
+    def drain():
+        stream = documents.with_file(stream_documents(spark, f"{root}/in", DOCUMENT, recursiveFileLookup="true"))
+        documents.start_document_stream(
+            stream, f"{root}/points", f"{root}/json", f"{root}/ledger", f"{root}/checkpoint", every=None
+        ).awaitTermination()
+
+    drain()
+    files = list_files(spark, f"{root}/in", "*.{json,txt}")
+    ledger = documents.read_ledger(spark, f"{root}/ledger", files)
+    got = {r.file.split("/")[-2]: (r.status, r.record_count) for r in ledger.collect()}
+    assert got["good"] == ("success", 2) and got["bad"] == ("error", 0)
+    assert run_summary(ledger).first().status == "partial_success"
+    assert [r.id for r in read_points(spark, f"{root}/points").collect()] == ["a"]
+    assert spark.read.json(f"{root}/json").count() == 1
+    # A second scheduled run finds only the new file.
+    write_json(spark.createDataFrame([("a", "newer text")], "id string, content string").coalesce(1), f"{root}/in/more")
+    drain()
+    points = read_points(spark, f"{root}/points").collect()
+    assert [(r.id, r.payload.content, r.epoch_id) for r in points] == [("a", "newer text", 1)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eddyline.schemas import MAX_CONTENT_CHARS, MIN_CONTENT_CHARS
@@ -81,11 +81,20 @@ def clean_documents(
     return drop_duplicate_content(kept)
 
 
-def quality_counts(df: DataFrame) -> DataFrame:
-    """Rows before and after each filter, in one pass."""
-    return df.agg(
+def _counts() -> list[Column]:
+    return [
         F.count("*").alias("total_rows"),
         F.count_if(has_content()).alias("standard_rows"),
         F.count_if(has_long_content()).alias("strict_rows"),
         F.count_if(F.length("content") > MAX_CONTENT_CHARS).alias("over_cap_rows"),
-    )
+    ]
+
+
+def quality_counts(df: DataFrame) -> DataFrame:
+    """Rows before and after each filter, in one pass."""
+    return df.agg(*_counts())
+
+
+def observe_quality(df: DataFrame, observation: Observation) -> DataFrame:
+    """The same counts gathered while the rows pass on to whatever is done with them."""
+    return df.observe(observation, *_counts())

@@ -69,7 +69,8 @@ def json_roundtrip(spark, sf_dir):
     )
 
 
-@query("pending_files")
+@query("pending_files", """
+SELECT DISTINCT source, true AS has_bytes FROM documents WHERE source IN ('src0', 'src1', 'src2')""")
 def pending(spark, sf_dir):
     """Document files by source; every file but those of three sources is in the ledger."""
     folder = fresh_folder(spark, "pending")
@@ -78,7 +79,9 @@ def pending(spark, sf_dir):
     files = list_files(spark, folder)
     waiting = F.col("path").rlike("source=src[012]/")
     done = files.filter(~waiting).select(F.col("path").alias("file"), F.lit("success").alias("status"))
-    return pending_files(files, done)
+    todo = pending_files(files, done)
+    source = F.regexp_extract("path", "source=([^/]+)/", 1).alias("source")
+    return todo.select(source, (F.col("length") > 0).alias("has_bytes")).distinct()
 
 
 @query("content_filter_std", f"SELECT doc_id FROM documents WHERE {STD}")
@@ -91,10 +94,15 @@ def content_filter_strict(spark, sf_dir):
     return tables.documents(spark, sf_dir).filter(quality.has_long_content()).select("doc_id")
 
 
-@query("default_id")
+@query("default_id", """
+SELECT count(*) AS n_rows, count(*) AS n_ids, true AS all_prefixed FROM documents""")
 def default_id(spark, sf_dir):
-    docs = tables.documents(spark, sf_dir).select("doc_id")
-    return quality.with_default_id(docs)
+    """The ids depend on the splits, so what must hold for any of them is shown."""
+    docs = quality.with_default_id(tables.documents(spark, sf_dir).select("doc_id"))
+    return docs.agg(
+        F.count("*").alias("n_rows"), F.count_distinct("id").alias("n_ids"),
+        F.every(F.col("id").startswith("doc_")).alias("all_prefixed"),
+    )
 
 
 @query("default_ts", "SELECT doc_id, TIMESTAMP '2024-02-01 00:00:00' AS timestamp FROM documents")

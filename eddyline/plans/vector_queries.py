@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from eddyline.functions.vectors import has_width, l2_normalize
 from eddyline.operators.events import events_to_points
-from eddyline.operators.vectors import cosine_top_k, split_missing
+from eddyline.operators.vectors import cosine_top_k, search_similar, split_missing
 from eddyline.plans import tables
 from eddyline.plans.catalog import hash_vector_columns, query, rounded
 from eddyline.plans.event_queries import STREAM_SQL
@@ -28,19 +30,43 @@ def normalized(spark, sf_dir):
     return cells.select("vec_id", "position", rounded("x"))
 
 
-@query("cosine_topk", """
+def _mean_vector():
+    mean = Summarizer.mean(array_to_vector(F.col("vector").cast("array<double>")))
+    return vector_to_array(mean).alias("vector")
+
+
+_MEANS = """
+WITH cells AS (
+  SELECT label, unnest(range(len(embedding))) AS i, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings),
+means AS (SELECT label, i, avg(x) AS x FROM cells GROUP BY label, i),
+queries AS (SELECT label, list(x ORDER BY i) AS v FROM means GROUP BY label)"""
+
+
+@query("cosine_topk", _MEANS + """
 SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (
-    SELECT q.vec_id AS query_id, c.vec_id AS id,
-      round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), 9) AS score
-    FROM embeddings q, embeddings c WHERE q.vec_id < 10)) WHERE rank <= 5""")
+    SELECT q.label AS query_id, c.vec_id AS id,
+      round(list_cosine_similarity(q.v, CAST(c.embedding AS DOUBLE[])), 9) AS score
+    FROM queries q, embeddings c)) WHERE rank <= 5""")
 def cosine_topk(spark, sf_dir):
-    """Ten query vectors against the whole table."""
+    """The vectors nearest to the mean vector of each label."""
     corpus = tables.vectors(spark, sf_dir)
-    found = cosine_top_k(corpus.filter("id < 10"), corpus, k=5, width=64)
+    means = corpus.groupBy(F.col("label").alias("id")).agg(_mean_vector())
+    found = cosine_top_k(means, corpus, k=5, width=64)
     return found.select("query_id", "id", rounded("score"), "rank")
 
 
+@query("search_similar", _MEANS.replace("label, ", "0 AS label, ", 1) + """
+SELECT c.vec_id AS id, round(list_cosine_similarity(q.v, CAST(c.embedding AS DOUBLE[])), 6) AS score
+FROM queries q, embeddings c
+ORDER BY round(list_cosine_similarity(q.v, CAST(c.embedding AS DOUBLE[])), 9) DESC, c.vec_id LIMIT 5""")
+def search_one(spark, sf_dir):
+    """The default five results for one vector, the mean of all."""
+    corpus = tables.vectors(spark, sf_dir)
+    mean = corpus.agg(_mean_vector()).first().vector
+    return search_similar(corpus, mean).select("id", rounded("score"))
+
+
 @query("vector_split", """
 SELECT vec_id, vec_id % 20 <> 0 AS has_vector,
   CASE WHEN vec_id % 20 = 0 THEN 'embedding_error' END AS reason FROM embeddings""")

@@ -25,6 +25,15 @@ def test_content_filters_at_the_edges(spark):
     assert ids(quality.has_long_content()) == [5]
 
 
+def test_quality_counts_ride_on_a_write(spark):
+    from pyspark.sql import Observation
+
+    df, seen = contents(spark, None, "", " ", "  ", "x" * 10, "x" * 11), Observation()
+    quality.observe_quality(df, seen).write.format("noop").mode("overwrite").save()
+    assert seen.get == quality.quality_counts(df).first().asDict()
+    assert seen.get == {"total_rows": 6, "standard_rows": 3, "strict_rows": 1, "over_cap_rows": 0}
+
+
 def test_cap_at_the_edges(spark):
     df = quality.cap_content(contents(spark, "x" * 32768, "x" * 32769, "é" * 40000))
     assert [r[0] for r in df.select(F.length("content")).collect()] == [32768] * 3

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from eddyline.functions.search import block_search, unit_rows
 from eddyline.functions.vectors import has_width
+from eddyline.session import fresh_folder
 
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
 
@@ -17,23 +18,19 @@ def split_missing(points: DataFrame, vector: str = "vector") -> tuple[DataFrame,
     return points.filter(F.col(vector).isNotNull()), points.filter(F.col(vector).isNull())
 
 
-def _query_blocks(queries: DataFrame, width: int, block_bytes: int):
-    """Query sets of bounded size as NumPy arrays.
+def _query_matrix(rows, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, unit vectors) of an Arrow table of queries."""
+    cells = rows.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    vectors = cells.astype(np.float64).reshape(rows.num_rows, width)
+    return rows.column("id").to_numpy(), unit_rows(vectors)
 
-    Queries that fit one block are fetched at once. More are cut into hash ranges of
-    the id, each fetched on its own, so the driver holds one block at a time.
-    """
-    per_block = max(1, block_bytes // (width * 8))
-    blocks = [queries.limit(per_block + 1).toArrow()]
-    if blocks[0].num_rows > per_block:
-        n_blocks = -(-2 * queries.count() // per_block)
-        part = F.pmod(F.xxhash64("id"), F.lit(n_blocks))
-        blocks = (queries.filter(part == b).toArrow() for b in range(n_blocks))
-    for rows in blocks:
-        if rows.num_rows:
-            cells = rows.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-            vectors = cells.astype(np.float64).reshape(rows.num_rows, width)
-            yield rows.column("id").to_numpy(), unit_rows(vectors)
+
+def _best_of_block(corpus: DataFrame, rows, k: int, width: int, schema: str) -> DataFrame:
+    ids, units = _query_matrix(rows, width)
+    string_ids = corpus.dtypes[0][1] == "string"
+    candidates = corpus.mapInArrow(block_search(ids, units, k, string_ids), schema)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
+    return candidates.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def cosine_top_k(
@@ -45,25 +42,37 @@ def cosine_top_k(
 ) -> DataFrame:
     """The k most similar corpus rows (query_id, id, score, rank) of each query.
 
-    Both frames are (id, vector); ids are BIGINT or STRING. A block of queries (64 MB at
-    most) travels to the executors with the task; each task multiplies it with the Arrow
-    batches of its corpus split and emits k rows per query, so the shuffle carries
-    candidates only and never a pair per corpus row. More queries than one block holds
-    mean more passes over the corpus. Scores tie at nine digits, then the lower id wins.
+    Both frames are (id, vector); ids are BIGINT or STRING, those of queries unique. A
+    block of queries (64 MB at most) travels to the executors with the task; each task
+    multiplies it with the Arrow batches of its corpus split and emits k rows per query,
+    so the shuffle carries candidates only and never a pair per corpus row. Scores tie at
+    nine digits, then the lower id wins.
+
+    Queries beyond one block are cut into hash ranges of the id. Each range is fetched,
+    searched and its result written to the shared folder before the next one, so the
+    driver holds one block however many queries there are.
     """
     fit = has_width(F.col("vector"), width)
     corpus = corpus.select("id", "vector").filter(fit)
     queries = queries.select("id", "vector").filter(fit)
-    id_type, query_type = corpus.dtypes[0][1], queries.dtypes[0][1]
-    schema = f"query_id {query_type}, id {id_type}, score double"
-    candidates = None
-    for ids, units in _query_blocks(queries, width, block_bytes):
-        part = corpus.mapInArrow(block_search(ids, units, k, id_type == "string"), schema)
-        candidates = part if candidates is None else candidates.unionAll(part)
-    if candidates is None:
-        candidates = corpus.sparkSession.createDataFrame([], schema)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    return candidates.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    schema = f"query_id {queries.dtypes[0][1]}, id {corpus.dtypes[0][1]}, score double"
+    per_block = max(1, block_bytes // (width * 8))
+    rows = queries.limit(per_block + 1).toArrow()
+    if rows.num_rows == 0:
+        return corpus.sparkSession.createDataFrame([], f"{schema}, rank int")
+    if rows.num_rows <= per_block:
+        return _best_of_block(corpus, rows, k, width, schema)
+    # Twice the blocks needed on average, so that no hash range comes near the limit.
+    n_blocks = -(-2 * queries.count() // per_block)
+    folder = fresh_folder(corpus.sparkSession, "top-k")
+    hashed = F.pmod(F.xxhash64("id"), F.lit(n_blocks))
+    for block in range(n_blocks):
+        rows = queries.filter(hashed == block).limit(2 * per_block + 1).toArrow()
+        if rows.num_rows > 2 * per_block:
+            raise ValueError("query ids repeat too often to be cut into blocks")
+        if rows.num_rows:
+            _best_of_block(corpus, rows, k, width, schema).write.mode("append").parquet(folder)
+    return corpus.sparkSession.read.schema(f"{schema}, rank int").parquet(folder)
 
 
 def search_similar(points: DataFrame, vector: list[float], limit: int = 5) -> DataFrame:

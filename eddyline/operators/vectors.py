@@ -43,7 +43,7 @@ def cosine_top_k(
     """The k most similar corpus rows (query_id, id, score, rank) of each query.
 
     Both frames are (id, vector); ids are BIGINT or STRING, those of queries unique. A
-    block of queries (64 MB at most) travels to the executors with the task; each task
+    block of queries (64 MB) travels to the executors with the task; each task
     multiplies it with the Arrow batches of its corpus split and emits k rows per query,
     so the shuffle carries candidates only and never a pair per corpus row. Scores tie at
     nine digits, then the lower id wins.
@@ -62,7 +62,7 @@ def cosine_top_k(
         return corpus.sparkSession.createDataFrame([], f"{schema}, rank int")
     if rows.num_rows <= per_block:
         return _best_of_block(corpus, rows, k, width, schema)
-    # Twice the blocks needed on average, so that no hash range comes near the limit.
+    # Ranges are half a block on average and refused beyond two blocks.
     n_blocks = -(-2 * queries.count() // per_block)
     folder = fresh_folder(corpus.sparkSession, "top-k")
     hashed = F.pmod(F.xxhash64("id"), F.lit(n_blocks))

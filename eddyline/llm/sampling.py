@@ -1,0 +1,26 @@
+"""Bounded samples of labelled rows, the only rows a classifier here is fitted on."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from eddyline.llm.common import remainder_of_id, whole_text
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, max_rows: int) -> DataFrame:
+    """``doc_id, text, target`` of at most ``max_rows`` labelled documents.
+
+    Rows of the held-out fold, rows without a label or id and labels without a document
+    stay out; contradicting labels of one id count as the larger. The rows with the
+    smallest id hashes are taken, so the same table gives the same sample at any
+    partitioning, and each row is as likely as any other.
+    """
+    usable = labels.filter(
+        F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (remainder_of_id("doc_id", folds) != held_out)
+    )
+    one_each = usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("target"))
+    chosen = one_each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    # At most max_rows ids and labels: a broadcast of proven size.
+    rows = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
+    return rows.dropDuplicates(["doc_id"])

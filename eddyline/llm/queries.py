@@ -124,3 +124,183 @@ def edit_fingerprints(spark, sf_dir):
     from eddyline.llm.edit_embedding import compare_with_next
 
     return compare_with_next(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def derived_captures(pages: DataFrame) -> DataFrame:
+    """Captures by rule from ``pages``: each page is fetched, half are fetched again with
+    a new body, all are asked for later under another spelling of their address and
+    answer 304 (a quarter with an outdated tag, one without a tag), and some of those
+    answers come before any response."""
+    p, start = F.col("page_id"), F.lit(1_600_000_000) + F.col("page_id") % 5000 * 3600
+    tag = lambda body: F.concat(F.lit('"'), F.md5(body), F.lit('"'))
+    html = F.coalesce("html", F.lit(""))
+    first, second = tag(html), tag(F.concat(html, F.lit("v2")))
+    modified = F.concat(F.lit("day "), p % 13)
+    other = F.concat(F.regexp_replace(F.regexp_replace("url", "#.*$", ""), "^https:", "HTTP:"), F.lit("#again"))
+
+    def capture(place, kind, status, url, after, etag, changed, length):
+        pairs = [("etag", etag), ("last-modified", changed), ("content-length", length), ("date", (start + after).cast("string"))]
+        if kind == "response":
+            pairs.append(("content-type", F.lit("text/html")))
+        entries = F.filter(F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in pairs]), lambda e: e["value"].isNotNull())
+        return F.struct(
+            (p * 10 + place).alias("record_id"), F.lit(kind).alias("warc_type"), F.lit(status).alias("status"),
+            url.alias("url"), (start + after).alias("ts"), F.map_from_entries(entries).alias("headers"),
+        )
+
+    length = F.length(html).cast("string")
+    asked = F.when(p % 4 == 0, F.lit('"old"')).when(p % 4 == 1, F.concat(F.lit("W/"), first)).when(p % 4 == 2, second)
+    captures = F.array(
+        capture(0, "response", 200, F.col("url"), 0, first, modified, length),
+        F.when(p % 2 == 0, capture(1, "response", 200, F.col("url"), 40_000, second, modified, length)),
+        capture(2, "revisit", 304, other, 90_000, asked, F.when(p % 4 == 3, modified), F.lit("0")),
+        F.when(p % 7 == 0, capture(3, "revisit", 304, other, -10, first, F.lit(None).cast("string"), F.lit("0"))),
+    )
+    return pages.select(F.explode(F.array_compact(captures)).alias("c")).select("c.*")
+
+
+WARC_SQL = r"""
+WITH base AS (
+  SELECT page_id AS p, url, coalesce(html, '') AS html, 1600000000 + page_id % 5000 * 3600 AS s,
+         regexp_replace(regexp_replace(url, '#.*$', ''), '^https:', 'HTTP:') || '#again' AS other,
+         '"' || md5(coalesce(html, '')) || '"' AS e1, '"' || md5(coalesce(html, '') || 'v2') || '"' AS e2
+  FROM pages
+), captures AS (
+  SELECT p * 10 AS record_id, true AS is_full, url, s AS ts, e1 AS etag, 'day ' || (p % 13) AS lm, length(html)::VARCHAR AS len FROM base
+  UNION ALL SELECT p * 10 + 1, true, url, s + 40000, e2, 'day ' || (p % 13), length(html)::VARCHAR FROM base WHERE p % 2 = 0
+  UNION ALL SELECT p * 10 + 2, false, other, s + 90000,
+    CASE p % 4 WHEN 0 THEN '"old"' WHEN 1 THEN 'W/' || e1 WHEN 2 THEN e2 END,
+    CASE WHEN p % 4 = 3 THEN 'day ' || (p % 13) END, '0' FROM base
+  UNION ALL SELECT p * 10 + 3, false, other, s - 10, e1, NULL, '0' FROM base WHERE p % 7 = 0
+), parts AS (
+  SELECT *, regexp_replace(trim(url), '#.*$', '', 's') AS bare FROM captures
+), cut AS (
+  SELECT *,
+    regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?@]*@)?([^/?]*)', 1, 's')), ':(80|443)?$', ''), '^www\d*\.', '') AS host,
+    regexp_replace(regexp_extract(bare, '^[^:/?]+://[^/?]*([^?]*)', 1, 's'), '(\.html?)?/*$', '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(bare, '^[^?]*\?(.*)$', 1, 's'), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS kept
+  FROM parts
+), keyed AS (
+  SELECT *, CASE WHEN host <> '' THEN host || path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS url_key
+  FROM (SELECT * RENAME (len AS clen) FROM cut)
+), pairs AS (
+  SELECT r.record_id, r.url_key, r.ts, r.etag, r.lm, f.record_id AS original_id, f.etag AS oe, f.lm AS ol, f.clen AS oc,
+         row_number() OVER (PARTITION BY r.record_id ORDER BY f.ts DESC NULLS LAST, f.record_id DESC) AS k
+  FROM (SELECT * FROM keyed WHERE NOT is_full) r
+  LEFT JOIN (SELECT * FROM keyed WHERE is_full) f ON r.url_key = f.url_key AND f.ts < r.ts
+), judged AS (
+  SELECT *, CASE WHEN original_id IS NULL THEN 'no_original'
+    WHEN CASE WHEN etag IS NOT NULL THEN regexp_replace(etag, '^W/', '') = oe WHEN lm IS NOT NULL THEN lm = ol ELSE true END
+    THEN 'resolved' ELSE 'stale' END AS outcome
+  FROM pairs WHERE k = 1
+)
+SELECT record_id, url_key, ts, original_id, outcome,
+  CASE WHEN outcome = 'resolved' THEN 'content-length=' || oc || ';content-type=text/html;date=' || ts || ';etag=' || coalesce(etag, oe)
+    || ';last-modified=' || coalesce(lm, ol) END AS headers
+FROM judged
+"""
+
+
+@query("op8_warc_revisits", WARC_SQL)
+def warc_revisits(spark, sf_dir):
+    from eddyline.llm.warc_revisits import resolve_revisits
+
+    found = resolve_revisits(derived_captures(read_table(spark, sf_dir, "pages", "page_id", "url", "html")))
+    entries = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.withColumn("headers", F.array_join(entries, ";"))
+
+
+HOST_SQL = r"""
+WITH located AS (
+  SELECT page_id,
+    CASE WHEN contains(coalesce(url, ''), '://') THEN translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+    CASE WHEN contains(coalesce(url, ''), '://') THEN regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') ELSE '' END AS path
+  FROM pages
+), outcome AS (
+  SELECT host, 1 - quality AS bad FROM located
+  JOIN (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) l
+    ON l.doc_id = try_cast(regexp_extract(path, '/(\d{1,18})(\.html)?/?$', 1) AS BIGINT)
+  WHERE host <> ''
+), counted AS (
+  SELECT host, count(*) AS n, sum(bad) AS bad, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix
+  FROM outcome GROUP BY host
+), total AS (SELECT (coalesce(sum(bad), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1.0::DOUBLE) AS m FROM counted
+), levels AS (
+  SELECT 'suffix' AS level, suffix AS name, sum(n) AS n, sum(bad) AS bad FROM counted GROUP BY suffix
+  UNION ALL SELECT 'domain', domain, sum(n), sum(bad) FROM counted GROUP BY domain
+  UNION ALL SELECT 'host', host, n, bad FROM counted
+), sums AS (
+  SELECT level, sum(n)::DOUBLE AS n, sum(n * n)::DOUBLE AS nn, count(*) AS k, sum(n * (bad::DOUBLE / n - m) * (bad::DOUBLE / n - m)) AS scatter,
+         any_value(m) AS m FROM levels, total GROUP BY level
+), weights AS (
+  SELECT level, CASE WHEN n - nn / n <= 0 THEN 100.0::DOUBLE
+    WHEN (scatter - (k - 1) * m * (1 - m)) / (n - nn / n) <= m * (1 - m) / 101 THEN 100.0::DOUBLE
+    ELSE greatest(1.0::DOUBLE, m * (1 - m) / ((scatter - (k - 1) * m * (1 - m)) / (n - nn / n)) - 1) END AS w FROM sums
+), w AS (
+  SELECT coalesce(max(w) FILTER (WHERE level = 'suffix'), 100.0::DOUBLE) AS ws, coalesce(max(w) FILTER (WHERE level = 'domain'), 100.0::DOUBLE) AS wd,
+         coalesce(max(w) FILTER (WHERE level = 'host'), 100.0::DOUBLE) AS wh FROM weights
+), hosts AS (
+  SELECT DISTINCT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix FROM located
+), means AS (
+  SELECT h.host, coalesce(c.n, 0) AS n, coalesce(c.bad, 0) AS bad, wh,
+    (coalesce(d.bad, 0) + wd * (coalesce(s.bad, 0) + ws * m) / (coalesce(s.n, 0) + ws)) / (coalesce(d.n, 0) + wd) AS prior
+  FROM hosts h CROSS JOIN total CROSS JOIN w
+  LEFT JOIN (SELECT * FROM levels WHERE level = 'suffix') s ON s.name = h.suffix
+  LEFT JOIN (SELECT * FROM levels WHERE level = 'domain') d ON d.name = h.domain
+  LEFT JOIN counted c ON c.host = h.host
+), beta AS (SELECT host, bad + wh * prior AS a, n - bad + wh * (1 - prior) AS b FROM means
+), lower_bound AS (
+  SELECT host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS lo FROM beta
+), ruled AS (
+  SELECT *, CASE
+    WHEN ends_with('.' || host, '.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN ends_with('.' || host, '.com') AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM located
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN lo > 0.3 THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN lower_bound USING (host)
+"""
+
+
+@query("op9_host_reputation", HOST_SQL)
+def host_reputation(spark, sf_dir):
+    """A page's outcome is the quality label of the document its address ends with."""
+    from eddyline.llm.host_reputation import host_of, judge, path_of
+
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url")
+    labels = read_table(spark, sf_dir, "labels").filter("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    shown = F.regexp_extract(path_of(F.col("url")), r"/(\d{1,18})(\.html)?/?$", 1).try_cast("bigint")
+    outcomes = pages.select(host_of(F.col("url")).alias("host"), shown.alias("doc_id")).join(labels, "doc_id").select(
+        "host", (1 - F.col("quality")).alias("bad")
+    )
+    return judge(pages, outcomes)
+
+
+DECONTAMINATION_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM documents
+), items AS (
+  SELECT item_id, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM benchmark
+), doc_grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM docs)
+), item_grams AS (
+  SELECT DISTINCT item_id, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM items WHERE w <> [''])
+), sizes AS (SELECT item_id, count(*) AS n FROM item_grams GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS shared, any_value(n) AS item_shingles, count(*)::DOUBLE / any_value(n) AS containment
+FROM doc_grams JOIN item_grams USING (g) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) >= ceil(any_value(n) * 0.8::DOUBLE - 1e-9)
+"""
+
+
+@query("op10_decontamination", DECONTAMINATION_SQL)
+def decontamination(spark, sf_dir):
+    from eddyline.llm.decontamination import leaks
+
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return leaks(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))

@@ -157,19 +157,19 @@ def _band_body(bands: int, width: int):
             rows, keys = [], []
             for i, mark in enumerate(batch.column("fingerprint").to_pylist()):
                 level, bits = _parsed(mark)
-                # A text just below a level's end also goes by the next level's steps, so
-                # it meets texts just above.
+                # A text near a level's end also goes by the next level's steps, and each by
+                # the half and the whole of the bits it surely has: those of its near
+                # copies differ a little in number.
                 for at in (level, level + 1):
                     own = _at_level(bits, level, at, SEED)
-                    if at > level and level_of(-(-len(own) * (UNIT << at) // BITS) // 2 + UNIT // 2) < at:
-                        continue
-                    rng = np.random.default_rng(SEED + at)
-                    for band in range(bands):
-                        # A band samples early steps more often than late ones: what lies
-                        # before an edit is untouched by it.
-                        picks = (rng.random(width) * min(len(own), BITS)).astype(np.int64)
-                        keys.append(f"{at:x}.{band}.{np.packbits(own[picks]).tobytes().hex()}" if len(own) else f"{at:x}.empty")
-                        rows.append(i)
+                    whole = 1 << (len(own).bit_length() - 1) if len(own) else 0
+                    for reach in {whole, whole // 2}:
+                        rng = np.random.default_rng([SEED, at, reach])
+                        for band in range(bands):
+                            picks = (rng.random(width) * reach).astype(np.int64)
+                            sample = np.packbits(own[picks]).tobytes().hex() if reach else "empty"
+                            keys.append(f"{at:x}.{reach}.{band}.{sample}")
+                            rows.append(i)
             yield pa.RecordBatch.from_arrays([batch.column("mark_id").take(pa.array(rows, pa.int64())), pa.array(keys, pa.string())], names=["mark_id", "band"])
 
     return body

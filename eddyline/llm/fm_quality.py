@@ -163,11 +163,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> D
     """``docs`` with ``score`` (0 to 1, higher: good text likelier) and ``predicted``.
 
     Only the text is looked at: NULL is scored as '', a very long text whole, repeated
-    rows alike. Columns of these two names must not be there already; all others stay.
+    rows alike. Columns of these two names are replaced; all others stay.
     """
-    taken = {"score", "predicted"} & set(docs.columns)
-    if taken:
-        raise ValueError(f"columns are there already: {sorted(taken)}")
     score = scorer(fit_quality(docs, labels, max_rows))
 
     @F.pandas_udf("double")

@@ -82,7 +82,7 @@ def reputations(hosts: DataFrame, outcomes: DataFrame) -> DataFrame:
     counted = with_levels(known.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("bigint")).alias("bad")))
     counted = written(counted, "host-outcomes")
     total = counted.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    mean = ((total.bad or 0) + 0.5) / ((total.n or 0) + 1.0)
+    mean = (total.bad + 0.5) / (total.n + 1.0) if total.n else 0.0
     by = {level: counted.groupBy(level).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")) for level in LEVELS}
     weight = {level: _weight(by[level], mean) for level in LEVELS}
     scored = with_levels(hosts)

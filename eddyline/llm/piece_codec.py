@@ -256,12 +256,12 @@ def _decoder(path):
 
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
-    """``ids`` back to text, as column ``decoded`` in its place; other columns stay.
+    """``ids`` back to text, as column ``decoded`` in its place; other columns stay, but
+    for one of that name.
 
     NULL or no ids give ''. Control and unknown ids stand for nothing.
     """
-    if "decoded" in encoded.columns:
-        raise ValueError("a column named decoded is there already")
+    encoded = encoded.drop("decoded")
     rows = encoded.withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name != "ids"]
     return rows.mapInArrow(_decoder(model_path), ", ".join([*fields, "decoded string"]))

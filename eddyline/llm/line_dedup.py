@@ -211,11 +211,12 @@ class LineIndex:
     def suspects(self, docs: DataFrame) -> DataFrame:
         """(doc_id, hi, lo) of the lines that the filters report.
 
-        A shard's keys go to as many tasks as there are shuffle partitions, each with a
-        copy of that shard's filter, so a line that a third of all documents hold is
-        spread; a task streams over its keys with one filter in memory.
+        A shard's keys go to several tasks, each with a copy of that shard's filter: to 16
+        at least, so a line that a third of all documents hold is spread, and to enough
+        of them to keep all tasks busy while there are few shards. A task streams over
+        its keys with one filter in memory.
         """
-        salts = parts(self.spark)
+        salts = max(16, -(-4 * parts(self.spark) // self.shards))
         keys = line_keys(docs, self.min_chars).select(
             _shard(self.shards).alias("shard"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"),
             F.lit(True).alias("is_key"), F.lit(None).cast("binary").alias("kept"), "doc_id", *KEY,

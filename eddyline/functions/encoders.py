@@ -11,15 +11,31 @@ import numpy as np
 import pyarrow as pa
 
 
-def _try_encode(encode, texts: list[str]):
-    """[(vector, None) or (None, error)] per text. A failing batch is retried text by
-    text, so one bad text does not cost its neighbours."""
+def _try_encode(encode, texts: list[str], width: int):
+    """[(vector, None) or (None, error)] per text. A batch that fails, or whose answer is
+    not one vector per text, is retried text by text, so one bad text does not cost its
+    neighbours and no vector lands on another's text."""
     try:
-        return [(vector, None) for vector in np.asarray(encode(texts), dtype=np.float32)]
+        answer = list(encode(texts))
+        if len(answer) != len(texts):
+            raise ValueError(f"{len(answer)} vectors for {len(texts)} texts")
     except Exception as error:
         if len(texts) == 1:
             return [(None, f"{type(error).__name__}: {error}")]
-        return [_try_encode(encode, [t])[0] for t in texts]
+        return [_try_encode(encode, [t], width)[0] for t in texts]
+    return [_checked(vector, width) for vector in answer]
+
+
+def _checked(vector, width: int):
+    try:
+        vector = np.asarray(vector, dtype=np.float32)
+    except (TypeError, ValueError) as error:
+        return None, f"{type(error).__name__}: {error}"
+    if vector.shape != (width,):
+        return None, f"ValueError: a vector of shape {vector.shape}, not ({width},)"
+    if not np.isfinite(vector).all():
+        return None, "ValueError: a vector with cells that are no finite numbers"
+    return vector, None
 
 
 def encode_body(column: int, factory, width: int, batch_size: int):
@@ -35,7 +51,7 @@ def encode_body(column: int, factory, width: int, batch_size: int):
             filled = [i for i, t in enumerate(texts) if t and not t.isspace()]
             for start in range(0, len(filled), batch_size):
                 chosen = filled[start : start + batch_size]
-                for i, (vector, error) in zip(chosen, _try_encode(encode, [texts[i] for i in chosen])):
+                for i, (vector, error) in zip(chosen, _try_encode(encode, [texts[i] for i in chosen], width)):
                     if error is None:
                         cells[i] = vector
                     errors[i] = error

@@ -62,3 +62,9 @@ TEXT_PRESETS = {
     "task": task_text,
     "labelled": labelled_text,
 }
+
+
+def stable_id(id: Column, payload: Column) -> Column:
+    """The id as text; a NULL or empty one becomes the hash of the payload, so rows
+    without an id stay apart and a replay finds the same id again."""
+    return F.coalesce(F.nullif(id.cast("string"), F.lit("")), F.sha2(F.to_json(payload), 256))

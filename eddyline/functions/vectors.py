@@ -53,6 +53,7 @@ def l2_normalize(vector: Column) -> Column:
 
 
 def has_width(vector: Column, width: int) -> Column:
-    """True only for a vector of exactly ``width`` cells, none of them NULL."""
-    whole = (F.size(vector) == width) & ~F.exists(vector, lambda x: x.isNull())
+    """True only for a vector of exactly ``width`` cells, all of them finite numbers."""
+    whole = (F.size(vector) == width) & F.forall(vector, lambda x: F.abs(x) < F.lit(float("inf")))
+    # NaN sorts above infinity, and a NULL cell makes the test NULL: neither passes.
     return F.coalesce(whole, F.lit(False))

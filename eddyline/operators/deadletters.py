@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eddyline.operators.skew import lookup_join
-from eddyline.schemas import FAILURE_REASONS, MAX_RETRIES, RETRY_BATCH, RETRY_DELAYS_SECONDS
+from eddyline.schemas import DLQ_STATE, FAILURE_REASONS, JSON_TIME, MAX_RETRIES, RETRY_DELAYS_SECONDS
 
 
 def message_key() -> Column:
@@ -55,7 +55,8 @@ def _retry_after(delays) -> Column:
     return F.date_trunc("second", "last_failure_time") + F.make_dt_interval(secs=seconds)
 
 
-def _with_schedule(folded: DataFrame, max_retries: int, delays) -> DataFrame:
+def scheduled(folded: DataFrame, max_retries: int = MAX_RETRIES, delays=RETRY_DELAYS_SECONDS) -> DataFrame:
+    """Adds status and the time of the next retry to folded failures."""
     exhausted = F.col("attempt_count") >= max_retries
     return folded.withColumn(
         "status", F.when(exhausted, F.lit("failed")).otherwise(F.lit("retry"))
@@ -71,8 +72,13 @@ def fold_failures(
     Only counts, extremes and their companions are kept, so partial aggregation shrinks
     a key with very many failures to one row per task before the shuffle.
     """
+    return scheduled(folded_failures(failures), max_retries, delays)
+
+
+def folded_failures(failures: DataFrame) -> DataFrame:
+    """The fold alone, which a stream can keep up to date row by row (update mode)."""
     when = F.struct("failed_at", "offset")
-    folded = failures.groupBy("key").agg(
+    return failures.groupBy("key").agg(
         F.count("*").alias("attempt_count"),
         F.min("failed_at").alias("first_failure_time"),
         F.max("failed_at").alias("last_failure_time"),
@@ -85,13 +91,26 @@ def fold_failures(
         "first.topic", "first.partition", "first.offset",
         F.col("first.value").alias("original_message"),
     )
-    return _with_schedule(folded, max_retries, delays)
 
 
-def due_retries(state: DataFrame, now: Column, limit: int = RETRY_BATCH) -> DataFrame:
-    """The next batch of retries whose time has come, longest-failing first."""
+def write_state(state: DataFrame, path: str) -> None:
+    """The state as JSON lines, one row each, in the saved shape (``DLQ_STATE``)."""
+    saved = state.withColumnRenamed("key", "id").select(*DLQ_STATE.names)
+    saved.write.mode("overwrite").option("timestampFormat", JSON_TIME).json(path)
+
+
+def read_state(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    """(state, lines that do not parse) of a saved state."""
+    rows, bad = split_corrupt_state(spark.read.text(path), DLQ_STATE)
+    return rows.withColumnRenamed("id", "key"), bad
+
+
+def due_retries(state: DataFrame, now: Column, page: int | None = None) -> DataFrame:
+    """All retries whose time has come, longest-failing first; with ``page`` the first
+    so many of them."""
     due = (F.col("status") == "retry") & (F.col("retry_after") <= now)
-    return state.filter(due).orderBy("first_failure_time", "key").limit(limit)
+    ordered = state.filter(due).orderBy("first_failure_time", "key")
+    return ordered if page is None else ordered.limit(page)
 
 
 def fold_with_outcomes(failures: DataFrame, outcomes: DataFrame, **schedule) -> DataFrame:
@@ -110,7 +129,9 @@ def fold_with_outcomes(failures: DataFrame, outcomes: DataFrame, **schedule) ->
     )
     resets = outcomes.filter("succeeded").groupBy("key").agg(F.max("finished_at").alias("reset_at"))
     log = failures.select(*retried.columns).unionByName(retried)
-    live = lookup_join(log, resets, "key").filter(
+    # A plain join: its right side has a row per key, and adaptive execution splits a key
+    # that fails very often.
+    live = log.join(resets, "key", "left").filter(
         F.col("reset_at").isNull() | (F.col("failed_at") > F.col("reset_at"))
     )
     return fold_failures(live.drop("reset_at"), **schedule)
@@ -224,10 +245,11 @@ def queue_depth(letters: DataFrame, committed: DataFrame) -> DataFrame:
 
 def split_corrupt_state(lines: DataFrame, schema) -> tuple[DataFrame, DataFrame]:
     """JSON lines of saved state: (rows, lines that do not parse). A bad line stops nothing."""
-    tagged = schema.add("_corrupt", "string") if "_corrupt" not in schema.names else schema
+    fields = [f for f in schema.fields if f.name != "_corrupt"]
+    tagged = T.StructType([*fields, T.StructField("_corrupt", T.StringType())])
     parsed = lines.select(
         F.col("value").alias("line"),
-        F.from_json("value", tagged, {"columnNameOfCorruptRecord": "_corrupt"}).alias("row"),
+        F.from_json("value", tagged, {"columnNameOfCorruptRecord": "_corrupt", "timestampFormat": JSON_TIME}).alias("row"),
     )
     bad = F.col("row").isNull() | F.col("row._corrupt").isNotNull()
     return parsed.filter(~bad).select("row.*").drop("_corrupt"), parsed.filter(bad).select("line")

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eddyline.functions.text import stream_text
+from eddyline.functions.text import stable_id, stream_text
 from eddyline.functions.vectors import stored_hash_vector
 from eddyline.schemas import EVENT, MESSAGE, VECTOR_WIDTH
 
 CORRUPT = "_corrupt"
+# The fields of a product.
 PRODUCT_FIELDS = ("id", "name", "description", "category", "price")
 # The fields an event must carry.
 REQUIRED_FIELDS = ("event_id", "timestamp", "user_id", "event_type", "product", "session_id")
@@ -25,7 +26,8 @@ def _decode(raw: DataFrame, schema: T.StructType) -> DataFrame:
         text.alias("message_value"),
         "topic", "partition", "offset",
         F.col("timestamp").alias("kafka_timestamp"),
-        F.from_json(text, tagged, {"columnNameOfCorruptRecord": CORRUPT}).alias("parsed"),
+        # Out of a generator, which filters and projections do not pass: parsed once.
+        F.explode(F.array(F.from_json(text, tagged, {"columnNameOfCorruptRecord": CORRUPT}))).alias("parsed"),
     )
 
 
@@ -39,6 +41,10 @@ def decode_events(raw: DataFrame) -> DataFrame:
     return _decode(raw, EVENT).withColumn("malformed", is_malformed())
 
 
+def decode_messages(raw: DataFrame) -> DataFrame:
+    return _decode(raw, MESSAGE).withColumn("malformed", is_malformed())
+
+
 def split_malformed(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows that parsed, rows that did not): two filters over one parse."""
     return decoded.filter(~F.col("malformed")), decoded.filter("malformed")
@@ -59,7 +65,8 @@ def parse_events(raw: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def parse_messages(raw: DataFrame, now: Column | None = None) -> DataFrame:
-    good = _decode(raw, MESSAGE).filter(~is_malformed())
+    """Well-formed messages; ``malformed_letters(decode_messages(raw), ...)`` has the rest."""
+    good, _ = split_malformed(decode_messages(raw))
     return _flat(good, MESSAGE, F.current_timestamp() if now is None else now)
 
 
@@ -129,19 +136,36 @@ def events_to_points(
     vector=stored_hash_vector,
     width: int = VECTOR_WIDTH,
     carry: tuple[str, ...] = (),
+    processed_at: Column | None = None,
+    **constants,
+) -> DataFrame:
+    """Text, vector and payload in one narrow pass; events without text give no point.
+
+    An event without an id gets the hash of its own fields, so such events stay apart and
+    a replay finds them again. ``processed_at`` and ``constants`` are stored, not hashed.
+    """
+    made = event_texts(events, text, processed_at, carry, **constants)
+    return made.select(
+        "id", vector(F.col("payload.text"), width).cast("array<float>").alias("vector"), "payload", *carry
+    )
+
+
+def event_texts(
+    events: DataFrame, text: Column | None = None, processed_at: Column | None = None,
+    carry: tuple[str, ...] = (), **constants,
 ) -> DataFrame:
-    """Text, vector and payload in one narrow pass; events without text give no point."""
+    """``id, payload`` of the events that have text, for an encoder to add vectors to."""
     text = stream_text() if text is None else text
     with_text = events.withColumn("text", text).filter(F.col("text") != "")
-    payload = [
-        "event_id", "timestamp", "event_type", "user_id", "session_id", "text",
-        "search_query", "quantity", "total_amount", "payment_method",
+    own = [
+        "event_id", "timestamp", "event_type", "user_id", "session_id", "text", "search_query",
+        "results_count", "quantity", "total_amount", "payment_method", "view_duration", *product_columns(),
     ]
+    added = [F.lit(v).alias(k) for k, v in constants.items()]
+    if processed_at is not None:
+        added.insert(0, processed_at.alias("processed_at"))
     return with_text.select(
-        F.col("event_id").alias("id"),
-        vector(F.col("text"), width).cast("array<float>").alias("vector"),
-        F.struct(*payload, *product_columns()).alias("payload"),
-        *carry,
+        stable_id(F.col("event_id"), F.struct(*own)).alias("id"), F.struct(*own, *added).alias("payload"), *carry
     )
 
 
@@ -152,10 +176,9 @@ def messages_to_points(
     if source is None:
         source = F.coalesce(F.col("metadata").getItem("source"), F.lit("unknown"))
     has_content = F.col("content").isNotNull() & (F.col("content") != "")
+    payload = F.struct("content", F.coalesce("timestamp", F.lit("")).alias("timestamp"), source.alias("source"))
     return messages.filter(has_content).select(
-        F.coalesce("id", F.lit("")).alias("id"),
+        stable_id(F.col("id"), payload).alias("id"),
         vector(F.col("content"), width).cast("array<float>").alias("vector"),
-        F.struct(
-            "content", F.coalesce("timestamp", F.lit("")).alias("timestamp"), source.alias("source")
-        ).alias("payload"),
+        payload.alias("payload"),
     )

@@ -228,18 +228,26 @@ def counter_rates(
 ) -> DataFrame:
     """Per-second increase of a counter per label set and window, resets respected.
 
-    A drop means the counter began again at zero. Consecutive samples are compared
-    inside one window only, so the partitioning includes the window and a label set
-    with most of the samples is spread over all windows.
+    A drop means the counter began again at zero. Growth since the last sample of the
+    window before counts where it was seen: in the window of the later sample. So the
+    increases of a label set add up to that of its whole series.
+
+    Samples are compared inside a window, so a label set with most of them is spread over
+    all windows; each window then hands its last value on, as one row per window.
     """
     placed = samples.select(*by, F.col(time).alias("_t"), F.col(value).alias("_v")).withColumn(
         "window_start", F.window("_t", window).start
     )
+    growth = lambda v, before: F.when(before.isNull(), F.lit(0.0)).when(v >= before, v - before).otherwise(v)
     in_window = Window.partitionBy(*by, "window_start").orderBy("_t", "_v")
-    before = F.lag("_v").over(in_window)
-    grown = F.when(before.isNull(), F.lit(0.0)).when(F.col("_v") >= before, F.col("_v") - before).otherwise(F.col("_v"))
+    inside = placed.withColumn("_grown", growth(F.col("_v"), F.lag("_v").over(in_window)))
+    rows = inside.groupBy(*by, "window_start").agg(
+        F.count("*").alias("n_samples"), F.sum("_grown").alias("_inside"),
+        F.min(F.struct("_t", "_v"))["_v"].alias("_first"), F.max(F.struct("_t", "_v"))["_v"].alias("_last"),
+    )
+    handed = F.lag("_last").over(Window.partitionBy(*by).orderBy("window_start"))
     return (
-        placed.withColumn("_grown", grown).groupBy(*by, "window_start")
-        .agg(F.count("*").alias("n_samples"), F.sum("_grown").alias("increase"))
+        rows.withColumn("increase", F.col("_inside") + growth(F.col("_first"), handed))
         .withColumn("rate", F.col("increase") / float(seconds))
+        .select(*by, "window_start", "n_samples", "increase", "rate")
     )

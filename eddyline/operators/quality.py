@@ -46,39 +46,38 @@ def cap_content(df: DataFrame, max_chars: int = MAX_CONTENT_CHARS) -> DataFrame:
 def drop_duplicate_content(df: DataFrame, id_column: str = "id") -> DataFrame:
     """Keep the row with the lowest id of each content.
 
-    The 64-bit hash leads the grouping key so that sorting and comparing rarely touch
-    the long text; the text itself is part of the key, so a hash collision cannot
-    merge two contents. Copies collapse inside each map task before the shuffle.
+    Whole contents are compared by their SHA-256 and length. Only digests and ids meet in
+    the first shuffle, where copies collapse inside each map task; contents that occur
+    once pass by the table of those that occur more often. Of rows that share content
+    and id one stays. NULL contents are one content.
     """
-    rest = [c for c in df.columns if c != "content"]
-    first = F.min_by(F.struct(*rest), F.col(id_column)).alias("row")
-    return (
-        df.groupBy(F.xxhash64("content").alias("content_hash"), "content")
-        .agg(first)
-        .select(*[F.col("content") if c == "content" else F.col(f"row.{c}") for c in df.columns])
-    )
+    digest = F.struct(F.unhex(F.sha2(F.coalesce("content", F.lit("")), 256)).alias("sha"), F.length("content").alias("n"))
+    tagged = df.withColumn("_digest", digest)
+    repeated = tagged.groupBy("_digest").agg(F.min(id_column).alias("_first"), F.count("*").alias("_copies"))
+    repeated = repeated.filter("_copies > 1").drop("_copies")
+    single = tagged.join(repeated.select("_digest"), "_digest", "left_anti")
+    chosen = tagged.join(repeated, "_digest").filter(F.col(id_column).eqNullSafe(F.col("_first"))).drop("_first")
+    return single.unionByName(chosen.dropDuplicates(["_digest"])).select(*df.columns)
 
 
 def clean_documents(
     df: DataFrame,
     strict: bool = False,
-    dedupe_above: int | None = None,
+    dedupe: bool = False,
     now: Column | None = None,
+    max_chars: int | None = None,
 ) -> DataFrame:
-    """Checks, filter, defaults, cap and duplicate removal.
+    """Checks, filter, defaults and, if asked for, duplicate removal and a cap.
 
-    ``dedupe_above=n`` removes duplicates when more than n rows survive the filter
-    (0: always, None: never). Looking for row n+1 stops as soon as it is found, so it
-    costs no full pass over the data.
+    Duplicates are whole contents; ``max_chars`` cuts what is stored, after them, so two
+    documents with one beginning stay two.
     """
     require_columns(df, "content")
     kept = df.filter(has_long_content() if strict else has_content())
-    kept = cap_content(with_default_timestamp(with_default_id(kept), now))
-    if dedupe_above is None:
-        return kept
-    if dedupe_above > 0 and kept.limit(dedupe_above + 1).count() <= dedupe_above:
-        return kept
-    return drop_duplicate_content(kept)
+    kept = with_default_timestamp(with_default_id(kept), now)
+    if dedupe:
+        kept = drop_duplicate_content(kept)
+    return kept if max_chars is None else cap_content(kept, max_chars)
 
 
 def _counts() -> list[Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eddyline.functions.search import block_search, unit_rows
 from eddyline.functions.vectors import has_width
-from eddyline.session import fresh_folder
+from eddyline.session import fresh_folder, remove_folder
 
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
 
@@ -48,13 +48,27 @@ def cosine_top_k(
     so the shuffle carries candidates only and never a pair per corpus row. Scores tie at
     nine digits, then the lower id wins.
 
-    Queries beyond one block are cut into hash ranges of the id. Each range is fetched,
-    searched and its result written to the shared folder before the next one, so the
-    driver holds one block however many queries there are.
+    Queries beyond one block are written to the shared folder in blocks of that size.
+    Each is fetched, searched and its result written before the next one, so the
+    driver holds one block however many queries there are. The search is exact, and so
+    reads the corpus once per block.
+
+    A query whose vector has another width, or a cell that is no finite number, gets one
+    row with NULL id, score and rank. Such corpus rows are not compared with anything
+    (``split_by_width`` has them).
     """
     fit = has_width(F.col("vector"), width)
     corpus = corpus.select("id", "vector").filter(fit)
-    queries = queries.select("id", "vector").filter(fit)
+    everything = queries.select("id", "vector")
+    queries = everything.filter(fit)
+    refused = everything.filter(~fit).select(
+        F.col("id").alias("query_id"), F.lit(None).cast(corpus.dtypes[0][1]).alias("id"),
+        F.lit(None).cast("double").alias("score"), F.lit(None).cast("int").alias("rank"),
+    )
+    return _searched(queries, corpus, k, width, block_bytes).unionByName(refused)
+
+
+def _searched(queries: DataFrame, corpus: DataFrame, k: int, width: int, block_bytes: int) -> DataFrame:
     schema = f"query_id {queries.dtypes[0][1]}, id {corpus.dtypes[0][1]}, score double"
     per_block = max(1, block_bytes // (width * 8))
     rows = queries.limit(per_block + 1).toArrow()
@@ -62,17 +76,19 @@ def cosine_top_k(
         return corpus.sparkSession.createDataFrame([], f"{schema}, rank int")
     if rows.num_rows <= per_block:
         return _best_of_block(corpus, rows, k, width, schema)
-    # Ranges are half a block on average and refused beyond two blocks.
-    n_blocks = -(-2 * queries.count() // per_block)
-    folder = fresh_folder(corpus.sparkSession, "top-k")
-    hashed = F.pmod(F.xxhash64("id"), F.lit(n_blocks))
+    spark = corpus.sparkSession
+    n_blocks = -(-queries.count() // per_block)
+    # Row numbers of a split follow each other, so blocks are even whatever the ids.
+    placed, folder = fresh_folder(spark, "query-blocks"), fresh_folder(spark, "top-k")
+    number = F.pmod(F.monotonically_increasing_id(), F.lit(n_blocks)).cast("int")
+    queries.withColumn("block", number).write.partitionBy("block").parquet(placed)
+    blocks = spark.read.parquet(placed)
     for block in range(n_blocks):
-        rows = queries.filter(hashed == block).limit(2 * per_block + 1).toArrow()
-        if rows.num_rows > 2 * per_block:
-            raise ValueError("query ids repeat too often to be cut into blocks")
+        rows = blocks.filter(F.col("block") == block).select("id", "vector").toArrow()
         if rows.num_rows:
             _best_of_block(corpus, rows, k, width, schema).write.mode("append").parquet(folder)
-    return corpus.sparkSession.read.schema(f"{schema}, rank int").parquet(folder)
+    remove_folder(spark, placed)
+    return spark.read.schema(f"{schema}, rank int").parquet(folder)
 
 
 def search_similar(points: DataFrame, vector: list[float], limit: int = 5) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eddyline.functions.encoders import md5_encoder
@@ -70,18 +71,25 @@ def json_roundtrip(spark, sf_dir):
 
 
 @query("pending_files", """
-SELECT DISTINCT source, true AS has_bytes FROM documents WHERE source IN ('src0', 'src1', 'src2')""")
+WITH f AS (SELECT source, sum(strlen(text) + 1) AS n_bytes FROM documents WHERE text IS NOT NULL GROUP BY source)
+SELECT source, row_number() OVER (ORDER BY n_bytes, source) AS place FROM f
+WHERE CAST(substr(source, 4) AS INTEGER) % 2 = 0""")
 def pending(spark, sf_dir):
-    """Document files by source; every file but those of three sources is in the ledger."""
+    """One file of texts per source, in folders with a space in their names. The ledger
+    knows every second one from reading it; the others wait, small ones first."""
     folder = fresh_folder(spark, "pending")
-    docs = tables.documents(spark, sf_dir).select("id", "content", "source")
-    docs.write.partitionBy("source").json(folder)
-    files = list_files(spark, folder)
-    waiting = F.col("path").rlike("source=src[012]/")
-    done = files.filter(~waiting).select(F.col("path").alias("file"), F.lit("success").alias("status"))
+    docs = tables.documents(spark, sf_dir).filter("content IS NOT NULL")
+    # A file of one source is what is listed here; the sort keeps each in one task's hands.
+    named = docs.select(F.concat(F.lit("from "), "source").alias("origin"), F.col("content").alias("value"))
+    named.repartition("origin").sortWithinPartitions("origin").write.partitionBy("origin").option("lineSep", "\n").text(folder)
+    files = list_files(spark, folder, "*.txt")
+    number = F.regexp_extract("file", "src(\\d+)/", 1).cast("int")
+    read = spark.read.text(folder, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("file")).distinct()
+    done = read.filter(number % 2 == 1).withColumn("status", F.lit("success"))
     todo = pending_files(files, done)
-    source = F.regexp_extract("path", "source=([^/]+)/", 1).alias("source")
-    return todo.select(source, (F.col("length") > 0).alias("has_bytes")).distinct()
+    # The order is a result too: a file's place among those that wait.
+    place = F.row_number().over(Window.orderBy("length", "path"))
+    return todo.select(F.regexp_extract("path", "(src\\d+)/", 1).alias("source"), place.alias("place"))
 
 
 @query("content_filter_std", f"SELECT doc_id FROM documents WHERE {STD}")
@@ -138,10 +146,10 @@ def dedupe_content(spark, sf_dir):
 
 @query("clean_documents", f"""
 SELECT CAST(min(doc_id) AS VARCHAR) AS id, md5(content) AS content_md5, TIMESTAMP '2024-02-01 00:00:00' AS timestamp
-FROM (SELECT doc_id, substr(text, 1, {MAX_CONTENT_CHARS}) AS content FROM documents WHERE {STRICT}) GROUP BY content""")
+FROM (SELECT doc_id, text AS content FROM documents WHERE {STRICT}) GROUP BY content""")
 def clean_documents(spark, sf_dir):
     docs = tables.documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "content")
-    cleaned = quality.clean_documents(docs, strict=True, dedupe_above=0, now=F.lit("2024-02-01").cast("timestamp"))
+    cleaned = quality.clean_documents(docs, strict=True, dedupe=True, now=F.lit("2024-02-01").cast("timestamp"))
     return cleaned.select(
         F.col("id").cast("string").alias("id"), F.md5(F.col("content").cast("binary")).alias("content_md5"),
         plain_time("timestamp"),
@@ -202,11 +210,25 @@ def tfidf_weights(spark, sf_dir):
     return weights.select("doc_id", "term", "tf", rounded("weight"))
 
 
-@query("tfidf_svd")
+@query("tfidf_svd", """
+WITH tok AS (
+  SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}'),
+    lambda w: NOT list_contains([STOPS], w)) AS w FROM documents),
+terms AS (
+  SELECT doc_id, unnest(list_concat(w, CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)),
+    lambda i: w[i] || ' ' || w[i + 1]) ELSE [] END)) AS term FROM tok),
+voc AS (SELECT term FROM terms GROUP BY term ORDER BY count(*) DESC, term LIMIT 10000)
+SELECT doc_id, 384 AS width, CASE WHEN doc_id IN (SELECT doc_id FROM terms JOIN voc USING (term)) THEN 1.0::DOUBLE ELSE 0.0 END AS length,
+  true AS in_bounds FROM documents
+""".replace("STOPS", ", ".join(f"'{w}'" for w in STOP_WORDS)))
 def tfidf_svd(spark, sf_dir):
-    """384-wide vectors with Spark's English stop words, one row per component."""
+    """What must hold for the vectors whatever basis spans their directions: the width,
+    unit length wherever a document has a term, and no component beyond it. Tests compare
+    the directions with an exact decomposition."""
     docs = tables.spread_table(spark, sf_dir, "documents").select("doc_id", "text")
-    made = svd_vectors(docs, "doc_id", "text")
-    return made.select(F.col("id").alias("doc_id"), F.posexplode("vector").alias("component", "x")).select(
-        "doc_id", "component", rounded("x")
+    made = svd_vectors(docs, "doc_id", "text", stop_words=list(STOP_WORDS))
+    squares = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x * x)
+    return made.select(
+        F.col("id").alias("doc_id"), F.size("vector").alias("width"), F.round(F.sqrt(squares), 6).alias("length"),
+        F.forall("vector", lambda x: F.abs(x) <= 1.000001).alias("in_bounds"),
     )

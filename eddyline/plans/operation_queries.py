@@ -14,7 +14,9 @@ from eddyline.operators.sets import union_letters
 from eddyline.plans import tables
 from eddyline.plans.catalog import plain_time, query, rounded
 from eddyline.plans.tables import with_sql
-from eddyline.schemas import HISTOGRAM_EDGES
+from eddyline.schemas import DEAD_LETTER, HISTOGRAM_EDGES
+from eddyline.session import fresh_folder
+from eddyline.sources.kafka import dead_letter_records as records
 
 NOW = "2024-01-20 12:00:00"
 NOW_SQL = f"TIMESTAMP '{NOW}'"
@@ -56,9 +58,35 @@ def dlq_state(spark, sf_dir):
     return _state_columns(_state(spark, sf_dir))
 
 
+@query("dlq_state_roundtrip", with_sql("fail", "state", body="""
+SELECT key, attempt_count, first_failure_time, last_failure_time, failure_reason, error_details, "offset", status,
+  retry_after, 1 AS bad_lines FROM state"""))
+def dlq_state_roundtrip(spark, sf_dir):
+    """The state saved as JSON lines, one of them broken later, and read again."""
+    folder = fresh_folder(spark, "dlq-state")
+    dlq.write_state(_state(spark, sf_dir), folder)
+    broken = tables.failures(spark, sf_dir).agg(F.concat(F.lit('{"id": "'), F.min("key")).alias("value"))
+    broken.write.mode("append").text(folder)
+    rows, bad = dlq.read_state(spark, folder)
+    return _state_columns(rows).withColumn("bad_lines", F.lit(bad.count()).cast("int"))
+
+
+@query("dead_letter_records", with_sql("fail", body="""
+SELECT 'dead-letter-queue' AS topic, key, "offset" AS original_offset, failure_reason, value AS original_value FROM fail"""))
+def dead_letter_records(spark, sf_dir):
+    """What the Kafka sink would be given; the letter is read back out of the JSON value."""
+    letters = dlq.dead_letter_rows(
+        tables.failures(spark, sf_dir), F.col("failure_reason"), F.col("error_message"), F.col("failed_at")
+    )
+    letter = F.from_json("value", DEAD_LETTER).alias("l")
+    return records(letters).select("topic", "key", letter).select(
+        "topic", "key", "l.original_offset", "l.failure_reason", "l.original_value"
+    )
+
+
 @query("dlq_due", with_sql("fail", "state", body=f"""
 SELECT key, first_failure_time, retry_after FROM state WHERE status = 'retry' AND retry_after <= {NOW_SQL}
-ORDER BY first_failure_time, key LIMIT 100"""))
+ORDER BY first_failure_time, key"""))
 def dlq_due(spark, sf_dir):
     due = dlq.due_retries(_state(spark, sf_dir), _now())
     return due.select("key", plain_time("first_failure_time"), plain_time("retry_after"))
@@ -149,7 +177,7 @@ def dlq_by_reason(spark, sf_dir):
 
 @query("dlq_lag", with_sql("fail", body="""
 , high AS (SELECT partition, max("offset") + 1 AS high_water FROM fail GROUP BY partition),
-done AS (SELECT CAST(event_id % 16 AS INTEGER) AS partition, max(event_id) AS position FROM events
+done AS (SELECT CAST(event_id % 16 AS INTEGER) AS partition, max(event_id) + 1 AS position FROM events
   WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1)
 SELECT partition, CAST(sum(high_water) AS BIGINT) AS high_water, CAST(sum(coalesce(position, 0)) AS BIGINT) AS position,
   CAST(sum(high_water - coalesce(position, 0)) AS BIGINT) AS lag
@@ -157,7 +185,7 @@ FROM high LEFT JOIN done USING (partition) GROUP BY ROLLUP (partition)"""))
 def dlq_lag(spark, sf_dir):
     failures = tables.failures(spark, sf_dir)
     read = failures.filter(F.col("failed_at") < F.lit("2024-01-20").cast("timestamp"))
-    committed = read.groupBy("partition").agg(F.max("offset").alias("position"))
+    committed = read.groupBy("partition").agg((F.max("offset") + 1).alias("position"))
     return dlq.queue_depth(failures, committed)
 
 
@@ -309,9 +337,21 @@ def latency_percentiles(spark, sf_dir):
     return found.select("component", "p", rounded("value"))
 
 
-@query("latency_percentiles_approx")
+@query("latency_percentiles_approx", with_sql("oplog", body="""
+SELECT component, p, true AS within_bound FROM (SELECT DISTINCT component FROM oplog), (SELECT unnest([0.5::DOUBLE, 0.95, 0.99]) AS p)"""))
 def latency_percentiles_approx(spark, sf_dir):
-    return metrics.approx_percentiles(tables.op_log(spark, sf_dir), "duration_s", ["component"])
+    """Whether the exact rank of each approximate percentile is as close as promised: a
+    value's ranks are those of its first and last occurrence."""
+    log, accuracy = tables.op_log(spark, sf_dir), 10_000
+    found = metrics.approx_percentiles(log, "duration_s", ["component"], accuracy=accuracy)
+    met = log.select("component", "duration_s").join(F.broadcast(found), "component")
+    ranks = met.groupBy("component", "p").agg(
+        F.count_if(F.col("duration_s") < F.col("value")).alias("below"),
+        F.count_if(F.col("duration_s") <= F.col("value")).alias("upto"), F.count("*").alias("n"),
+    )
+    wanted, slack = F.ceil(F.col("p") * F.col("n")), F.ceil(F.col("n") / accuracy) + 1
+    close = (F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)
+    return ranks.select("component", "p", close.alias("within_bound"))
 
 
 @query("latency_by_class", with_sql("oplog", body="""
@@ -362,7 +402,7 @@ def rates_at(spark, sf_dir):
 @query("counter_rate", """
 WITH s AS (
   SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, value,
-    lag(value) OVER (PARTITION BY event_type, time_bucket(INTERVAL 5 MINUTE, ts) ORDER BY ts, value) AS before
+    lag(value) OVER (PARTITION BY event_type ORDER BY ts, value) AS before
   FROM events)
 SELECT event_type, window_start, count(*) AS n_samples,
   round(sum(CASE WHEN before IS NULL THEN 0 WHEN value >= before THEN value - before ELSE value END), 6) AS increase,

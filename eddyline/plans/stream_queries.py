@@ -4,36 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from eddyline.functions.encoders import md5_encoder
+from eddyline.functions.vectors import stored_hash_vector
 from eddyline.operators import events as ops
 from eddyline.operators.metrics import ALL_LABELS
 from eddyline.plans import tables
 from eddyline.plans.catalog import hash_vector_columns, plain_time, query, rounded
 from eddyline.plans.event_queries import STREAM_SQL
-from eddyline.plans.operation_queries import COUNTER_SQL, RATES_SQL, rate_columns
+from eddyline.plans.operation_queries import COUNTER_SQL, RATES_SQL, _STATE_SQL, _state_columns, rate_columns
 from eddyline.plans.tables import hash_vector_sql, with_sql
 from eddyline.session import fresh_folder
 from eddyline.schemas import DOCUMENT
 from eddyline.sinks.epoch_log import latest_rows, read_log, write_epoch
-from eddyline.sinks.points import read_points
+from eddyline.sinks.points import read_points, upsert_points
 from eddyline.sources.documents import list_files, stream_documents
 from eddyline.streaming import documents, monitors
 from eddyline.streaming.pipeline import start, start_point_stream
 
 
+EPOCHS = 4
+
+
 def event_stream(spark, sf_dir):
-    schema = tables.table(spark, sf_dir, "events").schema
-    # As a glob the path may be one file or a folder of files.
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet")
+    """The events table as a stream of ``EPOCHS`` micro-batches, not in the order of time:
+    every one holds events of the whole span, so three of four come late."""
+    table, source = tables.table(spark, sf_dir, "events"), fresh_folder(spark, "event-files")
+    table.repartition(EPOCHS, F.pmod("event_id", F.lit(EPOCHS))).write.parquet(source)
+    files = len(spark.read.parquet(source).inputFiles())
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", -(-files // EPOCHS)).parquet(source)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def raw_stream(spark, sf_dir):
     """Kafka-shaped records of the events table."""
-    stream = event_stream(spark, sf_dir)
-    cores = spark.sparkContext.defaultParallelism
-    if len(tables.table(spark, sf_dir, "events").inputFiles()) < cores:
-        stream = stream.repartition(cores)
-    return tables.as_raw(tables.as_events(stream, spark, sf_dir))
+    return tables.as_raw(tables.as_events(event_stream(spark, sf_dir), spark, sf_dir))
 
 
 def _drain(query):
@@ -66,6 +70,44 @@ def stream_dead_letters(spark, sf_dir):
     )
 
 
+@query("stream_rejects", with_sql("ev", body="""
+SELECT CASE WHEN eid % 50 = 0 OR eid % 7 = 1 THEN 'letter' ELSE 'point' END AS kind,
+  CASE WHEN eid % 50 = 0 THEN 'malformed JSON' WHEN eid % 7 = 1 THEN 'not a vector of 384 finite cells' END AS why,
+  count(*) AS n FROM ev GROUP BY ALL"""))
+def stream_rejects(spark, sf_dir):
+    """Every 11th event has lost its id, every 7th text gives a vector that does not fit:
+    what is no point is a letter, and no two events without an id are one point."""
+    folder = fresh_folder(spark, "reject-stream")
+    raw = raw_stream(spark, sf_dir)
+    place, value = F.col("offset"), F.col("value").cast("string")
+    without = F.regexp_replace(value, r'"event_id":"\d+",', "")
+    spoiled = raw.withColumn("value", F.when(F.pmod(place, F.lit(11)) == 0, without).otherwise(value).cast("binary"))
+
+    def vector(text, width):
+        fit = stored_hash_vector(text, width)
+        kind = F.pmod("offset", F.lit(7))
+        return F.when(kind != 1, fit).when(F.pmod("offset", F.lit(3)) == 0, F.slice(fit, 1, 1)).when(
+            F.pmod("offset", F.lit(3)) == 1, F.transform(fit, lambda x: F.lit(float("nan")).cast("float"))
+        )
+
+    _drain(start_point_stream(spoiled, f"{folder}/points", f"{folder}/letters", f"{folder}/checkpoint", vector=vector, every=None))
+    points = read_points(spark, f"{folder}/points").select(F.lit("point").alias("kind"), F.lit(None).cast("string").alias("why"))
+    letters = read_log(spark, f"{folder}/letters").select(F.lit("letter").alias("kind"), F.col("error_message").alias("why"))
+    return points.unionByName(letters).groupBy("kind", "why").agg(F.count("*").alias("n"))
+
+
+@query("encoded_points", with_sql("ev", body=f"""
+SELECT event_id AS id, text, {hash_vector_sql('text')}
+FROM (SELECT *, {STREAM_SQL} AS text FROM ev) WHERE eid % 50 <> 0"""))
+def encoded_points(spark, sf_dir):
+    """The point stream with an encoder in place of the hash expression."""
+    folder = fresh_folder(spark, "encoder-stream")
+    _drain(start_point_stream(
+        raw_stream(spark, sf_dir), f"{folder}/points", f"{folder}/letters", f"{folder}/checkpoint", encoder=md5_encoder, every=None
+    ))
+    return read_points(spark, f"{folder}/points").select("id", "payload.text", *hash_vector_columns())
+
+
 @query("stream_parse", with_sql("ev", body="""
 SELECT eid AS "offset", event_id, event_type, product_name, search_query, quantity FROM ev WHERE eid % 50 <> 0"""))
 def stream_parse(spark, sf_dir):
@@ -81,13 +123,22 @@ def stream_parse(spark, sf_dir):
 @query("stream_upsert", """
 SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts FROM events GROUP BY user_id""")
 def stream_upsert(spark, sf_dir):
-    """Last write wins per user: every event of the stream overwrites the row of its user."""
+    """Last write wins per user, by event time: the stream's epochs go through the points
+    table, the second one twice, as if it had been replayed."""
     folder = fresh_folder(spark, "upsert-stream")
     rows = event_stream(spark, sf_dir).select("user_id", "event_id", "ts")
-    write = lambda batch, epoch: write_epoch(batch, folder, epoch)
+
+    def write(batch, epoch):
+        newest = F.max(F.struct("ts", "event_id")).alias("newest")
+        points = batch.groupBy(F.col("user_id").cast("string").alias("id")).agg(newest)
+        points = points.select("id", F.struct("newest.event_id", "newest.ts").alias("payload"), F.unix_micros("newest.ts").alias("offset"))
+        for _ in range(1 + (epoch == 1)):
+            upsert_points(points, f"{folder}/points", epoch)
+
     _drain(start(rows, write, f"{folder}/checkpoint", every=None))
-    latest = latest_rows(read_log(spark, folder), ["user_id"], ["ts", "event_id"])
-    return latest.select("user_id", "event_id", plain_time("ts"))
+    log = read_log(spark, f"{folder}/points")
+    latest = latest_rows(log, ["id"], ["payload.ts", "payload.event_id"])
+    return latest.select(F.col("id").cast("bigint").alias("user_id"), "payload.event_id", F.col("payload.ts").cast("timestamp_ntz").alias("ts"))
 
 
 @query("stream_rates", RATES_SQL)
@@ -99,6 +150,15 @@ def stream_rates(spark, sf_dir):
     return rate_columns(monitors.read_rates(spark, f"{folder}/steps", ["event_type"]))
 
 
+@query("stream_dlq_state", with_sql("fail", "state", body=_STATE_SQL + "state"))
+def stream_dlq_state(spark, sf_dir):
+    folder = fresh_folder(spark, "failure-stream")
+    _drain(monitors.start_failure_stream(
+        tables.as_failures(event_stream(spark, sf_dir)), f"{folder}/state", f"{folder}/checkpoint", every=None
+    ))
+    return _state_columns(monitors.read_failures(spark, f"{folder}/state"))
+
+
 @query("stream_counters", COUNTER_SQL)
 def stream_counters(spark, sf_dir):
     folder, labels = fresh_folder(spark, "counter-stream"), list(ALL_LABELS)
@@ -137,4 +197,5 @@ def document_batch(spark, sf_dir):
     ledger = documents.read_ledger(spark, f"{folder}/ledger", list_files(spark, f"{folder}/in"))
     entered = ledger.groupBy(source("file"), "status").agg(F.sum("record_count").alias("records"))
     stored = read_points(spark, f"{folder}/points").groupBy(source("payload.file")).agg(F.count("*").alias("points"))
-    return entered.join(stored, "source")
+    counted = entered.join(stored, "source", "left")
+    return counted.withColumn("points", F.coalesce("points", F.lit(0)))

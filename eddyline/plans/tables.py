@@ -128,9 +128,13 @@ def _user_week() -> Column:
 def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error events as a failure log. A user's week stands for the message that keeps
     failing; every ninth record has no message id and is known by its coordinates."""
+    return as_failures(table(spark, sf_dir, "events"))
+
+
+def as_failures(event_rows: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     reasons = F.array(*[F.lit(r) for r in FAILURE_REASONS])
-    log = table(spark, sf_dir, "events").filter(F.col("event_type") == "error").select(
+    log = event_rows.filter(F.col("event_type") == "error").select(
         F.when(F.pmod(eid, F.lit(9)) != 0, _user_week()).alias("id"), F.lit(TOPIC).alias("topic"),
         F.pmod(eid, F.lit(PARTITIONS)).cast("int").alias("partition"), eid.alias("offset"),
         F.col("props").alias("value"),

@@ -86,6 +86,9 @@ FILE_LEDGER = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
+# How times are written in JSON: to the microsecond, with their zone.
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 # Names and limits that results must agree on.
 FAILURE_REASONS = (
     "parse_error", "processing_error", "embedding_error", "store_error",
@@ -96,7 +99,7 @@ MAX_CONTENT_CHARS = 32768
 MIN_CONTENT_CHARS = 10
 MAX_RETRIES = 3
 RETRY_DELAYS_SECONDS = (60, 300, 900)
-RETRY_BATCH = 100
+
 SLA_SECONDS = 30.0
 INPUT_PATTERNS = ("*.json", "*.jsonl", "pending_*.json")
 

@@ -49,6 +49,15 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of our own under the shared folder, and nothing else."""
+    root = shared_root(spark).rstrip("/")
+    if not path.startswith(f"{root}/") or ".." in path:
+        raise ValueError(f"not in the shared folder: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df):
     """Give CPU-heavy steps work for every core when the input is a few small files.
 

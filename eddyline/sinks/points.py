@@ -9,21 +9,20 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eddyline.functions.text import stable_id
 from eddyline.functions.vectors import has_width
 from eddyline.schemas import VECTOR_WIDTH
-from eddyline.sinks.epoch_log import latest_rows, read_log, write_epoch
+from eddyline.sinks.epoch_log import drop_epochs, epochs, latest_rows, read_log, write_epoch
 
 MANIFEST_SCHEMA = "generation bigint, epoch_id bigint, base string"
 
 
 def with_point_ids(points: DataFrame) -> DataFrame:
     """A missing id becomes the hash of the payload, so a replay finds the same id."""
-    derived = F.sha2(F.to_json(F.col("payload")), 256)
-    return points.withColumn("id", F.coalesce(F.col("id").cast("string"), derived))
+    return points.withColumn("id", stable_id(F.col("id"), F.col("payload")))
 
 
 def with_payload(points: DataFrame) -> DataFrame:
@@ -45,37 +44,48 @@ def upsert_points(points: DataFrame, path: str, epoch_id: int, generation: int =
 
 
 def _newest_base(spark: SparkSession, path: str):
-    try:
-        manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/manifest")
-    except AnalysisException:
+    manifest = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+    if not manifest.getFileSystem(spark._jsc.hadoopConfiguration()).exists(manifest):
         return None
-    return manifest.orderBy(F.desc("generation"), F.desc("epoch_id")).first()
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/manifest")
+    return rows.orderBy(F.desc("generation"), F.desc("epoch_id")).first()
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
-    log = read_log(spark, path)
+def _table(spark: SparkSession, path: str, upto: tuple[int, int] | None = None) -> DataFrame:
     base = _newest_base(spark, path)
+    folded = (base.generation, base.epoch_id) if base else (-1, -1)
+    later = [e for e in epochs(spark, path) if e > folded and (upto is None or e <= upto)]
     order = ["generation", "epoch_id", "offset"]
     if base is None:
-        return latest_rows(log, ["id"], order)
-    # Partition columns only: the epochs already in the base are never listed for reading.
-    later = (F.col("generation") > base.generation) | (
-        (F.col("generation") == base.generation) & (F.col("epoch_id") > base.epoch_id)
-    )
-    delta = log.filter(later)
+        return latest_rows(read_log(spark, path, only=later), ["id"], order)
+    kept = spark.read.parquet(base.base)
+    if not later:
+        return kept
+    delta = read_log(spark, path, only=later)
     # The ids alone are read for the anti join; Catalyst broadcasts them when they are few.
-    kept = spark.read.parquet(base.base).join(delta.select("id").distinct(), "id", "left_anti")
-    return kept.unionByName(latest_rows(delta, ["id"], order))
+    unchanged = kept.join(delta.select("id").distinct(), "id", "left_anti")
+    return unchanged.unionByName(latest_rows(delta, ["id"], order))
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    return _table(spark, path)
+
 
+def compact(spark: SparkSession, path: str, retire: bool = False) -> None:
+    """Fold the log into a new base. Readers switch when the manifest row appears.
 
-def compact(spark: SparkSession, path: str) -> None:
-    """Fold the log into a new base. Readers switch when the manifest row appears."""
-    top = read_log(spark, path).agg(
-        F.max(F.struct("generation", "epoch_id")).alias("top")
-    ).first().top
+    The newest epoch stays out: a stream that starts again may replay it, and the replay
+    must win. With ``retire`` the folded epochs are deleted; no reader that began before
+    may still be running then.
+    """
+    done = epochs(spark, path)[:-1]
+    base = _newest_base(spark, path)
+    if not done or base and done[-1] <= (base.generation, base.epoch_id):
+        return
     folder = f"{path}/base/{uuid.uuid4().hex}"
-    # Rows of epochs that arrive meanwhile may get in too; being in the later log as well,
-    # they win over their base copy on read.
-    read_points(spark, path).write.parquet(folder)
-    row = [(top.generation, top.epoch_id, folder)]
+    _table(spark, path, upto=done[-1]).write.parquet(folder)
+    row = [(*done[-1], folder)]
     spark.createDataFrame(row, MANIFEST_SCHEMA).write.mode("append").parquet(f"{path}/manifest")
+    if retire:
+        for generation in {g for g, _ in done}:
+            drop_epochs(spark, path, 1 + max(e for g, e in done if g == generation), generation)

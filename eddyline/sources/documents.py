@@ -30,15 +30,25 @@ def read_documents(
     return reader.json(path)
 
 
+CORRUPT = "_corrupt"
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """The schema with a column that keeps a line that is no JSON of that shape."""
+    return T.StructType([*(f for f in schema.fields if f.name != CORRUPT), T.StructField(CORRUPT, T.StringType())])
+
+
 def stream_documents(
     spark: SparkSession, path: str, schema: T.StructType, glob: str = INPUT_GLOB, **options
 ) -> DataFrame:
-    """New files as they arrive; the query's checkpoint remembers the finished ones.
+    """New files as they arrive; the query's checkpoint remembers the finished ones. Lines
+    that cannot be decoded are kept in ``_corrupt``.
 
     ``cleanSource=archive`` with ``sourceArchiveDir`` moves them away afterwards.
     """
     return (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(with_corrupt(schema))
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", glob)
         .options(**options)
         .json(path)
@@ -46,13 +56,17 @@ def stream_documents(
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = INPUT_GLOB) -> DataFrame:
-    """Path, size and time of each file. Contents are pruned from the scan."""
+    """Path, size and time of each file. Contents are pruned from the scan.
+
+    The path is written as the document streams write it (``_metadata.file_path``), so
+    names with spaces, percent signs or other letters mean the same file in both.
+    """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(folder)
-        .select("path", "length", F.col("modificationTime").alias("modified_at"))
+        .select(F.col("_metadata.file_path").alias("path"), "length", F.col("modificationTime").alias("modified_at"))
     )
 
 

@@ -13,12 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eddyline.functions.vectors import stored_hash_vector
+from eddyline.functions.text import stable_id
+from eddyline.functions.vectors import has_width, stored_hash_vector
+from eddyline.operators.deadletters import dead_letter_rows
+from eddyline.operators.encoder import encode_texts
 from eddyline.operators.quality import clean_documents
 from eddyline.schemas import VECTOR_WIDTH
+from eddyline.session import fresh_folder, remove_folder
 from eddyline.sinks.epoch_log import VERSION, latest_rows, read_log, write_epoch
 from eddyline.sinks.json_files import write_json
-from eddyline.sinks.points import upsert_points, with_point_ids
+from eddyline.sinks.points import upsert_points
+from eddyline.sources.documents import CORRUPT
 from eddyline.streaming.pipeline import start
 
 
@@ -28,24 +33,46 @@ def with_file(docs: DataFrame) -> DataFrame:
 
 
 def ledger_rows(docs: DataFrame, seconds: float | None = None) -> DataFrame:
-    """One row per file. A file none of whose rows has a content field is an error."""
-    has_field = F.count("content") > 0
+    """One row per file. A file without a row that has the content field is an error, one
+    with lines that cannot be decoded besides is partial; ``record_count`` counts the
+    decoded rows."""
+    has_field, broken = F.count("content") > 0, F.count(CORRUPT)
+    status = F.when(~has_field, F.lit("error")).when(broken > 0, F.lit("partial")).otherwise(F.lit("success"))
+    error = F.when(broken > 0, F.concat(broken.cast("string"), F.lit(" lines are not JSON"))).when(
+        ~has_field, F.lit("missing required columns: content")
+    )
     return docs.groupBy("file").agg(
-        F.when(has_field, F.lit("success")).otherwise(F.lit("error")).alias("status"),
-        F.when(has_field, F.count("*")).otherwise(F.lit(0)).cast("bigint").alias("record_count"),
+        status.alias("status"),
+        F.when(has_field, F.count("*") - broken).otherwise(F.lit(0)).cast("bigint").alias("record_count"),
         F.lit(seconds).cast("double").alias("processing_time"),
-        F.when(~has_field, F.lit("missing required columns: content")).alias("error"),
+        error.alias("error"),
         F.current_timestamp().alias("timestamp"),
     )
 
 
-def document_points(cleaned: DataFrame, vector=stored_hash_vector, width: int = VECTOR_WIDTH) -> DataFrame:
-    points = cleaned.select(
-        "id", vector(F.col("content"), width).alias("vector"),
-        F.struct("content", "timestamp", "file", F.lit("spark_batch").alias("source")).alias("payload"),
-        F.monotonically_increasing_id().alias("offset"),
+def corrupt_letters(docs: DataFrame) -> DataFrame:
+    """Lines that cannot be decoded, as dead letters of their file."""
+    lines = docs.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col("file").alias("topic"), F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"),
+        F.col("file").alias("key"), F.col(CORRUPT).alias("value"),
+    )
+    return dead_letter_rows(lines, F.lit("parse_error"), F.lit("malformed JSON"), F.current_timestamp())
+
+
+def document_points(
+    cleaned: DataFrame, vector=stored_hash_vector, width: int = VECTOR_WIDTH, encoder=None
+) -> DataFrame:
+    """Points, with ``encode_error`` where an encoder failed. A document without an id is
+    known by its content and file, whenever it is read."""
+    known = cleaned.withColumn("id", stable_id(F.col("id"), F.struct("content", "file")))
+    if encoder is None:
+        made = known.withColumn("vector", vector(F.col("content"), width)).withColumn("encode_error", F.lit(None).cast("string"))
+    else:
+        made = encode_texts(known, "content", encoder, width)
+    return made.select(
+        "id", "vector", F.struct("content", "timestamp", "file", F.lit("spark_batch").alias("source")).alias("payload"),
+        F.monotonically_increasing_id().alias("offset"), "encode_error",
     )
-    return with_point_ids(points)
 
 
 def start_document_stream(
@@ -55,28 +82,45 @@ def start_document_stream(
     ledger_path: str,
     checkpoint: str,
     strict: bool = False,
-    dedupe_above: int | None = None,
+    dedupe: bool = False,
     vector=stored_hash_vector,
     width: int = VECTOR_WIDTH,
     now: Column | None = None,
     generation: int = 0,
+    encoder=None,
+    letters_path: str | None = None,
     **options,
 ) -> StreamingQuery:
-    """``docs`` comes from ``with_file(stream_documents(...))``."""
+    """``docs`` comes from ``with_file(stream_documents(...))``.
+
+    Lines that cannot be decoded, and documents an encoder fails on or whose vector does
+    not fit, become dead letters (``letters_path``, beside the ledger by default).
+    ``dedupe`` compares the documents of one epoch. Across epochs a document replaces the
+    point of its id, and equal contents under other ids stay.
+    """
+    letters_path = letters_path or f"{ledger_path}-letters"
 
     def write(batch: DataFrame, epoch: int) -> None:
         began = time.monotonic()
-        batch = batch.persist()
-        try:
-            stamped = batch.withColumn("timestamp", F.coalesce("timestamp", _iso(now)))
-            cleaned = clean_documents(stamped, strict, dedupe_above)
-            points = document_points(cleaned, vector, width)
-            folder = f"{json_path}/generation={generation}/epoch_id={epoch}"
-            write_json(points.select("id", "vector", "payload"), folder, compression="gzip")
-            upsert_points(points, points_path, epoch, generation)
-            write_epoch(ledger_rows(batch, time.monotonic() - began), ledger_path, epoch, generation)
-        finally:
-            batch.unpersist()
+        spark, staged = batch.sparkSession, fresh_folder(batch.sparkSession, "staged-epoch")
+        stamped = batch.filter(F.col(CORRUPT).isNull()).withColumn("timestamp", F.coalesce("timestamp", _iso(now)))
+        document_points(clean_documents(stamped, strict, dedupe), vector, width, encoder).write.parquet(staged)
+        made = spark.read.parquet(staged)
+        fits = F.col("encode_error").isNull() & has_width(F.col("vector"), width)
+        points = made.filter(fits).drop("encode_error")
+        folder = f"{json_path}/generation={generation}/epoch_id={epoch}"
+        write_json(points.select("id", "vector", "payload"), folder, compression="gzip")
+        upsert_points(points, points_path, epoch, generation)
+        failed = made.filter(~fits).select(
+            F.col("payload.file").alias("topic"), F.lit(None).cast("int").alias("partition"), "offset",
+            F.col("id").alias("key"), F.to_json("payload").alias("value"),
+            F.when(F.col("encode_error").isNotNull(), F.lit("embedding_error")).otherwise(F.lit("validation_error")).alias("reason"),
+            F.coalesce("encode_error", F.lit(f"not a vector of {width} finite cells")).alias("error"),
+        )
+        refused = dead_letter_rows(failed, F.col("reason"), F.col("error"), F.current_timestamp())
+        write_epoch(corrupt_letters(batch).unionByName(refused), letters_path, epoch, generation)
+        write_epoch(ledger_rows(batch, time.monotonic() - began), ledger_path, epoch, generation)
+        remove_folder(spark, staged)
 
     return start(docs, write, checkpoint, **options)
 

@@ -1,8 +1,9 @@
 """Monitoring streams: rates, counters and redelivery removal.
 
-Aggregates run in update mode and each epoch's changed rows go to an epoch log; the
-read views take the newest row per key and generation, so a replay changes nothing, and
-add generations up, because a new checkpoint starts counting at zero again.
+Each epoch's rows go to an epoch log, where a replayed epoch replaces itself. Rates are
+partial counts that add up; counters run in update mode, so their view takes the newest
+row per key and generation, and adds generations up, because a new checkpoint starts
+counting at zero again.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from eddyline.operators.deadletters import folded_failures, scheduled
 from eddyline.operators.metrics import counter_families, rates_from_steps, step_counts
-from eddyline.sinks.epoch_log import VERSION, latest_rows, read_log, write_epoch
+from eddyline.sinks.epoch_log import VERSION, has_epochs, latest_rows, read_log, write_epoch
 from eddyline.streaming.pipeline import start
 
 
@@ -21,18 +23,20 @@ def _to_log(path: str, generation: int):
 
 
 def start_rate_stream(
-    events: DataFrame, time: str, by: list[str], path: str, checkpoint: str,
-    delay: str = "1 minute", generation: int = 0, **options,
+    events: DataFrame, time: str, by: list[str], path: str, checkpoint: str, generation: int = 0, **options,
 ) -> StreamingQuery:
-    """Counts per 10-second step of event time. The watermark bounds the state; sliding
-    windows are put together from the steps when read."""
-    steps = step_counts(events.withWatermark(time, delay), time, by)
-    return start(steps, _to_log(path, generation), checkpoint, mode="update", **options)
+    """Counts per 10-second step of event time, partial ones of each epoch. They add up
+    when read, so an event counts however late it comes and no state is kept."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        write_epoch(step_counts(batch, time, by), path, epoch, generation)
+
+    return start(events, write, checkpoint, **options)
 
 
 def read_rates(spark: SparkSession, path: str, by: list[str]) -> DataFrame:
-    newest = latest_rows(read_log(spark, path), [*by, "step", "generation"], ["epoch_id"])
-    return rates_from_steps(newest.drop(*VERSION), by)
+    steps = read_log(spark, path).groupBy(*by, "step").agg(F.sum("n").cast("bigint").alias("n"))
+    return rates_from_steps(steps, by)
 
 
 def start_counter_stream(
@@ -48,14 +52,44 @@ def read_counters(spark: SparkSession, path: str, labels: list[str]) -> DataFram
     return counter_families(newest.drop(*VERSION))
 
 
+def start_failure_stream(
+    failures: DataFrame, path: str, checkpoint: str, generation: int = 0, **options
+) -> StreamingQuery:
+    """The retry state of a failure log as it grows: keys that failed again are written
+    anew. One state row per failing key."""
+    return start(folded_failures(failures), _to_log(path, generation), checkpoint, mode="update", **options)
+
+
+def read_failures(spark: SparkSession, path: str, **schedule) -> DataFrame:
+    """The newest state per key, with status and next retry. A new generation starts with
+    an empty state, so it has to be fed the whole log again."""
+    newest = latest_rows(read_log(spark, path), ["key"], list(VERSION))
+    return scheduled(newest.drop(*VERSION), **schedule)
+
+
 def drop_redelivered(events: DataFrame, key: str, time: str, delay: str = "1 minute") -> DataFrame:
     """First arrival of each key; later ones within the watermark delay are dropped."""
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
 def start_dedupe_stream(
-    events: DataFrame, key: str, time: str, path: str, checkpoint: str,
-    delay: str = "1 minute", generation: int = 0, **options,
+    events: DataFrame, key: str, time: str, path: str, checkpoint: str, generation: int = 0, **options,
 ) -> StreamingQuery:
-    once = drop_redelivered(events, key, time, delay)
-    return start(once, _to_log(path, generation), checkpoint, **options)
+    """Each key once, however late or often it is delivered.
+
+    An epoch keeps its first row per key unless an earlier epoch has the key: an anti join
+    against the keys of the log, for which only that column is read. ``drop_redelivered``
+    is the form with bounded state, for sources that deliver within a known delay.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        rest = [c for c in batch.columns if c != key]
+        once = batch.groupBy(key).agg(F.min_by(F.struct(*rest), F.col(time)).alias("row")).select(key, "row.*")
+        spark = batch.sparkSession
+        if has_epochs(spark, path):
+            before = (F.col("generation") < generation) | ((F.col("generation") == generation) & (F.col("epoch_id") < epoch))
+            earlier = read_log(spark, path).filter(before)
+            once = once.join(earlier.select(key), key, "left_anti")
+        write_epoch(once.select(*batch.columns), path, epoch, generation)
+
+    return start(events, write, checkpoint, **options)

@@ -62,12 +62,45 @@ def test_one_content_with_most_of_the_rows(spark):
     assert kept.filter("content = 'same text'").first().id == 0
 
 
-def test_dedupe_threshold(spark):
-    df = contents(spark, *["same content here"] * 5)
-    assert quality.clean_documents(df, dedupe_above=5).count() == 5
-    assert quality.clean_documents(df, dedupe_above=4).count() == 1
-    assert quality.clean_documents(df, dedupe_above=0).count() == 1
-    assert quality.clean_documents(df).count() == 5
+def test_dedupe_is_a_choice_and_compares_whole_contents(spark):
+    df = contents(spark, *["same content here"] * 5, "x" * 40000 + "a", "x" * 40000 + "b")
+    assert quality.clean_documents(df).count() == 7
+    kept = quality.clean_documents(df, dedupe=True).collect()
+    assert sorted(r.id for r in kept) == [0, 5, 6] and max(len(r.content) for r in kept) == 40001
+    cut = quality.clean_documents(df, dedupe=True, max_chars=100)
+    assert cut.count() == 3 and cut.agg(F.max(F.length("content"))).first()[0] == 100
+
+
+def test_repeated_rows_of_one_id_collapse(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (None, "b"), (None, "b"), (3, None), (4, None)], "id int, content string")
+    assert sorted(map(tuple, quality.drop_duplicate_content(df).collect()), key=str) == sorted([(1, "a"), (None, "b"), (3, None)], key=str)
+
+
+def test_document_files_with_odd_names_and_broken_lines(spark):
+    from eddyline.sinks.epoch_log import read_log
+    from eddyline.sinks.points import read_points
+    from eddyline.sources.documents import stream_documents
+    from eddyline.streaming.documents import read_ledger, start_document_stream, with_file
+
+    folder = fresh_folder(spark, "odd-files")
+    lines = {"a b": ['{"id": "1", "content": "first document"}', "{broken"], "100% ü": ['{"content": "no id"}'], "bad": ["{", "["]}
+    for name, rows in lines.items():
+        spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.text(f"{folder}/in/{name}")
+    short = lambda: (lambda texts: [np.ones(2)] * len(texts))
+    for run in range(2):
+        stream = with_file(stream_documents(spark, f"{folder}/in", DOCUMENT, glob="*.txt", recursiveFileLookup="true"))
+        start_document_stream(
+            stream, f"{folder}/p", f"{folder}/j", f"{folder}/l{run}", f"{folder}/c{run}", encoder=md5_encoder if run == 0 else short,
+            every=None, generation=run,
+        ).awaitTermination()
+        files = list_files(spark, f"{folder}/in", "*.txt")
+        ledger = read_ledger(spark, f"{folder}/l{run}", files)
+        shown = {r.file.split("/")[-2]: (r.status, r.record_count) for r in ledger.collect()}
+        assert shown == {"a%20b": ("partial", 1), "100%25%20ü": ("success", 1), "bad": ("error", 0)}
+        assert {r.path.split("/")[-2] for r in pending_files(files, ledger).collect()} == {"a%20b", "bad"}
+        reasons = [r.failure_reason for r in read_log(spark, f"{folder}/l{run}-letters").collect()]
+        assert sorted(reasons) == ["embedding_error"] * (2 * run) + ["parse_error"] * 3
+    assert read_points(spark, f"{folder}/p").count() == 2
 
 
 def test_union_of_many_batches(spark):
@@ -110,6 +143,7 @@ def test_corrupt_state_lines_go_to_a_side_output(spark):
     rows, bad = split_corrupt_state(spark.createDataFrame(lines, "value string"), DLQ_STATE)
     assert sorted(r.id for r in rows.collect()) == ["1", "2"]
     assert [r.line for r in bad.collect()] == ["{broken"]
+    assert "_corrupt" not in DLQ_STATE.names
 
 
 def test_json_schema_read(spark):
@@ -122,7 +156,8 @@ def test_json_schema_read(spark):
 def test_kafka_options():
     options = kafka_options("host:9092", "events", group_id="g")
     assert options["subscribe"] == "events" and options["startingOffsets"] == "latest"
-    assert options["failOnDataLoss"] == "false" and options["maxOffsetsPerTrigger"] == "100000"
+    assert options["failOnDataLoss"] == "true" and "maxOffsetsPerTrigger" not in options
+    assert kafka_options("h", "e", max_offsets_per_trigger=5, failOnDataLoss="false")["maxOffsetsPerTrigger"] == "5"
     assert options["kafka.group.id"] == "g"
 
 

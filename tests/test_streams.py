@@ -45,7 +45,7 @@ def test_rate_stream(spark):
     folder = fresh_folder(spark, "rates")
     # The files are not in time order: the delay must cover the whole span.
     monitors.start_rate_stream(
-        as_stream(spark, events), "ts", ["event_type"], f"{folder}/s", f"{folder}/c", delay="60 days", every=None
+        as_stream(spark, events), "ts", ["event_type"], f"{folder}/s", f"{folder}/c", every=None
     ).awaitTermination()
     assert rows(monitors.read_rates(spark, f"{folder}/s", ["event_type"])) == rows(sliding_rates(events, "ts", ["event_type"]))
 
@@ -64,7 +64,7 @@ def test_redelivered_events_come_out_once(spark):
     events = tables.table(spark, SF, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_id")
     folder = fresh_folder(spark, "dedupe")
     monitors.start_dedupe_stream(
-        as_stream(spark, events.unionAll(events)), "event_id", "ts", f"{folder}/e", f"{folder}/c", delay="60 days", every=None
+        as_stream(spark, events.unionAll(events)), "event_id", "ts", f"{folder}/e", f"{folder}/c", every=None
     ).awaitTermination()
     assert rows(read_log(spark, f"{folder}/e").select("ts", "event_id")) == rows(events)
 
@@ -81,3 +81,37 @@ def test_a_failed_write_is_not_committed(spark):
     # The same checkpoint delivers the batch again once the store works.
     start(stream, lambda b, e: write_epoch(b, f"{folder}/out", e), f"{folder}/c", every=None).awaitTermination()
     assert read_log(spark, f"{folder}/out").count() == 10
+
+
+def test_no_record_is_lost(spark):
+    """Input = points + letters, with lost ids, odd vectors and an encoder that fails."""
+    import numpy as np
+
+    raw = tables.raw_records(spark, SF)
+    text = F.col("value").cast("string")
+    raw = raw.withColumn("value", F.when(F.col("offset") % 11 == 0, F.regexp_replace(text, r'"event_id":"\d+",', "")).otherwise(text).cast("binary"))
+
+    def shaky():
+        def encode(texts):
+            if any("view" in t for t in texts) and len(texts) > 1:
+                return [np.ones(384)]
+            return [np.ones(3) if "click" in t else np.full(384, np.nan) if "error" in t else np.ones(384) for t in texts]
+
+        return encode
+
+    folder = fresh_folder(spark, "lossless")
+    start_point_stream(as_stream(spark, raw), f"{folder}/p", f"{folder}/d", f"{folder}/c", encoder=shaky, every=None).awaitTermination()
+    points, letters = read_points(spark, f"{folder}/p"), read_log(spark, f"{folder}/d")
+    assert points.count() + letters.count() == raw.count()
+    assert {r.failure_reason for r in letters.select("failure_reason").distinct().collect()} == {"validation_error", "embedding_error"}
+    assert letters.filter("original_value IS NULL").count() == 0 and points.filter("id IS NULL OR id = ''").count() == 0
+
+
+def test_retention_of_epochs(spark):
+    from eddyline.sinks.epoch_log import drop_epochs, epochs
+
+    folder = fresh_folder(spark, "retention")
+    for epoch in range(4):
+        write_epoch(spark.range(epoch + 1), folder, epoch)
+    assert drop_epochs(spark, folder, before=2) == 2 and epochs(spark, folder) == [(0, 2), (0, 3)]
+    assert read_log(spark, folder).count() == 7

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from eddyline.operators.vectors import cosine_top_k, search_similar, split_missing
 from eddyline.session import fresh_folder
+from eddyline.sinks.epoch_log import epochs
 from eddyline.sinks.points import compact, read_points, split_by_width, upsert_points, with_payload, with_point_ids
 
 
@@ -57,6 +58,20 @@ def test_zero_short_and_missing_vectors(spark):
     assert (fitting.count(), others.count()) == (2, 3)
 
 
+def test_vectors_that_are_no_numbers_are_refused(spark):
+    nan, inf = float("nan"), float("inf")
+    odd = spark.createDataFrame([(0, [nan, 1.0]), (1, [1.0, 0.0]), (2, [inf, 0.0]), (3, [1.0])], "id long, vector array<double>")
+    assert [r.id for r in search_similar(odd, [1.0, 0.0]).collect()] == [1]
+    found = cosine_top_k(odd, odd, 3, 2).collect()
+    assert sorted((r.query_id, r.id) for r in found if r.id is not None) == [(1, 1)]
+    assert sorted(r.query_id for r in found if r.id is None) == [0, 2, 3]
+
+
+def test_repeated_query_ids_in_many_blocks(spark):
+    many = spark.createDataFrame([(7, [1.0, 0.0])] * 40, "id long, vector array<double>")
+    assert cosine_top_k(many, many.limit(1), 1, 2, block_bytes=2 * 8 * 4).count() >= 1
+
+
 def test_no_corpus_and_no_queries(spark):
     empty = spark.createDataFrame([], "id long, vector array<double>")
     some = frame(spark, np.ones((2, 2)))
@@ -83,10 +98,14 @@ def test_upsert_replay_compaction_and_generations(spark):
     assert shown(spark, path) == expected
     compact(spark, path)
     assert shown(spark, path) == expected
+    # Replayed after folding, with another outcome: the newest write of an epoch wins.
+    upsert_points(points(spark, [("a", [7.0], {"v": "1c"}, 2)]), path, 1)
+    assert shown(spark, path) == {"a": ("1c", 0, 1), "b": ("0", 0, 0)}
     upsert_points(points(spark, [("b", [9.0], {"v": "2"}, 4), ("c", [9.0], {"v": "2"}, 5)]), path, 2)
-    expected = {"a": ("1b", 0, 1), "b": ("2", 0, 2), "c": ("2", 0, 2)}
+    expected = {"a": ("1c", 0, 1), "b": ("2", 0, 2), "c": ("2", 0, 2)}
     assert shown(spark, path) == expected
-    compact(spark, path)
+    compact(spark, path, retire=True)
+    assert epochs(spark, path) == [(0, 2)] and shown(spark, path) == expected
     # A restarted query begins at epoch 0 again, in a new generation.
     upsert_points(points(spark, [("a", [4.0], {"v": "3"}, 0)]), path, 0, generation=1)
     assert shown(spark, path) == expected | {"a": ("3", 1, 0)}

@@ -3,16 +3,27 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.session import fresh_folder
+from eddyline.session import fresh_folder, ship_package
 
 # The ASCII white space that separates words and is stripped from lines.
 ASCII_SPACE = "\t\n\x0b\x0c\r "
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+ARROW_BATCH = "8m"
+
+
+def prepare(spark: SparkSession) -> None:
+    """What every query here needs of a session: the package on the executors, and Arrow
+    batches small enough that texts held at once, in the JVM and in Python, stay few."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return table.select(*columns) if columns else table
@@ -56,5 +67,14 @@ def by_size(sizes, limit: int):
         yield start, len(sizes)
 
 
+def slices(batch: pa.RecordBatch, name: str, limit: int):
+    """The batch in runs of rows whose cells of ``name`` (texts or lists) add up to about
+    ``limit`` bytes or items, so that only one run at a time becomes Python objects."""
+    column = batch.column(name)
+    measure = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+    for a, b in by_size(pc.fill_null(measure(column), 0).to_pylist(), limit):
+        yield batch.slice(a, b - a)
+
+
 def strings(batch: pa.RecordBatch, name: str) -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import ASCII_SPACE, ascii_lower, parts, strings, whole_text
+from eddyline.llm.common import ASCII_SPACE, ascii_lower, parts, slices, strings, whole_text
 from eddyline.llm.cuckoo import CuckooFilter, built
 
 KEY = ["hi", "lo"]
@@ -257,7 +257,7 @@ class LineIndex:
 
 def _cut(batches):
     """mapInArrow body: takes the lines with a dropped key out of the texts."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text", 1 << 20)):
         texts, dropped = strings(batch, "text"), np.zeros(batch.num_rows, np.int64)
         drop_keys, hashes = batch.column("drop_keys"), batch.column("hashes")
         for i in np.flatnonzero(drop_keys.is_valid().to_numpy(zero_copy_only=False)):

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import read_table, remainder_of_id
-from eddyline.session import fresh_folder, ship_package
+from eddyline.llm.common import prepare, read_table
+from eddyline.session import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +18,7 @@ BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 def query(name: str, sql: str | None = None):
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return build(spark, sf_dir)
 
         QUERIES[name] = run

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from heapq import heappop, heappush
 from itertools import chain
 from zlib import crc32
 
@@ -18,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import by_size, strings, whole_text
+from eddyline.llm.common import by_size, slices, strings, whole_text
 
 SPACE = "▁"  # Fixed value: how a blank is written inside pieces.
-CACHE_ENTRIES = 120_000
-BATCH_CHARS = 1 << 20
+CACHE_ENTRIES = 60_000
+BATCH_BYTES = 1 << 20
+BATCH_IDS = 1 << 19
 CELLS = 1 << 18
+LONG_UNIT = 512
 NEVER = np.iinfo(np.int32).max
 def fine_units(pieces) -> re.Pattern:
     """A run of letters, of digits or of other characters with the blanks before it.
@@ -52,12 +55,8 @@ class MergeCodec:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
         pieces = [model.id_to_piece(i) for i in range(n)]
-        self.bytes_of = [
-            bytes([int(p[3:5], 16)]) if model.is_byte(i) else b"" if model.is_control(i) or model.is_unknown(i)
-            else p.replace(SPACE, " ").encode()
-            for i, p in enumerate(pieces)
-        ]
-        self.byte_id = {self.bytes_of[i][0]: i for i in range(n) if model.is_byte(i)}
+        self.spellings = spellings_of(model)
+        self.byte_id = {int(p[3:5], 16): i for i, p in enumerate(pieces) if model.is_byte(i)}
         plain = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.symbol = {pieces[i]: i for i in plain}
         if not self.byte_id or model.normalize("ﬁ  x\n") != f"{SPACE}ﬁ{SPACE}{SPACE}x\n":
@@ -107,13 +106,55 @@ class MergeCodec:
     def merge(self, units: list[str], variant: int) -> list[tuple[int, ...]]:
         start = (self.seed * 0x9E3779B1 + variant * 0xC2B2AE35) & 0xFFFFFFFF
         out: list = [None] * len(units)
-        by_length = sorted(range(len(units)), key=lambda i: len(units[i]))
+        by_length = sorted((i for i in range(len(units)) if len(units[i]) <= LONG_UNIT), key=lambda i: len(units[i]))
         for a, b in by_size([len(units[i]) for i in by_length], CELLS):
             rows = by_length[a:b]
             for row, cut in zip(rows, self._merge_block([units[i] for i in rows], start)):
                 out[row] = cut
+        for i, unit in enumerate(units):
+            if out[i] is None:
+                out[i] = self._merge_long(unit, crc32(unit.encode(), start))
         return out
 
+    def _merge_long(self, unit: str, key: int) -> tuple[int, ...]:
+        """The same for one long run of letters, by an agenda of candidates."""
+        parts = [self.symbol.get(c, -1) for c in unit]
+        n = len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        union_of = dict(zip(self.pairs.tolist(), self.unions.tolist()))
+        agenda: list = []
+
+        def consider(i, j):
+            union = union_of.get(parts[i] << 32 | parts[j]) if parts[i] >= 0 <= parts[j] else None
+            if union is not None:
+                heappush(agenda, (int(self.rank[union]), i, parts[i], parts[j], union))
+
+        for i in range(n - 1):
+            consider(i, i + 1)
+        gone = bytearray(n)
+        while agenda:
+            _, i, left, right, union = heappop(agenda)
+            j = after[i]
+            if gone[i] or j >= n or parts[i] != left or parts[j] != right:
+                continue
+            if self.limit and self._candidates(
+                np.uint32(key), np.array([i], np.uint32), np.array([left], np.int32), np.array([right], np.int32)
+            )[1][0] == NEVER:
+                continue
+            parts[i], gone[j] = union, 1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                consider(i, after[i])
+            if before[i] >= 0:
+                consider(before[i], i)
+        out: list[int] = []
+        for i, part in enumerate(parts):
+            if not gone[i]:
+                known = 0 <= part < self.n_pieces
+                out += [part] if known else [self.byte_id[b] for b in unit[i].encode()]
+        return tuple(out)
+
     def _merge_block(self, units, start):
         width = max(map(len, units))
         points, flat = np.unique(np.frombuffer("".join(units).encode("utf-32-le"), np.uint32), return_inverse=True)
@@ -206,24 +247,40 @@ class MergeCodec:
         return self.encode_many([text], [stream])[0]
 
     def decode(self, ids) -> str:
-        of = self.bytes_of
-        text = b"".join([of[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+        return decoded(self.spellings, np.asarray(ids, np.int64), [0, len(ids)])[0]
+
+
+def spellings_of(model) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets): what each id of a model stands for, back to back."""
+    spelled = [
+        bytes([int(p[3:5], 16)]) if model.is_byte(i) else b"" if model.is_control(i) or model.is_unknown(i)
+        else p.replace(SPACE, " ").encode()
+        for i, p in enumerate(map(model.id_to_piece, range(model.get_piece_size())))
+    ]
+    return np.frombuffer(b"".join(spelled), np.uint8), np.cumsum([0, *map(len, spelled)])
+
+
+def decoded(spellings, ids: np.ndarray, ends) -> list[str]:
+    """Texts of consecutive runs of ids; the blank before the first word is no part."""
+    letters, offsets = spellings
+    lengths = (offsets[1:] - offsets[:-1])[ids]
+    stops = np.concatenate([[0], np.cumsum(lengths)])
+    flat = letters[np.arange(stops[-1]) + np.repeat(offsets[ids] - stops[:-1], lengths)].tobytes()
+    texts = [flat[stops[a] : stops[b]].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+    return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
 def _encoder(path, dropout, seed, variants):
     def body(batches):
         codec = None
-        for batch in batches:
+        for whole in batches:
             codec = codec or MergeCodec(path, dropout, seed, variants)
-            texts, streams = strings(batch, "text"), batch.column("stream").to_pylist()
-            for a, b in by_size([len(t) for t in texts], BATCH_CHARS):
-                encoded = codec.encode_many(texts[a:b], streams[a:b])
+            for batch in slices(whole, "text", BATCH_BYTES):
+                encoded = codec.encode_many(strings(batch, "text"), batch.column("stream").to_pylist())
                 ends = np.cumsum([0, *map(len, encoded)]).astype(np.int32)
                 flat = np.concatenate([np.frombuffer(e, np.int32) for e in encoded])
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                columns = [batch.column(c).slice(a, b - a) for c in ("doc_id", "text")]
-                yield pa.RecordBatch.from_arrays([*columns, lists], names=["doc_id", "text", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), lists], names=["doc_id", "text", "ids"])
 
     return body
 
@@ -242,15 +299,18 @@ def encode_pieces(docs: DataFrame, model_path: str, dropout: float = 0.1, seed:
 
 def _decoder(path):
     def body(batches):
-        codec = None
-        for batch in batches:
-            codec = codec or MergeCodec(path, 0.0, 0, 1)
-            lists = batch.column("ids")
-            flat, ends = lists.flatten().to_numpy(zero_copy_only=False).tolist(), lists.offsets.to_pylist()
-            base = ends[0]
-            texts = [codec.decode(flat[a - base : b - base]) for a, b in zip(ends, ends[1:])]
-            names = [n for n in batch.schema.names if n != "ids"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(texts, pa.string())], names=[*names, "decoded"])
+        import sentencepiece
+
+        spellings = None
+        for whole in batches:
+            spellings = spellings or spellings_of(sentencepiece.SentencePieceProcessor(model_file=path))
+            for batch in slices(whole, "ids", BATCH_IDS):
+                lists = batch.column("ids")
+                ends = lists.offsets.to_numpy().astype(np.int64)
+                ids = lists.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]].astype(np.int64)
+                texts = decoded(spellings, ids, (ends - ends[0]).tolist())
+                names = [n for n in batch.schema.names if n != "ids"]
+                yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(texts, pa.string())], names=[*names, "decoded"])
 
     return body
 

@@ -207,6 +207,22 @@ def test_merge_agenda_by_hand():
     assert len(varied) > len(units)
 
 
+def test_long_runs_of_letters():
+    """The agenda and the array form agree, and one long run takes no square time."""
+    from eddyline.llm import piece_codec as p
+
+    run = "".join(np.random.default_rng(4).choice(list("etaoinshrdlué日"), 400))
+    for dropout in (0.0, 0.3):
+        codec = _codec(dropout)
+        by_array = codec.merge([run], 1)
+        was, p.LONG_UNIT = p.LONG_UNIT, 10
+        try:
+            assert codec.merge([run], 1) == by_array
+        finally:
+            p.LONG_UNIT = was
+        assert codec.decode(codec.encode(run * 100)) == run * 100
+
+
 def test_pieces_on_awkward_rows(spark, odd, nothing):
     from eddyline.llm.piece_codec import decode_pieces, encode_pieces
 

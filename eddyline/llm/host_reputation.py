@@ -112,7 +112,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, block_above: float = 0.3, rules
     split by adaptive execution, or not moved at all when that side is small.
     """
     at = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    scores = reputations(at.select("host").distinct(), outcomes)
+    # As a table of known size: broadcast when small, else a join that can be split.
+    scores = written(reputations(at.select("host").distinct(), outcomes), "host-scores")
     rule, decided = matching_rule(F.col("host"), F.col("path"), rules)
     learned = F.when(F.col("lower") > block_above, F.lit("block")).otherwise(F.lit("allow"))
     return at.join(scores, "host", "left").select(

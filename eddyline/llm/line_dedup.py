@@ -4,8 +4,9 @@ State, in a folder all executors reach:
 
 * ``references``: the exact table. One row per change: (key, doc_id, +1 or -1) for each
   distinct key of a document inserted or deleted. Its sums are the reference counts.
-* ``filters``: one cuckoo filter per shard over the keys that reach ``min_docs``
-  documents. An insertion adds the keys that got there, a deletion takes out those that
+* ``repeated``: the counts of the keys that reach ``min_docs`` documents, with the
+  largest document of each.
+* ``filters``: one cuckoo filter per shard over those keys. An insertion adds the keys that got there, a deletion takes out those that
   fell below. A shard is a slice of the key hash.
 
 ``dedupe`` asks the filters about each line key; only keys they report go on to the
@@ -14,6 +15,8 @@ exact table, which settles false alarms and names the document that keeps its li
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +28,7 @@ from eddyline.llm.cuckoo import CuckooFilter, built
 KEY = ["hi", "lo"]
 REFERENCE = "hi bigint, lo bigint, doc_id bigint, delta int"
 FILTER = "shard int, kept binary"
+REPEATED = "hi bigint, lo bigint, n_docs bigint, last_doc bigint"
 
 
 def line_key(line: Column) -> Column:
@@ -131,7 +135,7 @@ class LineIndex:
         self.changes = 0
         self.deleted = False
         self.shards = 0
-        self.filters_path = None
+        self.filters_path = self.repeated_path = None
 
     # -- exact table
 
@@ -146,9 +150,19 @@ class LineIndex:
             held = net.filter("n > 0")
         return held.groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
 
-    def repeated(self, references: DataFrame | None = None) -> DataFrame:
+    def _over_limit(self, references: DataFrame | None = None) -> DataFrame:
         return self.counts(references).filter(F.col("n_docs") >= self.min_docs)
 
+    def repeated(self) -> DataFrame:
+        """The keys whose lines go, as a table: a join with it shuffles both sides, so a
+        very frequent key can be split."""
+        return self.spark.read.schema(REPEATED).parquet(self.repeated_path)
+
+    def _write_repeated(self, rows: DataFrame) -> None:
+        path = f"{self.path}/repeated/{self.changes}"
+        rows.select("hi", "lo", "n_docs", "last_doc").write.parquet(path)
+        self.repeated_path = path
+
     # -- changes
 
     def insert(self, docs: DataFrame) -> None:
@@ -164,19 +178,20 @@ class LineIndex:
         keys.select(*KEY, "doc_id", "delta").write.parquet(step)
         self.changes += 1
         if self.changes == 1:
+            self._write_repeated(self._over_limit())
             self._build_filters()
             return
         changed = self.spark.read.schema(REFERENCE).parquet(step)
         touched = changed.select(*KEY).distinct()
-        # Only touched keys are counted again: before this change and after it.
+        # Only touched keys are counted again.
         now = self._references().join(touched, KEY, "left_semi")
-        after = self.repeated(now).select(*KEY)
-        undone = now.unionByName(changed.withColumn("delta", -F.col("delta")))
-        was, self.deleted = self.deleted, True
-        before = self.repeated(undone).select(*KEY)
-        self.deleted = was
-        added = after.join(before, KEY, "left_anti").withColumn("change", F.lit(1))
-        dropped = before.join(after, KEY, "left_anti").withColumn("change", F.lit(-1))
+        held = self.repeated()
+        untouched = held.join(touched, KEY, "left_anti")
+        before = held.join(touched, KEY, "left_semi")
+        self._write_repeated(untouched.unionByName(self._over_limit(now)))
+        after = self.repeated().join(touched, KEY, "left_semi")
+        added = after.join(before, KEY, "left_anti").select(*KEY, F.lit(1).alias("change"))
+        dropped = before.join(after, KEY, "left_anti").select(*KEY, F.lit(-1).alias("change"))
         self._update_filters(added.unionByName(dropped))
 
     # -- filters
@@ -185,14 +200,12 @@ class LineIndex:
         return self.spark.read.schema(FILTER).parquet(self.filters_path)
 
     def _write_filters(self, filters: DataFrame) -> None:
-        path = f"{self.path}/filters/{self.changes}"
+        path = f"{self.path}/filters/{self.changes}-{uuid.uuid4().hex}"
         filters.write.parquet(path)
         self.filters_path = path
 
     def _build_filters(self) -> None:
-        from eddyline.llm.common import written
-
-        keys = written(self.repeated().select("hi"), "repeated-keys")
+        keys = self.repeated().select("hi")
         # Shards follow the number of keys, so no filter outgrows a task.
         self.shards = max(1, -(-keys.count() // self.keys_per_shard))
         placed = keys.select(_shard(self.shards).alias("shard"), "hi").repartition("shard").sortWithinPartitions("shard")

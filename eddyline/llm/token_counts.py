@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import by_size, strings, whole_text
+from eddyline.llm.common import by_size, slices, strings, whole_text, written
 
 SCHEMA = "digest binary, n_tokens bigint, tokenizer string"
 LONG_TEXT = 1 << 20
@@ -86,7 +86,7 @@ def tokenizer_digest(path: str) -> str:
 def _encode(path: str):
     def body(batches):
         counter = None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", 1 << 20)):
             if counter is None:
                 counter = JsonCounter(path) if path.endswith(".json") else ModelCounter(path)
             counts = counter.counts(strings(batch, "text"))
@@ -125,7 +125,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str) -> DataFrame:
         "doc_id", text.alias("text"), F.octet_length(text).cast("bigint").alias("n_bytes"),
         F.unhex(F.sha2(text, 256)).alias("digest"),
     )
-    wanted = keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    wanted = written(keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "digests")
     missing = wanted.join(stored_counts(spark, cache, version), "digest", "left_anti")
     # A digest whose rows all lack an id has no row to borrow from by id: those few
     # go by digest instead. Rows that share an id and a text are encoded once.
@@ -134,5 +134,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str) -> DataFrame:
     texts = by_id.unionByName(without.select("digest", "text", "doc_id"))
     new = texts.select("digest", "text").mapInArrow(_encode(tokenizer_path), "digest binary, n_tokens bigint")
     new.write.mode("append").parquet(f"{cache}/tokenizer={version}")
-    counts = stored_counts(spark, cache, version)
+    # As a table of its own, so that the join below shuffles both sides and can be split.
+    counts = written(stored_counts(spark, cache, version).join(wanted, "digest", "left_semi"), "counts")
     return keyed.drop("text").join(counts, "digest", "left").select("doc_id", "digest", "n_bytes", "n_tokens")

@@ -2,8 +2,10 @@
 
 Without dropout the pieces are those the ``sentencepiece`` library gives for a merge
 model with byte fallback. With dropout, a candidate merge that comes off the agenda is
-skipped when its keyed hash falls under ``dropout``; the same seed gives the same pieces
-on any cluster, another seed gives others, and all of them decode to the same text.
+skipped when its keyed hash falls under ``dropout``. The key holds the seed, the document
+and the place of the unit in it, so every word of every document is drawn anew; the same
+seed gives the same pieces on any cluster, another seed gives others, and all of them
+decode to the same text.
 """
 
 from __future__ import annotations
@@ -40,16 +42,16 @@ COARSE = re.compile(rf"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
 class MergeCodec:
-    """``variants`` independent streams of skips exist per seed. A unit of text (blanks and
-    a run of letters) takes the stream of its document and place, so one word is cut in up
-    to that many ways, and its cuts can be kept for the next time it comes up.
+    """A skip is a pure function of a unit's key, the place and the length of the union, so
+    working off the agenda means: merge the best pair that is not skipped until none is
+    left. Many units take these steps together, as rows of arrays.
 
-    A skip is a pure function of unit, stream, place and length of the union, so working
-    off the agenda means: merge the best pair that is not skipped until none is left. Many
-    units take these steps together, as rows of arrays.
+    Kept for the next time is only what no draw decides: a unit's plain cut, and the merges
+    that lead to it. Where none of these is skipped the plain cut is the result, as skips of
+    other candidates change nothing; any other unit is merged with its own draws.
     """
 
-    def __init__(self, path: str, dropout: float, seed: int, variants: int):
+    def __init__(self, path: str, dropout: float, seed: int, cache_entries: int = CACHE_ENTRIES):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -70,9 +72,9 @@ class MergeCodec:
         self._pair_table({pieces[i]: (i, -model.get_score(i)) for i in plain})
         self.blank = tuple(self.byte_id[b] for b in SPACE.encode())
         self.limit = int(dropout * 2**32)
-        self.seed, self.variants = seed, variants if dropout else 1
-        self.young = [{} for _ in range(self.variants)]
-        self.old = [{} for _ in range(self.variants)]
+        self.seed, self.cache_entries = seed, cache_entries
+        self.young: dict = {}
+        self.old: dict = {}
 
     def _pair_table(self, scored) -> None:
         """Pairs of symbols whose union is a piece, sorted for lookup; ranks by score."""
@@ -90,33 +92,51 @@ class MergeCodec:
         by_key = np.argsort(np.array(keys, np.int64))
         self.pairs, self.unions = np.array(keys, np.int64)[by_key], np.array(unions, np.int32)[by_key]
 
+    def _skipped(self, key, code):
+        """Whether draws under ``key`` skip the candidates of these codes."""
+        x = key ^ code
+        x = (x ^ (x >> np.uint32(16))) * np.uint32(0x7FEB352D)
+        x = (x ^ (x >> np.uint32(15))) * np.uint32(0x846CA68B)
+        return (x ^ (x >> np.uint32(16))) < self.limit
+
+    def _code(self, place, union):
+        return place * np.uint32(0x9E3779B1) + self.length[union] * np.uint32(0x85EBCA77)
+
     def _candidates(self, key, place, left, right):
-        """(union, rank) of neighbours; NEVER where no piece or a skipped one."""
+        """(union, rank) of neighbours; NEVER where no piece or a skipped one. Without a
+        key none is skipped."""
         wanted = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
         found = (self.pairs[at] == wanted) & (left >= 0) & (right >= 0)
         union = np.where(found, self.unions[at], 0)
-        if self.limit:
-            x = key ^ (place * np.uint32(0x9E3779B1) + self.length[union] * np.uint32(0x85EBCA77))
-            x = (x ^ (x >> np.uint32(16))) * np.uint32(0x7FEB352D)
-            x = (x ^ (x >> np.uint32(15))) * np.uint32(0x846CA68B)
-            found &= (x ^ (x >> np.uint32(16))) >= self.limit
+        if key is not None and self.limit:
+            found &= ~self._skipped(key, self._code(place, union))
         return union, np.where(found, self.rank[union], NEVER)
 
     def merge(self, units: list[str], variant: int) -> list[tuple[int, ...]]:
+        """Cuts of units outside any document, each drawn by itself and ``variant``."""
         start = (self.seed * 0x9E3779B1 + variant * 0xC2B2AE35) & 0xFFFFFFFF
+        return self._merge(units, np.array([crc32(u.encode(), start) for u in units], np.uint32))
+
+    def _merge(self, units: list[str], keys, paths: list | None = None) -> list[tuple[int, ...]]:
+        """Cuts by each unit's key, plain ones if ``keys`` is None. ``paths`` takes the
+        codes of each unit's merges, as bytes; a long unit's place in it stays as it is."""
         out: list = [None] * len(units)
         by_length = sorted((i for i in range(len(units)) if len(units[i]) <= LONG_UNIT), key=lambda i: len(units[i]))
         for a, b in by_size([len(units[i]) for i in by_length], CELLS):
             rows = by_length[a:b]
-            for row, cut in zip(rows, self._merge_block([units[i] for i in rows], start)):
+            cuts, codes = self._merge_block([units[i] for i in rows], None if keys is None else keys[rows], paths is not None)
+            for row, cut in zip(rows, cuts):
                 out[row] = cut
+            if paths is not None:
+                for row, code in zip(rows, codes):
+                    paths[row] = code
         for i, unit in enumerate(units):
             if out[i] is None:
-                out[i] = self._merge_long(unit, crc32(unit.encode(), start))
+                out[i] = self._merge_long(unit, None if keys is None else keys[i])
         return out
 
-    def _merge_long(self, unit: str, key: int) -> tuple[int, ...]:
+    def _merge_long(self, unit: str, key) -> tuple[int, ...]:
         """The same for one long run of letters, by an agenda of candidates."""
         parts = [self.symbol.get(c, -1) for c in unit]
         n = len(parts)
@@ -137,9 +157,7 @@ class MergeCodec:
             j = after[i]
             if gone[i] or j >= n or parts[i] != left or parts[j] != right:
                 continue
-            if self.limit and self._candidates(
-                np.uint32(key), np.array([i], np.uint32), np.array([left], np.int32), np.array([right], np.int32)
-            )[1][0] == NEVER:
+            if key is not None and self.limit and self._skipped(key, self._code(np.array([i], np.uint32), np.array([union])))[0]:
                 continue
             parts[i], gone[j] = union, 1
             after[i] = after[j]
@@ -155,7 +173,8 @@ class MergeCodec:
                 out += [part] if known else [self.byte_id[b] for b in unit[i].encode()]
         return tuple(out)
 
-    def _merge_block(self, units, start):
+    def _merge_block(self, units, key, with_codes):
+        """(cuts, codes of the merges of each unit as bytes, if wanted)."""
         width = max(map(len, units))
         points, flat = np.unique(np.frombuffer("".join(units).encode("utf-32-le"), np.uint32), return_inverse=True)
         letters = [chr(c) for c in points.tolist()]
@@ -165,9 +184,9 @@ class MergeCodec:
         sym = np.full((len(units), width + 1), -1, np.int32)
         lengths = np.array([len(u) for u in units])
         sym[np.arange(width + 1) < lengths[:, None]] = codes[flat]
-        key = np.array([crc32(u.encode(), start) for u in units], np.uint32)
+        steps: list = []
         place = np.broadcast_to(np.arange(width + 1, dtype=np.uint32), sym.shape).copy()
-        union, rank = self._candidates(key[:, None], place[:, :-1], sym[:, :-1], sym[:, 1:])
+        union, rank = self._candidates(None if key is None else key[:, None], place[:, :-1], sym[:, :-1], sym[:, 1:])
         done = np.empty_like(sym)
         row_of = np.arange(len(units))
         while len(row_of):
@@ -177,10 +196,13 @@ class MergeCodec:
             if not going.all():
                 done[row_of[~going], : sym.shape[1]] = sym[~going]
                 done[row_of[~going], sym.shape[1] :] = -1
-                row_of, sym, place, key, union, rank, best = (x[going] for x in (row_of, sym, place, key, union, rank, best))
+                row_of, sym, place, union, rank, best = (x[going] for x in (row_of, sym, place, union, rank, best))
+                key = None if key is None else key[going]
                 rows = np.arange(len(row_of))
                 if not len(row_of):
                     break
+            if with_codes:
+                steps.append((row_of, self._code(place[rows, best], union[rows, best])))
             sym[rows, best] = union[rows, best]
             columns = np.arange(sym.shape[1] - 1)
             after = columns + (columns > best[:, None])
@@ -194,54 +216,92 @@ class MergeCodec:
             for k in (best - 1, best):
                 ok = (k >= 0) & (k < rank.shape[1])
                 r, k = rows[ok], k[ok]
-                union[r, k], rank[r, k] = self._candidates(key[r], place[r, k], sym[r, k], sym[r, k + 1])
+                union[r, k], rank[r, k] = self._candidates(None if key is None else key[r], place[r, k], sym[r, k], sym[r, k + 1])
         names = {int(i): c for c, i in zip(letters, codes) if i >= self.n_pieces}
         used = done >= 0
         flat, ends = done[used].tolist(), used.sum(1).cumsum().tolist()
         cuts = [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+        codes = self._by_row(steps, len(units)) if with_codes else None
         if not names:
-            return cuts
+            return cuts, codes
         spelled = {i: tuple(self.byte_id[b] for b in c.encode()) for i, c in names.items()}
-        return [c if max(c) < self.n_pieces else tuple(chain.from_iterable(spelled.get(i, (i,)) for i in c)) for c in cuts]
+        return [c if max(c) < self.n_pieces else tuple(chain.from_iterable(spelled.get(i, (i,)) for i in c)) for c in cuts], codes
+
+    @staticmethod
+    def _by_row(steps, n: int) -> list[bytes]:
+        rows = np.concatenate([np.zeros(0, np.int64), *(r for r, _ in steps)])
+        codes = np.concatenate([np.zeros(0, np.uint32), *(c for _, c in steps)])
+        flat = codes[np.argsort(rows, kind="stable")].tobytes()
+        ends = (4 * np.bincount(rows, minlength=n).cumsum()).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def encode_many(self, texts: list[str], streams: list[int]) -> list[array]:
         """The mark of a blank itself, should a text hold it, goes as bytes, so that it
         stays apart from a blank when decoded."""
-        variants = self.variants
-        for v in range(variants):
-            if len(self.young[v]) >= CACHE_ENTRIES:
-                self.old[v], self.young[v] = self.young[v], {}
         runs = [
             [self.unit.findall(((SPACE if k == 0 else "") + run).replace(" ", SPACE)) for k, run in enumerate(text.split(SPACE))]
             if text else [] for text in texts
         ]
-        missing = [set() for _ in range(variants)]
-        for of_text, stream in zip(runs, streams):
-            for units in of_text:
-                for k in range(variants):
-                    v = (stream + k) % variants
-                    missing[v].update(set(units[k::variants]).difference(self.young[v]))
-        for v, units in enumerate(missing):
-            self._remember(v, units)
-        out = []
-        for of_text, stream in zip(runs, streams):
+        cuts = self._cuts(runs, streams)
+        out, at = [], 0
+        for of_text in runs:
             ids = array("i")
             for r, units in enumerate(of_text):
                 if r:
                     ids.extend(self.blank)
-                cuts: list = [()] * len(units)
-                for k in range(variants):
-                    cuts[k::variants] = map(self.young[(stream + k) % variants].__getitem__, units[k::variants])
-                ids.extend(chain.from_iterable(cuts))
+                ids.extend(chain.from_iterable(cuts[at : at + len(units)]))
+                at += len(units)
             out.append(ids)
         return out
 
-    def _remember(self, v: int, units: set[str]) -> None:
-        """Two generations of cuts: what was not used for a while goes, memory is bounded."""
-        old, young = self.old[v], self.young[v]
-        new = sorted(units - old.keys())
-        young.update((u, old[u]) for u in units & old.keys())
-        young.update(zip(new, self.merge(new, v)))
+    def _cuts(self, runs, streams) -> list[tuple[int, ...]]:
+        """The cut of every unit, one after the other."""
+        units = list(chain.from_iterable(chain.from_iterable(runs)))
+        distinct = list(dict.fromkeys(units))
+        known = self._plain(distinct)
+        number = dict(zip(distinct, range(len(distinct))))
+        at = np.fromiter(map(number.__getitem__, units), np.int64, len(units))
+        plain = [cut for cut, _ in known]
+        cuts = list(map(plain.__getitem__, at.tolist()))
+        if not self.limit or not units:
+            return cuts
+        counts = np.array([sum(map(len, of_text)) for of_text in runs])
+        of_text = np.repeat(np.arange(len(runs)), counts)
+        place = (np.arange(len(units)) - (np.cumsum(counts) - counts)[of_text]).astype(np.uint64)
+        salts = np.array([crc32(u.encode()) for u in distinct], np.uint32)
+        keys = self._keys(np.array(streams, np.int64).view(np.uint64)[of_text], place) ^ salts[at]
+        # Long units have no path: they are always drawn.
+        sizes = np.array([len(path or b"") // 4 for _, path in known])
+        codes = np.frombuffer(b"".join(path or b"" for _, path in known), np.uint32)
+        n = sizes[at]
+        row = np.repeat(np.arange(len(units)), n)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat((np.cumsum(sizes) - sizes)[at], n)
+        drawn = np.array([path is None for _, path in known])[at]
+        drawn[row[self._skipped(keys[row], codes[step])]] = True
+        again = np.flatnonzero(drawn)
+        for i, cut in zip(again.tolist(), self._merge([units[i] for i in again.tolist()], keys[again])):
+            cuts[i] = cut
+        return cuts
+
+    def _keys(self, stream, place):
+        """32 bits from the seed, a document's stream and the place of a unit in it."""
+        x = (stream ^ np.uint64(self.seed * 0xD6E8FEB86659FD93 & (1 << 64) - 1)) + (place + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return (x ^ (x >> np.uint64(31))).astype(np.uint32)
+
+    def _plain(self, units: list[str]) -> list[tuple]:
+        """(cut, merges) of distinct units without draws. Two generations are kept: what was
+        not used for a while goes, memory is bounded."""
+        if len(self.young) >= self.cache_entries:
+            self.old, self.young = self.young, {}
+        missing = set(units).difference(self.young)
+        young, old = self.young, self.old
+        young.update((u, old[u]) for u in missing & old.keys())
+        new = sorted(missing - old.keys())
+        paths: list = [None] * len(new)
+        young.update(zip(new, zip(self._merge(new, None, paths), paths)))
+        return list(map(young.__getitem__, units))
 
     def encode(self, text: str, stream: int = 0) -> array:
         return self.encode_many([text], [stream])[0]
@@ -270,11 +330,11 @@ def decoded(spellings, ids: np.ndarray, ends) -> list[str]:
     return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
-def _encoder(path, dropout, seed, variants):
+def _encoder(path, dropout, seed):
     def body(batches):
         codec = None
         for whole in batches:
-            codec = codec or MergeCodec(path, dropout, seed, variants)
+            codec = codec or MergeCodec(path, dropout, seed)
             for batch in slices(whole, "text", BATCH_BYTES):
                 encoded = codec.encode_many(strings(batch, "text"), batch.column("stream").to_pylist())
                 ends = np.cumsum([0, *map(len, encoded)]).astype(np.int32)
@@ -285,16 +345,16 @@ def _encoder(path, dropout, seed, variants):
     return body
 
 
-def encode_pieces(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 42, variants: int = 2) -> DataFrame:
+def encode_pieces(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 42) -> DataFrame:
     """``doc_id, text, ids`` for every row; one narrow pass.
 
-    NULL and empty texts have no pieces. A row's draws depend on the seed, its id and the
-    places of its words: repeated rows are cut alike, rows with a NULL id share one
+    NULL and empty texts have no pieces. A row's draws depend on the seed, its id, its
+    words and their places: repeated rows are cut alike, rows with a NULL id share one
     stream. Of other columns nothing is read. ``model_path`` is a file every executor has.
     """
-    stream = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 16)).cast("int").alias("stream")
+    stream = F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint")).alias("stream")
     rows = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text"), stream)
-    return rows.mapInArrow(_encoder(model_path, dropout, seed, variants), "doc_id bigint, text string, ids array<int>")
+    return rows.mapInArrow(_encoder(model_path, dropout, seed), "doc_id bigint, text string, ids array<int>")
 
 
 def _decoder(path):

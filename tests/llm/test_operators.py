@@ -223,6 +223,37 @@ def test_long_runs_of_letters():
         assert codec.decode(codec.encode(run * 100)) == run * 100
 
 
+def test_draws_of_every_document_and_place():
+    """Words differ from document to document and place to place, at the rate dropout says,
+    and the kept plain cuts change no result."""
+    codec, plain = _codec(0.3), _codec(0.0)
+    text = "internationalization is thinking wonderfully " * 5 + "of things"
+    cuts = [tuple(codec.encode(text, stream)) for stream in range(300)]
+    assert len(set(cuts)) > 290 and cuts == [tuple(c) for c in codec.encode_many([text] * 300, list(range(300)))]
+    units = codec.unit.findall("▁" + text.replace(" ", "▁"))
+    drawn = [codec._cuts([[units]], [stream]) for stream in range(300)]
+    for place in (0, 4):
+        assert len({cut[place] for cut in drawn}) > 20
+    assert sum(cut[0] != cut[4] for cut in drawn) > 200
+    unit = "▁of"
+    union, n = codec.symbol[unit], sum(1 for cut in drawn if cut[units.index(unit)] == (codec.symbol[unit],))
+    # The whole word is kept, and not both of the ways to it are skipped.
+    assert plain.encode("of").tolist() == [union] and abs(n / 300 - 0.7 * (1 - 0.3**2)) < 0.1
+    place = units.index("▁thinking")
+    stream = np.arange(300, dtype=np.uint64)
+    from zlib import crc32
+
+    keys = codec._keys(stream, np.full(300, place, np.uint64)) ^ np.uint32(crc32("▁thinking".encode()))
+    assert codec._merge(["▁thinking"] * 300, keys) == [cut[place] for cut in drawn]
+
+
+def test_copies_under_other_ids_are_cut_anew(spark):
+    from eddyline.llm.piece_codec import encode_pieces
+
+    copies = spark.range(200).selectExpr("id as doc_id", "'an ordinary sentence about internationalization' as text")
+    assert encode_pieces(copies, PIECES).select("ids").distinct().count() > 20
+
+
 def test_pieces_on_awkward_rows(spark, odd, nothing):
     from eddyline.llm.piece_codec import decode_pieces, encode_pieces
 

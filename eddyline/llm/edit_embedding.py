@@ -14,7 +14,7 @@ different levels compare on the coarser one's steps.
 from __future__ import annotations
 
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, groupby
 from operator import getitem, itemgetter
 
 import numpy as np
@@ -170,38 +170,79 @@ def _band_body(bands: int, width: int):
                             sample = np.packbits(own[picks]).tobytes().hex() if reach else "empty"
                             keys.append(f"{at:x}.{reach}.{band}.{sample}")
                             rows.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column("mark_id").take(pa.array(rows, pa.int64())), pa.array(keys, pa.string())], names=["mark_id", "band"])
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("mark_id").take(at), batch.column("fingerprint").take(at), pa.array(keys, pa.string())], names=["mark_id", "fingerprint", "band"]
+            )
 
     return body
 
 
+def _link_body(least: float):
+    def body(batches):
+        rows = (row for batch in batches for row in zip(*(batch.column(n).to_pylist() for n in ("band", "mark_id", "fingerprint"))))
+        for _, bucket in groupby(rows, key=itemgetter(0)):
+            members = [row[1:] for row in bucket]
+            if len(members) > 1:
+                links = _bucket_links([m for _, m in members], least)
+                a, b = ([members[link[k]][0] for link in links] for k in (0, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(map(min, a, b), pa.int64()), pa.array(map(max, a, b), pa.int64()), pa.array([x for *_, x in links], pa.float64())],
+                    names=["a", "b", "likeness"],
+                )
+
+    return body
+
+
+def _bucket_links(marks: list[str], least: float) -> list[tuple[int, int, float]]:
+    """Links that join, within one bucket, all members that chains of likeness ``least``
+    join. A search from each member compares only with members not reached yet."""
+    parsed = [_parsed(m) for m in marks]
+    levels = np.array([level for level, _ in parsed])
+    forms = {}  # level: (bits of the members up to it, their numbers)
+    for top in set(levels.tolist()):
+        bits = [_at_level(own, level, top, SEED) if level <= top else own[:0] for level, own in parsed]
+        sizes = np.array([len(x) for x in bits])
+        table = np.full((len(bits), sizes.max()), 2, np.uint8)
+        table[np.arange(sizes.max()) < sizes[:, None]] = np.concatenate(bits)
+        forms[top] = table, sizes
+    links, rest = [], np.arange(len(marks))
+    while len(rest):
+        todo, rest = [int(rest[0])], rest[1:]
+        while todo and len(rest):
+            i = todo.pop()
+            alike = np.zeros(len(rest))
+            tops = np.maximum(levels[rest], levels[i])
+            for top in set(tops.tolist()):
+                table, sizes = forms[top]
+                at = np.flatnonzero(tops == top)
+                among, n = rest[at], sizes[i]
+                longer, shared = np.maximum(sizes[among], n), np.minimum(sizes[among], n)
+                agree = (table[among, :n] == table[i, :n]).sum(1) + 0.5 * (longer - shared)
+                alike[at] = np.where(longer > 0, np.maximum(0.0, 2.0 * agree / np.maximum(longer, 1) - 1.0), 0.0)
+            found = np.flatnonzero(alike >= least)
+            links += [(i, int(rest[k]), float(alike[k])) for k in found]
+            todo += rest[found].tolist()
+            rest = np.delete(rest, found)
+    return links
+
+
 def edited_pairs(docs: DataFrame, bands: int = 24, width: int = 16, least: float = 0.8) -> DataFrame:
-    """(a, b, likeness): classes of equal texts whose fingerprints are at least ``least``
-    alike, by their smallest ids, found where bands of sampled bits agree.
+    """(a, b, likeness): links between classes of equal texts whose fingerprints are at
+    least ``least`` alike, by their smallest ids, found where bands of sampled bits agree.
 
-    Each class is compared with the smallest class of a band only, once per band: a
-    bucket of any size gives one candidate fewer than it has rows, and close classes
-    meet in many bands. Rows without an id stay out.
+    Enough links are given to join every two classes that meet in a band and are alike,
+    be it by a chain: all classes of a bucket are searched, not only beside its smallest
+    one. Classes of equal fingerprints are linked with the smallest of them, which stands
+    for them in the bands. A bucket is searched by one task. Rows without an id stay out.
     """
     marks = with_fingerprints(docs).select("doc_id", "fingerprint", F.sha2("text", 256).alias("digest")).filter("doc_id IS NOT NULL")
     classes = marks.groupBy("digest", "fingerprint").agg(F.min("doc_id").alias("mark_id")).drop("digest")
-    keyed = classes.mapInArrow(_band_body(bands, width), "mark_id bigint, band string").distinct()
-    hubs = keyed.groupBy("band").agg(F.min("mark_id").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    pairs = keyed.join(hubs, "band").filter("a <> mark_id").select("a", F.col("mark_id").alias("b")).distinct()
-    of_a = classes.select(F.col("mark_id").alias("a"), F.col("fingerprint").alias("mark_a"))
-    of_b = classes.select(F.col("mark_id").alias("b"), F.col("fingerprint").alias("mark_b"))
-    met = pairs.join(of_a, "a").join(of_b, "b")
-    return met.withColumn("likeness", _alike(F.col("mark_a"), F.col("mark_b"))).filter(F.col("likeness") >= least).select("a", "b", "likeness")
-
-
-def _alike(one: Column, other: Column) -> Column:
-    @F.pandas_udf("double")
-    def alike(left, right):
-        import pandas as pd
-
-        return pd.Series([likeness(a, b) for a, b in zip(left, right)], dtype="float64")
-
-    return alike(one, other)
+    heads = classes.groupBy("fingerprint").agg(F.min("mark_id").alias("a"))
+    equal = classes.join(heads, "fingerprint").filter("a <> mark_id").select("a", F.col("mark_id").alias("b"), F.lit(1.0).alias("likeness"))
+    keyed = heads.withColumnRenamed("a", "mark_id").mapInArrow(_band_body(bands, width), "mark_id bigint, fingerprint string, band string")
+    met = keyed.repartition("band").sortWithinPartitions("band")
+    return met.mapInArrow(_link_body(least), "a bigint, b bigint, likeness double").unionByName(equal).distinct()
 
 
 def _neighbour_body(batches):

@@ -400,6 +400,25 @@ def test_edited_pairs(spark, odd, nothing):
     assert all(r.likeness >= 0.8 for r in edited_pairs(odd).collect()) and edited_pairs(nothing).count() == 0
 
 
+def test_pairs_beside_a_smaller_class_of_their_bucket(spark):
+    """Alike texts are linked though texts of smaller ids, less alike, share their bands."""
+    from eddyline.llm.edit_embedding import edited_pairs, fingerprints, likeness
+
+    rng = np.random.default_rng(11)
+    words = lambda n: " ".join("".join(map(chr, rng.integers(97, 123, 6))) for _ in range(n))
+    base = words(120)
+    pair = [base, base[:-30] + words(4)]
+    ends = fingerprints(pair)
+    decoys = [base[: len(base) * 6 // 10] + words(48) for _ in range(500)]
+    decoys = [t for t, m in zip(decoys, fingerprints(decoys)) if all(likeness(m, e) < 0.8 for e in ends)]
+    rows = list(enumerate(decoys)) + [(900, pair[0]), (901, pair[1])]
+    marks = dict(zip((i for i, _ in rows), fingerprints([t for _, t in rows])))
+    assert likeness(*ends) >= 0.8 and len(decoys) > 450
+    found = {(r.a, r.b): r.likeness for r in edited_pairs(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert (900, 901) in found
+    assert all(x == likeness(marks[a], marks[b]) >= 0.8 for (a, b), x in found.items())
+
+
 # -- 8: WARC
 
 

@@ -7,7 +7,8 @@ edits apart give sequences that differ in few places: edit distance has become H
 distance. A fingerprint keeps one bit at a random sample of the steps.
 
 Steps are sampled by level: level k covers the first ``UNIT * 2**k`` steps and keeps
-each with probability ``BITS / (UNIT * 2**k)``. Samples are nested, so fingerprints of
+each with probability ``BITS / (UNIT * 2**k)``; the lowest level has ``BITS`` steps and
+keeps all. A text's level covers its whole walk. Samples are nested, so fingerprints of
 different levels compare on the coarser one's steps.
 """
 
@@ -26,6 +27,7 @@ from eddyline.llm.common import by_size, strings, whole_text
 
 UNIT = 1024
 BITS = 256
+LOWEST = -2  # Fixed value: the level of BITS steps.
 SEED = 42
 CHUNK_CHARS = 1 << 20
 KINDS = 16
@@ -44,18 +46,19 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
 def sampled_steps(level: int, seed: int = SEED) -> np.ndarray:
     """The steps a level keeps, ascending; those of a higher level below this level's
     end are among them."""
-    reach = UNIT << level
+    reach = BITS << (level - LOWEST)
     steps = []
     for a in range(0, reach, 1 << 20):
         at = np.arange(a, min(a + (1 << 20), reach), dtype=np.uint64)
-        steps.append(at[_mix(at, seed) < np.uint64(int(min(1.0, BITS / reach) * (2**64 - 1)))])
+        steps.append(at[_mix(at, seed) <= np.uint64((BITS << 64) // reach - 1)])
     return np.concatenate(steps).astype(np.int64)
 
 
-def level_of(n_chars: int) -> int:
-    """A walk takes two steps a character on average."""
-    level = 0
-    while (UNIT << level) < 2 * n_chars:
+def level_of(n_chars: int, steps: int | None = None) -> int:
+    """The lowest level that covers a walk of so many steps; two a character, which is the
+    average, if they are not known."""
+    level, steps = LOWEST, 2 * n_chars if steps is None else steps
+    while BITS << (level - LOWEST) < steps:
         level += 1
     return level
 
@@ -79,18 +82,19 @@ class _Walk:
             state.append(s)
         self.first = states[0]
 
-    def bits(self, text: str) -> np.ndarray:
-        """The bits at the text's sampled steps, as far as the walk goes."""
+    def bits(self, text: str) -> tuple[int, np.ndarray]:
+        """(level, the bits at the text's sampled steps), to the walk's end."""
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         kinds = self.kind_of[codes & np.uint32(0xFFFF)]
         states = map(NUMBER, accumulate(kinds.tobytes(), getitem, initial=self.first))
         reached = np.fromiter(states, np.int64, len(codes) + 1)
         arrivals = np.concatenate([[0], np.cumsum((np.diff(reached) - 1) % PERIOD + 1)])
-        steps = sampled_steps(level_of(len(codes)), self.seed)
+        level = level_of(len(codes), int(arrivals[-1]))
+        steps = sampled_steps(level, self.seed)
         steps = steps[: np.searchsorted(steps, arrivals[-1])]
         seen = kinds[np.searchsorted(arrivals, steps, side="right") - 1].astype(np.uint64)
         faces = _mix(steps.astype(np.uint64), self.seed + 2)
-        return ((faces >> seen) & np.uint64(1)).astype(np.uint8)
+        return level, ((faces >> seen) & np.uint64(1)).astype(np.uint8)
 
 
 @lru_cache(maxsize=4)
@@ -102,8 +106,8 @@ def fingerprints(texts: list[str], seed: int = SEED) -> list[str]:
     """``level:bits-in-use:hex``; equal texts have equal fingerprints."""
     out = []
     for text in texts:
-        bits = _walk(seed).bits(text) if text else np.zeros(0, np.uint8)
-        out.append(f"{level_of(len(text)):x}:{len(bits):x}:{np.packbits(bits).tobytes().hex()}")
+        level, bits = _walk(seed).bits(text) if text else (level_of(0), np.zeros(0, np.uint8))
+        out.append(f"{level:x}:{len(bits):x}:{np.packbits(bits).tobytes().hex()}")
     return out
 
 
@@ -164,7 +168,7 @@ def _band_body(bands: int, width: int):
                     own = _at_level(bits, level, at, SEED)
                     whole = 1 << (len(own).bit_length() - 1) if len(own) else 0
                     for reach in {whole, whole // 2}:
-                        rng = np.random.default_rng([SEED, at, reach])
+                        rng = np.random.default_rng([SEED, at - LOWEST, reach])
                         for band in range(bands):
                             picks = (rng.random(width) * reach).astype(np.int64)
                             sample = np.packbits(own[picks]).tobytes().hex() if reach else "empty"

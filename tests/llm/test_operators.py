@@ -388,6 +388,29 @@ def test_walk_step_by_step():
         assert e.fingerprints([text]) == [f"{level:x}:{len(bits):x}:{np.packbits(np.array(bits, np.uint8)).tobytes().hex()}"]
 
 
+def test_short_texts_keep_every_step_and_walks_are_read_to_their_end():
+    from itertools import product
+
+    from eddyline.llm import edit_embedding as e
+
+    short = ["".join(t) for t in product("abcdef", repeat=4)]
+    assert len(set(e.fingerprints(short))) > 60
+    assert all(int(m.split(":")[1], 16) >= 4 for m in e.fingerprints(short))
+    assert not set(e.fingerprints([c for c in "abcdefgh"])) & set(e.fingerprints([""]))
+    walk, beyond = e._walk(e.SEED), 0
+    for c in map(chr, range(97, 123)):
+        text = c * 1023
+        level, bits = walk.bits(text + "a")
+        steps, state = 0, walk.first
+        for kind in walk.kind_of[[*map(ord, text + "a")]].tolist():
+            after = state[kind]
+            steps, state = steps + (after[e.KINDS] - state[e.KINDS] - 1) % e.PERIOD + 1, after
+        beyond += steps > 2048
+        assert len(bits) == (e.sampled_steps(level) < steps).sum() and e.sampled_steps(level + 1)[-1] >= steps
+        assert e.BITS << (level - e.LOWEST) >= steps
+    assert beyond
+
+
 def test_edited_pairs(spark, odd, nothing):
     from eddyline.llm.edit_embedding import edited_pairs
 

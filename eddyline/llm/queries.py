@@ -304,3 +304,50 @@ def decontamination(spark, sf_dir):
 
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return leaks(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+TRIE_SQL = r"""
+WITH own AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos,
+         {'r': coalesce(role, ''), 't': coalesce(text, '')} AS turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), lists AS (SELECT c, list(turn ORDER BY pos) AS l FROM own GROUP BY c
+), crc_table AS (
+  WITH RECURSIVE steps(i, k, v) AS (
+    SELECT i, 0, i FROM range(256) t(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM steps WHERE k < 8
+  ) SELECT list(v ORDER BY i) AS crc FROM steps WHERE k = 8
+), hashed AS (
+  SELECT c, l, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda a, x: xor(a >> 8, crc[(xor(a, x) & 255) + 1])), 4294967295) % 9 AS h
+  FROM lists, crc_table
+), rebuilt AS (
+  SELECT a.c, coalesce(b.l, [])[1:a.h] || a.l[a.h + 1:] AS l FROM hashed a LEFT JOIN lists b ON b.c = a.c - a.c % 5
+), members AS (
+  SELECT c, d, l[1:d] AS p, len(l) AS n FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM members GROUP BY p, d
+), children AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+), worth AS (
+  SELECT n.p, n.d, n.n_children IS NULL AS leaf,
+         CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * strlen(n.p[d].t) END AS saved
+  FROM (SELECT nodes.*, n_children FROM nodes LEFT JOIN children USING (p)) n
+), sums AS (
+  SELECT p[1:k] AS p, count(*) FILTER (WHERE leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM worth) GROUP BY 1
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums USING (p) LEFT JOIN children USING (p) LEFT JOIN nodes q ON n.d > 0 AND q.p = n.p[1:n.d - 1]
+"""
+
+
+@query("op11_conversation_trie", TRIE_SQL)
+def conversation_trie(spark, sf_dir):
+    from eddyline.llm.conversation_trie import ordered_turns, prefix_trie, regrafted
+
+    turns = ordered_turns(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie(*regrafted(turns))

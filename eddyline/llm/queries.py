@@ -351,3 +351,60 @@ def conversation_trie(spark, sf_dir):
 
     turns = ordered_turns(read_table(spark, sf_dir, "conversations"))
     return prefix_trie(*regrafted(turns))
+
+
+COLLOCATION_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces
+), starts AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM w
+), grams AS (SELECT lang, w[i : i + k - 1] AS g, k FROM (SELECT *, unnest(generate_series(1, least(5, len(w) - i + 1))) AS k FROM starts)
+), freq AS (SELECT lang, array_to_string(g, ' ') AS phrase, any_value(g) AS g, any_value(k) AS k, count(*) AS f FROM grams GROUP BY lang, array_to_string(g, ' ') HAVING count(*) >= 100
+), totals AS (SELECT lang, count(*) AS n FROM starts GROUP BY lang
+), inside AS (
+  SELECT DISTINCT lang, array_to_string(g[i : i + j - 1], ' ') AS phrase, f
+  FROM (SELECT *, unnest(generate_series(1, k - j + 1)) AS i FROM (SELECT *, unnest(generate_series(2, k - 1)) AS j FROM freq WHERE k > 2))
+), candidates AS (
+  SELECT c.* FROM freq c WHERE k >= 2 AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.f >= 100 * c.f)
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, j, x.f AS l, y.f AS r, n, ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS j FROM candidates) c JOIN totals USING (lang)
+  JOIN freq x ON x.lang = c.lang AND x.phrase = array_to_string(c.g[1:j], ' ')
+  JOIN freq y ON y.lang = c.lang AND y.phrase = array_to_string(c.g[j + 1:], ' ')
+), worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM worst QUALIFY rank <= 2000
+"""
+
+
+@query("op13_collocations", COLLOCATION_SQL)
+def phrase_collocations(spark, sf_dir):
+    from eddyline.llm.phrase_index import collocations
+
+    return collocations(read_table(spark, sf_dir, "documents", "lang", "text"), least=100, top=2000)
+
+
+VECTOR_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93::DOUBLE
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), lowest AS (SELECT a, min(b) AS low FROM reach GROUP BY a
+), degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id, vec_id <= coalesce(low, vec_id) AS kept
+FROM embeddings e LEFT JOIN degree d ON d.a = e.vec_id LEFT JOIN lowest l ON l.a = e.vec_id
+"""
+
+
+@query("op12_multi_index", VECTOR_SQL)
+def multi_index(spark, sf_dir):
+    from eddyline.llm.multi_index import near_vectors
+
+    return near_vectors(read_table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"), least=0.93, recall=0.99)

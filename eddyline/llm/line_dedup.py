@@ -3,11 +3,14 @@
 State, in a folder all executors reach:
 
 * ``references``: the exact table. One row per change: (key, doc_id, +1 or -1) for each
-  distinct key of a document inserted or deleted. Its sums are the reference counts.
+  distinct key of a document inserted or deleted. A document refers to a key if the last
+  change that names both is an insertion, so a repeated insertion counts once.
 * ``repeated``: the counts of the keys that reach ``min_docs`` documents, with the
   largest document of each.
-* ``filters``: one cuckoo filter per shard over those keys. An insertion adds the keys that got there, a deletion takes out those that
-  fell below. A shard is a slice of the key hash.
+* ``filters``: one cuckoo filter per shard over those keys. An insertion adds the keys that
+  got there, a deletion takes out those that fell below. A shard is a slice of the key hash.
+* ``state``: which tables are current. It is written last, so a change that did not finish
+  has not happened, and an index opened again on its folder goes on from there.
 
 ``dedupe`` asks the filters about each line key; only keys they report go on to the
 exact table, which settles false alarms and names the document that keeps its lines.
@@ -28,6 +31,7 @@ from eddyline.llm.cuckoo import CuckooFilter, built
 KEY = ["hi", "lo"]
 REFERENCE = "hi bigint, lo bigint, doc_id bigint, delta int"
 FILTER = "shard int, kept binary"
+STATE = "changes int, shards int, filters_path string, repeated_path string"
 REPEATED = "hi bigint, lo bigint, n_docs bigint, last_doc bigint"
 
 
@@ -126,28 +130,44 @@ class LineIndex:
     A line's key is the line without ASCII white space at both ends, A-Z in lower case;
     keys under ``min_chars`` code points are not counted. NULL and empty texts are one
     empty line. Rows with the same ``doc_id`` are one document; a NULL id is an id of its
-    own below all others. Insert a document once and delete it with the text it has.
+    own below all others. Delete a document with the text it has; inserting it again,
+    as a retried batch does, changes nothing.
     """
 
     def __init__(self, spark: SparkSession, path: str, min_docs: int = 3, min_chars: int = 20, keys_per_shard: int = 1 << 18):
         self.spark, self.path = spark, path
         self.min_docs, self.min_chars, self.keys_per_shard = min_docs, min_chars, keys_per_shard
-        self.changes = 0
-        self.deleted = False
-        self.shards = 0
+        self.changes, self.shards = 0, 0
         self.filters_path = self.repeated_path = None
+        self._load()
+
+    def _load(self) -> None:
+        state = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/state")
+        files = state.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if files.exists(state):
+            done = [int(f.getPath().getName()) for f in files.listStatus(state)]
+            for number in sorted(done, reverse=True):
+                row = self.spark.read.schema(STATE).parquet(f"{self.path}/state/{number}").first()
+                if row is not None:
+                    self.changes, self.shards, self.filters_path, self.repeated_path = row
+                    return
+
+    def _save(self) -> None:
+        row = [(self.changes, self.shards, self.filters_path, self.repeated_path)]
+        self.spark.createDataFrame(row, STATE).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/state/{self.changes}")
 
     # -- exact table
 
     def _references(self) -> DataFrame:
-        return self.spark.read.schema(REFERENCE).parquet(*[f"{self.path}/references/{i}" for i in range(self.changes)])
+        return self.spark.read.schema(f"{REFERENCE}, change int").option("basePath", f"{self.path}/references").parquet(
+            *[f"{self.path}/references/change={i}" for i in range(self.changes)]
+        )
 
     def counts(self, references: DataFrame | None = None) -> DataFrame:
         """(hi, lo, n_docs, last_doc) of every referenced key, exact."""
         held = self._references() if references is None else references
-        if self.deleted:
-            net = held.groupBy(*KEY, "doc_id").agg(F.sum("delta").alias("n"))
-            held = net.filter("n > 0")
+        if self.changes > 1:
+            held = held.groupBy(*KEY, "doc_id").agg(F.max_by("delta", "change").alias("delta")).filter("delta > 0")
         return held.groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
 
     def _over_limit(self, references: DataFrame | None = None) -> DataFrame:
@@ -159,7 +179,7 @@ class LineIndex:
         return self.spark.read.schema(REPEATED).parquet(self.repeated_path)
 
     def _write_repeated(self, rows: DataFrame) -> None:
-        path = f"{self.path}/repeated/{self.changes}"
+        path = f"{self.path}/repeated/{self.changes}-{uuid.uuid4().hex}"
         rows.select("hi", "lo", "n_docs", "last_doc").write.parquet(path)
         self.repeated_path = path
 
@@ -169,18 +189,21 @@ class LineIndex:
         self._change(docs, 1)
 
     def delete(self, docs: DataFrame) -> None:
-        self.deleted = True
         self._change(docs, -1)
 
     def _change(self, docs: DataFrame, sign: int) -> None:
-        step = f"{self.path}/references/{self.changes}"
+        step = f"{self.path}/references/change={self.changes}"
         keys = line_keys(docs, self.min_chars).withColumn("delta", F.lit(sign))
-        keys.select(*KEY, "doc_id", "delta").write.parquet(step)
+        keys.select(*KEY, "doc_id", "delta").write.mode("overwrite").parquet(step)
         self.changes += 1
         if self.changes == 1:
             self._write_repeated(self._over_limit())
             self._build_filters()
-            return
+        else:
+            self._apply(step)
+        self._save()
+
+    def _apply(self, step: str) -> None:
         changed = self.spark.read.schema(REFERENCE).parquet(step)
         touched = changed.select(*KEY).distinct()
         # Only touched keys are counted again.

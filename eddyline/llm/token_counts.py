@@ -128,10 +128,12 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str) -> DataFrame:
     wanted = written(keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "digests")
     missing = wanted.join(stored_counts(spark, cache, version), "digest", "left_anti")
     # A digest whose rows all lack an id has no row to borrow from by id: those few
-    # go by digest instead. Rows that share an id and a text are encoded once.
+    # go by digest instead. A digest has one id here, so its rows are together after the
+    # join, and one of them stays.
     by_id = keyed.join(missing, ["digest", "doc_id"], "left_semi").select("digest", "text", "doc_id")
     without = keyed.filter("doc_id IS NULL").join(missing.filter("doc_id IS NULL"), "digest", "left_semi")
-    texts = by_id.unionByName(without.select("digest", "text", "doc_id"))
+    once = by_id.dropDuplicates(["digest", "doc_id"])
+    texts = once.unionByName(without.select("digest", "text", "doc_id").dropDuplicates(["digest"]))
     new = texts.select("digest", "text").mapInArrow(_encode(tokenizer_path), "digest binary, n_tokens bigint")
     new.write.mode("append").parquet(f"{cache}/tokenizer={version}")
     # As a table of its own, so that the join below shuffles both sides and can be split.

@@ -8,9 +8,10 @@ the intervals of all phrases by one word at once: the rows of an interval share
 their BWT symbols are its left extensions, and their order splits it by right extensions.
 The counts of a phrase are added up over shards.
 
-A phrase can only be frequent if its words and word pairs are, so each deeper step goes on
-from those that are frequent over all shards. Shards know them by a bitmap of hashes of
-bounded size: a false hit costs time, and the exact sums decide.
+A phrase can only be frequent if its parts are. So words are counted first, then pairs of
+frequent words, then triples of frequent pairs, and phrases last, of frequent parts alone.
+Shards know these by bitmaps of hashes of bounded size: a false hit costs time, and the exact
+sums decide.
 """
 
 from __future__ import annotations
@@ -25,7 +26,10 @@ from pyspark.sql import functions as F
 from eddyline.llm.common import whole_text, written
 
 DEPTH = 5
-SHARD_WORDS = 1 << 21  # words that a task holds before it closes its shards
+SHARD_WORDS = 1 << 19  # of one language, at which a task closes a shard
+HELD_WORDS = 1 << 20  # of all languages together that a task holds
+HELD_PHRASES = 1 << 19
+SCREENED = 3  # words of the longest phrases that are summed by hash before they are by text
 MOST_BITS = 1 << 27  # of a bitmap: 16 MB on every executor
 BUCKET = 1 << 15  # bits of one bitmap row in Spark's bitmap functions
 SALTS = 64
@@ -75,24 +79,23 @@ def _shard(lang: str, chunks: list[pa.Array]) -> pa.RecordBatch:
     place[end], place[end + 1 :] = 0, place[end + 1 :] - 1
     bwt = transform(place[codes]).astype("<i4")
     kept = words.filter(pc.not_equal(words, END))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang]), pa.array([int((bwt > 0).sum())]), pa.array([kept.to_pylist()], pa.list_(pa.string())), pa.array([bwt.tobytes()])], schema=INDEX
-    )
+    listed = pa.ListArray.from_arrays(pa.array([0, len(kept)], pa.int32()), kept)
+    return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([int((bwt > 0).sum())]), listed, pa.array([bwt.tobytes()])], schema=INDEX)
 
 
 def _build(batches):
     """mapInArrow body: the indexes of a task's texts, one for each language and fill."""
-    held, n = {}, 0
+    held, sizes = {}, {}
     for batch in batches:
         langs = batch.column("lang")
         for lang in pc.unique(langs).to_pylist():
             words = words_of(batch.column("text").filter(pc.equal(langs, lang)))
             held.setdefault(lang, []).append(words)
-            n += len(words)
-        if n >= SHARD_WORDS:
-            for lang in list(held):
-                yield _shard(lang, held.pop(lang))
-            n = 0
+            sizes[lang] = sizes.get(lang, 0) + len(words)
+            while sizes and (max(sizes.values()) >= SHARD_WORDS or sum(sizes.values()) >= HELD_WORDS):
+                largest = max(sizes, key=sizes.get)
+                del sizes[largest]
+                yield _shard(largest, held.pop(largest))
     for lang in list(held):
         yield _shard(lang, held.pop(lang))
 
@@ -113,28 +116,25 @@ def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (first * MIX) ^ ((second << np.uint64(31)) | (second >> np.uint64(33)))
 
 
-def _bit_places(n_bits: int):
-    """mapInArrow body: the bit of each word or word pair."""
+def _word_keys(batches):
+    """mapInArrow body: the low half of each word's hash."""
+    for batch in batches:
+        keys = [_hashes(lang, [word]) for lang, word in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())]
+        yield _keyed(np.concatenate([np.array([], np.uint64), *keys]), None)
 
-    def body(batches):
-        for batch in batches:
-            langs, phrases = batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()
-            keys = []
-            for lang, phrase in zip(langs, phrases):
-                h = _hashes(lang, phrase.split(" "))
-                keys.append(h[:1] if len(h) == 1 else _pair(h[:1], h[1:]))
-            bits = (np.concatenate(keys) if keys else np.array([], np.uint64)) & np.uint64(n_bits - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(bits.astype(np.int64) + 1)], names=["bit"])
 
-    return body
+def _keyed(keys: np.ndarray, counts) -> pa.RecordBatch:
+    low = pa.array(keys.astype(np.uint32).view(np.int32))
+    return pa.RecordBatch.from_arrays([low] if counts is None else [low, pa.array(counts)], names=["key"] if counts is None else ["key", "f"])
 
 
-def _bitmap(frequent: DataFrame) -> np.ndarray:
-    """Bits of the hashes of all ``frequent`` phrases of one or two words."""
-    n = max(frequent.count(), 1)
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """The low bits of all ``key``, as a bitmap."""
+    n = max(keys.count(), 1)
     n_bits = min(MOST_BITS, max(BUCKET, 1 << (16 * n - 1).bit_length()))
-    places = frequent.mapInArrow(_bit_places(n_bits), "bit bigint")
-    rows = places.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    # Spark numbers the bits of its bitmaps from 1.
+    bit = F.col("key").cast("bigint").bitwiseAND(n_bits - 1) + 1
+    rows = keys.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
     bits = np.zeros(n_bits // 8, np.uint8)
     for bucket, some in rows.collect():
         bits[(bucket - 1) * BUCKET // 8 : bucket * BUCKET // 8] = np.frombuffer(some, np.uint8)
@@ -158,35 +158,35 @@ def _phrases(lang: str, words: pa.Array, columns: list[np.ndarray], counts: np.n
 def extend(bwt: np.ndarray, usable, sizes):
     """(word columns, counts) of all phrases of each of ``sizes`` words.
 
-    ``usable(level, first, second)`` says which phrases of one word (``first``) or of two
-    may be part of one. Row j of the index goes to the row of the suffix that begins one
-    word later, by the inverse of the LF mapping; a phrase of k + 1 words is a first word
-    and, there, the interval of k words.
+    ``usable(columns)`` says which phrases, given as columns of words, may be part of one;
+    the others are not extended. Row j of the index goes to the row of the suffix that begins
+    one word later, by the inverse of the LF mapping. A phrase of k + 1 words is a first word
+    and, there, the interval of k words; its first k words are the interval of row j itself.
     """
     later = np.argsort(bwt, kind="stable")
     first = bwt[later]
+    label, k = first, 1
     valid = first > 0
-    valid &= usable(1, first, None)
-    second = first[later]
-    pairs = valid & valid[later]
-    pairs[pairs] = usable(2, first[pairs], second[pairs])
-    label = first
-    for k in range(2, max(sizes) + 1):
-        valid = pairs & valid[later] if k > 2 else pairs
-        rows = np.flatnonzero(valid)
+    valid[valid] = usable([first[valid]])
+    while k < max(sizes):
+        k += 1
+        rows = np.flatnonzero(valid & valid[later])
         if not len(rows):
             return
         inner = label[later[rows]]
         new = np.concatenate([[True], (first[rows][1:] != first[rows][:-1]) | (inner[1:] != inner[:-1])])
+        starts = np.flatnonzero(new)
+        at, columns = rows[starts], []
+        for _ in range(k):
+            columns.append(first[at])
+            at = later[at]
+        good, counts = usable(columns), np.diff(np.append(starts, len(rows)))
+        if k in sizes:
+            yield [c[good] for c in columns], counts[good]
         label = np.zeros(len(bwt), np.int64)
         label[rows] = np.cumsum(new)
-        if k in sizes:
-            starts = np.flatnonzero(new)
-            at, columns = rows[starts], []
-            for _ in range(k):
-                columns.append(first[at])
-                at = later[at]
-            yield columns, np.diff(np.append(starts, len(rows)))
+        valid = np.zeros(len(bwt), bool)
+        valid[rows] = np.repeat(good, counts)
 
 
 def _count_words(batches):
@@ -197,25 +197,58 @@ def _count_words(batches):
             yield _phrases(lang.as_py(), words, [np.arange(1, len(words) + 1)], counts)
 
 
-def _count_phrases(singles, pairs, sizes):
-    """mapInArrow body: phrases of ``sizes`` words in each shard whose words (and, where
-    ``pairs`` is given, word pairs) may be frequent."""
+def _screened(batches, screens):
+    """(language, words, keys of phrases by their columns, BWT, which phrases may be frequent)
+    of each shard. ``screens`` has a bitmap for phrases of one word, of two and so on."""
+    for batch in batches:
+        for lang, words, bwt in zip(*[batch.column(n) for n in ("lang", "words", "bwt")]):
+            lang, words = lang.as_py(), words.values
+            of_word = np.concatenate([[np.uint64(0)], _hashes(lang, words.to_pylist())])
+
+            def key(columns, of_word=of_word):
+                found = of_word[columns[-1]]
+                for column in columns[-2::-1]:
+                    found = _pair(of_word[column], found)
+                return found
+
+            def usable(columns, key=key):
+                return _known(screens[len(columns) - 1], key(columns)) if len(columns) <= len(screens) else np.ones(len(columns[0]), bool)
+
+            yield lang, words, key, np.frombuffer(bwt.as_buffer(), "<i4").astype(np.int64), usable
+
+
+def _count_keys(screens, size: int):
+    """mapInArrow body: (key, count) of the phrases of ``size`` words whose parts may be frequent."""
 
     def body(batches):
-        for batch in batches:
-            for lang, words, bwt in zip(*[batch.column(n) for n in ("lang", "words", "bwt")]):
-                lang, words = lang.as_py(), words.values
-                keys = np.concatenate([[np.uint64(0)], _hashes(lang, words.to_pylist())])
-                alone = _known(singles.value, keys)
+        for _, _, key, bwt, usable in _screened(batches, [bits.value for bits in screens]):
+            for columns, counts in extend(bwt, usable, (size,)):
+                for a in range(0, len(counts), 1 << 18):
+                    at = slice(a, a + (1 << 18))
+                    yield _keyed(key([c[at] for c in columns]), counts[at].astype(np.int32))
 
-                def usable(level, first, second):
-                    if level == 1:
-                        return alone[first]
-                    return np.ones(len(first), bool) if pairs is None else _known(pairs.value, _pair(keys[first], keys[second]))
+    return body
 
-                for columns, counts in extend(np.frombuffer(bwt.as_buffer(), "<i4").astype(np.int64), usable, sizes):
-                    for a in range(0, len(counts), 1 << 16):
-                        yield _phrases(lang, words, [c[a : a + (1 << 16)] for c in columns], counts[a : a + (1 << 16)])
+
+def _count_phrases(screens, sizes):
+    """mapInArrow body: the phrases of ``sizes`` words that may be frequent, the counts of a
+    task's shards added up as far as memory allows."""
+
+    def summed(held):
+        table = pa.concat_tables(held).group_by(["lang", "phrase", "size"]).aggregate([("f", "sum")])
+        return table.select(["lang", "phrase", "size", "f_sum"]).rename_columns(COUNTS.names).cast(COUNTS).to_batches(max_chunksize=1 << 16)
+
+    def body(batches):
+        held, n = [], 0
+        for lang, words, _, bwt, usable in _screened(batches, [bits.value for bits in screens]):
+            for columns, counts in extend(bwt, usable, sizes):
+                held.append(pa.Table.from_batches([_phrases(lang, words, columns, counts)]))
+                n += len(counts)
+                if n > HELD_PHRASES:
+                    yield from summed(held)
+                    held, n = [], 0
+        if held:
+            yield from summed(held)
 
     return body
 
@@ -231,12 +264,14 @@ def frequent_phrases(docs: DataFrame, least: int, depth: int = DEPTH) -> tuple[D
     )
     shards = index.select("lang", "words", "bwt")
     words = total(shards.mapInArrow(_count_words, COUNTS_DDL))
-    singles = spark.sparkContext.broadcast(_bitmap(words))
-    pairs = total(shards.mapInArrow(_count_phrases(singles, None, (2,)), COUNTS_DDL))
-    found = words.unionByName(pairs)
-    if depth > 2:
-        both = spark.sparkContext.broadcast(_bitmap(pairs))
-        found = found.unionByName(total(shards.mapInArrow(_count_phrases(singles, both, range(3, depth + 1)), COUNTS_DDL)))
+    screens = [spark.sparkContext.broadcast(_bitmap(words.mapInArrow(_word_keys, "key int")))]
+    # Pairs and triples are summed by half of their hash: what this finds too many, the exact
+    # sums drop.
+    for size in range(2, min(depth, SCREENED) + 1):
+        sums = shards.mapInArrow(_count_keys(screens, size), "key int, f int").groupBy("key").agg(F.sum("f").alias("f"))
+        keys = written(sums.filter(F.col("f") >= least).select("key"), "phrase-keys")
+        screens.append(spark.sparkContext.broadcast(_bitmap(keys)))
+    found = words.unionByName(total(shards.mapInArrow(_count_phrases(screens, range(2, depth + 1)), COUNTS_DDL)))
     return found, index.groupBy("lang").agg(F.sum("n_words").alias("n"))
 
 

@@ -28,9 +28,23 @@ SEED = 42
 CHUNK = 1 << 16
 
 
+def folded_words(text: str) -> list[bytes]:
+    return WORD.findall(text.translate(str.maketrans(UPPER, LOWER)).encode("utf-8", "replace"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    hashes = hashes.astype(">u8")
+    totals = np.zeros(64, np.int64)
+    for a in range(0, len(hashes), CHUNK):
+        bits = np.unpackbits(hashes[a : a + CHUNK].view(np.uint8).reshape(-1, 8), axis=1)
+        totals += bits.sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(totals * 2 > len(hashes)).tobytes(), "big")
+
+
 def fingerprint(text: str, width: int = 4) -> int:
     """Majority bits over the hashes of all word shingles, repeats included."""
-    words = WORD.findall(text.translate(str.maketrans(UPPER, LOWER)).encode("utf-8", "replace"))
+    words = folded_words(text)
     if not words:
         return 0
     line = b" ".join(words)
@@ -40,12 +54,7 @@ def fingerprint(text: str, width: int = 4) -> int:
     k = min(width, len(words))
     spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in spans], ">u8")
-    totals = np.zeros(64, np.int64)
-    for a in range(0, len(hashes), CHUNK):
-        bits = np.unpackbits(hashes[a : a + CHUNK].view(np.uint8).reshape(-1, 8), axis=1)
-        totals += bits.sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(totals * 2 > len(hashes)).tobytes(), "big")
+    return majority(np.array([digest(line[a:b], SEED) for a, b in spans], ">u8"))
 
 
 def _fingerprints(width: int):

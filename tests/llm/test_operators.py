@@ -107,6 +107,42 @@ def test_line_index_is_reversible(spark):
     assert index.counts().count() == 0 and text_of(index, first) == first
 
 
+def test_line_index_survives_repeated_inserts_and_restarts(spark):
+    from eddyline.llm.line_dedup import LineIndex
+
+    line = "a line that is long enough to count"
+    frame = lambda *ids: spark.createDataFrame([(i, f"{line}\nown line of document number {i}") for i in ids], "doc_id bigint, text string")
+    shown = lambda index: sorted((r.doc_id, r.n_dropped) for r in index.dedupe(frame(1, 2, 3)).collect())
+    folder = fresh_folder(spark, "again")
+    index = LineIndex(spark, folder)
+    index.insert(frame(1, 2))
+    index.insert(frame(2))  # a retried batch: two documents hold the line, not three
+    assert shown(index) == [(1, 0), (2, 0), (3, 0)]
+    again = LineIndex(spark, folder)
+    assert sorted(map(tuple, again.counts().collect())) == sorted(map(tuple, index.counts().collect()))
+    again.insert(frame(3))
+    assert shown(again) == [(1, 1), (2, 1), (3, 0)] == shown(LineIndex(spark, folder))
+    third = LineIndex(spark, folder)
+    third.delete(frame(2))
+    third.delete(frame(2))
+    assert shown(LineIndex(spark, folder)) == [(1, 0), (2, 0), (3, 0)] and third.counts().filter("n_docs > 2").count() == 0
+    third.insert(frame(2))
+    # A change that was cut off before its state was written has not happened.
+    spark.range(3).selectExpr("id AS hi", "id AS lo", "id AS doc_id", "1 AS delta").write.parquet(f"{folder}/references/change={third.changes}")
+    assert shown(LineIndex(spark, folder)) == [(1, 1), (2, 1), (3, 0)]
+
+
+def test_each_distinct_text_is_encoded_once(spark):
+    from eddyline.llm.queries import BYTE_BPE, vocabulary
+    from eddyline.llm.token_counts import count_tokens
+
+    rows = [(7, "same text")] * 40 + [(None, "text of rows without an id")] * 30 + [(None, "same text")] * 5 + [(k % 3, "another") for k in range(20)]
+    cache = fresh_folder(spark, "cache")
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    assert count_tokens(table, vocabulary(BYTE_BPE), cache).count() == len(rows)
+    assert spark.read.parquet(cache).count() == 3
+
+
 def test_line_index_on_awkward_rows(spark, odd, nothing):
     from eddyline.llm.line_dedup import LineIndex
 

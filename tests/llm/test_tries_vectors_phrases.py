@@ -251,6 +251,6 @@ def test_the_transform_is_that_of_sorted_suffixes():
         groups[tuple(turned[k][:5])].update({int(ids[k - 1]): 1, ("got", int(bwt[row])): 1})
     for counted in groups.values():
         assert Counter({k: v for k, v in counted.items() if not isinstance(k, tuple)}) == Counter({k[1]: v for k, v in counted.items() if isinstance(k, tuple)})
-    every = lambda level, first, second: np.ones(len(first), bool)
+    every = lambda columns: np.ones(len(columns[0]), bool)
     got = {tuple(int(c[i]) for c in cols): int(n[i]) for cols, n in extend(bwt, every, (2, 3, 4, 5)) for i in range(len(n))}
     assert got[(1, 2)] == 3 and got[(1, 2, 3)] == 2 and got[(2, 1, 2, 3)] == 1 and got[(1, 2, 1, 2, 3)] == 1 and (3, 1) not in got

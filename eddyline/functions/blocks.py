@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 
 ROWS_PER_PRODUCT = 64
-BLOCK_ROWS = 100
 
 
 def _dense_blocks(batch: pa.RecordBatch, kind=np.float64):
@@ -29,61 +28,102 @@ def _dense_blocks(batch: pa.RecordBatch, kind=np.float64):
         yield start, used, dense
 
 
-def _emit(matrix: np.ndarray):
-    """A task's partial matrix as (i, cells) rows, each a run of ``BLOCK_ROWS`` matrix rows."""
-    for i, start in enumerate(range(0, len(matrix), BLOCK_ROWS)):
-        cells = np.ascontiguousarray(matrix[start : start + BLOCK_ROWS]).reshape(-1)
-        if cells.any():
-            offsets = pa.array([0, cells.size], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(cells))],
-                names=["i", "cells"],
-            )
+class Directions:
+    """Frequent Directions: ``size`` rows that stand for all rows put in.
 
+    For every unit vector x the sketch B of the rows A has |Bx|² between |Ax|² less
+    |A - A_k|² / (size - k) and |Ax|², for each k below ``size``. Sketches are rows, so
+    putting the rows of one into another merges the two within the same bounds.
+    """
 
-def add_blocks(batches):
-    """mapInArrow body: sums the cells of equal i. Holds one sum per block it is given."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for i, cells in zip(batch.column("i").to_pylist(), batch.column("cells")):
-            values = cells.values.to_numpy()
-            sums[i] = sums[i] + values if i in sums else values
-    for i, values in sums.items():
-        offsets = pa.array([0, values.size], pa.int32())
+    def __init__(self, features: int, size: int):
+        self.size, self.filled = size, 0
+        self.rows = np.zeros((2 * size, features), np.float32)
+
+    def put(self, dense: np.ndarray, used: np.ndarray | None = None) -> None:
+        """Rows, as cells of the ``used`` columns or of all."""
+        for start in range(0, len(dense), self.size):
+            part = dense[start : start + self.size]
+            if self.filled + len(part) > len(self.rows):
+                self.shrink()
+            at = slice(self.filled, self.filled + len(part))
+            if used is None:
+                self.rows[at] = part
+            else:
+                self.rows[at] = 0.0
+                self.rows[np.arange(at.start, at.stop)[:, None], used] = part
+            self.filled += len(part)
+
+    def shrink(self) -> None:
+        """At most ``size`` rows: all squared singular values less the next one's."""
+        if self.filled <= self.size:
+            return
+        rows = self.rows[: self.filled]
+        squares, left = _turned(rows)
+        less = np.maximum(squares[: self.size] - squares[self.size], 0.0)
+        factor = np.sqrt(np.divide(less, squares[: self.size], out=np.zeros_like(less), where=less > 0.0))
+        self.rows[: self.size] = (left[:, : self.size] * factor).T.astype(np.float32) @ rows
+        self.filled = self.size
+
+    def leading(self, count: int) -> np.ndarray:
+        """The ``count`` leading right singular vectors as columns; zero ones beyond the rank."""
+        rows = self.rows[: self.filled].astype(np.float64)
+        out = np.zeros((rows.shape[1], count))
+        if len(rows):
+            squares, left = _turned(rows)
+            good = squares[:count] > squares[0] * 1e-12
+            found = (left[:, :count][:, good] / np.sqrt(squares[:count][good])).T @ rows
+            out[:, : len(found)] = found.T
+        return out
+
+
+def _turned(rows: np.ndarray):
+    """Squared singular values in falling order, and the left singular vectors."""
+    squares, left = np.linalg.eigh((rows @ rows.T).astype(np.float64))
+    return np.maximum(squares[::-1], 0.0), left[:, ::-1]
+
+
+def _emit(sketch: Directions, node: int):
+    sketch.shrink()
+    for start in range(0, sketch.filled, ROWS_PER_PRODUCT):
+        rows = np.ascontiguousarray(sketch.rows[start : min(start + ROWS_PER_PRODUCT, sketch.filled)])
+        offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1])
         yield pa.RecordBatch.from_arrays(
-            [pa.array([i], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(values))],
-            names=["i", "cells"],
+            [pa.array(np.full(len(rows), node, np.int32)), pa.ListArray.from_arrays(offsets, pa.array(rows.reshape(-1)))], names=["node", "cells"]
         )
 
 
-def gram_times(factor: np.ndarray):
-    """mapInArrow body for (A'A)·factor over the sparse rows A of one task.
-
-    Products are in single precision, sums in double: the result only has to span the
-    right subspace, and is made orthonormal afterwards.
-    """
-    factor = factor.astype(np.float32)
+def sketch_rows(features: int, size: int):
+    """mapInArrow body: one sketch of a task's sparse rows, under the number of the task."""
 
     def body(batches):
-        total = np.zeros(factor.shape)
+        from pyspark import TaskContext
+
+        sketch = Directions(features, size)
         for batch in batches:
             for _, used, dense in _dense_blocks(batch, np.float32):
-                total[used] += dense.T @ (dense @ factor[used])
-        yield from _emit(total)
+                sketch.put(dense, used)
+        yield from _emit(sketch, TaskContext.get().partitionId())
 
     return body
 
 
-def image_gram(factor: np.ndarray):
-    """mapInArrow body for (A·factor)'(A·factor)."""
+def merge_sketches(features: int, size: int):
+    """mapInArrow body: sketches of equal ``node``, which lie together, become one."""
 
     def body(batches):
-        total = np.zeros((factor.shape[1], factor.shape[1]))
+        sketch, held = None, None
         for batch in batches:
-            for _, used, dense in _dense_blocks(batch):
-                image = dense @ factor[used]
-                total += image.T @ image
-        yield from _emit(total)
+            nodes = batch.column("node").to_numpy()
+            cells = batch.column("cells").flatten().to_numpy().reshape(len(nodes), features)
+            for node in np.unique(nodes).tolist():
+                if node != held:
+                    if sketch is not None:
+                        yield from _emit(sketch, held)
+                    sketch, held = Directions(features, size), node
+                sketch.put(cells[nodes == node])
+        if sketch is not None:
+            yield from _emit(sketch, held)
 
     return body
 

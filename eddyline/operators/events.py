@@ -45,16 +45,66 @@ def decode_messages(raw: DataFrame) -> DataFrame:
     return _decode(raw, MESSAGE).withColumn("malformed", is_malformed())
 
 
+def _leaf_types() -> list[tuple[str, T.DataType]]:
+    """(path, type) of every field of an event, those of the product below it."""
+    return [(f"product.{f.name}", f.dataType) for f in EVENT["product"].dataType.fields] + [
+        (f.name, f.dataType) for f in EVENT.fields if f.name != "product"
+    ]
+
+
+def decode_events_by_field(raw: DataFrame) -> DataFrame:
+    """As ``decode_events``, but a field of the wrong type costs that field only.
+
+    The text is parsed once, to a VARIANT. A field whose value is of another kind is NULL
+    and named in ``wrong_types``: a text or an object where a number is due, an object or
+    array where a text is due, a number with a fraction where a whole one is due. Numbers
+    and booleans are taken as texts. Malformed is only what is no JSON object.
+    """
+    text = F.col("value").cast("string")
+    parsed = F.explode(F.array(F.try_parse_json(text))).alias("v")
+    rows = raw.select(
+        F.col("key").cast("string").alias("message_key"), text.alias("message_value"), "topic", "partition", "offset",
+        F.col("timestamp").alias("kafka_timestamp"), parsed,
+    )
+    v = F.col("v")
+    kind_of = lambda path: F.schema_of_variant(F.try_variant_get(v, f"$.{path}", "variant"))
+    wrong, taken = [], {}
+    is_object = kind_of("product").startswith("OBJECT")
+    wrong.append(F.when(~(is_object | kind_of("product").isin("VOID")), F.lit("product")))
+    for path, kind in _leaf_types():
+        name = kind.simpleString()
+        value = F.try_variant_get(v, f"$.{path}", name)
+        scalar = ~kind_of(path).rlike("^(OBJECT|ARRAY)")
+        if name == "string":
+            good = scalar
+        else:
+            good = kind_of(path).rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT|INT)") & value.isNotNull()
+            if name == "int":
+                good &= F.try_variant_get(v, f"$.{path}", "double") == value
+        good = F.coalesce(good, F.lit(False))
+        present = F.coalesce(kind_of(path) != "VOID", F.lit(False))
+        taken[path] = F.when(present & good, value)
+        wrong.append(F.when(present & ~good, F.lit(path)))
+    product = F.struct(*[taken[f"product.{f.name}"].alias(f.name) for f in EVENT["product"].dataType.fields])
+    fields = [F.when(is_object, product).alias("product") if f.name == "product" else taken[f.name].alias(f.name) for f in EVENT.fields]
+    malformed = v.isNull() | ~F.schema_of_variant(v).startswith("OBJECT")
+    broken = F.coalesce(malformed, F.lit(True))
+    return rows.select(
+        *[c for c in rows.columns if c != "v"], F.when(~broken, F.struct(*fields)).alias("parsed"), broken.alias("malformed"),
+        F.when(~broken, F.array_compact(F.array(*wrong))).alias("wrong_types"),
+    )
+
+
 def split_malformed(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows that parsed, rows that did not): two filters over one parse."""
     return decoded.filter(~F.col("malformed")), decoded.filter("malformed")
 
 
-def _flat(decoded: DataFrame, schema: T.StructType, now: Column) -> DataFrame:
+def _flat(decoded: DataFrame, schema: T.StructType, now: Column, *more: str) -> DataFrame:
     fields = [F.col(f"parsed.{f.name}").alias(f.name) for f in schema.fields]
     return decoded.select(
         "message_key", "topic", "partition", "offset", "kafka_timestamp",
-        *fields, now.alias("processing_timestamp"),
+        *fields, now.alias("processing_timestamp"), *more,
     )
 
 
@@ -64,6 +114,12 @@ def parse_events(raw: DataFrame, now: Column | None = None) -> DataFrame:
     return _flat(good, EVENT, F.current_timestamp() if now is None else now)
 
 
+def parse_events_by_field(raw: DataFrame, now: Column | None = None) -> DataFrame:
+    """Events with their Kafka coordinates and ``wrong_types``; what is no object is left out."""
+    good, _ = split_malformed(decode_events_by_field(raw))
+    return _flat(good, EVENT, F.current_timestamp() if now is None else now, "wrong_types")
+
+
 def parse_messages(raw: DataFrame, now: Column | None = None) -> DataFrame:
     """Well-formed messages; ``malformed_letters(decode_messages(raw), ...)`` has the rest."""
     good, _ = split_malformed(decode_messages(raw))
@@ -86,20 +142,28 @@ def event_time() -> Column:
     return F.try_to_timestamp(F.col("timestamp"))
 
 
-def broken_rules() -> Column:
-    """Names of the validity rules an event breaks; an empty array means valid."""
+def broken_rules(wrong_types: Column | None = None) -> Column:
+    """Names of the validity rules an event breaks; an empty array means valid.
+
+    With ``wrong_types`` (``decode_events_by_field``) a price that is there and no number
+    breaks the rule for that, and is not missing besides.
+    """
     checks = [F.when(F.col(f).isNull(), F.lit(f"missing_{f}")) for f in REQUIRED_FIELDS]
     product = F.col("product")
+    price = F.col("product.price")
+    not_numeric = F.coalesce(F.isnan(price), F.lit(False))
+    if wrong_types is not None:
+        not_numeric = not_numeric | F.coalesce(F.array_contains(wrong_types, "product.price"), F.lit(False))
     for f in PRODUCT_FIELDS:
         missing = product.isNotNull() & F.col(f"product.{f}").isNull()
-        checks.append(F.when(missing, F.lit(f"missing_product_{f}")))
-    price = F.col("product.price")
-    checks.append(F.when(F.isnan(price), F.lit("price_not_numeric")))
+        checks.append(F.when(missing & ~not_numeric if f == "price" else missing, F.lit(f"missing_product_{f}")))
+    checks.append(F.when(not_numeric, F.lit("price_not_numeric")))
     return F.array_compact(F.array(*checks))
 
 
 def with_validity(events: DataFrame) -> DataFrame:
-    checked = events.withColumn("broken_rules", broken_rules())
+    wrong = F.col("wrong_types") if "wrong_types" in events.columns else None
+    checked = events.withColumn("broken_rules", broken_rules(wrong))
     return checked.withColumn("valid", F.size("broken_rules") == 0)
 
 

@@ -1,8 +1,6 @@
 """Operational metrics over an operation log and over event times."""
 
 from __future__ import annotations
-
-
 import math
 
 from pyspark.ml.feature import Bucketizer
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eddyline.functions.labels import meets_target, resource_class, throughput_class
 from eddyline.schemas import HISTOGRAM_EDGES
+from eddyline.session import cut_lineage
 
 # Counter name -> (labels, filter on the operation log).
 COUNTERS = {
@@ -68,20 +67,27 @@ def histogram(df: DataFrame, value: str, by: list[str], edges=HISTOGRAM_EDGES["p
     )
 
 
+NODE_CUTS = 64
+
+
 def exact_percentiles(
     df: DataFrame,
     value: str,
     by: list[str],
     probabilities: tuple[float, ...] = (0.5, 0.95, 0.99),
     splits: int = 1024,
+    most: int = 1 << 20,
 ) -> DataFrame:
     """Interpolated percentiles (by, p, value) without gathering a group anywhere.
 
     Equal values collapse to counts first. Values are cut into ranges of about equal
     row count, so even a group with most of the rows is spread over all ranges. Range
-    totals say which ranges hold the wanted ranks, and only those are ordered.
+    totals say which ranges hold the wanted ranks, and only those are ordered. A range
+    that still holds more than ``most`` values is cut again, by quantile sketches of its
+    own values, and so on: what one task orders is bounded however many values there are.
     """
-    clean = df.select(*by, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
+    clean = df.select(group.alias("g"), F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
     steps = [i / splits for i in range(1, splits)]
     cuts = sorted(set(clean.approxQuantile("v", steps, 0.25 / splits)))
     # NaN gets the range above all others, as it sorts above all other values.
@@ -89,33 +95,49 @@ def exact_percentiles(
         splits=[-math.inf, *(c for c in cuts if math.isfinite(c)), math.inf],
         inputCol="v", outputCol="r", handleInvalid="keep",
     )
-    counts = ranges_of.transform(clean.groupBy(*by, "v").agg(F.count("*").alias("c")))
+    counts = ranges_of.transform(clean.groupBy("g", "v").agg(F.count("*").alias("c")))
+    rows = counts.select("g", "v", "c", F.lit(0).cast("bigint").alias("node"), F.col("r").cast("bigint").alias("part"))
 
-    ordered = Window.partitionBy(*by).orderBy("r")
-    everything = Window.partitionBy(*by)
-    ranges = (
-        counts.groupBy(*by, "r").agg(F.sum("c").alias("rc"))
-        .withColumn("upto", F.sum("rc").over(ordered))
-        .withColumn("total", F.sum("rc").over(everything))
-    )
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+    totals = counts.groupBy("g").agg(F.sum("c").alias("total"))
     position = F.col("p") * (F.col("total") - 1)
-    targets = ranges.withColumn("p", F.explode(wanted)).select(
-        *by, "r", "p", position.alias("pos"), F.floor(position).alias("lo"), F.ceil(position).alias("hi"),
-        (F.col("upto") - F.col("rc")).alias("before"), "upto",
-    ).filter((F.col("hi") >= F.col("before")) & (F.col("lo") < F.col("upto")))
-
-    inside = Window.partitionBy(*by, "r", "p").orderBy("v")
+    wanted = totals.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+    targets = wanted.select(
+        "g", "p", F.lit(0).cast("bigint").alias("node"), position.alias("pos"), F.floor(position).alias("lo"), F.ceil(position).alias("hi"),
+        F.lit(0).cast("bigint").alias("before"),
+    )
+    while True:
+        targets = cut_lineage(_narrowed(rows, targets))
+        largest = targets.agg(F.max("n_values")).first()[0]
+        inner = rows.drop("node").withColumnRenamed("part", "node").join(targets.select("g", "node").distinct(), ["g", "node"], "left_semi")
+        if largest is None or largest <= most:
+            break
+        inner = cut_lineage(inner)
+        quantiles = F.percentile_approx("v", [i / NODE_CUTS for i in range(1, NODE_CUTS)], 100 * NODE_CUTS)
+        own = inner.groupBy("g", "node").agg(F.array_distinct(quantiles).alias("cuts"))
+        part = F.col("node") * NODE_CUTS + F.size(F.filter("cuts", lambda c: c < F.col("v")))
+        rows = inner.join(own, ["g", "node"]).select("g", "v", "c", "node", part.alias("part"))
+
+    inside = Window.partitionBy("g", "node", "p").orderBy("v")
     ranked = (
-        counts.join(targets, [*by, "r"])
+        inner.join(targets, ["g", "node"])
         .withColumn("last", F.col("before") + F.sum("c").over(inside) - 1)
         .withColumn("first", F.col("last") - F.col("c") + 1)
     )
     at = lambda rank: F.max(F.when(F.col(rank).between(F.col("first"), F.col("last")), F.col("v")))
-    found = ranked.groupBy(*by, "p", "pos", "lo").agg(at("lo").alias("v_lo"), at("hi").alias("v_hi"))
-    return found.select(
-        *by, "p",
-        (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo"))).alias("value"),
+    found = ranked.groupBy("g", "p", "pos", "lo").agg(at("lo").alias("v_lo"), at("hi").alias("v_hi"))
+    # Equal ends need no sum: an infinite value has no distance to itself.
+    between = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo"))
+    return found.select(*[F.col(f"g.{name}").alias(name) for name in by], "p", F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(between).alias("value"))
+
+
+def _narrowed(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """The parts of each target's node that hold its ranks: targets with the part as node,
+    what lies before it, and how many values it has."""
+    ordered = Window.partitionBy("g", "node").orderBy("part")
+    ranges = rows.groupBy("g", "node", "part").agg(F.sum("c").alias("rc"), F.count("*").alias("n_values")).withColumn("upto", F.sum("rc").over(ordered))
+    met = targets.join(ranges, ["g", "node"]).withColumn("upto", F.col("before") + F.col("upto")).withColumn("before", F.col("upto") - F.col("rc"))
+    return met.filter((F.col("hi") >= F.col("before")) & (F.col("lo") < F.col("upto"))).select(
+        "g", "p", F.col("part").alias("node"), "pos", "lo", "hi", "before", "n_values"
     )
 
 

@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
-from pyspark.ml.linalg import Vectors
+import pyarrow as pa
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.functions.blocks import BLOCK_ROWS, add_blocks, gram_times, image_gram, project
+from eddyline.functions.blocks import Directions, merge_sketches, project, sketch_rows
+from eddyline.functions.terms import all_terms, count_terms, frequent_terms, weigh
 from eddyline.schemas import VECTOR_WIDTH
 from eddyline.session import cut_lineage
 
 # Fixed value: tokens are runs of at least two letters, digits or underscores.
 BETWEEN_TOKENS = r"[^\p{L}\p{N}_]+"
 MAX_FEATURES = 10_000
-POWER_PASSES = 5
-EXTRA_DIRECTIONS = 10
-FACTOR_BYTES = 256 * 1024 * 1024
+SUMMARY_TERMS = 1 << 17
+MOST_SUMMARY_TERMS = 1 << 21
+SPARE_DIRECTIONS = 128
+SKETCH_TASKS = 256
+FAN_IN = 4
 
 
 def english_stop_words() -> list[str]:
@@ -25,73 +28,48 @@ def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def _with_words(docs: DataFrame, text: str, stop_words: list[str]) -> DataFrame:
-    tokens = F.split(F.lower(F.col(text)), BETWEEN_TOKENS)
-    words = F.filter(tokens, lambda w: (F.length(w) > 1) & ~w.isin(*stop_words))
-    return docs.withColumn("_words", F.coalesce(words, F.array().cast("array<string>")))
+def _words(docs: DataFrame, text: str, *columns) -> DataFrame:
+    """Tokens of each text, stop words and single letters included."""
+    return docs.select(*columns, F.coalesce(F.split(F.lower(F.col(text)), BETWEEN_TOKENS), F.array().cast("array<string>")).alias("words"))
 
 
-def with_terms(
-    docs: DataFrame, text: str, stop_words: list[str], only_words: list[str] | None = None
-) -> DataFrame:
-    """Adds ``terms``: the words without stop words, and pairs of neighbours among them.
+def vocabulary(docs: DataFrame, text: str, stop_words: list[str], max_features: int) -> list[tuple[str, int, int]]:
+    """(term, tf, df) of the ``max_features`` terms with the highest corpus count, by count
+    and then by term.
 
-    With ``only_words`` terms that contain any other word are left out, after the pairs
-    are formed.
-    """
-    listed = _with_words(docs, text, stop_words)
-    if only_words is not None:
-        # Words are letters, digits and underscores, so they need no quoting rules.
-        chosen = ", ".join(f"'{w}'" for w in only_words)
-        listed = listed.withColumn("_words", F.expr(f"transform(_words, w -> CASE WHEN w IN ({chosen}) THEN w END)"))
-    size = F.size("_words")
-    pairs = F.when(
-        size > 1,
-        F.zip_with(
-            F.slice("_words", F.lit(1), size - 1), F.slice("_words", F.lit(2), size - 1),
-            lambda a, b: F.concat(a, F.lit(" "), b),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
-    return listed.withColumn("terms", F.array_compact(F.concat("_words", pairs))).drop("_words")
-
-
-def frequent_words(docs: DataFrame, text: str, stop_words: list[str], max_features: int) -> list[str] | None:
-    """Words that a vocabulary of ``max_features`` terms can contain, None for any word.
-
-    A pair of words is at most as frequent as either word. So once ``max_features`` words
-    have n occurrences or more, neither a rarer word nor a pair with one can get in.
-    """
-    limit = 4 * max_features
-    counts = (
-        _with_words(docs, text, stop_words)
-        # The outer form keeps the optimizer from adding a size filter, which would
-        # repeat the whole tokenizing expression below it.
-        .select(F.explode_outer("_words").alias("word")).filter(F.col("word").isNotNull())
-        .groupBy("word").agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "word").limit(limit + 1).collect()
-    )
-    if len(counts) < max_features:
-        return None
-    least = counts[max_features - 1].n
-    words = [r.word for r in counts if r.n >= least]
-    return words if len(words) <= limit else None
-
-
-def vocabulary(with_terms_df: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """(term, tf, df) of the terms with the highest corpus count; ties by term.
-
-    One scan and one shuffle give both counts. A frequent term is summed inside each
-    task before it is shuffled.
+    Tasks keep Misra-Gries summaries, so what they shuffle does not grow with the texts.
+    A term that the sum of the summaries misses has at most as many occurrences as they
+    took off. Where the last term wanted has more, all terms that may be wanted are counted
+    exactly in a second pass; otherwise the summaries are made anew, larger ones. Where
+    nothing was taken off they are exact already. Terms so even that summaries of the
+    largest size cannot tell them apart are counted by one aggregation over all terms.
     """
-    occurrences = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
-    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")))
-    return (
-        with_terms_df.select(F.explode_outer(F.concat(occurrences, once)).alias("t"))
-        .filter(F.col("t").isNotNull())
-        .groupBy("t.term")
-        .agg((F.count("*") - F.sum("t.first")).alias("tf"), F.sum("t.first").alias("df"))
-        .orderBy(F.desc("tf"), "term").limit(max_features)
-    )
+    words = _words(docs, text)
+    order = [F.desc("tf"), F.asc("term")]
+    size = max(SUMMARY_TERMS, 4 * max_features)
+    while size <= MOST_SUMMARY_TERMS:
+        summaries = cut_lineage(words.mapInArrow(frequent_terms(stop_words, size), "term string, tf bigint, df bigint"))
+        off = summaries.filter("term IS NULL").agg(F.sum("tf")).first()[0] or 0
+        counts = summaries.filter("term IS NOT NULL").groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+        if off == 0:
+            return [tuple(r) for r in counts.orderBy(*order).limit(max_features).collect()]
+        best = counts.orderBy(*order).limit(max_features).agg(F.min("tf"), F.count("*")).first()
+        least = best[0] if best[1] == max_features else 0
+        if off < least:
+            return _recounted(words, counts.filter(F.col("tf") + off >= least).select("term"), stop_words, max_features)
+        size *= 4
+    everything = words.mapInArrow(all_terms(stop_words, SUMMARY_TERMS), "term string, tf bigint, df bigint")
+    exact = everything.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    return [tuple(r) for r in exact.orderBy(*order).limit(max_features).collect()]
+
+
+def _recounted(words: DataFrame, candidates: DataFrame, stop_words: list[str], max_features: int) -> list[tuple[str, int, int]]:
+    # Each candidate's count is at least the last wanted one less what was taken off, so
+    # there are no more than occurrences / that; a summary's size bounds them too.
+    terms = pa.array([r.term for r in candidates.collect()], pa.string())
+    counted = words.mapInArrow(count_terms(stop_words, terms), "slot int, tf bigint, df bigint").groupBy("slot").agg(F.sum("tf"), F.sum("df"))
+    rows = [(terms[slot].as_py(), tf, df) for slot, tf, df in counted.collect()]
+    return sorted(rows, key=lambda r: (-r[1], r[0].encode()))[:max_features]
 
 
 class TermWeights:
@@ -105,25 +83,19 @@ class TermWeights:
 
     @classmethod
     def fit(cls, docs: DataFrame, text: str, stop_words=None, max_features: int = MAX_FEATURES):
-        stop_words = english_stop_words() if stop_words is None else stop_words
-        texts = docs.select(text)
-        # Two scans: counting words first leaves far fewer pairs to shuffle in the second.
-        words = frequent_words(texts, text, stop_words, max_features)
-        rows = vocabulary(with_terms(texts, text, stop_words, words), max_features).collect()
-        df = np.array([r.df for r in rows], dtype=np.float64)
+        stop_words = list(english_stop_words() if stop_words is None else stop_words)
+        rows = vocabulary(docs, text, stop_words, max_features)
+        df = np.array([r[2] for r in rows], dtype=np.float64)
         n = docs.count()
-        return cls([r.term for r in rows], np.log((1.0 + n) / (1.0 + df)) + 1.0, stop_words)
+        return cls([r[0] for r in rows], np.log((1.0 + n) / (1.0 + df)) + 1.0, stop_words)
 
-    def vectors(self, docs: DataFrame, text: str) -> DataFrame:
-        """Adds ``counts`` and ``weights`` (unit-length sparse vectors). Narrow: no shuffle."""
-        words = sorted({w for term in self.terms for w in term.split(" ")})
-        listed = with_terms(docs, text, self.stop_words, words)
-        counted = CountVectorizerModel.from_vocabulary(self.terms, "terms", "counts").transform(listed)
-        scaled = ElementwiseProduct(
-            scalingVec=Vectors.dense(self.idf), inputCol="counts", outputCol="_scaled"
-        ).transform(counted)
-        unit = Normalizer(p=2.0, inputCol="_scaled", outputCol="weights").transform(scaled)
-        return unit.drop("terms", "_scaled")
+    def vectors(self, docs: DataFrame, id_column: str, text: str) -> DataFrame:
+        """``id, slots, tf, values``: a document's terms by number, their counts and the
+        unit-length weights. Narrow: no shuffle."""
+        kind = dict(docs.dtypes)[id_column]
+        words = _words(docs, text, F.col(id_column).alias("id"))
+        body = weigh(self.stop_words, pa.array(self.terms, pa.string()), self.idf)
+        return words.mapInArrow(body, f"id {kind}, slots array<int>, tf array<bigint>, values array<double>")
 
 
 def term_weights(docs: DataFrame, id_column: str, text: str, **fit) -> DataFrame:
@@ -131,58 +103,39 @@ def term_weights(docs: DataFrame, id_column: str, text: str, **fit) -> DataFrame
     model = TermWeights.fit(docs, text, **fit)
     spark = docs.sparkSession
     names = spark.createDataFrame(list(enumerate(model.terms)), "slot int, term string")
-    if not model.terms:
-        return docs.select(id_column).limit(0).selectExpr("*", "'' term", "0L tf", "0D weight")
-    weighted = model.vectors(docs.select(id_column, text), text).select(
-        id_column, F.unwrap_udt("counts").alias("c"), F.unwrap_udt("weights").alias("w")
-    )
-    entries = weighted.select(
-        id_column,
-        F.explode(F.arrays_zip(
-            F.col("c.indices").alias("slot"), F.col("c.values").alias("tf"), F.col("w.values").alias("weight")
-        )).alias("e"),
+    entries = model.vectors(docs, id_column, text).select(
+        F.col("id").alias(id_column), F.explode(F.arrays_zip(F.col("slots").alias("slot"), F.col("tf"), F.col("values").alias("weight"))).alias("e")
     ).select(id_column, "e.*")
     # The names table has at most max_features rows.
-    return entries.join(F.broadcast(names), "slot").select(
-        id_column, "term", F.col("tf").cast("bigint").alias("tf"), "weight"
-    )
-
+    return entries.join(F.broadcast(names), "slot").select(id_column, "term", "tf", "weight")
 
-def _summed(rows: DataFrame, body, shape: tuple[int, int]) -> np.ndarray:
-    """Sum of the matrices that ``body`` emits per task, added up by block on the executors.
 
-    The result has a fixed size (at most ``FACTOR_BYTES``) whatever the number of rows.
-    """
-    schema = "i int, cells array<double>"
-    total = rows.mapInArrow(body, schema).repartition("i").mapInArrow(add_blocks, schema)
-    result = np.zeros(shape[0] * shape[1])
-    table = total.toArrow()
-    for i, cells in zip(table.column("i").to_pylist(), table.column("cells")):
-        start = i * BLOCK_ROWS * shape[1]
-        values = cells.values.to_numpy()
-        result[start : start + len(values)] = values
-    return result.reshape(shape)
-
-
-def principal_directions(rows: DataFrame, features: int, components: int, seed: int = 7) -> np.ndarray:
+def principal_directions(rows: DataFrame, features: int, components: int) -> np.ndarray:
     """The leading right singular vectors (features x components) of the row matrix.
 
-    Randomised subspace iteration: ``POWER_PASSES`` + 1 passes over the rows whatever the
-    number of components. Only features x (components + 10) matrices leave the tasks,
-    and they are added up block by block after a shuffle.
+    One pass: each task keeps a Frequent Directions sketch of ``components`` +
+    ``SPARE_DIRECTIONS`` rows, and sketches are merged ``FAN_IN`` at a time. At most
+    ``SKETCH_TASKS`` tasks read the rows, several splits each, so what is shuffled does not
+    grow with the number of splits. The subspace found leaves at most
+    1 + components / SPARE_DIRECTIONS times what the best one leaves of the squared lengths.
     """
-    width = min(components + EXTRA_DIRECTIONS, features)
-    if features * width * 8 > FACTOR_BYTES:
-        raise ValueError("max_features x components is beyond the size sent to every task")
-    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((features, width)))[0]
-    for _ in range(POWER_PASSES):
-        basis = np.linalg.qr(_summed(rows, gram_times(basis), (features, width)))[0]
-    gram = _summed(rows, image_gram(basis), (width, width))
-    values, turn = np.linalg.eigh(gram)
-    directions = basis @ turn[:, np.argsort(-values)[:components]]
+    size = components + SPARE_DIRECTIONS
+    parts = rows.rdd.getNumPartitions()
+    if parts > SKETCH_TASKS:
+        rows, parts = rows.coalesce(SKETCH_TASKS), SKETCH_TASKS
+    schema = "node int, cells array<float>"
+    sketches = rows.mapInArrow(sketch_rows(features, size), schema)
+    while parts > 1:
+        parts = -(-parts // FAN_IN)
+        sketches = sketches.withColumn("node", F.floor(F.col("node") / FAN_IN).cast("int"))
+        sketches = sketches.repartition(parts, "node").sortWithinPartitions("node").mapInArrow(merge_sketches(features, size), schema)
+    whole = Directions(features, size)
+    cells = sketches.select("cells").toArrow()["cells"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    whole.put(cells.reshape(-1, features))
+    directions = whole.leading(components)
     # Signs are free; make the largest cell of each direction positive.
     top = np.abs(directions).argmax(axis=0)
-    return directions * np.sign(directions[top, np.arange(directions.shape[1])])
+    return directions * np.where(directions[top, np.arange(components)] < 0, -1.0, 1.0)
 
 
 def svd_vectors(
@@ -190,13 +143,12 @@ def svd_vectors(
 ) -> DataFrame:
     """(id, vector): TF-IDF rows projected on their leading directions, unit length.
 
-    Without any term in the corpus every vector is zero.
+    Without any term in the corpus every vector is zero. So is that of a document without
+    terms, or with none in the directions.
     """
     model = TermWeights.fit(docs, text, **fit)
-    ids = docs.select(F.col(id_column).alias("id"), text)
     if not model.terms:
-        return ids.select("id", F.array_repeat(F.lit(0.0), components).alias("vector"))
-    sparse = model.vectors(ids, text).select("id", F.unwrap_udt("weights").alias("w"))
-    rows = cut_lineage(sparse.select("id", F.col("w.indices").alias("slots"), F.col("w.values").alias("values")))
+        return docs.select(F.col(id_column).alias("id"), F.array_repeat(F.lit(0.0), components).alias("vector"))
+    rows = cut_lineage(model.vectors(docs, id_column, text).select("id", "slots", "values"))
     directions = principal_directions(rows, len(model.terms), min(components, len(model.terms)))
     return rows.mapInArrow(project(directions), f"id {rows.dtypes[0][1]}, vector array<double>")

@@ -128,6 +128,48 @@ def event_validity(spark, sf_dir):
     return checked.select("event_id", F.array_join("broken_rules", ",").alias("broken"), "valid")
 
 
+_REQUIRED, _OF_PRODUCT = ops.REQUIRED_FIELDS, ops.PRODUCT_FIELDS
+_DAMAGED = "eid % 16"
+
+
+def _rules_sql():
+    lost = lambda k, rule: f"CASE WHEN {_DAMAGED} = {k} THEN '{rule}' END"
+    there = f"has_product AND {_DAMAGED} <> {_REQUIRED.index('product')}"
+    rules = [lost(k, f"missing_{f}") for k, f in enumerate(_REQUIRED)]
+    rules[_REQUIRED.index("product")] = f"CASE WHEN NOT ({there}) THEN 'missing_product' END"
+    for k, f in enumerate(_OF_PRODUCT, len(_REQUIRED)):
+        empty = " OR product_description IS NULL" if f == "description" else ""
+        rules.append(f"CASE WHEN {there} AND ({_DAMAGED} = {k}{empty}) THEN 'missing_product_{f}' END")
+    rules.append(f"CASE WHEN {there} AND {_DAMAGED} = 11 THEN 'price_not_numeric' END")
+    return f"""
+SELECT eid AS "offset", concat_ws(',', {", ".join(rules)}) AS broken,
+  concat_ws(',', CASE WHEN {there} AND {_DAMAGED} = 11 THEN 'product.price' END,
+    CASE WHEN {_DAMAGED} = 12 AND quantity IS NOT NULL THEN 'quantity' END) AS wrong,
+  CASE WHEN {_DAMAGED} <> 12 THEN quantity END AS quantity, CASE WHEN {_DAMAGED} <> 3 THEN event_type END AS event_type
+FROM ev WHERE eid % 50 <> 0"""
+
+
+@query("event_rules", with_sql("ev", body=_rules_sql()))
+def event_rules(spark, sf_dir):
+    """Raw records that lack one field after the other, with prices and quantities as texts:
+    each one names the rule it breaks, and the rest of it survives."""
+    rows, damage = tables.events(spark, sf_dir), F.pmod("eid", F.lit(16))
+    for k, f in enumerate(_REQUIRED):
+        rows = rows.withColumn(f, F.when(damage != k, F.col(f)))
+    product = F.col("product")
+    for k, f in enumerate(_OF_PRODUCT, len(_REQUIRED)):
+        product = product.withField(f, F.when(damage != k, F.col(f"product.{f}")))
+    raw = tables.as_raw(rows.withColumn("product", F.when(F.col("product").isNotNull(), product)))
+    place, value = F.pmod("offset", F.lit(16)), F.col("value").cast("string")
+    spoiled = F.when(place == 11, F.regexp_replace(value, r'"price":([0-9.Ee+-]+)', '"price":"$1 EUR"')).when(
+        place == 12, F.regexp_replace(value, r'"quantity":(\d+)', '"quantity":"$1 pieces"')
+    ).otherwise(value)
+    checked = ops.with_validity(ops.parse_events_by_field(raw.withColumn("value", spoiled.cast("binary"))))
+    return checked.select(
+        "offset", F.array_join("broken_rules", ",").alias("broken"), F.array_join("wrong_types", ",").alias("wrong"), "quantity", "event_type"
+    )
+
+
 @query("point_payload", with_sql("ev", body=f"""
 SELECT event_id, timestamp, event_type, user_id, session_id, {_TEXT_SQL['pipeline']} AS text,
   product_id, product_name, product_description, product_category, product_price, search_query, results_count,

@@ -146,9 +146,13 @@ def as_failures(event_rows: DataFrame) -> DataFrame:
 
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_outcomes(table(spark, sf_dir, "events"))
+
+
+def as_outcomes(event_rows: DataFrame) -> DataFrame:
     """Signup events as retry results of the same users."""
     eid = F.col("event_id")
-    return table(spark, sf_dir, "events").filter(F.col("event_type") == "signup").select(
+    return event_rows.filter(F.col("event_type") == "signup").select(
         _user_week().alias("key"), F.lit(TOPIC).alias("topic"),
         F.pmod(eid, F.lit(PARTITIONS)).cast("int").alias("partition"), eid.alias("offset"),
         F.col("props").alias("value"), F.lit("timeout_error").alias("failure_reason"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from eddyline.functions.vectors import has_width, l2_normalize
 from eddyline.operators.events import events_to_points
+from eddyline.operators.pivot_search import PivotIndex
 from eddyline.operators.vectors import cosine_top_k, search_similar, split_missing
 from eddyline.plans import tables
 from eddyline.plans.catalog import hash_vector_columns, query, rounded
@@ -42,12 +43,15 @@ means AS (SELECT label, i, avg(x) AS x FROM cells GROUP BY label, i),
 queries AS (SELECT label, list(x ORDER BY i) AS v FROM means GROUP BY label)"""
 
 
-@query("cosine_topk", _MEANS + """
+TOPK_SQL = _MEANS + """
 SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (
     SELECT q.label AS query_id, c.vec_id AS id,
       round(list_cosine_similarity(q.v, CAST(c.embedding AS DOUBLE[])), 9) AS score
-    FROM queries q, embeddings c)) WHERE rank <= 5""")
+    FROM queries q, embeddings c)) WHERE rank <= 5"""
+
+
+@query("cosine_topk", TOPK_SQL)
 def cosine_topk(spark, sf_dir):
     """The vectors nearest to the mean vector of each label."""
     corpus = tables.vectors(spark, sf_dir)
@@ -56,6 +60,15 @@ def cosine_topk(spark, sf_dir):
     return found.select("query_id", "id", rounded("score"), "rank")
 
 
+@query("cosine_topk_pruned", TOPK_SQL)
+def cosine_topk_pruned(spark, sf_dir):
+    """The same by cells around pivots; means and corpus stay on the executors."""
+    corpus = tables.vectors(spark, sf_dir)
+    means = corpus.groupBy(F.col("label").alias("id")).agg(_mean_vector())
+    found = PivotIndex.build(corpus, width=64).search(means, k=5)
+    return found.select("query_id", "id", rounded("score"), "rank")
+
+
 @query("search_similar", _MEANS.replace("label, ", "0 AS label, ", 1) + """
 SELECT c.vec_id AS id, round(list_cosine_similarity(q.v, CAST(c.embedding AS DOUBLE[])), 6) AS score
 FROM queries q, embeddings c

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eddyline.functions.text import stable_id
 from eddyline.functions.vectors import has_width
 from eddyline.schemas import VECTOR_WIDTH
-from eddyline.sinks.epoch_log import drop_epochs, epochs, latest_rows, read_log, write_epoch
+from eddyline.sinks.epoch_log import VERSION, drop_epochs, epochs, read_log, write_epoch
 
 MANIFEST_SCHEMA = "generation bigint, epoch_id bigint, base string"
 
@@ -51,20 +51,31 @@ def _newest_base(spark: SparkSession, path: str):
     return rows.orderBy(F.desc("generation"), F.desc("epoch_id")).first()
 
 
+def _newest_points(spark: SparkSession, path: str, only: list[tuple[int, int]]) -> DataFrame:
+    """The newest row of each id. Who wins is settled on ids and versions alone; the rows of
+    the others, which are few, are then left out by file and place, and vectors and payloads
+    are read once and never sorted."""
+    log = read_log(spark, path, only=only, place=True)
+    place = ["_file", "_row"]
+    order = [F.col(c).desc_nulls_last() for c in ("generation", "epoch_id", "offset")] + [F.col(c) for c in place]
+    ranked = log.select("id", *VERSION, "offset", *place).withColumn("_rank", F.row_number().over(Window.partitionBy("id").orderBy(*order)))
+    beaten = ranked.filter("_rank > 1").select(*place)
+    return log.join(beaten, place, "left_anti").drop(*place)
+
+
 def _table(spark: SparkSession, path: str, upto: tuple[int, int] | None = None) -> DataFrame:
     base = _newest_base(spark, path)
     folded = (base.generation, base.epoch_id) if base else (-1, -1)
     later = [e for e in epochs(spark, path) if e > folded and (upto is None or e <= upto)]
-    order = ["generation", "epoch_id", "offset"]
     if base is None:
-        return latest_rows(read_log(spark, path, only=later), ["id"], order)
+        return _newest_points(spark, path, later)
     kept = spark.read.parquet(base.base)
     if not later:
         return kept
-    delta = read_log(spark, path, only=later)
+    delta = _newest_points(spark, path, later)
     # The ids alone are read for the anti join; Catalyst broadcasts them when they are few.
-    unchanged = kept.join(delta.select("id").distinct(), "id", "left_anti")
-    return unchanged.unionByName(latest_rows(delta, ["id"], order))
+    unchanged = kept.join(read_log(spark, path, only=later).select("id").distinct(), "id", "left_anti")
+    return unchanged.unionByName(delta)
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:

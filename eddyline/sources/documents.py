@@ -39,13 +39,16 @@ def with_corrupt(schema: T.StructType) -> T.StructType:
 
 
 def stream_documents(
-    spark: SparkSession, path: str, schema: T.StructType, glob: str = INPUT_GLOB, **options
+    spark: SparkSession, path: str, schema: T.StructType, glob: str = INPUT_GLOB, archive: str | None = None, **options
 ) -> DataFrame:
     """New files as they arrive; the query's checkpoint remembers the finished ones. Lines
     that cannot be decoded are kept in ``_corrupt``.
 
-    ``cleanSource=archive`` with ``sourceArchiveDir`` moves them away afterwards.
+    With ``archive``, a folder outside ``path``, the files of an epoch are moved there, under
+    their whole path, once the epoch is done: at the latest when the query runs again.
     """
+    if archive:
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
     return (
         spark.readStream.schema(with_corrupt(schema))
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -55,6 +58,41 @@ def stream_documents(
     )
 
 
+def unreadable_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``file, error`` of those of the given files whose compressed content does not unpack:
+    cut short, or no such content at all. One file at a time passes through a task."""
+    files = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("file"), "content")
+    return files.mapInArrow(_unpack_errors, "file string, error string")
+
+
+def _unpack_errors(batches):
+    import bz2
+    import zlib
+
+    import pyarrow as pa
+
+    openers = {".gz": lambda: zlib.decompressobj(47), ".deflate": lambda: zlib.decompressobj(47), ".bz2": bz2.BZ2Decompressor}
+    for batch in batches:
+        found = []
+        for file, content in zip(batch.column("file").to_pylist(), batch.column("content")):
+            opener = next((o for end, o in openers.items() if file.endswith(end)), None)
+            rest = memoryview(content.as_buffer()) if opener and content.is_valid else memoryview(b"")
+            try:
+                while len(rest):
+                    unpacked, size = opener(), 1 << 20
+                    for start in range(0, len(rest), size):
+                        unpacked.decompress(rest[start : start + size])
+                        if unpacked.eof:
+                            break
+                    if not unpacked.eof:
+                        raise EOFError("ends too early")
+                    # Several packed parts may follow each other in one file.
+                    rest = rest[min(start + size, len(rest)) - len(unpacked.unused_data) :]
+            except (EOFError, OSError, ValueError, zlib.error) as error:
+                found.append((file, f"{type(error).__name__}: {error}"))
+        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in found], pa.string()), pa.array([e for _, e in found], pa.string())], names=["file", "error"])
+
+
 def list_files(spark: SparkSession, folder: str, glob: str = INPUT_GLOB) -> DataFrame:
     """Path, size and time of each file. Contents are pruned from the scan.
 

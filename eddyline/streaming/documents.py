@@ -20,10 +20,11 @@ from eddyline.operators.encoder import encode_texts
 from eddyline.operators.quality import clean_documents
 from eddyline.schemas import VECTOR_WIDTH
 from eddyline.session import fresh_folder, remove_folder
+from eddyline.sinks.digest_index import add_digests, content_digest, fold_digests, known_digests
 from eddyline.sinks.epoch_log import VERSION, latest_rows, read_log, write_epoch
 from eddyline.sinks.json_files import write_json
 from eddyline.sinks.points import upsert_points
-from eddyline.sources.documents import CORRUPT
+from eddyline.sources.documents import CORRUPT, unreadable_files
 from eddyline.streaming.pipeline import start
 
 
@@ -50,6 +51,18 @@ def ledger_rows(docs: DataFrame, seconds: float | None = None) -> DataFrame:
     )
 
 
+def error_entries(broken: DataFrame, seconds: float) -> DataFrame:
+    """Ledger entries of ``broken(file, error)``: files that could not be read."""
+    return broken.select(
+        "file", F.lit("error").alias("status"), F.lit(0).cast("bigint").alias("record_count"), F.lit(seconds).cast("double").alias("processing_time"),
+        "error", F.current_timestamp().alias("timestamp"),
+    )
+
+
+def _is_unreadable(error: Exception) -> bool:
+    return "FAILED_READ_FILE" in str(error)
+
+
 def corrupt_letters(docs: DataFrame) -> DataFrame:
     """Lines that cannot be decoded, as dead letters of their file."""
     lines = docs.filter(F.col(CORRUPT).isNotNull()).select(
@@ -89,22 +102,63 @@ def start_document_stream(
     generation: int = 0,
     encoder=None,
     letters_path: str | None = None,
+    digests_path: str | None = None,
+    fold_every: int = 16,
     **options,
 ) -> StreamingQuery:
     """``docs`` comes from ``with_file(stream_documents(...))``.
 
     Lines that cannot be decoded, and documents an encoder fails on or whose vector does
     not fit, become dead letters (``letters_path``, beside the ledger by default).
-    ``dedupe`` compares the documents of one epoch. Across epochs a document replaces the
-    point of its id, and equal contents under other ids stay.
+    ``dedupe`` keeps the first document of each whole content: of one epoch the lowest id,
+    and none whose content an earlier epoch had (a digest index at ``digests_path``, beside
+    the ledger by default, folded every ``fold_every`` epochs). So which contents are stored
+    does not depend on how files fall into epochs.
+
+    A file that cannot be unpacked does not stop the others: where an epoch fails to read,
+    its files are tried one by one, the broken ones get an ``error`` entry with what is wrong,
+    none of their rows are taken, and the epoch is written again without them.
     """
     letters_path = letters_path or f"{ledger_path}-letters"
+    digests_path = digests_path or f"{ledger_path}-digests"
+
+    def unseen(cleaned: DataFrame, epoch: int) -> DataFrame:
+        spark, tagged = cleaned.sparkSession, fresh_folder(cleaned.sparkSession, "tagged-epoch")
+        cleaned.withColumn("digest", content_digest(F.col("content"))).write.parquet(tagged)
+        rows = spark.read.parquet(tagged)
+        known = known_digests(spark, digests_path, rows, (generation, epoch))
+        fresh = rows.join(known, "digest", "left_anti")
+        add_digests(fresh.select("digest"), digests_path, epoch, generation)
+        if epoch % fold_every == fold_every - 1:
+            fold_digests(spark, digests_path)
+        return fresh.drop("digest")
 
     def write(batch: DataFrame, epoch: int) -> None:
+        spark, ignore = batch.sparkSession, "spark.sql.files.ignoreCorruptFiles"
+        try:
+            store(batch, epoch, None)
+        except Exception as failure:
+            if not _is_unreadable(failure):
+                raise
+            found = fresh_folder(spark, "broken-files")
+            unreadable_files(spark, batch.inputFiles()).write.parquet(found)
+            broken = spark.read.parquet(found)
+            if broken.isEmpty():
+                raise
+            before = spark.conf.get(ignore)
+            spark.conf.set(ignore, "true")
+            try:
+                store(batch.join(broken.select("file"), "file", "left_anti").select(*batch.columns), epoch, broken)
+            finally:
+                spark.conf.set(ignore, before)
+            remove_folder(spark, found)
+
+    def store(batch: DataFrame, epoch: int, broken: DataFrame | None) -> None:
         began = time.monotonic()
         spark, staged = batch.sparkSession, fresh_folder(batch.sparkSession, "staged-epoch")
         stamped = batch.filter(F.col(CORRUPT).isNull()).withColumn("timestamp", F.coalesce("timestamp", _iso(now)))
-        document_points(clean_documents(stamped, strict, dedupe), vector, width, encoder).write.parquet(staged)
+        cleaned = clean_documents(stamped, strict, dedupe)
+        document_points(unseen(cleaned, epoch) if dedupe else cleaned, vector, width, encoder).write.parquet(staged)
         made = spark.read.parquet(staged)
         fits = F.col("encode_error").isNull() & has_width(F.col("vector"), width)
         points = made.filter(fits).drop("encode_error")
@@ -119,7 +173,10 @@ def start_document_stream(
         )
         refused = dead_letter_rows(failed, F.col("reason"), F.col("error"), F.current_timestamp())
         write_epoch(corrupt_letters(batch).unionByName(refused), letters_path, epoch, generation)
-        write_epoch(ledger_rows(batch, time.monotonic() - began), ledger_path, epoch, generation)
+        entries, seconds = ledger_rows(batch, time.monotonic() - began), time.monotonic() - began
+        if broken is not None:
+            entries = entries.unionByName(error_entries(broken, seconds))
+        write_epoch(entries, ledger_path, epoch, generation)
         remove_folder(spark, staged)
 
     return start(docs, write, checkpoint, **options)

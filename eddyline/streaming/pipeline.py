@@ -39,6 +39,8 @@ def start_point_stream(
     encoder=None,
     width: int = VECTOR_WIDTH,
     generation: int = 0,
+    processed_at: Column | None = None,
+    constants: dict | None = None,
     **options,
 ) -> StreamingQuery:
     """Parse, build text and vector, upsert. ``vector`` makes vectors as a column;
@@ -47,14 +49,17 @@ def start_point_stream(
     Every record of an epoch becomes a point or a dead letter, but for events that have no
     text at all: malformed records (``validation_error``), failures of the encoder
     (``embedding_error``) and vectors that do not fit (``validation_error``) are letters.
-    A replayed epoch overwrites both outputs.
+    A replayed epoch overwrites both outputs. ``processed_at`` and ``constants``, such as a
+    model's name, are stored in the payload, and so is the epoch wherever one of them is.
     """
+    stamps = dict(constants or {})
 
     def write(batch: DataFrame, epoch: int) -> None:
         staged = fresh_folder(batch.sparkSession, "staged-epoch")
         # Written once, so that neither the source, nor the parser, nor a model runs again
         # for the second output; nothing is held on executor disks.
-        _outcomes(batch, text, vector, encoder, width).write.parquet(staged)
+        added = {"epoch": epoch, **stamps} if stamps or processed_at is not None else {}
+        _outcomes(batch, text, vector, encoder, width, processed_at, added).write.parquet(staged)
         rows = batch.sparkSession.read.parquet(staged)
         points = rows.filter("reason IS NULL").select("id", "vector", "payload", "offset")
         upsert_points(points, points_path, epoch, generation)
@@ -71,11 +76,11 @@ def start_point_stream(
 COORDINATES = ("topic", "partition", "offset", "kafka_timestamp", "message_key", "message_value")
 
 
-def _outcomes(batch: DataFrame, text, vector, encoder, width: int) -> DataFrame:
+def _outcomes(batch: DataFrame, text, vector, encoder, width: int, processed_at, added: dict) -> DataFrame:
     """A row per record: a point, or with ``reason`` and ``error`` what goes to the letters."""
     good, bad = split_malformed(decode_events(batch))
     events = good.select(*COORDINATES, *[F.col(f"parsed.{n}").alias(n) for n in EVENT.names])
-    texts = event_texts(events, text, carry=COORDINATES)
+    texts = event_texts(events, text, processed_at, COORDINATES, **added)
     if encoder is None:
         made = texts.withColumn("vector", vector(F.col("payload.text"), width).cast("array<float>"))
         made = made.withColumn("encode_error", F.lit(None).cast("string"))

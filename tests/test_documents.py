@@ -224,6 +224,75 @@ def test_term_weights_against_brute_force(spark, limit):
         assert r.weight == pytest.approx(expected[(r.id, r.term)])
 
 
+@pytest.mark.parametrize("sizes", [(1, 1), (3, 3), (1, 64), (1 << 17, 1 << 21)])
+def test_vocabulary_by_summaries_equals_exact_counts(spark, monkeypatch, sizes):
+    """Summaries too small to tell terms apart, ones that need larger ones or a recount, and
+    ones that lose nothing all give the same terms, counts and order of ties."""
+    import random
+    from collections import Counter
+
+    from eddyline.operators import tfidf
+
+    monkeypatch.setattr(tfidf, "SUMMARY_TERMS", sizes[0])
+    monkeypatch.setattr(tfidf, "MOST_SUMMARY_TERMS", sizes[1])
+    draw = random.Random(4)
+    words = ["É", "les", "über", "日本", "x9", "a_b", *[f"w{i}" for i in range(80)]]
+    texts = [" ".join(draw.choices(words, [100 / (i + 1) for i in range(len(words))], k=draw.randrange(60))) for _ in range(120)] + [None, "", "the a"]
+    for limit in (1, 7, 40, 5000):
+        got = tfidf.vocabulary(text_frame(spark, texts).repartition(5), "t", ["the", "w3"], limit)
+        tf, df = Counter(), Counter()
+        import re
+
+        for t in texts:
+            kept = [w for w in re.findall(r"\w\w+", (t or "").lower()) if w not in ("the", "w3")]
+            terms = kept + [f"{a} {b}" for a, b in zip(kept, kept[1:])]
+            tf.update(terms)
+            df.update(set(terms))
+        expected = sorted(tf, key=lambda w: (-tf[w], w.encode()))[:limit]
+        assert got == [(w, tf[w], df[w]) for w in expected]
+
+
+def test_frequent_directions_keep_their_bounds_however_rows_are_split(spark):
+    from eddyline.operators import tfidf
+
+    rng = np.random.default_rng(8)
+    dense = (rng.normal(size=(600, 12)) * 3.0 ** -np.arange(12)) @ rng.normal(size=(12, 90)) + 0.02 * rng.normal(size=(600, 90))
+    dense[np.abs(dense) < 0.3] = 0.0
+    rows = spark.createDataFrame(
+        [(i, np.flatnonzero(r).tolist(), r[r != 0].tolist()) for i, r in enumerate(dense)], "id long, slots array<int>, values array<double>"
+    )
+    squares = np.linalg.svd(dense, compute_uv=False) ** 2
+    k = 5
+    best = squares[k:].sum()
+    for parts, spare, tasks in ((1, 8, 256), (7, 8, 256), (40, 8, 3), (23, 128, 256)):
+        tfidf.SPARE_DIRECTIONS, tfidf.SKETCH_TASKS, held = spare, tasks, (tfidf.SPARE_DIRECTIONS, tfidf.SKETCH_TASKS)
+        try:
+            found = tfidf.principal_directions(rows.repartition(parts), 90, k)
+        finally:
+            tfidf.SPARE_DIRECTIONS, tfidf.SKETCH_TASKS = held
+        assert np.allclose(found.T @ found, np.eye(k), atol=1e-5)
+        left = (dense**2).sum() - ((dense @ found) ** 2).sum()
+        assert best - 1e-3 <= left <= best * (1 + k / spare) + 1e-3
+
+
+def test_a_sketch_stays_within_its_error(spark):
+    from eddyline.functions.blocks import Directions
+
+    rng = np.random.default_rng(9)
+    dense = rng.normal(size=(500, 40)) * 1.3 ** -np.arange(40)
+    sketches = [Directions(40, 12) for _ in range(3)]
+    for i, part in enumerate(np.array_split(dense, 20)):
+        sketches[i % 3].put(part)
+    for other in sketches[1:]:
+        other.shrink()
+        sketches[0].put(other.rows[: other.filled])
+    sketches[0].shrink()
+    b = sketches[0].rows[:12].astype(np.float64)
+    gap = np.linalg.eigvalsh(dense.T @ dense - b.T @ b)
+    squares = np.linalg.svd(dense, compute_uv=False) ** 2
+    assert gap.min() >= -1e-3 and gap.max() <= min(squares[k:].sum() / (12 - k) for k in range(12)) * 1.001
+
+
 def test_svd_keeps_the_geometry(spark):
     """With as many components as the rank, inner products equal those of the weights."""
     vocabulary, expected = brute_weights(TEXTS, {"the", "a"}, 100)
@@ -259,6 +328,45 @@ def test_no_terms_gives_zero_vectors(spark):
     assert term_weights(text_frame(spark, ["a"]), "id", "t", stop_words=[]).count() == 0
 
 
+def test_archive_ledger_and_pending_files_agree(spark, tmp_path):
+    import gzip
+
+    from eddyline.sinks.points import read_points
+    from eddyline.sources.documents import pending_files, stream_documents, unreadable_files
+    from eddyline.streaming import documents
+
+    source, root = tmp_path / "in", fresh_folder(spark, "archive")
+    source.mkdir()
+    packed = lambda *ids: gzip.compress("".join(f'{{"id": "{i}", "content": "text of {i}"}}\n' for i in ids).encode())
+    put = lambda name, content: (source / f".{name}").write_bytes(content) and (source / f".{name}").rename(source / name)
+    put("a.json.gz", packed("a", "b"))
+    put("b.json.gz", packed("never", *map(str, range(3000)))[:-200])
+    put("c.json.gz", packed("c") + packed("d"))  # two packed parts
+    put("d.json.gz", b"not packed at all")
+
+    def drain():
+        stream = stream_documents(spark, str(source), DOCUMENT, "*.gz", archive=str(tmp_path / "done"))
+        documents.start_document_stream(
+            documents.with_file(stream), f"{root}/points", f"{root}/json", f"{root}/ledger", f"{root}/checkpoint", every=None
+        ).awaitTermination()
+
+    found = {r.file.split("/")[-1]: r.error for r in unreadable_files(spark, [str(source)]).collect()}
+    assert set(found) == {"b.json.gz", "d.json.gz"} and "too early" in found["b.json.gz"]
+    drain()
+    files = list_files(spark, str(source), "*.gz").unionByName(list_files(spark, str(tmp_path / "done"), "*.gz")) if (tmp_path / "done").exists() else list_files(spark, str(source), "*.gz")
+    ledger = documents.read_ledger(spark, f"{root}/ledger", files)
+    name = lambda path: path.split("/")[-1]
+    got = {name(r.file): (r.status, r.record_count) for r in ledger.filter("status <> 'empty'").collect()}
+    assert got == {"a.json.gz": ("success", 2), "b.json.gz": ("error", 0), "c.json.gz": ("success", 2), "d.json.gz": ("error", 0)}
+    assert sorted(r.id for r in read_points(spark, f"{root}/points").collect()) == ["a", "b", "c", "d"]
+    put("e.json.gz", packed("e"))
+    drain()
+    done = {p.name for p in (tmp_path / "done").rglob("*.gz")}
+    assert done >= {"a.json.gz", "b.json.gz", "c.json.gz", "d.json.gz"}
+    left = {name(r.path) for r in pending_files(list_files(spark, str(source), "*.gz"), documents.read_ledger(spark, f"{root}/ledger")).collect()}
+    assert left == set() and {p.name for p in source.glob("*.gz")} | done == {f"{c}.json.gz" for c in "abcde"}
+
+
 def test_document_stream_ledger_and_outputs(spark):
     from eddyline.operators.ledger import run_summary
     from eddyline.sinks.points import read_points

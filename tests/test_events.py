@@ -131,3 +131,36 @@ def test_event_time_parses_iso_forms(spark):
 
 def test_envelope_types():
     assert KAFKA_ENVELOPE["value"].dataType == T.BinaryType()
+
+
+def test_a_wrong_type_costs_its_field_only(spark):
+    import json
+
+    whole = {
+        "event_id": "1", "timestamp": "2024-01-01T00:00:00Z", "user_id": "u", "event_type": "purchase", "session_id": "s", "quantity": 2,
+        "total_amount": 9.5, "product": {"id": "p", "name": "n", "description": "d", "category": "c", "price": 4.75},
+    }
+    product = lambda **f: whole | {"product": whole["product"] | f}
+    cases = [
+        (whole, [], []), (whole | {"quantity": "two"}, ["quantity"], []), (whole | {"quantity": 1.5}, ["quantity"], []), (whole | {"quantity": 3.0}, [], []),
+        (product(price="4 EUR"), ["product.price"], ["price_not_numeric"]), (product(price="4.75"), ["product.price"], ["price_not_numeric"]),
+        (product(price={"eur": 4}), ["product.price"], ["price_not_numeric"]), (product(price=None), [], ["missing_product_price"]),
+        (whole | {"event_id": 7}, [], []), (whole | {"user_id": ["u"]}, ["user_id"], ["missing_user_id"]), (whole | {"product": "p"}, ["product"], ["missing_product"]),
+        (whole | {"product": None}, [], ["missing_product"]), (whole | {"view_duration": 10**12}, ["view_duration"], []), (product(name={"a": 1}), ["product.name"], ["missing_product_name"]),
+        (whole | {"total_amount": True}, ["total_amount"], []),
+    ]
+    texts = [json.dumps(c[0]) for c in cases] + ["", None, "[1]", "12", '{"event_id": "1"', "null"]
+    raw = spark.createDataFrame(
+        [(b"k", None if t is None else t.encode(), "t", 0, i, None) for i, t in enumerate(texts)],
+        "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp",
+    )
+    decoded = ops.decode_events_by_field(raw)
+    assert [r.malformed for r in decoded.orderBy("offset").collect()] == [False] * len(cases) + [True] * 6
+    got = ops.with_validity(ops.parse_events_by_field(raw)).orderBy("offset").collect()
+    for r, (record, wrong, rules) in zip(got, cases, strict=True):
+        assert (r.wrong_types, r.broken_rules) == (wrong, rules), record
+        assert r.session_id == "s" and (r.product is None or r.product.category == "c")
+    assert got[8].event_id == "7" and got[3].quantity == 3 and got[1].total_amount == 9.5
+    # Where no type is wrong both decoders agree.
+    plain = ops.parse_events(raw).drop("processing_timestamp").filter("offset = 0").collect()
+    assert plain == ops.parse_events_by_field(raw).drop("processing_timestamp", "wrong_types").filter("offset = 0").collect()

@@ -1,3 +1,4 @@
+import math
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -8,7 +9,6 @@ from eddyline.functions import labels
 from eddyline.operators import deadletters as dlq
 from eddyline.operators import ledger as led
 from eddyline.operators import metrics
-from eddyline.operators.skew import lookup_join
 
 T0 = datetime(2024, 1, 15, 10, 0, 0, 250000)
 LOG = """key string, topic string, partition int, offset long, value string, failure_reason string,
@@ -120,18 +120,6 @@ def test_messages_without_id_do_not_match_each_other(spark):
     assert [r[0] for r in df.select(dlq.message_key()).collect()] == ["t|0|1", "t|0|2", "m"]
 
 
-@pytest.mark.parametrize("hot_keys", [1, 3, 100])
-def test_lookup_join_equals_a_left_join(spark, hot_keys):
-    rows = spark.range(2000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id") % 40).cast("int").alias("k"),
-        F.col("id").alias("x"),
-    )
-    lookup = spark.range(0, 30).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("v"))
-    got = sorted(map(tuple, lookup_join(rows, lookup, "k", hot_keys).select("x", "k", "v").collect()))
-    plain = sorted(map(tuple, rows.join(lookup, "k", "left").select("x", "k", "v").collect()))
-    assert got == plain and len(got) == 2000
-
-
 def test_run_summary_statuses(spark):
     rows = [("a", "success", 5), ("b", "success", 2), ("b", "empty", 0), ("c", "error", 0)]
     df = spark.createDataFrame(rows, "run string, status string, record_count long")
@@ -190,6 +178,26 @@ def test_exact_percentiles_against_numpy(spark, splits):
             assert got[(g, q)] == pytest.approx(np.quantile(values, q))
 
 
+@pytest.mark.parametrize("most", [20, 300])
+def test_percentiles_of_one_range_with_nearly_all_values(spark, most):
+    """Distinct values close together, far from a few others: the range is cut again."""
+    rng = np.random.default_rng(2)
+    groups = {
+        "dense": np.concatenate([1e6 + rng.uniform(0, 1e-3, 4000), [0.0, 1e9, -5.0, 7.0]]), "other": rng.normal(0, 1, 700),
+        None: np.array([1.0, 2.0]), "same": np.full(900, 3.0), "inf": np.array([1.0, math.inf, math.inf]),
+    }
+    rows = [(g, float(v)) for g, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    p = (0.0, 0.37, 0.5, 0.99, 1.0)
+    got = {(r.g, r.p): r.value for r in metrics.exact_percentiles(df, "v", ["g"], p, splits=4, most=most).collect()}
+    assert len(got) == len(groups) * len(p)
+    for g, values in groups.items():
+        for q in p:
+            if g != "inf":
+                assert got[(g, q)] == pytest.approx(np.quantile(values, q), rel=1e-15, abs=1e-12)
+    assert got[("inf", 0.5)] == math.inf and got[("inf", 0.0)] == 1.0
+
+
 def test_histogram_is_cumulative(spark):
     df = spark.createDataFrame([("a", 0.001), ("a", 0.02), ("a", 99.0), ("a", None)], "g string, v double")
     rows = {r.le: r for r in metrics.histogram(df, "v", ["g"]).collect()}

@@ -79,6 +79,52 @@ def test_no_corpus_and_no_queries(spark):
     assert cosine_top_k(empty, some, 3, 2).count() == 0
 
 
+def clustered(rng, n, width=24, centres=40):
+    middle = rng.normal(size=(centres, width))
+    return middle[rng.integers(centres, size=n)] + 0.03 * rng.normal(size=(n, width))
+
+
+@pytest.mark.parametrize("pivots, cells", [(1, 1 << 18), (40, 60), (300, 1 << 18)])
+def test_pruned_search_equals_brute_force(spark, monkeypatch, pivots, cells):
+    from eddyline.operators import pivot_search
+
+    monkeypatch.setattr(pivot_search, "BLOCK_CELLS", cells)
+    rng = np.random.default_rng(12)
+    corpus = np.concatenate([rng.integers(-1, 2, (400, 6)).astype(float), np.tile([1.0, 2, 3, 4, 5, 6], (30, 1)), np.zeros((9, 6))])
+    queries = np.concatenate([rng.integers(-1, 2, (40, 6)).astype(float), corpus[400:402], np.zeros((1, 6))])
+    index = pivot_search.PivotIndex.build(frame(spark, corpus).repartition(4), width=6, pivots=pivots)
+    for k in (1, 7, 60):
+        assert ranked(index.search(frame(spark, queries), k)) == brute(queries, corpus, k)
+
+
+def test_pruned_search_skips_what_cannot_be_near(spark):
+    from eddyline.operators.pivot_search import PivotIndex
+
+    rng = np.random.default_rng(13)
+    corpus = clustered(rng, 4000)
+    queries = corpus[rng.integers(4000, size=50)] + 0.01 * rng.normal(size=(50, 24))
+    index = PivotIndex.build(frame(spark, corpus, "string"), width=24, pivots=120)
+    got = index.search(frame(spark, queries, "string"), 5)
+    assert ranked(got, lambda s: int(s[2:])) == brute(queries, corpus, 5)
+    share = index.share_read(frame(spark, queries, "string"), 5)
+    print("share of pairs compared:", round(share, 3))
+    assert share < 0.25
+
+
+def test_pruned_search_of_odd_rows(spark):
+    from eddyline.operators.pivot_search import PivotIndex
+
+    nan = float("nan")
+    odd = spark.createDataFrame([(0, [nan, 1.0]), (1, [1.0, 0.0]), (2, None), (3, [1.0]), (4, [0.0, 0.0])], "id long, vector array<double>")
+    found = PivotIndex.build(odd, width=2).search(odd, 3).collect()
+    assert sorted((r.query_id, r.id) for r in found if r.id is not None) == [(1, 1), (1, 4), (4, 1), (4, 4)]
+    assert sorted(r.query_id for r in found if r.id is None) == [0, 2, 3]
+    assert PivotIndex.build(odd.limit(0), width=2).search(odd, 3).filter("id IS NOT NULL").count() == 0
+    assert PivotIndex.build(odd, width=2).search(odd.limit(0), 3).count() == 0
+    zeros = PivotIndex.build(odd.filter("id = 4"), width=2)
+    assert [tuple(r) for r in zeros.search(odd.filter("id = 1"), 2).collect()] == [(1, 4, 0.0, 1)]
+
+
 def points(spark, rows):
     return spark.createDataFrame(rows, "id string, vector array<float>, payload map<string,string>, offset long")
 
@@ -111,6 +157,18 @@ def test_upsert_replay_compaction_and_generations(spark):
     assert shown(spark, path) == expected | {"a": ("3", 1, 0)}
 
 
+def test_reading_points_sorts_no_vectors(spark):
+    path = fresh_folder(spark, "narrow")
+    for epoch in range(3):
+        upsert_points(points(spark, [(f"p{i}", [float(epoch)], {"v": str(epoch)}, i) for i in range(epoch * 10, epoch * 10 + 15)]), path, epoch)
+    table = read_points(spark, path)
+    assert {r.id: r.epoch_id for r in table.collect()} == {f"p{i}": min(i // 10, 2) for i in range(35)}
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.split("\n") if "Sort [" in line or "Exchange hashpartitioning" in line]
+    assert sorts and not any("vector" in line or "payload" in line for line in sorts)
+    assert "BroadcastHashJoin" in plan  # the beaten rows are few
+
+
 def test_missing_ids_are_stable(spark):
     rows = [(None, {"k": "v"}), (None, {"k": "v"}), (None, {"k": "w"}), ("x", None)]
     df = spark.createDataFrame(rows, "id string, metadata map<string,string>")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +44,8 @@ def stream_documents(
     spark: SparkSession, path: str, schema: T.StructType, glob: str = INPUT_GLOB, archive: str | None = None, **options
 ) -> DataFrame:
     """New files as they arrive; the query's checkpoint remembers the finished ones. Lines
-    that cannot be decoded are kept in ``_corrupt``.
+    that cannot be decoded are kept in ``_corrupt``. A packed file that breaks off gives the
+    rows before that, so whoever takes the rows has to ask ``unreadable_files``.
 
     With ``archive``, a folder outside ``path``, the files of an epoch are moved there, under
     their whole path, once the epoch is done: at the latest when the query runs again.
@@ -52,16 +55,24 @@ def stream_documents(
     return (
         spark.readStream.schema(with_corrupt(schema))
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("ignoreCorruptFiles", True)
         .option("pathGlobFilter", glob)
         .options(**options)
         .json(path)
     )
 
 
+PACKED = (".gz", ".deflate", ".bz2")
+
+
 def unreadable_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``file, error`` of those of the given files whose compressed content does not unpack:
-    cut short, or no such content at all. One file at a time passes through a task."""
-    files = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("file"), "content")
+    cut short, or no such content at all. One file at a time passes through a task. Paths are
+    as ``_metadata.file_path`` has them."""
+    packed = [unquote(p) for p in paths if p.endswith(PACKED)]
+    if not packed:
+        return spark.createDataFrame([], "file string, error string")
+    files = spark.read.format("binaryFile").load(packed).select(F.col("_metadata.file_path").alias("file"), "content")
     return files.mapInArrow(_unpack_errors, "file string, error string")
 
 

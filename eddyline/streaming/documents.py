@@ -59,10 +59,6 @@ def error_entries(broken: DataFrame, seconds: float) -> DataFrame:
     )
 
 
-def _is_unreadable(error: Exception) -> bool:
-    return "FAILED_READ_FILE" in str(error)
-
-
 def corrupt_letters(docs: DataFrame) -> DataFrame:
     """Lines that cannot be decoded, as dead letters of their file."""
     lines = docs.filter(F.col(CORRUPT).isNotNull()).select(
@@ -115,9 +111,9 @@ def start_document_stream(
     the ledger by default, folded every ``fold_every`` epochs). So which contents are stored
     does not depend on how files fall into epochs.
 
-    A file that cannot be unpacked does not stop the others: where an epoch fails to read,
-    its files are tried one by one, the broken ones get an ``error`` entry with what is wrong,
-    none of their rows are taken, and the epoch is written again without them.
+    A packed file that breaks off does not stop the others: it gets an ``error`` entry with
+    what is wrong, and none of its rows are taken. One that gives no row at all is found when
+    the ledger is read together with the list of files.
     """
     letters_path = letters_path or f"{ledger_path}-letters"
     digests_path = digests_path or f"{ledger_path}-digests"
@@ -134,24 +130,17 @@ def start_document_stream(
         return fresh.drop("digest")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        spark, ignore = batch.sparkSession, "spark.sql.files.ignoreCorruptFiles"
-        try:
+        spark = batch.sparkSession
+        packed = batch.select("file").filter(F.col("file").rlike(r"\.(gz|deflate|bz2)$")).distinct()
+        names = [r.file for r in packed.collect()]  # of one epoch
+        if not names:
             store(batch, epoch, None)
-        except Exception as failure:
-            if not _is_unreadable(failure):
-                raise
-            found = fresh_folder(spark, "broken-files")
-            unreadable_files(spark, batch.inputFiles()).write.parquet(found)
-            broken = spark.read.parquet(found)
-            if broken.isEmpty():
-                raise
-            before = spark.conf.get(ignore)
-            spark.conf.set(ignore, "true")
-            try:
-                store(batch.join(broken.select("file"), "file", "left_anti").select(*batch.columns), epoch, broken)
-            finally:
-                spark.conf.set(ignore, before)
-            remove_folder(spark, found)
+            return
+        found = fresh_folder(spark, "broken-files")
+        unreadable_files(spark, names).write.parquet(found)
+        broken = spark.read.parquet(found)
+        store(batch.join(broken.select("file"), "file", "left_anti").select(*batch.columns), epoch, broken)
+        remove_folder(spark, found)
 
     def store(batch: DataFrame, epoch: int, broken: DataFrame | None) -> None:
         began = time.monotonic()
@@ -187,11 +176,14 @@ def _iso(now: Column | None) -> Column:
 
 
 def read_ledger(spark, path: str, files: DataFrame | None = None) -> DataFrame:
-    """The newest entry per file. Of the given ``files`` those that yielded no row at all
-    are added as ``empty``."""
+    """The newest entry per file. Of the given ``files`` those that yielded no row at all are
+    added as ``empty``, or as ``error`` where they cannot be unpacked."""
     entries = latest_rows(read_log(spark, path), ["file"], list(VERSION)).drop(*VERSION)
     if files is None:
         return entries
     silent = files.select(F.col("path").alias("file")).join(entries.select("file"), "file", "left_anti")
-    empty = silent.select("file", F.lit("empty").alias("status"), F.lit(0).cast("bigint").alias("record_count"))
-    return entries.unionByName(empty, allowMissingColumns=True)
+    packed = [r.file for r in silent.filter(F.col("file").rlike(r"\.(gz|deflate|bz2)$")).collect()]
+    broken = unreadable_files(spark, packed)
+    status = F.when(F.col("error").isNotNull(), F.lit("error")).otherwise(F.lit("empty"))
+    others = silent.join(broken, "file", "left").select("file", status.alias("status"), F.lit(0).cast("bigint").alias("record_count"), "error")
+    return entries.unionByName(others, allowMissingColumns=True)

@@ -350,7 +350,7 @@ def test_archive_ledger_and_pending_files_agree(spark, tmp_path):
             documents.with_file(stream), f"{root}/points", f"{root}/json", f"{root}/ledger", f"{root}/checkpoint", every=None
         ).awaitTermination()
 
-    found = {r.file.split("/")[-1]: r.error for r in unreadable_files(spark, [str(source)]).collect()}
+    found = {r.file.split("/")[-1]: r.error for r in unreadable_files(spark, [r.path for r in list_files(spark, str(source), "*.gz").collect()]).collect()}
     assert set(found) == {"b.json.gz", "d.json.gz"} and "too early" in found["b.json.gz"]
     drain()
     files = list_files(spark, str(source), "*.gz").unionByName(list_files(spark, str(tmp_path / "done"), "*.gz")) if (tmp_path / "done").exists() else list_files(spark, str(source), "*.gz")

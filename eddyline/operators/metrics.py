@@ -135,7 +135,7 @@ def _narrowed(rows: DataFrame, targets: DataFrame) -> DataFrame:
     what lies before it, and how many values it has."""
     ordered = Window.partitionBy("g", "node").orderBy("part")
     ranges = rows.groupBy("g", "node", "part").agg(F.sum("c").alias("rc"), F.count("*").alias("n_values")).withColumn("upto", F.sum("rc").over(ordered))
-    met = targets.join(ranges, ["g", "node"]).withColumn("upto", F.col("before") + F.col("upto")).withColumn("before", F.col("upto") - F.col("rc"))
+    met = targets.select("g", "p", "node", "pos", "lo", "hi", "before").join(ranges, ["g", "node"]).withColumn("upto", F.col("before") + F.col("upto")).withColumn("before", F.col("upto") - F.col("rc"))
     return met.filter((F.col("hi") >= F.col("before")) & (F.col("lo") < F.col("upto"))).select(
         "g", "p", F.col("part").alias("node"), "pos", "lo", "hi", "before", "n_values"
     )

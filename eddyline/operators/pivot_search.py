@@ -29,7 +29,7 @@ class PivotIndex:
         self.spark, self.path = spark, path
         pivots = spark.read.parquet(f"{path}/pivots").orderBy("place").toArrow()
         self.width = len(pivots["vector"][0]) if pivots.num_rows else 0
-        self.pivots = np.array(pivots["vector"].to_pylist(), np.float64).reshape(pivots.num_rows, self.width)
+        self.pivots = unit_rows(np.array(pivots["vector"].to_pylist(), np.float64).reshape(pivots.num_rows, self.width))
         cells = spark.read.parquet(f"{path}/cells").orderBy("cell").toArrow()
         self.cell_pivot, self.cell_ring, self.rows = (cells[n].to_numpy() for n in ("pivot", "ring", "n"))
 

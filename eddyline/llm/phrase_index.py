@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from eddyline.llm.common import whole_text, written
 
 DEPTH = 5
-SHARD_WORDS = 1 << 19  # of one language, at which a task closes a shard
-HELD_WORDS = 1 << 20  # of all languages together that a task holds
-HELD_PHRASES = 1 << 19
+SHARD_WORDS = 1 << 18  # of one language, at which a task closes a shard
+HELD_WORDS = 1 << 19  # of all languages together that a task holds
+HELD_PHRASES = 1 << 17
 SCREENED = 3  # words of the longest phrases that are summed by hash before they are by text
 MOST_BITS = 1 << 27  # of a bitmap: 16 MB on every executor
 BUCKET = 1 << 15  # bits of one bitmap row in Spark's bitmap functions

@@ -120,13 +120,14 @@ def start_document_stream(
 
     def unseen(cleaned: DataFrame, epoch: int) -> DataFrame:
         spark, tagged = cleaned.sparkSession, fresh_folder(cleaned.sparkSession, "tagged-epoch")
+        # First, as the rows below are read from the index until they are stored.
+        if epoch and epoch % fold_every == 0:
+            fold_digests(spark, digests_path)
         cleaned.withColumn("digest", content_digest(F.col("content"))).write.parquet(tagged)
         rows = spark.read.parquet(tagged)
         known = known_digests(spark, digests_path, rows, (generation, epoch))
         fresh = rows.join(known, "digest", "left_anti")
         add_digests(fresh.select("digest"), digests_path, epoch, generation)
-        if epoch % fold_every == fold_every - 1:
-            fold_digests(spark, digests_path)
         return fresh.drop("digest")
 
     def write(batch: DataFrame, epoch: int) -> None:

@@ -7,6 +7,7 @@ key, and the retry comes out when its time has come, whether or not anything els
 from __future__ import annotations
 
 import datetime
+import json
 import pickle
 from collections.abc import Iterator
 
@@ -26,7 +27,6 @@ STEP = (
     "key string, seq bigint, status string, attempt_count bigint, first_us bigint, last_us bigint, failure_reason string, "
     "error_details string, topic string, partition int, offset bigint, original_message string, retry_us bigint"
 )
-COLUMNS = [c.split()[0] for c in STEP.split(", ")]
 SECOND = 1_000_000
 
 
@@ -95,14 +95,13 @@ def retry_steps(max_retries: int, delays, settle_us: int):
         touched, reset_before = False, held["reset"]
         for batch in ([] if state.hasTimedOut else batches):
             touched = True
-            plain = batch.astype(object).where(batch.notna(), None)
-            for success, at, *details in plain[["success", "at_us", *DETAILS]].itertuples(index=False, name=None):
-                if success:
+            for event in map(json.loads, batch["event"]):
+                at = event["at_us"]
+                if event.get("success"):
                     held["reset"] = at if held["reset"] is None else max(held["reset"], at)
                 else:
-                    topic, partition, offset, value, reason, error = details
-                    partition, offset = (None if x is None else int(x) for x in (partition, offset))
-                    held["live"].append((int(at), -1 if offset is None else offset, (topic, partition, offset, value, reason, error)))
+                    offset = event.get("offset")
+                    held["live"].append((at, -1 if offset is None else offset, tuple(event.get(d) for d in DETAILS)))
         if touched:
             reset = held["reset"]
             if reset is not None:
@@ -133,7 +132,7 @@ def retry_steps(max_retries: int, delays, settle_us: int):
                 state.setTimeoutDuration(max(1, (found["retry_us"] - now + 999) // 1000))
         state.update((pickle.dumps(held),))
         if out:
-            yield pd.DataFrame(out, columns=COLUMNS, dtype=object)
+            yield pd.DataFrame({"step": [json.dumps(row) for row in out]})
 
     return body
 
@@ -152,9 +151,15 @@ def start_retry_stream(
     folded to the newest row per key.
     """
     micros = int(settle / datetime.timedelta(microseconds=1))
-    steps = events.filter(F.col("key").isNotNull() & F.col("at_us").isNotNull()).groupBy("key").applyInPandasWithState(
-        retry_steps(max_retries, tuple(delays), micros), STEP, "held binary", "update", GroupStateTimeout.ProcessingTimeTimeout
+    # Python is called once per key and converts every column of every call by itself, so an
+    # event and a step travel as one text each.
+    packed = events.filter(F.col("key").isNotNull() & F.col("at_us").isNotNull()).select(
+        "key", F.to_json(F.struct("success", "at_us", *DETAILS)).alias("event")
     )
+    said = packed.groupBy("key").applyInPandasWithState(
+        retry_steps(max_retries, tuple(delays), micros), "step string", "held binary", "update", GroupStateTimeout.ProcessingTimeTimeout
+    )
+    steps = said.select(F.from_json("step", STEP).alias("step")).select("step.*")
 
     def record(batch: DataFrame, epoch: int) -> None:
         (write or write_epoch)(batch, path, epoch, generation)

@@ -16,7 +16,7 @@ from eddyline.plans.catalog import hash_vector_columns, plain_time, query, round
 from eddyline.plans.event_queries import STREAM_SQL
 from eddyline.plans.operation_queries import COUNTER_SQL, RATES_SQL, _STATE_SQL, _state_columns, rate_columns
 from eddyline.plans.tables import hash_vector_sql, with_sql
-from eddyline.session import fresh_folder
+from eddyline.session import fresh_folder, tasks_for
 from eddyline.schemas import DOCUMENT
 from eddyline.sinks.epoch_log import latest_rows, read_log, write_epoch
 from eddyline.sinks.points import read_points, upsert_points
@@ -57,7 +57,8 @@ def redelivered_stream(spark, sf_dir):
 
 def raw_stream(spark, sf_dir):
     """Kafka-shaped records of the events table."""
-    return tables.as_raw(tables.as_events(event_stream(spark, sf_dir), spark, sf_dir))
+    tasks = tasks_for(tables.table(spark, sf_dir, "events").count() // EPOCHS, spark)
+    return tables.as_raw(tables.as_events(event_stream(spark, sf_dir), spark, sf_dir, tasks))
 
 
 def _drain(query):

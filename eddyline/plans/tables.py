@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eddyline.operators.deadletters import message_key
 from eddyline.schemas import FAILURE_REASONS
-from eddyline.session import spread
+from eddyline.session import spread, tasks_for
 
 # Fixed values.
 TOPIC = "ecommerce-events"
@@ -46,15 +46,17 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def as_events(raw: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_events(raw: DataFrame, spark: SparkSession, sf_dir: str, tasks: int) -> DataFrame:
     """Rows of the events table (batch or stream) as behaviour events, keeping ``eid, ts``.
 
-    The join key is spread evenly, so neither side has a hot key.
+    The join key is spread evenly, so neither side has a hot key. The catalogue grows with
+    the events: it is shuffled with them and never goes through the driver, which every
+    epoch of a stream would repeat. What is joined is dealt to ``tasks``.
     """
-    catalog = products(spark, sf_dir)
     n_products = table(spark, sf_dir, "part").count()
     eid, kind = F.col("event_id"), F.col("event_type")
-    joined = raw.withColumn("p_partkey", F.pmod(eid, F.lit(n_products))).join(catalog, "p_partkey")
+    keyed = raw.withColumn("p_partkey", F.pmod(eid, F.lit(n_products)))
+    joined = keyed.join(products(spark, sf_dir).hint("merge"), "p_partkey").repartition(tasks, "event_id")
     without_product = (kind == "signup") & (F.pmod(eid, F.lit(5)) == 0)
     bought, seen, third = kind == "purchase", kind == "view", F.pmod(eid, F.lit(3))
     quantity = F.when(bought, (third + 1).cast("int"))
@@ -84,7 +86,8 @@ EVENT_COLUMNS = (
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_events(spread_table(spark, sf_dir, "events"), spark, sf_dir)
+    rows = table(spark, sf_dir, "events")
+    return as_events(rows, spark, sf_dir, tasks_for(rows.count(), spark))
 
 
 def as_raw(event_rows: DataFrame) -> DataFrame:

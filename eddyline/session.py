@@ -58,14 +58,23 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Rows that one task of a CPU-heavy step takes, whatever the size of its input.
+ROWS_PER_TASK = 100_000
+
+
+def tasks_for(rows: int, spark: SparkSession) -> int:
+    """One task for every core, and more as the rows grow, so that no task grows with them."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+
+
 def spread(df):
-    """Give CPU-heavy steps work for every core when the input is a few small files.
+    """Give CPU-heavy steps work for every core when the input is a few small files, and
+    tasks of a fixed size when it is a few large ones (columnar files hold many rows).
 
-    A scan with at least as many splits as cores is left alone, so large inputs are not
-    shuffled.
+    A scan with at least as many splits is left alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = tasks_for(df.count(), df.sparkSession)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def cut_lineage(df):

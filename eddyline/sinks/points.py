@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from eddyline.functions.text import stable_id
 from eddyline.functions.vectors import has_width
 from eddyline.schemas import VECTOR_WIDTH
+from eddyline.session import tasks_for
 from eddyline.sinks.epoch_log import VERSION, drop_epochs, epochs, read_log, write_epoch
 
+#: Beaten rows, as file names and row numbers or as ids, that a read broadcasts (some 10 MB).
+FEW_BEATEN = 100_000
 MANIFEST_SCHEMA = "generation bigint, epoch_id bigint, base string"
 
 
@@ -53,14 +56,23 @@ def _newest_base(spark: SparkSession, path: str):
 
 def _newest_points(spark: SparkSession, path: str, only: list[tuple[int, int]]) -> DataFrame:
     """The newest row of each id. Who wins is settled on ids and versions alone; the rows of
-    the others, which are few, are then left out by file and place, and vectors and payloads
-    are read once and never sorted."""
+    the others are then left out by file and place, and vectors and payloads are read once
+    and never sorted: beaten rows are sent to them while they are few, else both are dealt to
+    tasks of a fixed number of rows."""
     log = read_log(spark, path, only=only, place=True)
     place = ["_file", "_row"]
     order = [F.col(c).desc_nulls_last() for c in ("generation", "epoch_id", "offset")] + [F.col(c) for c in place]
-    ranked = log.select("id", *VERSION, "offset", *place).withColumn("_rank", F.row_number().over(Window.partitionBy("id").orderBy(*order)))
-    beaten = ranked.filter("_rank > 1").select(*place)
-    return log.join(beaten, place, "left_anti").drop(*place)
+    keys = log.select("id", *VERSION, "offset", *place)
+    tasks = tasks_for(keys.count(), spark)
+    ranked = keys.repartition(tasks, "id").withColumn("_rank", F.row_number().over(Window.partitionBy("id").orderBy(*order)))
+    return _without(log, ranked.filter("_rank > 1").select(*place), place).drop(*place)
+
+
+def _without(rows: DataFrame, beaten: DataFrame, keys: list[str]) -> DataFrame:
+    if beaten.count() <= FEW_BEATEN:
+        return rows.join(F.broadcast(beaten), keys, "left_anti")
+    tasks = tasks_for(rows.count(), rows.sparkSession)
+    return rows.repartition(tasks, *keys).join(beaten.repartition(tasks, *keys).hint("shuffle_hash"), keys, "left_anti")
 
 
 def _table(spark: SparkSession, path: str, upto: tuple[int, int] | None = None) -> DataFrame:
@@ -73,8 +85,8 @@ def _table(spark: SparkSession, path: str, upto: tuple[int, int] | None = None)
     if not later:
         return kept
     delta = _newest_points(spark, path, later)
-    # The ids alone are read for the anti join; Catalyst broadcasts them when they are few.
-    unchanged = kept.join(read_log(spark, path, only=later).select("id").distinct(), "id", "left_anti")
+    # The ids alone are read for the anti join.
+    unchanged = _without(kept, read_log(spark, path, only=later).select("id").distinct(), ["id"])
     return unchanged.unionByName(delta)
 
 

@@ -164,3 +164,12 @@ def test_a_wrong_type_costs_its_field_only(spark):
     # Where no type is wrong both decoders agree.
     plain = ops.parse_events(raw).drop("processing_timestamp").filter("offset = 0").collect()
     assert plain == ops.parse_events_by_field(raw).drop("processing_timestamp", "wrong_types").filter("offset = 0").collect()
+
+
+def test_the_catalogue_is_not_broadcast(spark):
+    """It grows with the events, and a stream would send it through the driver each epoch."""
+    from eddyline.plans import tables
+
+    rows = tables.events(spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan

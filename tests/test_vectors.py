@@ -175,3 +175,32 @@ def test_missing_ids_are_stable(spark):
     filled = with_point_ids(with_payload(df)).collect()
     assert filled[0].id == filled[1].id != filled[2].id
     assert filled[3].id == "x" and filled[3].payload == {}
+
+
+def test_many_beaten_rows_are_dealt_and_heavy_rows_not_sorted(spark, monkeypatch):
+    from eddyline.sinks import points
+
+    def sorted_whole(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.split("\n") if "Sort [" in line and ("payload" in line or "_file" in line.split("Sort [")[1][:4])] + ["x"] * ("SortMergeJoin" in plan)
+
+    monkeypatch.setattr(points, "FEW_BEATEN", 3)
+    path = fresh_folder(spark, "many-beaten")
+    rows = lambda low, high, text: spark.range(low, high).selectExpr("cast(id as string) id", "array(1f) vector", f"'{text}' payload", "id offset")
+    for epoch, part in enumerate([rows(0, 40, "a"), rows(10, 20, "b"), rows(15, 45, "c")]):
+        points.upsert_points(part, path, epoch)
+    expected = {**{str(k): "a" for k in range(40)}, **{str(k): "b" for k in range(10, 20)}, **{str(k): "c" for k in range(15, 45)}}
+    read = points.read_points(spark, path)
+    assert {r.id: r.payload for r in read.collect()} == expected and read.count() == 45
+    assert not sorted_whole(read)
+    points.compact(spark, path)
+    read = points.read_points(spark, path)
+    assert {r.id: r.payload for r in read.collect()} == expected and read.count() == 45
+    assert not sorted_whole(read)
+
+
+def test_tasks_grow_with_the_rows(spark):
+    from eddyline.session import ROWS_PER_TASK, spread
+
+    assert spread(spark.range(0, 12 * ROWS_PER_TASK, 1, 2)).rdd.getNumPartitions() == 12
+    assert spread(spark.range(0, 10, 1, 2)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

@@ -10,9 +10,24 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Tokens, or one document's if it has more, that are counted at once.
+TOKENS = 1 << 18
 COUNTS = pa.schema([("term", pa.string()), ("tf", pa.int64()), ("df", pa.int64())])
 
 
+def portions(batches):
+    """The batches in runs of documents with about ``TOKENS`` tokens: what a task holds does
+    not depend on how many documents a batch has, nor on how long they are together."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(batch.column("words")), 0), np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(int(np.searchsorted(ends, before + TOKENS, side="right")), start + 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def _coded(batch: pa.RecordBatch, stop: pa.Array):
     """(rows, codes, words): the words that count, by document."""
     column = batch.column("words")
@@ -51,7 +66,7 @@ def all_terms(stop_words: list[str], size: int):
 
     def body(batches):
         stop, waiting = pa.array(stop_words, pa.string()), []
-        for batch in batches:
+        for batch in portions(batches):
             waiting.append(_batch_counts(batch, stop))
             if sum(map(len, waiting)) > size:
                 yield from _summed(waiting).cast(COUNTS).to_batches(max_chunksize=1 << 16)
@@ -81,7 +96,7 @@ def frequent_terms(stop_words: list[str], size: int):
 
     def body(batches):
         stop, held, off, waiting = pa.array(stop_words, pa.string()), None, 0, []
-        for batch in batches:
+        for batch in portions(batches):
             waiting.append(_batch_counts(batch, stop))
             if sum(map(len, waiting)) > 2 * size:
                 held, off = _cut(_summed(([held] if held is not None else []) + waiting), size, off)
@@ -109,7 +124,7 @@ def count_terms(stop_words: list[str], vocabulary: pa.Array):
     def body(batches):
         stop = pa.array(stop_words, pa.string())
         tf, df = np.zeros(len(vocabulary), np.int64), np.zeros(len(vocabulary), np.int64)
-        for batch in batches:
+        for batch in portions(batches):
             _, place, times, terms = document_terms(batch, stop)
             slots = _slots(terms, vocabulary)[place]
             known = slots >= 0
@@ -130,7 +145,7 @@ def weigh(stop_words: list[str], vocabulary: pa.Array, idf: np.ndarray):
 
     def body(batches):
         stop = pa.array(stop_words, pa.string())
-        for batch in batches:
+        for batch in portions(batches):
             rows, place, times, terms = document_terms(batch, stop)
             slots = _slots(terms, vocabulary)[place]
             known = slots >= 0

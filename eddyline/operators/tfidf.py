@@ -17,7 +17,7 @@ from eddyline.session import cut_lineage
 BETWEEN_TOKENS = r"[^\p{L}\p{N}_]+"
 MAX_FEATURES = 10_000
 SUMMARY_TERMS = 1 << 17
-MOST_SUMMARY_TERMS = 1 << 21
+MOST_SUMMARY_TERMS = 1 << 17  # larger ones would not fit beside each other on an executor
 SPARE_DIRECTIONS = 128
 SKETCH_TASKS = 256
 FAN_IN = 4
@@ -40,9 +40,10 @@ def vocabulary(docs: DataFrame, text: str, stop_words: list[str], max_features:
     Tasks keep Misra-Gries summaries, so what they shuffle does not grow with the texts.
     A term that the sum of the summaries misses has at most as many occurrences as they
     took off. Where the last term wanted has more, all terms that may be wanted are counted
-    exactly in a second pass; otherwise the summaries are made anew, larger ones. Where
-    nothing was taken off they are exact already. Terms so even that summaries of the
-    largest size cannot tell them apart are counted by one aggregation over all terms.
+    exactly in a second pass; otherwise the summaries are made anew, larger ones, up to
+    ``MOST_SUMMARY_TERMS``. Where nothing was taken off they are exact already. Terms so even
+    that summaries of that size cannot tell them apart are counted by one aggregation over
+    all terms, which Spark spills.
     """
     words = _words(docs, text)
     order = [F.desc("tf"), F.asc("term")]

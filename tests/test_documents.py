@@ -399,3 +399,24 @@ def test_document_stream_ledger_and_outputs(spark):
     drain()
     points = read_points(spark, f"{root}/points").collect()
     assert [(r.id, r.payload.content, r.epoch_id) for r in points] == [("a", "newer text", 1)]
+
+
+def test_terms_are_counted_in_portions_of_tokens():
+    import pyarrow as pa
+
+    from eddyline.functions import terms
+
+    words = [["a"] * n for n in (5, 0, terms.TOKENS, 3, terms.TOKENS - 4, 2, 2 * terms.TOKENS, 0)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(words, pa.list_(pa.string()))], names=["id", "words"])
+    found = list(terms.portions([batch]))
+    assert pa.Table.from_batches(found) == pa.Table.from_batches([batch])
+    sizes = [sum(len(w or []) for w in part.column("words").to_pylist()) for part in found]
+    assert len(found) >= 4 and all(n <= terms.TOKENS or part.column("words").value_lengths().drop_null().to_pylist().count(0) < len(part) <= 3 for n, part in zip(sizes, found))
+    counted = list(terms.count_terms([], pa.array(["aa"]))(iter([batch])))
+    assert counted[0].num_rows == 0
+
+
+def test_summaries_stay_small():
+    from eddyline.operators import tfidf
+
+    assert tfidf.MOST_SUMMARY_TERMS <= 1 << 17

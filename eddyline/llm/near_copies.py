@@ -99,7 +99,8 @@ def _tree(ids: np.ndarray, sketches: np.ndarray, least: float, reached: int):
 
 def _bucket_links(least: float):
     """mapInArrow body over (band, doc_id, sketch) sorted by band and sketch. Buckets of more
-    than a chunk are compared chunk by chunk, each with members of every group before it."""
+    than a chunk are compared chunk by chunk, each with members of groups before it; these
+    are the likely links to begin with, and ``_untried`` gives the rest."""
 
     def body(batches):
         held, ids, sketches, carried = None, [], [], ([], [])
@@ -157,6 +158,76 @@ def _settle(width: int, least: float):
     return body
 
 
+def _rest(least: float):
+    """mapInArrow body over (bucket, doc_id, sketch, component, low, high) sorted by bucket and the
+    two chunks: every likely pair of one chunk's members, or of two chunks', that are not in one
+    component. What is held is two chunks."""
+
+    def likely(members, low, high):
+        ids = np.array([m[0] for m in members], np.int64)
+        groups = np.array([m[2] for m in members], np.int64)
+        side = np.array([m[3] for m in members], np.int64)
+        sketches = np.frombuffer(b"".join(m[1] for m in members), np.uint8).reshape(len(ids), SKETCH)
+        others = np.arange(len(ids)) if low == high else np.flatnonzero(side == high)
+        for i in range(len(ids)) if low == high else np.flatnonzero(side == low):
+            rest = others[others > i] if low == high else others
+            rest = rest[groups[rest] != groups[i]]
+            if len(rest):
+                near = rest[(sketches[rest] == sketches[i]).mean(1) >= least]
+                if len(near):
+                    yield _pairs(np.full(len(near), ids[i]), ids[near])
+
+    def body(batches):
+        held, members = None, []
+        for batch in batches:
+            columns = [batch.column(n).to_pylist() for n in ("bucket", "low", "high", "doc_id", "sketch", "component", "chunk")]
+            for bucket, low, high, *member in zip(*columns):
+                if (bucket, low, high) != held:
+                    if members:
+                        yield from likely(members, *held[1:])
+                    held, members = (bucket, low, high), []
+                members.append(member)
+        if members:
+            yield from likely(members, *held[1:])
+
+    return body
+
+
+def _untried(buckets: DataFrame, tried: DataFrame, components: DataFrame, least: float) -> DataFrame:
+    """(a, b): the likely pairs of ``buckets(bucket, doc_id, sketch)`` that are in different
+    components and were not settled yet.
+
+    Buckets whose members are one component, nearly all, have none. The others are dealt to
+    chunks by the id, and each two chunks meet in a group of their own, so a bucket of any size
+    is compared whole and no task holds more than two chunks of it.
+    """
+    named = buckets.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    mixed = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("one"), F.max("component").alias("other"))
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    members = named.join(mixed.filter("one <> other").select("bucket", chunks.alias("chunks")), "bucket").withColumn(
+        "chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
+    )
+    met = members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        "bucket", F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"), "doc_id", "sketch", "component", "chunk"
+    )
+    place = ["bucket", "low", "high"]
+    pairs = met.repartition(*place).sortWithinPartitions(*place).mapInArrow(_rest(least), "a bigint, b bigint")
+    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return ordered.join(tried, ["a", "b"], "left_anti")
+
+
+def _settled(candidates: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
+    wanted = candidates.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # Ids of several texts: any row that has the class's digest would do, and one is taken.
+    lent = texts.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    lent = written(lent, "copy-texts")
+    met = candidates.join(lent.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(
+        lent.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
+    )
+    links = met.select("a", "b", "text_a", "text_b").mapInArrow(_settle(width, least), "a bigint, b bigint")
+    return written(links, "copy-links")
+
+
 def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
     """``doc_id, component_id`` for every row of ``docs(doc_id, text)``.
 
@@ -164,7 +235,9 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
     ``least`` or more (A-Z in lower case, words between ASCII white space; fewer words are one
     shingle; texts without words are alike). Every link given is exact; of the links that
     exist those are found that SimHash within four bits or the bands show, most of them
-    (tests measure the share). Equal shingle sets are one class. component_id is the smallest
+    (tests measure the share). Few pairs of a bucket join most of what it joins, so these are
+    settled first; then all pairs of a bucket that are still in different components are, of
+    whatever size it is. Equal shingle sets are one class. component_id is the smallest
     doc_id that links reach. NULL texts count as empty. Repeated rows give a row each; a row
     without an id belongs to the class of its text, whose id is that of its other rows, or
     NULL. Other columns are ignored.
@@ -178,23 +251,23 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
     )
     # Of classes with one fingerprint each is a candidate with the smallest one.
     same = classes.groupBy("mark").agg(F.min("doc_id").alias("first"))
-    simhash = class_links(same.withColumnRenamed("first", "doc_id")).unionByName(
+    simhash = written(class_links(same.withColumnRenamed("first", "doc_id")).unionByName(
         classes.join(same, "mark").filter("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    )
+    ), "copy-simhash")
     buckets = classes.select(F.explode("bands").alias("band"), "doc_id", "sketch")
     banded = buckets.repartition("band").sortWithinPartitions("band", "sketch", "doc_id").mapInArrow(_bucket_links(least - SLACK), "a bigint, b bigint")
     candidates = written(
         simhash.unionByName(banded).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "copy-candidates"
     )
-    wanted = candidates.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    # Ids of several texts: any row that has the class's digest would do, and one is taken.
-    lent = texts.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    lent = written(lent, "copy-texts")
-    met = candidates.join(lent.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(
-        lent.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
-    )
-    links = met.select("a", "b", "text_a", "text_b").mapInArrow(_settle(width, least), "a bigint, b bigint")
+    links = _settled(candidates, texts, width, least)
     reached = smallest_reachable(links)
+    # Whom SimHash joins, by whatever chain, are a bucket as well. Should its number be a band's
+    # too, more pairs are compared, not fewer.
+    chains = smallest_reachable(simhash).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "bucket")
+    alike = chains.join(classes.select("doc_id", "sketch"), "doc_id").select("bucket", "doc_id", "sketch")
+    every = buckets.select(F.col("band").alias("bucket"), "doc_id", "sketch").unionByName(alike)
+    more = written(_untried(every, candidates, reached, least - SLACK), "copy-rest")
+    reached = smallest_reachable(links.unionByName(_settled(more, texts, width, least)))
     groups = classes.select("digest", "doc_id").join(reached.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "digest", F.coalesce("component", "doc_id").alias("component_id")
     )

@@ -80,3 +80,25 @@ def test_odd_documents(spark, odd, nothing):
     assert got[1] == got[2] == got[3] == {1} and got[5] == {5} and got[4] == {4} and got[6] == {6}
     assert got[None] == {None, 1}  # one text of its own, and one without words
     assert near_copies(nothing).count() == 0
+
+
+def test_a_large_bucket_loses_no_link(spark, monkeypatch):
+    """With a chunk of four, one carried member and many groups in one bucket, only the pass
+    over the rest joins what lies in different chunks."""
+    from eddyline.llm import near_copies
+
+    texts = planted(11, 30, 2)
+    links = exact_links(texts)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+
+    def met():
+        got = {r.doc_id: r.component_id for r in near_copies.near_copies(frame).collect()}
+        true = groups_of(links, texts)
+        assert all(true[i] == true[c] for i, c in got.items())
+        return sum(got[a] == got[b] for a, b in links) / len(links)
+
+    monkeypatch.setattr(near_copies, "BANDS", 1)
+    monkeypatch.setattr(near_copies, "BAND_ROWS", 0)  # one bucket holds all documents
+    monkeypatch.setattr(near_copies, "CHUNK", 4)
+    monkeypatch.setattr(near_copies, "CARRIED", 1)
+    assert met() == 1.0

@@ -67,29 +67,37 @@ def decode_events_by_field(raw: DataFrame) -> DataFrame:
         F.col("timestamp").alias("kafka_timestamp"), parsed,
     )
     v = F.col("v")
-    kind_of = lambda path: F.schema_of_variant(F.try_variant_get(v, f"$.{path}", "variant"))
+    # Every field is looked up once, in a generator, however often rules ask for it.
+    kind = lambda path: F.schema_of_variant(F.try_variant_get(v, f"$.{path}", "variant"))
+    looks, number = [kind("product").alias("product")], {"product": 0}
+    for path, of in _leaf_types():
+        number[path], name = len(number), of.simpleString()
+        looks += [kind(path).alias(f"kind{number[path]}"), F.try_variant_get(v, f"$.{path}", name).alias(f"value{number[path]}")]
+        if name == "int":
+            looks.append(F.try_variant_get(v, f"$.{path}", "double").alias(f"double{number[path]}"))
+    looks.append(F.schema_of_variant(v).alias("whole"))
+    looked = rows.select("*", F.explode(F.array(F.struct(*looks))).alias("seen"))
     wrong, taken = [], {}
-    is_object = kind_of("product").startswith("OBJECT")
-    wrong.append(F.when(~(is_object | kind_of("product").isin("VOID")), F.lit("product")))
-    for path, kind in _leaf_types():
-        name = kind.simpleString()
-        value = F.try_variant_get(v, f"$.{path}", name)
-        scalar = ~kind_of(path).rlike("^(OBJECT|ARRAY)")
+    is_object = F.col("seen.product").startswith("OBJECT")
+    wrong.append(F.when(~(is_object | F.col("seen.product").isin("VOID")), F.lit("product")))
+    for path, of in _leaf_types():
+        name = of.simpleString()
+        found, value = F.col(f"seen.kind{number[path]}"), F.col(f"seen.value{number[path]}")
         if name == "string":
-            good = scalar
+            good = ~found.rlike("^(OBJECT|ARRAY)")
         else:
-            good = kind_of(path).rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT|INT)") & value.isNotNull()
+            good = found.rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT|INT)") & value.isNotNull()
             if name == "int":
-                good &= F.try_variant_get(v, f"$.{path}", "double") == value
+                good &= F.col(f"seen.double{number[path]}") == value
         good = F.coalesce(good, F.lit(False))
-        present = F.coalesce(kind_of(path) != "VOID", F.lit(False))
+        present = F.coalesce(found != "VOID", F.lit(False))
         taken[path] = F.when(present & good, value)
         wrong.append(F.when(present & ~good, F.lit(path)))
     product = F.struct(*[taken[f"product.{f.name}"].alias(f.name) for f in EVENT["product"].dataType.fields])
     fields = [F.when(is_object, product).alias("product") if f.name == "product" else taken[f.name].alias(f.name) for f in EVENT.fields]
-    malformed = v.isNull() | ~F.schema_of_variant(v).startswith("OBJECT")
+    malformed = v.isNull() | ~F.col("seen.whole").startswith("OBJECT")
     broken = F.coalesce(malformed, F.lit(True))
-    return rows.select(
+    return looked.select(
         *[c for c in rows.columns if c != "v"], F.when(~broken, F.struct(*fields)).alias("parsed"), broken.alias("malformed"),
         F.when(~broken, F.array_compact(F.array(*wrong))).alias("wrong_types"),
     )

@@ -173,3 +173,15 @@ def test_the_catalogue_is_not_broadcast(spark):
     rows = tables.events(spark, "/root/testdata/sf0.001")
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_every_field_is_looked_up_once(spark):
+    raw = spark.createDataFrame([], "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp")
+    limit = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "10000")
+    try:
+        plan = ops.parse_events_by_field(raw)._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set(limit, before)
+    assert plan.count("schema_of_variant(") == 2 + len(ops._leaf_types())

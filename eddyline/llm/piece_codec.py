@@ -25,8 +25,8 @@ from eddyline.llm.common import by_size, slices, strings, whole_text
 
 SPACE = "▁"  # Fixed value: how a blank is written inside pieces.
 CACHE_ENTRIES = 60_000
-BATCH_BYTES = 1 << 20
-BATCH_IDS = 1 << 19
+BATCH_BYTES = 1 << 19
+BATCH_IDS = 1 << 17
 CELLS = 1 << 18
 LONG_UNIT = 512
 NEVER = np.iinfo(np.int32).max

@@ -588,3 +588,12 @@ def test_native_operators_run_no_python(spark):
     for df in (judge(pages, spark.createDataFrame([("a.org", 1)], "host string, bad int")), leaks(docs, docs.withColumnRenamed("doc_id", "item_id"))):
         plan = df._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|InArrow|Cartesian|BroadcastNestedLoop", plan)
+
+
+def test_the_decoder_is_not_given_the_texts(spark, odd):
+    from eddyline.llm.queries import piece_digests
+
+    found = piece_digests(odd)
+    assert all(r.lossless for r in found.collect())
+    plan = [line for line in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "MapInArrow" in line]
+    assert len(plan) == 2 and "text#" not in plan[0]

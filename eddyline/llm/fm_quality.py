@@ -8,8 +8,11 @@ each factor, so a score takes time linear in the number of inputs.
 
 from __future__ import annotations
 
+from copy import deepcopy
 from dataclasses import dataclass
+from itertools import groupby
 from math import log2
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -17,13 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.llm.common import by_size, remainder_of_id, strings, whole_text
-from eddyline.llm.sampling import labelled_sample
+from eddyline.llm.training import KEYS, KEYS_DDL, averaged, labelled, packed, packs_of, totals
 from eddyline.llm.wordhash import words_of
 
 WORD_BITS = 15
 TEXT_BITS = 20
 BINS = 12
 STATISTICS = 9
+RANK = 6
 WIDTH = (1 << WORD_BITS) + BINS * STATISTICS
 CHUNK_CHARS = 1 << 20
 #: Per byte: blank or control 0, digit 1, capital 2, small letter 3, beyond ASCII 4, mark 5.
@@ -86,64 +90,104 @@ class FactorMachine:
         return self.bias + linear + 0.5 * ((sums * sums).sum(1) - squares)
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], targets: np.ndarray, rank: int = 6, epochs: int = 8, seed: int = 42, rate: float = 0.15, decay: float = 2e-5) -> FactorMachine:
-    """Log loss, minibatches, step sizes by the sum of squared gradients (all in numpy).
+def start(share: float, rank: int = RANK, seed: int = 42) -> FactorMachine:
+    """A model that has learned nothing."""
+    factors = (np.random.default_rng(seed).standard_normal((WIDTH, rank)) * 0.05).astype(np.float32)
+    return FactorMachine(float(np.log(share / (1 - share))), np.zeros(WIDTH, np.float32), factors)
+
+
+@dataclass
+class Squares:
+    """Sums of squared gradients."""
+
+    bias: float
+    weights: np.ndarray
+    factors: np.ndarray
 
-    Without both classes there is nothing to tell apart: every text then scores the share
-    of label 1, or 0.5 without labels.
-    """
-    share = (targets.sum() + 0.5) / (len(targets) + 1) if len(targets) else 0.5
-    rng = np.random.default_rng(seed)
-    factors = (rng.standard_normal((WIDTH, rank)) * 0.05).astype(np.float32)
-    model = FactorMachine(float(np.log(share / (1 - share))), np.zeros(WIDTH, np.float32), factors)
-    if len(set(targets.tolist())) < 2:
-        model.factors[:] = 0
-        return model
-    seen_w, seen_v, seen_b = np.full(WIDTH, 1e-6, np.float32), np.full((WIDTH, rank), 1e-6, np.float32), 1e-6
-    for _ in range(epochs):
-        order = rng.permutation(len(rows))
-        for a in range(0, len(order), 32):
-            batch = order[a : a + 32]
-            slots = np.concatenate([rows[i][0] for i in batch])
-            values = np.concatenate([rows[i][1] for i in batch])
-            sizes = np.array([len(rows[i][0]) for i in batch])
-            starts = np.cumsum(sizes) - sizes
-            error = (1 / (1 + np.exp(-model.logits(slots, values, starts))) - targets[batch]) / len(batch)
-            own = np.repeat(error, sizes).astype(np.float32) * values
-            v = model.factors[slots]
-            sums = np.repeat(np.add.reduceat(v * values[:, None], starts), sizes, axis=0)
-            used, place = np.unique(slots, return_inverse=True)
-            gw, gv = np.zeros(len(used), np.float32), np.zeros((len(used), rank), np.float32)
-            np.add.at(gw, place, own)
-            np.add.at(gv, place, own[:, None] * (sums - v * values[:, None]))
-            gw += decay * model.weights[used]
-            gv += decay * model.factors[used]
-            seen_w[used] += gw * gw
-            seen_v[used] += gv * gv
-            model.weights[used] -= rate * gw / np.sqrt(seen_w[used])
-            model.factors[used] -= rate * 0.3 * gv / np.sqrt(seen_v[used])
-            seen_b += error.sum() ** 2
-            model.bias -= rate * error.sum() / np.sqrt(seen_b)
-    return model
+
+def learn(model: FactorMachine, seen: Squares, rows: list[tuple[np.ndarray, np.ndarray]], targets: np.ndarray, rng, rate: float = 0.15, decay: float = 2e-5) -> None:
+    """One epoch in place: log loss, minibatches, step sizes by the sum of squared gradients
+    (all in numpy)."""
+    rank = model.factors.shape[1]
+    order = rng.permutation(len(rows))
+    for a in range(0, len(order), 32):
+        batch = order[a : a + 32]
+        slots = np.concatenate([rows[i][0] for i in batch])
+        values = np.concatenate([rows[i][1] for i in batch])
+        sizes = np.array([len(rows[i][0]) for i in batch])
+        starts = np.cumsum(sizes) - sizes
+        error = (1 / (1 + np.exp(-model.logits(slots, values, starts))) - targets[batch]) / len(batch)
+        own = np.repeat(error, sizes).astype(np.float32) * values
+        v = model.factors[slots]
+        sums = np.repeat(np.add.reduceat(v * values[:, None], starts), sizes, axis=0)
+        used, place = np.unique(slots, return_inverse=True)
+        gw, gv = np.zeros(len(used), np.float32), np.zeros((len(used), rank), np.float32)
+        np.add.at(gw, place, own)
+        np.add.at(gv, place, own[:, None] * (sums - v * values[:, None]))
+        gw += decay * model.weights[used]
+        gv += decay * model.factors[used]
+        seen.weights[used] += gw * gw
+        seen.factors[used] += gv * gv
+        model.weights[used] -= rate * gw / np.sqrt(seen.weights[used])
+        model.factors[used] -= rate * 0.3 * gv / np.sqrt(seen.factors[used])
+        seen.bias += error.sum() ** 2
+        model.bias -= rate * error.sum() / np.sqrt(seen.bias)
 
 
 def _inputs_of(batches):
     for batch in batches:
         texts = strings(batch, "text")
         found = [pair for a, b in by_size([len(t) for t in texts], CHUNK_CHARS) for pair in inputs(texts[a:b])]
-        slots = pa.array([s for s, _ in found], pa.list_(pa.int64()))
+        slots = pa.array([s.astype(np.int32) for s, _ in found], pa.list_(pa.int32()))
         values = pa.array([v for _, v in found], pa.list_(pa.float32()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("target"), slots, values], names=["doc_id", "target", "slots", "values"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in KEYS), slots, values], names=[*KEYS, "slots", "values"])
+
+
+def _learner(model: FactorMachine, seen: Squares, seed: int):
+    """What each shard learns in an epoch that begins with ``model``: slots, then the bias;
+    each with the roots of its squared gradients."""
+
+    def body(batches):
+        found = packs_of(batches, slots=np.int32, values=np.float32)
+        for shard, packs in groupby(found, itemgetter(0)):
+            own, held, rng = deepcopy(model), deepcopy(seen), np.random.default_rng([seed, shard])
+            for _, targets, slots, values in packs:
+                learn(own, held, list(zip(slots, values)), targets.astype(np.float64), rng)
+            used = np.flatnonzero((held.weights != seen.weights) | (held.factors != seen.factors).any(1))
+            bias = np.zeros((1, 2 * (RANK + 1)))
+            bias[0, 0], bias[0, RANK + 1] = own.bias, np.sqrt(held.bias)
+            learned = np.hstack([
+                own.weights[used, None], own.factors[used], np.sqrt(held.weights[used, None]), np.sqrt(held.factors[used])
+            ])
+            yield np.append(used, WIDTH), np.concatenate([learned, bias])
+
+    return body
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> FactorMachine:
-    """Fitted on the driver from at most ``max_rows`` labelled rows outside the held-out
-    fold; tasks turn their texts into inputs, so no text reaches the driver."""
-    sample = labelled_sample(docs, labels, "quality", 3, 1, max_rows)
-    rows = sample.mapInArrow(_inputs_of, "doc_id bigint, target int, slots array<bigint>, values array<float>").toArrow()
-    rows = rows.sort_by("doc_id").combine_chunks()
-    pairs = [(np.array(s.as_py(), np.int64), np.array(v.as_py(), np.float32)) for s, v in zip(rows["slots"], rows["values"])]
-    return fit(pairs, rows["target"].to_numpy().astype(np.float64))
+def fit_quality(docs: DataFrame, labels: DataFrame, epochs: int = 8, seed: int = 42) -> FactorMachine:
+    """Fitted on all labelled rows outside the held-out fold.
+
+    Tasks turn texts into inputs and train on shards of them; the driver holds one model,
+    their mean. Without both classes there is nothing to tell apart: every text then scores
+    the share of label 1, or 0.5 without labels.
+    """
+    rows, shards = labelled(docs, labels, "quality", 3, 1)
+    rows = rows.mapInArrow(_inputs_of, f"{KEYS_DDL}, slots array<int>, values array<float>")
+    packs = packed(rows, shards, ["slots", "values"], "quality")
+    n, ones = totals(packs)
+    model = start((ones + 0.5) / (n + 1), seed=seed)
+    if not 0 < ones < n:
+        model.factors[:] = 0
+        return model
+    seen = Squares(1e-6, np.full(WIDTH, 1e-6, np.float32), np.full((WIDTH, RANK), 1e-6, np.float32))
+    for epoch in range(epochs):
+        at, values = averaged(packs, _learner(model, seen, seed + epoch), 2 * (RANK + 1))
+        learned, roots = values[:, : RANK + 1], values[:, RANK + 1 :]
+        bias, own = at == WIDTH, at != WIDTH
+        model.bias, seen.bias = float(learned[bias][0, 0]), float(roots[bias][0, 0] ** 2)
+        model.weights[at[own]], model.factors[at[own]] = learned[own, 0], learned[own, 1:]
+        seen.weights[at[own]], seen.factors[at[own]] = roots[own, 0] ** 2, roots[own, 1:] ** 2
+    return model
 
 
 def scorer(model: FactorMachine):
@@ -159,13 +203,13 @@ def scorer(model: FactorMachine):
     return score
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: good text likelier) and ``predicted``.
 
     Only the text is looked at: NULL is scored as '', a very long text whole, repeated
     rows alike. Columns of these two names are replaced; all others stay.
     """
-    score = scorer(fit_quality(docs, labels, max_rows))
+    score = scorer(fit_quality(docs, labels))
 
     @F.pandas_udf("double")
     def scored(texts):

@@ -1,6 +1,8 @@
 """Each operator on small inputs: brute force, round trips and the awkward rows."""
 
 import re
+import sys
+import zlib
 
 import numpy as np
 import pytest
@@ -334,6 +336,34 @@ def test_factor_machine_sum_of_squares():
     assert model.logits(slots, values, np.array([0]))[0] == pytest.approx(direct, rel=1e-4)
 
 
+@pytest.mark.parametrize("build", ["toxicity", "quality"])
+def test_classifiers_are_fitted_on_every_labelled_row(spark, build, monkeypatch):
+    """More rows than any sample was bounded to, repeated ones once; the model does not
+    depend on how the tables are dealt."""
+    from eddyline.llm import training
+    from eddyline.llm.fm_quality import fit_quality
+    from eddyline.llm.toxicity import fit_toxicity
+
+    monkeypatch.setattr(training, "SHARD_ROWS", 1000)
+    label, fold, folds = ("toxic", 0, 5) if build == "toxicity" else ("quality", 1, 3)
+    rows = [(i, "vile nasty words of a toxic row" if i % 4 == 0 else "calm and friendly talk about rivers") for i in range(9600)]
+    docs = spark.createDataFrame([*rows, *rows[:50]], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(9600)], f"doc_id bigint, {label} int")
+    known, _ = training.labelled(docs, marks, label, folds, fold)
+    seen = []
+    real = training.totals
+    module = sys.modules["eddyline.llm." + ("toxicity" if build == "toxicity" else "fm_quality")]
+    monkeypatch.setattr(module, "totals", lambda packs: seen.append((real(packs), packs.select("shard").distinct().count())) or seen[-1][0])
+    fit = fit_toxicity if build == "toxicity" else fit_quality
+    first, second = fit(docs, marks), fit(docs.repartition(3), marks.repartition(5))
+    wanted = [i for i in range(9600) if zlib.crc32(str(i).encode()) % folds != fold]
+    assert known.select("doc_id").distinct().count() == len(wanted) > 6000
+    (n, ones), shards = seen[0]
+    assert (n, ones) == (len(wanted), sum(i % 4 == 0 for i in wanted)) and shards == -(-len(wanted) // 1000)
+    held = first.embeddings if build == "toxicity" else first.factors
+    assert np.array_equal(held, second.embeddings if build == "toxicity" else second.factors)
+
+
 def test_word_hashes_do_not_depend_on_the_place():
     from eddyline.llm.wordhash import words_of
 

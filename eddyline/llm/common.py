@@ -14,7 +14,7 @@ ASCII_SPACE = "\t\n\x0b\x0c\r "
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-ARROW_BATCH = "8m"
+ARROW_BATCH = "2m"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -76,5 +76,16 @@ def slices(batch: pa.RecordBatch, name: str, limit: int):
         yield batch.slice(a, b - a)
 
 
+def give_back() -> None:
+    """Memory that Python and Arrow hold but do not use goes back to the system. A worker
+    process outlives its tasks, and others of the executor need the memory."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def strings(batch: pa.RecordBatch, name: str) -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]

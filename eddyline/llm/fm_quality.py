@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import by_size, remainder_of_id, strings, whole_text
+from eddyline.llm.common import by_size, give_back, remainder_of_id, strings, whole_text
 from eddyline.llm.training import KEYS, KEYS_DDL, averaged, labelled, packed, packs_of, totals
 from eddyline.llm.wordhash import words_of
 
@@ -160,6 +160,7 @@ def _learner(model: FactorMachine, seen: Squares, seed: int):
                 own.weights[used, None], own.factors[used], np.sqrt(held.weights[used, None]), np.sqrt(held.factors[used])
             ])
             yield np.append(used, WIDTH), np.concatenate([learned, bias])
+            give_back()
 
     return body
 

@@ -11,6 +11,7 @@ decode to the same text.
 from __future__ import annotations
 
 import re
+import sys
 from array import array
 from heapq import heappop, heappush
 from itertools import chain
@@ -21,14 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import by_size, slices, strings, whole_text
+from eddyline.llm.common import by_size, give_back, slices, strings, whole_text
 
 SPACE = "▁"  # Fixed value: how a blank is written inside pieces.
-CACHE_ENTRIES = 60_000
+CACHE_ENTRIES = 120_000
 BATCH_BYTES = 1 << 19
 BATCH_IDS = 1 << 17
 CELLS = 1 << 18
 LONG_UNIT = 512
+SLOT_BITS = 20
 NEVER = np.iinfo(np.int32).max
 def fine_units(pieces) -> re.Pattern:
     """A run of letters, of digits or of other characters with the blanks before it.
@@ -69,6 +71,11 @@ class MergeCodec:
         self.n_pieces = n
         for c in sorted({c for i in plain for c in pieces[i]} - self.symbol.keys()):
             self.symbol[c] = n + len(self.symbol) - len(plain)
+        # Code points outside the vocabulary share a code above all others and never merge.
+        self.by_point = np.full(sys.maxunicode + 1, n + len(self.symbol), np.int32)
+        for p, i in self.symbol.items():
+            if len(p) == 1:
+                self.by_point[ord(p)] = i
         self._pair_table({pieces[i]: (i, -model.get_score(i)) for i in plain})
         self.blank = tuple(self.byte_id[b] for b in SPACE.encode())
         self.limit = int(dropout * 2**32)
@@ -91,6 +98,17 @@ class MergeCodec:
                     unions.append(i)
         by_key = np.argsort(np.array(keys, np.int64))
         self.pairs, self.unions = np.array(keys, np.int64)[by_key], np.array(unions, np.int32)[by_key]
+        # Where a pair would be by its hash: its place, or -1 where several are.
+        slots = self._slot(self.pairs >> 32, self.pairs & 0xFFFFFFFF)
+        self.slots = np.zeros(1 << SLOT_BITS, np.int32)
+        self.slots[slots] = np.arange(len(self.pairs))
+        alone = np.bincount(slots, minlength=1 << SLOT_BITS)
+        self.slots[alone > 1] = -1
+
+    @staticmethod
+    def _slot(left, right):
+        mixed = left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return (mixed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
     def _skipped(self, key, code):
         """Whether draws under ``key`` skip the candidates of these codes."""
@@ -106,7 +124,10 @@ class MergeCodec:
         """(union, rank) of neighbours; NEVER where no piece or a skipped one. Without a
         key none is skipped."""
         wanted = left.astype(np.int64) << 32 | right
-        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        at = self.slots[self._slot(left, right)]
+        several = at < 0
+        if several.any():
+            at[several] = np.minimum(np.searchsorted(self.pairs, wanted[several]), len(self.pairs) - 1)
         found = (self.pairs[at] == wanted) & (left >= 0) & (right >= 0)
         union = np.where(found, self.unions[at], 0)
         if key is not None and self.limit:
@@ -122,18 +143,18 @@ class MergeCodec:
         """Cuts by each unit's key, plain ones if ``keys`` is None. ``paths`` takes the
         codes of each unit's merges, as bytes; a long unit's place in it stays as it is."""
         out: list = [None] * len(units)
-        by_length = sorted((i for i in range(len(units)) if len(units[i]) <= LONG_UNIT), key=lambda i: len(units[i]))
-        for a, b in by_size([len(units[i]) for i in by_length], CELLS):
-            rows = by_length[a:b]
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        by_length = np.argsort(sizes, kind="stable")[: int((sizes <= LONG_UNIT).sum())]
+        for a, b in by_size(sizes[by_length].tolist(), CELLS):
+            rows = by_length[a:b].tolist()
             cuts, codes = self._merge_block([units[i] for i in rows], None if keys is None else keys[rows], paths is not None)
             for row, cut in zip(rows, cuts):
                 out[row] = cut
             if paths is not None:
                 for row, code in zip(rows, codes):
                     paths[row] = code
-        for i, unit in enumerate(units):
-            if out[i] is None:
-                out[i] = self._merge_long(unit, None if keys is None else keys[i])
+        for i in np.flatnonzero(sizes > LONG_UNIT).tolist():
+            out[i] = self._merge_long(units[i], None if keys is None else keys[i])
         return out
 
     def _merge_long(self, unit: str, key) -> tuple[int, ...]:
@@ -176,56 +197,49 @@ class MergeCodec:
     def _merge_block(self, units, key, with_codes):
         """(cuts, codes of the merges of each unit as bytes, if wanted)."""
         width = max(map(len, units))
-        points, flat = np.unique(np.frombuffer("".join(units).encode("utf-32-le"), np.uint32), return_inverse=True)
-        letters = [chr(c) for c in points.tolist()]
-        # Characters outside the vocabulary get codes above all pieces and never merge.
-        first = self.n_pieces + len(self.symbol)
-        codes = np.array([self.symbol.get(c, first + i) for i, c in enumerate(letters)], np.int32)
+        flat = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
         sym = np.full((len(units), width + 1), -1, np.int32)
         lengths = np.array([len(u) for u in units])
-        sym[np.arange(width + 1) < lengths[:, None]] = codes[flat]
+        sym[np.arange(width + 1) < lengths[:, None]] = self.by_point[flat]
         steps: list = []
-        place = np.broadcast_to(np.arange(width + 1, dtype=np.uint32), sym.shape).copy()
-        union, rank = self._candidates(None if key is None else key[:, None], place[:, :-1], sym[:, :-1], sym[:, 1:])
-        done = np.empty_like(sym)
-        row_of = np.arange(len(units))
-        while len(row_of):
-            best = rank.argmin(1)
-            rows = np.arange(len(row_of))
-            going = rank[rows, best] < NEVER
-            if not going.all():
-                done[row_of[~going], : sym.shape[1]] = sym[~going]
-                done[row_of[~going], sym.shape[1] :] = -1
-                row_of, sym, place, union, rank, best = (x[going] for x in (row_of, sym, place, union, rank, best))
-                key = None if key is None else key[going]
-                rows = np.arange(len(row_of))
-                if not len(row_of):
-                    break
+        union, rank = (np.zeros_like(sym), np.full_like(sym, NEVER))
+        # Neighbours of units packed one after the other; a unit's last symbol has none.
+        row, column = np.nonzero(sym[:, 1:] >= 0)
+        union[row, column], rank[row, column] = self._candidates(
+            None if key is None else key[row], column.astype(np.uint32), sym[row, column], sym[row, column + 1]
+        )
+        # Symbols stay where they begin and know the places of their neighbours; -1 in ``sym``
+        # is the end, and a place that a merge has taken.
+        after = np.broadcast_to(np.arange(1, width + 2, dtype=np.int16), sym.shape).copy()
+        before = np.broadcast_to(np.arange(-1, width, dtype=np.int16), sym.shape).copy()
+        live = np.arange(len(units))
+        while len(live):
+            best = rank[live].argmin(1) if len(live) < len(rank) else rank.argmin(1)
+            going = rank[live, best] < NEVER
+            live, best = live[going], best[going]
+            if not len(live):
+                break
+            made, gone = union[live, best], after[live, best]
             if with_codes:
-                steps.append((row_of, self._code(place[rows, best], union[rows, best])))
-            sym[rows, best] = union[rows, best]
-            columns = np.arange(sym.shape[1] - 1)
-            after = columns + (columns > best[:, None])
-            sym, place = (np.take_along_axis(x, after, 1) for x in (sym, place))
-            after = after[:, :-1]
-            union, rank = (np.take_along_axis(x, after, 1) for x in (union, rank))
-            if not rank.shape[1]:
-                rank = np.full((len(rows), 1), NEVER, np.int32)
-                union = np.zeros((len(rows), 1), np.int32)
-                continue
-            for k in (best - 1, best):
-                ok = (k >= 0) & (k < rank.shape[1])
-                r, k = rows[ok], k[ok]
-                union[r, k], rank[r, k] = self._candidates(None if key is None else key[r], place[r, k], sym[r, k], sym[r, k + 1])
-        names = {int(i): c for c, i in zip(letters, codes) if i >= self.n_pieces}
-        used = done >= 0
-        flat, ends = done[used].tolist(), used.sum(1).cumsum().tolist()
+                steps.append((live, self._code(best.astype(np.uint32), made)))
+            beyond, earlier = after[live, gone], before[live, best]
+            sym[live, best], sym[live, gone], rank[live, gone] = made, -1, NEVER
+            after[live, best], before[live, beyond] = beyond, best
+            has = earlier >= 0
+            rows = np.concatenate([live[has], live])
+            left = np.concatenate([earlier[has], best])
+            right = np.concatenate([best[has], beyond])
+            union[rows, left], rank[rows, left] = self._candidates(
+                None if key is None else key[rows], left.astype(np.uint32), sym[rows, left], sym[rows, right]
+            )
+        used = sym >= 0
+        flat, ends = sym[used].tolist(), used.sum(1).cumsum().tolist()
         cuts = [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
-        codes = self._by_row(steps, len(units)) if with_codes else None
-        if not names:
-            return cuts, codes
-        spelled = {i: tuple(self.byte_id[b] for b in c.encode()) for i, c in names.items()}
-        return [c if max(c) < self.n_pieces else tuple(chain.from_iterable(spelled.get(i, (i,)) for i in c)) for c in cuts], codes
+        for row in np.flatnonzero((sym >= self.n_pieces).any(1)).tolist():
+            letters = [units[row][k] for k in np.flatnonzero(used[row]).tolist()]
+            spelled = ((i,) if i < self.n_pieces else [self.byte_id[b] for b in c.encode()] for i, c in zip(cuts[row], letters))
+            cuts[row] = tuple(chain.from_iterable(spelled))
+        return cuts, self._by_row(steps, len(units)) if with_codes else None
 
     @staticmethod
     def _by_row(steps, n: int) -> list[bytes]:
@@ -341,6 +355,7 @@ def _encoder(path, dropout, seed):
                 flat = np.concatenate([np.frombuffer(e, np.int32) for e in encoded])
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), lists], names=["doc_id", "text", "ids"])
+            give_back()
 
     return body
 
@@ -371,6 +386,7 @@ def _decoder(path):
                 texts = decoded(spellings, ids, (ends - ends[0]).tolist())
                 names = [n for n in batch.schema.names if n != "ids"]
                 yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(texts, pa.string())], names=[*names, "decoded"])
+            give_back()
 
     return body
 

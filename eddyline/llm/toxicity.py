@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import by_size, remainder_of_id, strings, whole_text
+from eddyline.llm.common import by_size, give_back, remainder_of_id, strings, whole_text
 from eddyline.llm.training import KEYS, KEYS_DDL, averaged, labelled, packed, packs_of, totals
 from eddyline.llm.wordhash import words_of
 
@@ -266,6 +266,7 @@ def _learner(model, squares, share, seed):
                 np.concatenate([used, len(own.embeddings) + np.arange(len(rest))]),
                 np.concatenate([np.hstack([own.embeddings[used], np.sqrt(held[0][used])]), np.hstack([rest, roots])]),
             )
+            give_back()
 
     return body
 
@@ -339,6 +340,7 @@ def _score(model: TextFilters):
                 cuts = model.cuts[[language_of(h, table) for h in hashes]]
                 scores[a:b] = 1 / (1 + np.exp(-np.clip(model.logits(hashes, taps) - cuts, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
+        give_back()
 
     return body
 

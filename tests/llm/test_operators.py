@@ -305,6 +305,22 @@ def test_pieces_on_awkward_rows(spark, odd, nothing):
     assert decode_pieces(encode_pieces(nothing, PIECES), PIECES).count() == 0
 
 
+def test_pair_lookup_finds_what_the_sorted_table_holds():
+    """Pairs whose hashes meet are looked up in the sorted table; none is lost or made up."""
+    from eddyline.llm.piece_codec import NEVER, MergeCodec
+
+    codec = MergeCodec(PIECES, 0.0, 42)
+    left, right = (codec.pairs >> 32).astype(np.int32), (codec.pairs & 0xFFFFFFFF).astype(np.int32)
+    assert (codec.slots[codec._slot(left, right)] < 0).any()
+    union, rank = codec._candidates(None, np.zeros(len(left), np.uint32), left, right)
+    assert np.array_equal(union, codec.unions) and np.array_equal(rank, codec.rank[codec.unions]) and (rank < NEVER).any()
+    known = set(codec.pairs.tolist())
+    other = np.array([not (int(a) << 32 | int(b)) in known for a, b in zip(right, left)])
+    assert (codec._candidates(None, np.zeros(other.sum(), np.uint32), right[other], left[other])[1] == NEVER).all()
+    # No place of a pair, and the one code of all characters outside the vocabulary.
+    assert codec._candidates(None, np.zeros(2, np.uint32), np.array([-1, int(codec.by_point[0x10FFFF])]), np.array([5, 5]))[1].tolist() == [NEVER, NEVER]
+
+
 # -- 4, 5: classifiers
 
 

@@ -29,7 +29,7 @@ BINS = 12
 STATISTICS = 9
 RANK = 6
 WIDTH = (1 << WORD_BITS) + BINS * STATISTICS
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 #: Per byte: blank or control 0, digit 1, capital 2, small letter 3, beyond ASCII 4, mark 5.
 KIND = np.array([
     0 if b <= 32 else 4 if b >= 128 else 1 if chr(b).isdigit() else 2 if chr(b).isupper() else 3 if chr(b).islower() else 5
@@ -141,13 +141,14 @@ def _inputs_of(batches):
         slots = pa.array([s.astype(np.int32) for s, _ in found], pa.list_(pa.int32()))
         values = pa.array([v for _, v in found], pa.list_(pa.float32()))
         yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in KEYS), slots, values], names=[*KEYS, "slots", "values"])
+    give_back()
 
 
-def _learner(model: FactorMachine, seen: Squares, seed: int):
+def _learner(seed: int):
     """What each shard learns in an epoch that begins with ``model``: slots, then the bias;
     each with the roots of its squared gradients."""
 
-    def body(batches):
+    def body(batches, model, seen):
         found = packs_of(batches, slots=np.int32, values=np.float32)
         for shard, packs in groupby(found, itemgetter(0)):
             own, held, rng = deepcopy(model), deepcopy(seen), np.random.default_rng([seed, shard])
@@ -182,7 +183,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, epochs: int = 8, seed: int =
         return model
     seen = Squares(1e-6, np.full(WIDTH, 1e-6, np.float32), np.full((WIDTH, RANK), 1e-6, np.float32))
     for epoch in range(epochs):
-        at, values = averaged(packs, _learner(model, seen, seed + epoch), 2 * (RANK + 1))
+        at, values = averaged(packs, (model, seen), _learner(seed + epoch), 2 * (RANK + 1))
         learned, roots = values[:, : RANK + 1], values[:, RANK + 1 :]
         bias, own = at == WIDTH, at != WIDTH
         model.bias, seen.bias = float(learned[bias][0, 0]), float(roots[bias][0, 0] ** 2)
@@ -199,6 +200,7 @@ def scorer(model: FactorMachine):
             sizes = np.array([len(s) for s, _ in found])
             logits = model.logits(np.concatenate([s for s, _ in found]), np.concatenate([v for _, v in found]), np.cumsum(sizes) - sizes)
             out[a:b] = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+        give_back()
         return out
 
     return score

@@ -31,7 +31,7 @@ PEAKS = 2
 DIMS = 8
 BINS = 256  # of logits in a unit, by which texts are counted for the cuts
 FLOOR = np.float32(-1e4)
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 #: Frequent short words by which a text shows its language.
 MARKERS = {
     "en": "the of and to in is that for with was this are it",
@@ -231,6 +231,7 @@ def _hashes_of(batches):
         found = [h for a, b in by_size([len(t) for t in texts], CHUNK_CHARS) for h in word_hashes(texts[a:b])]
         hashes = pa.array([h.reshape(-1) for h in found], pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in KEYS), hashes], names=[*KEYS, "words"])
+    give_back()
 
 
 def _packs_of(batches):
@@ -249,11 +250,11 @@ def _counted(batches):
     yield pa.RecordBatch.from_arrays([pa.array(hashes.astype(np.int32)), pa.array(docs[hashes])], names=["hash", "docs"])
 
 
-def _learner(model, squares, share, seed):
+def _learner(share, seed):
     """What each shard learns in an epoch that begins with ``model``: embeddings by their
     place, then all other parameters; each with the roots of its squared gradients."""
 
-    def body(batches):
+    def body(batches, model, squares):
         for shard, packs in groupby(_packs_of(batches), itemgetter(0)):
             own, held, rng = deepcopy(model), [p.copy() for p in squares], np.random.default_rng([seed, shard])
             for _, texts, targets in packs:
@@ -320,7 +321,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, epochs: int = 5, least_docs
     known = counts.filter(F.col("docs") >= least_docs).select("hash").toArrow()["hash"].to_numpy()
     model, squares = start(np.sort(known).astype(np.int32), share, seed=seed)
     for epoch in range(epochs):
-        at, values = averaged(packs, _learner(model, squares, share, seed + epoch), 2 * DIMS)
+        at, values = averaged(packs, (model, squares), _learner(share, seed + epoch), 2 * DIMS)
         words = at < len(model.embeddings)
         model.embeddings[at[words]], squares[0][at[words]] = values[words, :DIMS], values[words, DIMS:] ** 2
         others = values[~words][np.argsort(at[~words])]

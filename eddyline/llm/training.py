@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import remainder_of_id, whole_text, written
+from eddyline.llm.common import give_back, remainder_of_id, whole_text, written
 
 SHARD_ROWS = 16384
 PACK_ITEMS = 1 << 16  # of its first list, at which a pack is closed
@@ -56,7 +56,7 @@ def _packer(lists: list[str]):
         return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *(pa.array([f.tobytes()]) for f in flat)], names=["shard", "targets", "sizes", *lists])
 
     def body(batches):
-        held, items, last = [], 0, None
+        held, items, last, batch = [], 0, None, None
         for batch in batches:
             sizes = batch.column(lists[0]).value_lengths().to_pylist()
             for i, key in enumerate(zip(batch.column("shard").to_pylist(), batch.column("doc_id").to_pylist())):
@@ -69,6 +69,8 @@ def _packer(lists: list[str]):
                 items, last = items + sizes[i], key
         if held:
             yield pack(last[0], held)
+        del held, batch
+        give_back()
 
     return body
 
@@ -107,20 +109,24 @@ def totals(packs: DataFrame) -> tuple[int, int]:
     return n or 0, ones or 0
 
 
-def averaged(packs: DataFrame, learn: Callable, width: int) -> tuple[np.ndarray, np.ndarray]:
+def averaged(packs: DataFrame, state: tuple, learn: Callable, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(numbers of parameter rows, their values): each value the mean over the shards that
-    learned its row. ``learn(batches)`` yields such a pair for each shard."""
+    learned its row. ``learn(batches, *state)`` yields such a pair for each shard. The state
+    is broadcast, and given up when the means are there: workers outlive an epoch."""
     names = [f"v{i}" for i in range(width)]
 
+    shared = packs.sparkSession.sparkContext.broadcast(state)
+
     def body(batches):
-        for rows, values in learn(batches):
+        for rows, values in learn(batches, *shared.value):
             for a in range(0, len(rows), EMITTED_ROWS):
                 whole = np.rint(np.asarray(values[a : a + EMITTED_ROWS], np.float64) * SCALE).astype(np.int64)
                 numbers = pa.array(rows[a : a + EMITTED_ROWS].astype(np.int32))
                 yield pa.RecordBatch.from_arrays([numbers, *(pa.array(np.ascontiguousarray(c)) for c in whole.T)], names=["row", *names])
 
     learned = packs.mapInArrow(body, ", ".join(["row int", *(f"{n} bigint" for n in names)]))
-    means = learned.groupBy("row").agg(*((F.sum(n) / F.count(n) / SCALE).alias(n) for n in names)).toArrow()
+    means = learned.groupBy("row").agg(*((F.sum(n) / F.count("row") / SCALE).alias(n) for n in names)).toArrow()
+    shared.destroy()
     if not means.num_rows:
         return np.zeros(0, np.int64), np.zeros((0, width))
     return means["row"].to_numpy().astype(np.int64), np.stack([means[n].to_numpy() for n in names], 1)

@@ -8,8 +8,11 @@ per unseen digest lends its text to the encoder, and the new counts are appended
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +26,12 @@ BATCH_CHARS = 1 << 19
 # A blank after a visible character always starts a new pre-token of the byte-level
 # pattern, so counts on both sides of it add up.
 SEAM = re.compile(r"(?<=[A-Za-z0-9.,;:!?])(?=[ \n])")
+# So does a mark after a Latin letter or digit. A unit runs from one such place to the next:
+# a word with the white space before it, or marks.
+MARKS = ".,;:!?"
+UNIT = re.compile(rf"\s*\S(?:[^\s{MARKS}]+|(?<![A-Za-z0-9À-ÖØ-öø-ÿ])[{MARKS}]|[^\S \n]\s*)*|\s+")
+KEPT_UNITS = 1 << 18
+KEPT_CHARS = 64  # longer units are counted, but not kept
 
 
 class JsonCounter:
@@ -36,8 +45,9 @@ class JsonCounter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        kind = type(self.tokenizer.pre_tokenizer).__name__
-        self.splits = kind == "ByteLevel" and self.tokenizer.normalizer is None
+        self.splits = _splits(json.loads(self.tokenizer.to_str()))
+        self.young: dict[str, int] = {}
+        self.old: dict[str, int] = {}
 
     def _pieces(self, text: str):
         """Long texts in pieces that cannot share a token, so memory stays bounded."""
@@ -52,16 +62,47 @@ class JsonCounter:
             start = seam.start()
         return [*pieces, text[start:]]
 
+    def _encoded(self, texts: list[str]) -> list[int]:
+        return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _by_unit(self, texts: list[str]) -> list[int]:
+        """Counts of units met before are kept, in two generations: what was not used for a
+        while goes, memory is bounded."""
+        units = [UNIT.findall(text) for text in texts]
+        if len(self.young) >= KEPT_UNITS // 2:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = set(chain.from_iterable(units)).difference(young)
+        young.update((u, old[u]) for u in missing & old.keys())
+        new = list(missing - old.keys())
+        young.update(zip(new, self._encoded(new)))
+        out = [sum(map(young.__getitem__, own)) for own in units]
+        for unit in new:
+            if len(unit) > KEPT_CHARS:
+                del young[unit]
+        return out
+
     def counts(self, texts: list[str]) -> list[int]:
         out = [0] * len(texts)
         flat = [(i, piece) for i, text in enumerate(texts) for piece in self._pieces(text)]
         for a, b in by_size([len(p) for _, p in flat], BATCH_CHARS):
-            encoded = self.tokenizer.encode_batch_fast([p for _, p in flat[a:b]], add_special_tokens=False)
-            for (i, _), e in zip(flat[a:b], encoded):
-                out[i] += len(e)
+            pieces = [p for _, p in flat[a:b]]
+            for (i, _), n in zip(flat[a:b], self._by_unit(pieces) if self.splits else self._encoded(pieces)):
+                out[i] += n
         return out
 
 
+def _splits(tokenizer: dict) -> bool:
+    """Whether counts add up over seams: the byte-level pattern decides alone where tokens
+    may end, and no added token reaches over white space or marks."""
+    before = tokenizer["pre_tokenizer"] or {}
+    return (
+        before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before["add_prefix_space"]
+        and tokenizer["normalizer"] is None and not tokenizer["model"].get("dropout")
+        and not any(t["lstrip"] or t["rstrip"] or re.search(rf"[\s{MARKS}]", t["content"]) for t in tokenizer["added_tokens"])
+    )
+
+
 class ModelCounter:
     """Counts with the ``sentencepiece`` library."""
 
@@ -83,13 +124,16 @@ def tokenizer_digest(path: str) -> str:
         return hashlib.sha256(file.read()).hexdigest()
 
 
-def _encode(path: str):
+@lru_cache(maxsize=1)
+def _counter(path: str, version: str):
+    """Stays in its worker, as do the counts it has kept, for the tasks that follow."""
+    return JsonCounter(path) if path.endswith(".json") else ModelCounter(path)
+
+
+def _encode(path: str, version: str):
     def body(batches):
-        counter = None
         for batch in (part for whole in batches for part in slices(whole, "text", 1 << 20)):
-            if counter is None:
-                counter = JsonCounter(path) if path.endswith(".json") else ModelCounter(path)
-            counts = counter.counts(strings(batch, "text"))
+            counts = _counter(path, version).counts(strings(batch, "text"))
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
 
     return body
@@ -134,7 +178,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str) -> DataFrame:
     without = keyed.filter("doc_id IS NULL").join(missing.filter("doc_id IS NULL"), "digest", "left_semi")
     once = by_id.dropDuplicates(["digest", "doc_id"])
     texts = once.unionByName(without.select("digest", "text", "doc_id").dropDuplicates(["digest"]))
-    new = texts.select("digest", "text").mapInArrow(_encode(tokenizer_path), "digest binary, n_tokens bigint")
+    new = texts.select("digest", "text").mapInArrow(_encode(tokenizer_path, version), "digest binary, n_tokens bigint")
     new.write.mode("append").parquet(f"{cache}/tokenizer={version}")
     # As a table of its own, so that the join below shuffles both sides and can be split.
     counts = written(stored_counts(spark, cache, version).join(wanted, "digest", "left_semi"), "counts")

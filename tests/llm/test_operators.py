@@ -54,6 +54,41 @@ def test_long_texts_are_counted_in_pieces():
         t.LONG_TEXT = was
 
 
+def test_words_met_before_are_not_encoded_again():
+    from eddyline.llm import token_counts as t
+
+    class Seen:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += texts
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    counter = t.JsonCounter(BPE)
+    counter.tokenizer = seen = Seen(counter.tokenizer)
+    texts = ["one word, one more word. " * 50, "x" * 200]
+    assert counter.counts(texts) == counter._encoded(texts)
+    seen.texts.clear()
+    counter.counts(texts)
+    assert seen.texts == ["x" * 200]  # too long to be kept
+
+
+def test_counts_add_up_over_units():
+    import random
+
+    from eddyline.llm import token_counts as t
+
+    counter, draw = t.JsonCounter(BPE), random.Random(5)
+    some = [*"ab'Z09.,;:!?  \n\n\t\r\x0b\x1c\x85\xa0\u2003\u3000é\u0301中²½_<|>()ªº×\u200b\u0600", "'s", "'ll", "<|endoftext|>", "<|end", " the"]
+    texts = ["".join(draw.choices(some, k=draw.randrange(60))) for _ in range(4000)]
+    assert counter.splits and counter.counts(texts) == counter._encoded(texts)
+    assert all("".join(t.UNIT.findall(x)) == x for x in texts)
+    stripping = {"content": "<|x|>", "lstrip": True, "rstrip": False}
+    before = {"type": "ByteLevel", "use_regex": True, "add_prefix_space": False}
+    assert not t._splits({"pre_tokenizer": before, "normalizer": None, "model": {}, "added_tokens": [stripping]})
+
+
 def test_model_files_are_counted_by_their_library(spark, odd):
     import sentencepiece
 

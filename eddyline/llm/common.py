@@ -15,13 +15,16 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 ARROW_BATCH = "2m"
+READ_ROWS = "64"
 
 
 def prepare(spark: SparkSession) -> None:
-    """What every query here needs of a session: the package on the executors, and Arrow
-    batches small enough that texts held at once, in the JVM and in Python, stay few."""
+    """What every query here needs of a session: the package on the executors, and Arrow and
+    Parquet batches small enough that rows held at once, in the JVM and in Python, stay few:
+    rows are whole texts, or bytes of many texts."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", READ_ROWS)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -40,9 +43,10 @@ def ascii_lower(column: Column) -> Column:
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` computed once, as a table in the shared folder: no lineage is left to
-    repeat when an executor is lost, and no text is read twice."""
+    repeat when an executor is lost, and no text is read twice. Large rows count at once
+    towards a page, not after a hundred: pages are buffers outside the heap that stay."""
     path = fresh_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("parquet.page.size.row.check.min", "1").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -20,6 +20,19 @@ def pairs(df, key, value):
     return sorted(((r[key], r[value]) for r in df.collect()), key=str)
 
 
+def test_tables_of_large_rows_have_small_pages(spark):
+    from eddyline.llm.common import prepare, written
+
+    prepare(spark)
+    rows = written(spark.range(64, numPartitions=1).select(F.expr("repeat(sha2(string(id), 512), 2048)").alias("bytes")), "large-rows")
+    parquet, hadoop = spark._jvm.org.apache.parquet.hadoop, spark._jvm.org.apache.hadoop
+    file = hadoop.fs.Path(rows.inputFiles()[0])
+    reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(file, spark._jsc.hadoopConfiguration()))
+    pages = reader.readOffsetIndex(reader.getFooter().getBlocks().get(0).getColumns().get(0)).getPageCount()
+    reader.close()
+    assert pages >= 8 and int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 64
+
+
 # -- 1: token counts
 
 

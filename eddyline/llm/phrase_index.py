@@ -23,12 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eddyline.llm.common import whole_text, written
+from eddyline.llm.common import give_back, whole_text, written
 
 DEPTH = 5
 SHARD_WORDS = 1 << 18  # of one language, at which a task closes a shard
 HELD_WORDS = 1 << 19  # of all languages together that a task holds
-HELD_PHRASES = 1 << 17
+HELD_PHRASES = 1 << 17  # that a task adds to its sums at once
+MOST_PHRASES = 1 << 19  # different ones that a task holds
 SCREENED = 3  # words of the longest phrases that are summed by hash before they are by text
 MOST_BITS = 1 << 27  # of a bitmap: 16 MB on every executor
 BUCKET = 1 << 15  # bits of one bitmap row in Spark's bitmap functions
@@ -231,12 +232,12 @@ def _count_keys(screens, size: int):
 
 
 def _count_phrases(screens, sizes):
-    """mapInArrow body: the phrases of ``sizes`` words that may be frequent, the counts of a
-    task's shards added up as far as memory allows."""
+    """mapInArrow body: the phrases of ``sizes`` words that may be frequent, each once a task
+    with the sum over its shards, as far as memory allows."""
 
     def summed(held):
         table = pa.concat_tables(held).group_by(["lang", "phrase", "size"]).aggregate([("f", "sum")])
-        return table.select(["lang", "phrase", "size", "f_sum"]).rename_columns(COUNTS.names).cast(COUNTS).to_batches(max_chunksize=1 << 16)
+        return table.select(["lang", "phrase", "size", "f_sum"]).rename_columns(COUNTS.names).cast(COUNTS)
 
     def body(batches):
         held, n = [], 0
@@ -245,10 +246,13 @@ def _count_phrases(screens, sizes):
                 held.append(pa.Table.from_batches([_phrases(lang, words, columns, counts)]))
                 n += len(counts)
                 if n > HELD_PHRASES:
-                    yield from summed(held)
-                    held, n = [], 0
+                    held, n = [summed(held)], 0
+                    if held[0].num_rows > MOST_PHRASES:
+                        yield from held.pop().to_batches(max_chunksize=1 << 16)
         if held:
-            yield from summed(held)
+            yield from summed(held).to_batches(max_chunksize=1 << 16)
+        del held
+        give_back()
 
     return body
 

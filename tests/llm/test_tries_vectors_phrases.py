@@ -254,3 +254,23 @@ def test_the_transform_is_that_of_sorted_suffixes():
     every = lambda columns: np.ones(len(columns[0]), bool)
     got = {tuple(int(c[i]) for c in cols): int(n[i]) for cols, n in extend(bwt, every, (2, 3, 4, 5)) for i in range(len(n))}
     assert got[(1, 2)] == 3 and got[(1, 2, 3)] == 2 and got[(2, 1, 2, 3)] == 1 and got[(1, 2, 1, 2, 3)] == 1 and (3, 1) not in got
+
+
+def test_a_task_gives_each_phrase_once(monkeypatch):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from eddyline.llm import phrase_index as p
+
+    shards = [p._shard("en", [p.words_of(pa.array(["a b c a b. c a b"]))]) for _ in range(6)]
+    every = SimpleNamespace(value=np.full(p.BUCKET // 8, 255, np.uint8))
+    body = p._count_phrases([every] * 3, range(2, 4))
+    expected = {"a b": 18, "b c": 6, "c a": 12, "a b c": 6, "b c a": 6, "c a b": 12}
+    monkeypatch.setattr(p, "HELD_PHRASES", 4)
+    rows = [r for batch in body(shards) for r in batch.to_pylist()]
+    assert len(rows) == len(expected) and {r["phrase"]: r["f"] for r in rows} == expected
+    # Where memory has no room for them all, some come more than once; the sums are the same.
+    monkeypatch.setattr(p, "MOST_PHRASES", 4)
+    rows = [r for batch in body(shards) for r in batch.to_pylist()]
+    assert len(rows) > len(expected) and {k: sum(r["f"] for r in rows if r["phrase"] == k) for k in expected} == expected

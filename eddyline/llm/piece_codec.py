@@ -13,8 +13,9 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from dataclasses import dataclass
 from heapq import heappop, heappush
-from itertools import chain
+from itertools import chain, repeat
 from zlib import crc32
 
 import numpy as np
@@ -25,31 +26,63 @@ from pyspark.sql import functions as F
 from eddyline.llm.common import by_size, give_back, slices, strings, whole_text
 
 SPACE = "▁"  # Fixed value: how a blank is written inside pieces.
-CACHE_ENTRIES = 120_000
+CACHE_ENTRIES = 120_000  # that stay when twice as many are there
 BATCH_BYTES = 1 << 19
 BATCH_IDS = 1 << 17
 CELLS = 1 << 18
 LONG_UNIT = 512
 SLOT_BITS = 20
 NEVER = np.iinfo(np.int32).max
+
+
 def fine_units(pieces) -> re.Pattern:
     """A run of letters, of digits or of other characters with the blanks before it.
     Numerals such as superscripts count as other characters."""
     numerals = "".join(sorted({c for p in pieces for c in p if c.isalnum() and not c.isalpha() and not c.isdecimal()}))
-    other = f"[\\W_{re.escape(numerals)}]"
-    return re.compile(rf"{SPACE}*(?:(?:(?!{other})\D)+|\d+|(?:(?!{SPACE}){other})+)|{SPACE}+")
+    other = f"\\W_{re.escape(numerals)}"
+    return re.compile(rf"{SPACE}*(?:[^\d{other}]+|\d+|(?:(?!{SPACE})[{other}])+)|{SPACE}+")
 
 
 COARSE = re.compile(rf"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
+def ragged(flat: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Of runs of these ``sizes``, back to back in ``flat``, those of ``rows``, back to back."""
+    wanted = sizes[rows]
+    shift = (np.cumsum(sizes) - sizes)[rows] - (np.cumsum(wanted) - wanted)
+    return flat[np.arange(wanted.sum()) + np.repeat(shift, wanted)]
+
+
+@dataclass
+class Cuts:
+    """Cuts of units, back to back, and the codes of the merges that lead to them."""
+
+    ids: np.ndarray
+    sizes: np.ndarray
+    codes: np.ndarray
+    steps: np.ndarray
+
+    @staticmethod
+    def joined(some: list[Cuts]) -> Cuts:
+        none = Cuts(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        every = [none, *some]
+        return Cuts(*(np.concatenate([getattr(c, n) for c in every]) for n in ("ids", "sizes", "codes", "steps")))
+
+    def of(self, rows: np.ndarray) -> Cuts:
+        return Cuts(ragged(self.ids, self.sizes, rows), self.sizes[rows], ragged(self.codes, self.steps, rows), self.steps[rows])
+
+    def tuples(self) -> list[tuple[int, ...]]:
+        flat, ends = self.ids.tolist(), self.sizes.cumsum().tolist()
+        return [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+
+
 class MergeCodec:
     """A skip is a pure function of a unit's key, the place and the length of the union, so
     working off the agenda means: merge the best pair that is not skipped until none is
     left. Many units take these steps together, as rows of arrays.
 
-    Kept for the next time is only what no draw decides: a unit's plain cut, and the merges
-    that lead to it. Where none of these is skipped the plain cut is the result, as skips of
+    Kept for the next time, as arrays, is only what no draw decides: a unit's plain cut, and
+    the merges that lead to it. Where none of these is skipped the plain cut is the result, as skips of
     other candidates change nothing; any other unit is merged with its own draws.
     """
 
@@ -77,11 +110,15 @@ class MergeCodec:
             if len(p) == 1:
                 self.by_point[ord(p)] = i
         self._pair_table({pieces[i]: (i, -model.get_score(i)) for i in plain})
-        self.blank = tuple(self.byte_id[b] for b in SPACE.encode())
+        self.byte_ids = np.array([self.byte_id[b] for b in range(256)], np.int32)
         self.limit = int(dropout * 2**32)
         self.seed, self.cache_entries = seed, cache_entries
-        self.young: dict = {}
-        self.old: dict = {}
+        # What is kept of units without draws, by their numbers. Number 0 is no unit, but the
+        # mark of a blank in a text itself.
+        self.number = {"": 0}
+        blank = self.byte_ids[list(SPACE.encode())]
+        self.known = Cuts(blank, np.array([len(blank)]), np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        self.salts, self.uses, self.always = np.zeros(1, np.uint32), np.zeros(1, np.int64), np.zeros(1, bool)
 
     def _pair_table(self, scored) -> None:
         """Pairs of symbols whose union is a piece, sorted for lookup; ranks by score."""
@@ -113,9 +150,12 @@ class MergeCodec:
     def _skipped(self, key, code):
         """Whether draws under ``key`` skip the candidates of these codes."""
         x = key ^ code
-        x = (x ^ (x >> np.uint32(16))) * np.uint32(0x7FEB352D)
-        x = (x ^ (x >> np.uint32(15))) * np.uint32(0x846CA68B)
-        return (x ^ (x >> np.uint32(16))) < self.limit
+        x ^= x >> np.uint32(16)
+        x *= np.uint32(0x7FEB352D)
+        x ^= x >> np.uint32(15)
+        x *= np.uint32(0x846CA68B)
+        x ^= x >> np.uint32(16)
+        return x < self.limit
 
     def _code(self, place, union):
         return place * np.uint32(0x9E3779B1) + self.length[union] * np.uint32(0x85EBCA77)
@@ -139,23 +179,23 @@ class MergeCodec:
         start = (self.seed * 0x9E3779B1 + variant * 0xC2B2AE35) & 0xFFFFFFFF
         return self._merge(units, np.array([crc32(u.encode(), start) for u in units], np.uint32))
 
-    def _merge(self, units: list[str], keys, paths: list | None = None) -> list[tuple[int, ...]]:
-        """Cuts by each unit's key, plain ones if ``keys`` is None. ``paths`` takes the
-        codes of each unit's merges, as bytes; a long unit's place in it stays as it is."""
-        out: list = [None] * len(units)
+    def _merge(self, units: list[str], keys) -> list[tuple[int, ...]]:
+        """Cuts by each unit's key, plain ones if ``keys`` is None."""
+        return self._merged(units, keys).tuples()
+
+    def _merged(self, units: list[str], keys) -> Cuts:
+        """The same as arrays. Codes are given without keys only, and none of long units."""
         sizes = np.fromiter(map(len, units), np.int64, len(units))
-        by_length = np.argsort(sizes, kind="stable")[: int((sizes <= LONG_UNIT).sum())]
-        for a, b in by_size(sizes[by_length].tolist(), CELLS):
-            rows = by_length[a:b].tolist()
-            cuts, codes = self._merge_block([units[i] for i in rows], None if keys is None else keys[rows], paths is not None)
-            for row, cut in zip(rows, cuts):
-                out[row] = cut
-            if paths is not None:
-                for row, code in zip(rows, codes):
-                    paths[row] = code
-        for i in np.flatnonzero(sizes > LONG_UNIT).tolist():
-            out[i] = self._merge_long(units[i], None if keys is None else keys[i])
-        return out
+        by_length = np.argsort(sizes, kind="stable")
+        short = int((sizes <= LONG_UNIT).sum())
+        found = []
+        for a, b in by_size(sizes[by_length[:short]].tolist(), CELLS):
+            rows = by_length[a:b]
+            found.append(self._merge_block(list(map(units.__getitem__, rows.tolist())), sizes[rows], None if keys is None else keys[rows]))
+        for i in by_length[short:].tolist():
+            ids = np.array(self._merge_long(units[i], None if keys is None else keys[i]), np.int32)
+            found.append(Cuts(ids, np.array([len(ids)]), np.zeros(0, np.uint32), np.zeros(1, np.int64)))
+        return Cuts.joined(found).of(np.argsort(by_length))
 
     def _merge_long(self, unit: str, key) -> tuple[int, ...]:
         """The same for one long run of letters, by an agenda of candidates."""
@@ -194,108 +234,111 @@ class MergeCodec:
                 out += [part] if known else [self.byte_id[b] for b in unit[i].encode()]
         return tuple(out)
 
-    def _merge_block(self, units, key, with_codes):
-        """(cuts, codes of the merges of each unit as bytes, if wanted)."""
-        width = max(map(len, units))
-        flat = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
-        sym = np.full((len(units), width + 1), -1, np.int32)
-        lengths = np.array([len(u) for u in units])
-        sym[np.arange(width + 1) < lengths[:, None]] = self.by_point[flat]
-        steps: list = []
-        union, rank = (np.zeros_like(sym), np.full_like(sym, NEVER))
-        # Neighbours of units packed one after the other; a unit's last symbol has none.
-        row, column = np.nonzero(sym[:, 1:] >= 0)
-        union[row, column], rank[row, column] = self._candidates(
-            None if key is None else key[row], column.astype(np.uint32), sym[row, column], sym[row, column + 1]
+    def _merge_block(self, units: list[str], lengths: np.ndarray, key) -> Cuts:
+        """Units are rows of cells, all rows as wide as the longest unit and an end."""
+        n, width = len(units), int(lengths.max()) + 1
+        points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
+        first, begins = np.arange(n) * width, np.cumsum(lengths) - lengths
+        cells = np.arange(len(points)) + np.repeat(first - begins, lengths)
+        sym = np.full(n * width, -1, np.int32)
+        sym[cells] = self.by_point[points]
+        union, rank = np.zeros_like(sym), np.full_like(sym, NEVER)
+        # A unit's last symbol has no neighbour.
+        inner = np.ones(len(points), bool)
+        inner[(begins + lengths - 1)[lengths > 0]] = False
+        left = cells[inner]
+        row = left // width
+        union[left], rank[left] = self._candidates(
+            None if key is None else key[row], (left - first[row]).astype(np.uint32), sym[left], sym[left + 1]
         )
-        # Symbols stay where they begin and know the places of their neighbours; -1 in ``sym``
-        # is the end, and a place that a merge has taken.
-        after = np.broadcast_to(np.arange(1, width + 2, dtype=np.int16), sym.shape).copy()
-        before = np.broadcast_to(np.arange(-1, width, dtype=np.int16), sym.shape).copy()
-        live = np.arange(len(units))
+        # Symbols stay where they begin and know the cells of their neighbours; -1 in ``sym``
+        # is the end, and a cell that a merge has taken.
+        after = np.arange(1, n * width + 1)
+        before = np.arange(-1, n * width - 1)
+        before[first] = -1
+        live, by_row, made_codes, steps = np.arange(n), rank.reshape(n, width), [], np.zeros(n, np.int64)
         while len(live):
-            best = rank[live].argmin(1) if len(live) < len(rank) else rank.argmin(1)
-            going = rank[live, best] < NEVER
-            live, best = live[going], best[going]
+            at = first[live] + (by_row[live] if len(live) < n else by_row).argmin(1)
+            going = rank[at] < NEVER
+            live, at = live[going], at[going]
             if not len(live):
                 break
-            made, gone = union[live, best], after[live, best]
-            if with_codes:
-                steps.append((live, self._code(best.astype(np.uint32), made)))
-            beyond, earlier = after[live, gone], before[live, best]
-            sym[live, best], sym[live, gone], rank[live, gone] = made, -1, NEVER
-            after[live, best], before[live, beyond] = beyond, best
+            made, gone, start = union[at], after[at], first[live]
+            if key is None:
+                made_codes.append((live, self._code((at - start).astype(np.uint32), made)))
+                steps[live] += 1
+            beyond, earlier = after[gone], before[at]
+            sym[at], sym[gone], rank[gone] = made, -1, NEVER
+            after[at], before[beyond] = beyond, at
             has = earlier >= 0
-            rows = np.concatenate([live[has], live])
-            left = np.concatenate([earlier[has], best])
-            right = np.concatenate([best[has], beyond])
-            union[rows, left], rank[rows, left] = self._candidates(
-                None if key is None else key[rows], left.astype(np.uint32), sym[rows, left], sym[rows, right]
-            )
-        used = sym >= 0
-        flat, ends = sym[used].tolist(), used.sum(1).cumsum().tolist()
-        cuts = [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
-        for row in np.flatnonzero((sym >= self.n_pieces).any(1)).tolist():
-            letters = [units[row][k] for k in np.flatnonzero(used[row]).tolist()]
-            spelled = ((i,) if i < self.n_pieces else [self.byte_id[b] for b in c.encode()] for i, c in zip(cuts[row], letters))
-            cuts[row] = tuple(chain.from_iterable(spelled))
-        return cuts, self._by_row(steps, len(units)) if with_codes else None
-
-    @staticmethod
-    def _by_row(steps, n: int) -> list[bytes]:
-        rows = np.concatenate([np.zeros(0, np.int64), *(r for r, _ in steps)])
-        codes = np.concatenate([np.zeros(0, np.uint32), *(c for _, c in steps)])
-        flat = codes[np.argsort(rows, kind="stable")].tobytes()
-        ends = (4 * np.bincount(rows, minlength=n).cumsum()).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+            left, right = np.concatenate([earlier[has], at]), np.concatenate([at[has], beyond])
+            place = left - np.concatenate([start[has], start])
+            own = None if key is None else np.concatenate([key[live[has]], key[live]])
+            union[left], rank[left] = self._candidates(own, place.astype(np.uint32), sym[left], sym[right])
+        used = np.flatnonzero(sym >= 0)
+        ids, row = sym[used], used // width
+        sizes = np.bincount(row, minlength=n)
+        unknown = ids >= self.n_pieces
+        if unknown.any():
+            # Spelled in UTF-8.
+            letters = points[(used - first[row] + begins[row])[unknown]]
+            times = np.ones(len(ids), np.int64)
+            times[unknown] += (letters > 0x7F).astype(np.int64) + (letters > 0x7FF) + (letters > 0xFFFF)
+            ids, spelled = np.repeat(ids, times), np.repeat(unknown, times)
+            ids[spelled] = self.byte_ids[np.frombuffer(letters.tobytes().decode("utf-32-le").encode(), np.uint8)]
+            sizes = np.bincount(np.repeat(row, times), minlength=n)
+        # A unit that is merged at all is merged in every step until its last.
+        codes, starts = np.zeros(int(steps.sum()), np.uint32), np.cumsum(steps) - steps
+        for step, (rows, code) in enumerate(made_codes):
+            codes[starts[rows] + step] = code
+        return Cuts(ids, sizes, codes, steps)
 
     def encode_many(self, texts: list[str], streams: list[int]) -> list[array]:
-        """The mark of a blank itself, should a text hold it, goes as bytes, so that it
-        stays apart from a blank when decoded."""
-        runs = [
-            [self.unit.findall(((SPACE if k == 0 else "") + run).replace(" ", SPACE)) for k, run in enumerate(text.split(SPACE))]
-            if text else [] for text in texts
-        ]
-        cuts = self._cuts(runs, streams)
-        out, at = [], 0
-        for of_text in runs:
-            ids = array("i")
-            for r, units in enumerate(of_text):
-                if r:
-                    ids.extend(self.blank)
-                ids.extend(chain.from_iterable(cuts[at : at + len(units)]))
-                at += len(units)
-            out.append(ids)
-        return out
+        ids, ends = self.encode_flat(texts, streams)
+        return [array("i", ids[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
+
+    def encode_flat(self, texts: list[str], streams: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, their ends with a 0 before them). The mark of a blank itself,
+        should a text hold it, goes as bytes, so that it stays apart from a blank when
+        decoded."""
+        units, counts = [], []
+        for text in texts:
+            n = len(units)
+            for k, run in enumerate(text.split(SPACE) if text else ()):
+                if k:
+                    units.append("")
+                units += self.unit.findall(((SPACE if k == 0 else "") + run).replace(" ", SPACE))
+            counts.append(len(units) - n)
+        ids, sizes = self._cut(units, np.array(counts, np.int64), streams)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *counts])]
+        return ids, ends
 
     def _cuts(self, runs, streams) -> list[tuple[int, ...]]:
-        """The cut of every unit, one after the other."""
-        units = list(chain.from_iterable(chain.from_iterable(runs)))
-        distinct = list(dict.fromkeys(units))
-        known = self._plain(distinct)
-        number = dict(zip(distinct, range(len(distinct))))
-        at = np.fromiter(map(number.__getitem__, units), np.int64, len(units))
-        plain = [cut for cut, _ in known]
-        cuts = list(map(plain.__getitem__, at.tolist()))
-        if not self.limit or not units:
-            return cuts
-        counts = np.array([sum(map(len, of_text)) for of_text in runs])
-        of_text = np.repeat(np.arange(len(runs)), counts)
-        place = (np.arange(len(units)) - (np.cumsum(counts) - counts)[of_text]).astype(np.uint64)
-        salts = np.array([crc32(u.encode()) for u in distinct], np.uint32)
-        keys = self._keys(np.array(streams, np.int64).view(np.uint64)[of_text], place) ^ salts[at]
-        # Long units have no path: they are always drawn.
-        sizes = np.array([len(path or b"") // 4 for _, path in known])
-        codes = np.frombuffer(b"".join(path or b"" for _, path in known), np.uint32)
-        n = sizes[at]
-        row = np.repeat(np.arange(len(units)), n)
-        step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat((np.cumsum(sizes) - sizes)[at], n)
-        drawn = np.array([path is None for _, path in known])[at]
-        drawn[row[self._skipped(keys[row], codes[step])]] = True
-        again = np.flatnonzero(drawn)
-        for i, cut in zip(again.tolist(), self._merge([units[i] for i in again.tolist()], keys[again])):
-            cuts[i] = cut
-        return cuts
+        """The cut of every unit of texts in runs, one after the other."""
+        units = [list(chain.from_iterable(of_text)) for of_text in runs]
+        ids, sizes = self._cut(list(chain.from_iterable(units)), np.array(list(map(len, units))), streams)
+        return Cuts(ids, sizes, ids, sizes).tuples()
+
+    def _cut(self, units: list[str], counts: np.ndarray, streams) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of them each unit has) for units of texts, ``counts`` in each."""
+        at = self._numbers(units)
+        cuts = self.known
+        if self.limit and len(units):
+            of_text = np.repeat(np.arange(len(counts)), counts)
+            own = at > 0
+            before = np.cumsum(own) - own
+            begins = np.append(before, 0)[np.cumsum(counts) - counts]
+            place = (before - begins[of_text]).astype(np.uint64)
+            keys = self._keys(np.array(streams, np.int64).view(np.uint64)[of_text], place) ^ self.salts[at]
+            # Long units have no path: they are always drawn.
+            n, drawn = cuts.steps[at], self.always[at]
+            skipped = np.flatnonzero(self._skipped(np.repeat(keys, n), ragged(cuts.codes, cuts.steps, at)))
+            drawn[np.searchsorted(np.cumsum(n), skipped, "right")] = True
+            again = np.flatnonzero(drawn)
+            new = self._merged(list(map(units.__getitem__, again.tolist())), keys[again])
+            cuts = Cuts.joined([cuts, new])
+            at[again] = len(self.known.sizes) + np.arange(len(again))
+        return ragged(cuts.ids, cuts.sizes, at), cuts.sizes[at]
 
     def _keys(self, stream, place):
         """32 bits from the seed, a document's stream and the place of a unit in it."""
@@ -304,18 +347,33 @@ class MergeCodec:
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return (x ^ (x >> np.uint64(31))).astype(np.uint32)
 
-    def _plain(self, units: list[str]) -> list[tuple]:
-        """(cut, merges) of distinct units without draws. Two generations are kept: what was
-        not used for a while goes, memory is bounded."""
-        if len(self.young) >= self.cache_entries:
-            self.old, self.young = self.young, {}
-        missing = set(units).difference(self.young)
-        young, old = self.young, self.old
-        young.update((u, old[u]) for u in missing & old.keys())
-        new = sorted(missing - old.keys())
-        paths: list = [None] * len(new)
-        young.update(zip(new, zip(self._merge(new, None, paths), paths)))
-        return list(map(young.__getitem__, units))
+    def _numbers(self, units: list[str]) -> np.ndarray:
+        """The numbers of units, of which new ones are cut without draws. Of too many the less
+        used go: memory is bounded."""
+        if len(self.number) >= 2 * self.cache_entries:
+            self._forget()
+        at = np.fromiter(map(self.number.get, units, repeat(-1)), np.int64, len(units))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            there = list(map(units.__getitem__, missing.tolist()))
+            new = sorted(set(there))
+            self.known = Cuts.joined([self.known, self._merged(new, None)])
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            at[missing] = np.fromiter(map(self.number.__getitem__, there), np.int64, len(there))
+            self.salts = np.append(self.salts, np.array([crc32(u.encode()) for u in new], np.uint32))
+            self.always = np.append(self.always, np.array([len(u) > LONG_UNIT for u in new]))
+            self.uses = np.append(self.uses, np.zeros(len(new), np.int64))
+        self.uses += np.bincount(at, minlength=len(self.uses))
+        return at
+
+    def _forget(self) -> None:
+        """Keeps the blank and the most used, whose uses count half from then on."""
+        order = 1 + np.argsort(-self.uses[1:], kind="stable")
+        kept = np.append(0, np.sort(order[: max(self.cache_entries - 1, 0)]))
+        names = list(self.number)
+        self.number = {names[i]: k for k, i in enumerate(kept.tolist())}
+        self.known = self.known.of(kept)
+        self.salts, self.always, self.uses = self.salts[kept], self.always[kept], self.uses[kept] // 2
 
     def encode(self, text: str, stream: int = 0) -> array:
         return self.encode_many([text], [stream])[0]
@@ -350,10 +408,8 @@ def _encoder(path, dropout, seed):
         for whole in batches:
             codec = codec or MergeCodec(path, dropout, seed)
             for batch in slices(whole, "text", BATCH_BYTES):
-                encoded = codec.encode_many(strings(batch, "text"), batch.column("stream").to_pylist())
-                ends = np.cumsum([0, *map(len, encoded)]).astype(np.int32)
-                flat = np.concatenate([np.frombuffer(e, np.int32) for e in encoded])
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                ids, ends = codec.encode_flat(strings(batch, "text"), batch.column("stream").to_pylist())
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), lists], names=["doc_id", "text", "ids"])
             give_back()
 

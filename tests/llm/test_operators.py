@@ -333,6 +333,26 @@ def test_draws_of_every_document_and_place():
     assert codec._merge(["▁thinking"] * 300, keys) == [cut[place] for cut in drawn]
 
 
+def test_known_words_take_no_python_call_each():
+    """Words met before are looked up, drawn and put together as arrays; and a cache that
+    forgets changes no cut and stays bounded."""
+    import cProfile
+    import pstats
+
+    from eddyline.llm.piece_codec import MergeCodec
+
+    codec, small = MergeCodec(PIECES, 0.1, 42), MergeCodec(PIECES, 0.1, 42, 50)
+    words = ["".join(w) for w in np.random.default_rng(3).choice(list("etaoinshrdlu"), (4000, 7))]
+    texts = [" ".join(words[a : a + 1000]) + " é ▁ 日本 😀" for a in range(0, 4000, 1000)]
+    first = codec.encode_many(texts, [1, 2, 3, 4])
+    profile = cProfile.Profile()
+    again = profile.runcall(codec.encode_many, texts, [1, 2, 3, 4])
+    assert again == first and pstats.Stats(profile).total_calls < 4000
+    one_by_one = [small.encode(text, stream) for stream, text in enumerate(texts, 1)]
+    assert one_by_one == first and len(small.number) <= 100 + 1004
+    assert [codec.decode(ids) for ids in first] == texts
+
+
 def test_copies_under_other_ids_are_cut_anew(spark):
     from eddyline.llm.piece_codec import encode_pieces
 

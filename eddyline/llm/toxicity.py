@@ -207,8 +207,7 @@ def take_rows(parameters: list[np.ndarray], rows: np.ndarray) -> None:
         at += p.size
 
 
-def _logits(model, texts):
-    taps = model.taps()
+def _logits(model, texts, taps):
     out = [model.logits(texts[a:b], taps) for a, b in by_size([t.shape[1] for t in texts], 1 << 18)]
     return np.concatenate(out) if out else np.zeros(0)
 
@@ -276,10 +275,13 @@ def _binned(model):
     """mapInArrow body: the calibrating texts of each pack counted by language and logit."""
 
     def body(batches):
-        table = _marker_table()
+        # The taps are as many as the words a model knows: made once, not for each pack.
+        taps = table = None
         for _, texts, targets in _packs_of(batches):
+            if taps is None:
+                taps, table = model.taps(), _marker_table()
             at = np.flatnonzero(calibrating(len(texts)))
-            logits = _logits(model, [texts[i] for i in at])
+            logits = _logits(model, [texts[i] for i in at], taps)
             languages = np.array([language_of(texts[i], table) for i in at], np.int32)
             bins = np.floor(np.clip(logits, -30, 30) * BINS).astype(np.int32)
             columns = [languages, bins, logits, targets[at].astype(np.int64)]

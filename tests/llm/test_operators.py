@@ -448,6 +448,28 @@ def test_classifiers_are_fitted_on_every_labelled_row(spark, build, monkeypatch)
     assert np.array_equal(held, second.embeddings if build == "toxicity" else second.factors)
 
 
+def test_toxicity_multiplies_its_embeddings_once_for_all_packs(monkeypatch):
+    """A task that counts the calibrating texts makes the taps once, however many packs it
+    has, and the logits are those of each pack by itself."""
+    import pyarrow as pa
+
+    from eddyline.llm import toxicity as t
+
+    hashes = t.word_hashes([f"some words {i} of a pack" for i in range(30)])
+    model, _ = t.start(np.unique(np.concatenate([h.reshape(-1) for h in hashes])), 0.3)
+    packs = []
+    for k in range(3):
+        own = hashes[10 * k : 10 * k + 10]
+        flat = [np.zeros(10, np.int32), np.array([h.size for h in own], np.int32), np.concatenate([h.reshape(-1) for h in own])]
+        packs.append(pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), *(pa.array([f.tobytes()]) for f in flat)], names=["shard", "targets", "sizes", "words"]))
+    calls, real = [], t.TextFilters.taps
+    monkeypatch.setattr(t.TextFilters, "taps", lambda self: calls.append(1) or real(self))
+    found = [x for b in t._binned(model)(iter(packs)) for x in b.column("logit").to_pylist()]
+    assert len(calls) == 1 and len(found) == 6
+    alone = [x for p in packs for b in t._binned(model)(iter([p])) for x in b.column("logit").to_pylist()]
+    assert found == alone and not list(t._binned(model)(iter([])))
+
+
 def test_word_hashes_do_not_depend_on_the_place():
     from eddyline.llm.wordhash import words_of
 

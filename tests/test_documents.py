@@ -76,6 +76,40 @@ def test_repeated_rows_of_one_id_collapse(spark):
     assert sorted(map(tuple, quality.drop_duplicate_content(df).collect()), key=str) == sorted([(1, "a"), (None, "b"), (3, None)], key=str)
 
 
+def test_vectors_of_an_epoch_are_judged_once(spark, monkeypatch):
+    """No output goes through the cells of the vectors again, and the letters of documents
+    that fit do not read them."""
+    from eddyline.sinks.epoch_log import read_log
+    from eddyline.sinks.points import read_points
+    from eddyline.sources.documents import stream_documents
+    from eddyline.streaming import documents
+
+    plans = {}
+
+    def seen(name):
+        real = getattr(documents, name)
+
+        def call(df, path, *rest, **options):
+            plans[path.split("/")[-1].split("=")[0]] = df._jdf.queryExecution().executedPlan().toString()
+            return real(df, path, *rest, **options)
+
+        monkeypatch.setattr(documents, name, call)
+
+    for name in ("write_json", "upsert_points", "write_epoch"):
+        seen(name)
+    folder = fresh_folder(spark, "judged-once")
+    spark.createDataFrame([("a", "first document"), ("b", "second document")], "id string, content string").write.json(f"{folder}/in")
+    cells = lambda text, width: F.when(text.startswith("first"), F.array_repeat(F.lit(1.0), width)).otherwise(F.array(F.lit(1.0)))
+    stream = documents.with_file(stream_documents(spark, f"{folder}/in", DOCUMENT))
+    documents.start_document_stream(
+        stream, f"{folder}/p", f"{folder}/j", f"{folder}/l", f"{folder}/c", vector=cells, every=None,
+    ).awaitTermination()
+    assert set(plans) == {"epoch_id", "p", "l", "l-letters"} and not any("forall" in plan for plan in plans.values())
+    assert "NOT fits" in plans["l-letters"] and "vector#" not in plans["l-letters"] and "vector:" not in plans["l-letters"]
+    assert [r.id for r in read_points(spark, f"{folder}/p").collect()] == ["a"]
+    assert [(r.original_key, r.failure_reason) for r in read_log(spark, f"{folder}/l-letters").collect()] == [("b", "validation_error")]
+
+
 def test_document_files_with_odd_names_and_broken_lines(spark):
     from eddyline.sinks.epoch_log import read_log
     from eddyline.sinks.points import read_points

@@ -142,7 +142,7 @@ def upserted_compacted(spark, sf_dir):
     events = tables.events(spark, sf_dir)
     first = events_to_points(events, carry=("eid",)).withColumnRenamed("eid", "offset")
     upsert_points(first, path, epoch_id=0)
-    compact(spark, path)
+    compact(spark, path, keep=0)
     again = F.concat(F.lit("updated "), F.coalesce("product.name", F.lit("")))
     later = events_to_points(events.filter("event_type = 'purchase'"), again, carry=("eid",))
     upsert_points(later.withColumnRenamed("eid", "offset"), path, epoch_id=1)

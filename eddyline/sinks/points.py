@@ -94,19 +94,35 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     return _table(spark, path)
 
 
-def compact(spark: SparkSession, path: str, retire: bool = False) -> None:
-    """Fold the log into a new base. Readers switch when the manifest row appears.
+def _scans(spark: SparkSession, path: str, base, done: list[tuple[int, int]]) -> list[DataFrame]:
+    """What a fold of the epochs ``done`` reads."""
+    later = [e for e in done if base is None or e > (base.generation, base.epoch_id)]
+    return [read_log(spark, path, only=later), *([spark.read.parquet(base.base)] if base else [])]
+
+
+def _dealt(table: DataFrame, scans: list[DataFrame]) -> DataFrame:
+    """Vectors cost far more to write than to read: where files are so dense that their splits
+    hold more rows than a task should write, rows are dealt by id, which each row has alone."""
+    tasks = tasks_for(sum(s.count() for s in scans), table.sparkSession)
+    return table.repartition(tasks, "id") if sum(s.rdd.getNumPartitions() for s in scans) < tasks else table
+
+
+def compact(spark: SparkSession, path: str, retire: bool = False, keep: int = 1) -> None:
+    """Fold all epochs but the newest ``keep`` into a new base. Readers switch when the
+    manifest row appears.
 
     The newest epoch stays out: a stream that starts again may replay it, and the replay
-    must win. With ``retire`` the folded epochs are deleted; no reader that began before
-    may still be running then.
+    must win. ``keep=0`` folds that one too, for a writer that has finished it and will not
+    write it again: a replay would not be read. With ``retire`` the folded epochs are
+    deleted; no reader that began before may still be running then.
     """
-    done = epochs(spark, path)[:-1]
+    found = epochs(spark, path)
+    done = found[: max(len(found) - keep, 0)]
     base = _newest_base(spark, path)
     if not done or base and done[-1] <= (base.generation, base.epoch_id):
         return
     folder = f"{path}/base/{uuid.uuid4().hex}"
-    _table(spark, path, upto=done[-1]).write.parquet(folder)
+    _dealt(_table(spark, path, upto=done[-1]), _scans(spark, path, base, done)).write.parquet(folder)
     row = [(*done[-1], folder)]
     spark.createDataFrame(row, MANIFEST_SCHEMA).write.mode("append").parquet(f"{path}/manifest")
     if retire:

@@ -157,6 +157,58 @@ def test_upsert_replay_compaction_and_generations(spark):
     assert shown(spark, path) == expected | {"a": ("3", 1, 0)}
 
 
+def test_a_finished_epoch_is_folded_when_asked(spark):
+    path = fresh_folder(spark, "finished")
+    upsert_points(points(spark, [("a", [1.0], {"v": "0"}, 0), ("a", [2.0], {"v": "0b"}, 1), ("b", [1.0], {"v": "0"}, 2)]), path, 0)
+    compact(spark, path)
+    assert not any("/base/" in f for f in read_points(spark, path).inputFiles())  # its replay may come
+    compact(spark, path, keep=0)
+    expected = {"a": ("0b", 0, 0), "b": ("0", 0, 0)}
+    assert shown(spark, path) == expected
+    assert all("/base/" in f for f in read_points(spark, path).inputFiles())
+    upsert_points(points(spark, [("b", [9.0], {"v": "1"}, 3), ("c", [9.0], {"v": "1"}, 4)]), path, 1)
+    expected |= {"b": ("1", 0, 1), "c": ("1", 0, 1)}
+    assert shown(spark, path) == expected and read_points(spark, path).count() == 3
+    compact(spark, path, retire=True, keep=0)
+    assert epochs(spark, path) == [] and shown(spark, path) == expected
+    compact(spark, path, keep=0)
+    assert shown(spark, path) == expected
+
+
+def test_a_base_is_written_by_tasks_of_a_fixed_number_of_rows(spark, monkeypatch):
+    from eddyline import session
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 20)
+    path, rows = fresh_folder(spark, "dense"), spark.range(0, 400, 1, 1).selectExpr("cast(id as string) id", "array(1f) vector", "map('v', 'a') payload", "id offset")
+    upsert_points(rows.coalesce(1), path, 0)
+    compact(spark, path, keep=0)
+    read = read_points(spark, path)
+    sizes = [r["count"] for r in read.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 400 and max(sizes) <= 60 and len(sizes) > 10
+    assert shown(spark, path) == {str(k): ("a", 0, 0) for k in range(400)}
+
+
+def test_the_compacted_query_reads_its_first_epoch_from_the_base(spark, tmp_path):
+    from eddyline.plans.vector_queries import upserted, upserted_compacted
+
+    kinds = ["view", "purchase", "signup", None]
+    spark.range(40).selectExpr(
+        "id event_id", "timestamp '2024-01-01' + make_interval(0, 0, 0, 0, 0, id) ts", "id % 7 user_id",
+        f"array({', '.join('null' if k is None else repr(k) for k in kinds)})[cast(id % 4 as int)] event_type", "1.5D value", "'{}' props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(5).selectExpr(
+        "id p_partkey", "concat('name ', id) p_name", "'brand' p_brand", "'type' p_type", "cast(id as int) p_size", "2.5D p_retailprice"
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    table = upserted_compacted(spark, str(tmp_path))
+    read = [f for f in table.inputFiles() if "/points-" in f]
+    assert any("/base/" in f for f in read) and any("epoch_id=1" in f for f in read)
+    assert not any("epoch_id=0" in f for f in read)
+    rows = sorted(map(tuple, table.collect()))
+    # 15 and 35 have neither kind nor product, so no text.
+    assert {int(r[0]): r[1] for r in rows} == {k: int(k % 4 == 1) for k in range(40) if k not in (15, 35)} and len(rows) == 38
+    assert rows == sorted(map(tuple, upserted(spark, str(tmp_path)).collect()))
+
+
 def test_reading_points_sorts_no_vectors(spark):
     path = fresh_folder(spark, "narrow")
     for epoch in range(3):

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime
 import json
 import pickle
+import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -137,6 +138,26 @@ def retry_steps(max_retries: int, delays, settle_us: int):
     return body
 
 
+class RetryQuery(StreamingQuery):
+    """Timers keep the query awake with epochs without rows, so Spark's own call would never
+    return: all that is there is done when an epoch that began after the call found nothing new."""
+
+    def processAllAvailable(self) -> None:
+        seen = self.lastProgress
+        known = seen.batchId if seen else None
+        while self.isActive:
+            seen = self.lastProgress
+            if seen and known is None:
+                known = seen.batchId - 1
+            # The epoch after the last one known may have begun before the call.
+            if seen and seen.batchId > known + 1 and all(s.startOffset == s.endOffset for s in seen.sources):
+                return
+            time.sleep(0.1)
+        failed = self.exception()
+        if failed is not None:
+            raise failed
+
+
 def start_retry_stream(
     events: DataFrame, path: str, checkpoint: str, generation: int = 0, max_retries: int = MAX_RETRIES,
     delays=RETRY_DELAYS_SECONDS, settle: datetime.timedelta = datetime.timedelta(days=1), fold_every: int = 16, write=None, **options,
@@ -173,7 +194,8 @@ def start_retry_stream(
     if options.get("every", "") is None:
         conf.set(idle, "false")
     try:
-        return start(steps, record, checkpoint, mode="update", **options)
+        query = start(steps, record, checkpoint, mode="update", **options)
+        return RetryQuery(query._jsq) if conf.get(idle) == "true" else query
     finally:
         conf.set(idle, before)
 
